@@ -18,14 +18,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
-from functools import reduce
+from decimal import Decimal
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import at
-
 INSERT, UPDATE, DELETE, KEEP = "insert", "update", "delete", "keep"
 ACTION = "merge_action"
 
@@ -94,78 +92,118 @@ class MergeSpec:
             raise ValueError("an update-only merge keeps absent rows")
 
 
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(value: Any) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, (int, Decimal)):
+        return str(value)
+    if isinstance(value, datetime):
+        return f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows; the run fails when a key is NULL or occurs twice.
 
     The rank limit reaches below the shuffle, so at most two rows per key leave a map task.
     Rows are lost to it only in a run that fails.
     """
-    rank = "__rank"
-    named = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
-    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    is_single = (
-        F.when(any_null, F.raise_error(F.concat(F.lit("NULL merge key: "), named)).cast("boolean"))
-        .when(F.col(rank) > 1, F.raise_error(F.concat(F.lit("duplicate merge key: "), named)).cast("boolean"))
-        .otherwise(F.lit(True))
-    )
-    window = Window.partitionBy(*keys).orderBy(*keys)
+    names = [_quote(k) for k in keys]
+    shown = "concat_ws(', ', " + ", ".join(f"coalesce(string({n}), 'NULL')" for n in names) + ")"
+    no_key = " OR ".join(f"{n} IS NULL" for n in names)
+    order = ", ".join(names)
     return (
-        df.withColumn(rank, F.row_number().over(window))
-        .filter(F.col(rank) <= 2)
-        .filter(is_single)
-        .drop(rank)
+        df.selectExpr("*", f"row_number() OVER (PARTITION BY {order} ORDER BY {order}) AS __rank")
+        .filter("__rank <= 2")
+        .filter(
+            f"CASE WHEN {no_key} THEN boolean(raise_error(concat('NULL merge key: ', {shown}))) "
+            f"WHEN __rank > 1 THEN boolean(raise_error(concat('duplicate merge key: ', {shown}))) "
+            "ELSE TRUE END"
+        )
+        .drop("__rank")
     )
 
 
 def _sides(target: DataFrame, source: DataFrame, spec: MergeSpec) -> tuple[DataFrame, DataFrame]:
-    wanted = [*spec.keys, *spec.columns, *spec.insert_only]
-    written = {
-        c: F.coalesce(F.col(c), F.lit(spec.columns[c].fill).cast(target.schema[c].dataType))
-        if c in spec.columns and spec.columns[c].fill is not None
-        else F.col(c)
-        for c in wanted
-    }
-    s = require_unique(source.select(*wanted), spec.keys).select(
-        *[expr.cast(target.schema[c].dataType).alias(f"s_{c}") for c, expr in written.items()],
-        F.lit(True).alias("s_here"),
-    )
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("t_here"))
-    return t, s
+    """Both sides with prefixed columns; the source filled and in the target's types."""
+    types = {f.name: f.dataType.simpleString() for f in target.schema.fields}
 
+    def written(name: str) -> str:
+        value = f"CAST({_quote(name)} AS {types[name]})"
+        rule = spec.columns.get(name)
+        if rule is not None and rule.fill is not None:
+            value = f"coalesce({value}, CAST({_literal(rule.fill)} AS {types[name]}))"
+        return f"{value} AS {_quote(name)}"
 
-def _is_deleted(spec: MergeSpec) -> Column:
-    marks = []
-    if spec.deleted_flag:
-        marks.append(F.col(f"t_{spec.deleted_flag}") == 1)
-    if spec.deleted_at:
-        marks.append(F.col(f"t_{spec.deleted_at}").isNotNull())
-    return reduce(lambda a, b: a | F.coalesce(b, F.lit(False)), marks, F.lit(False))
+    def prefixed(names: Sequence[str], side: str) -> list[str]:
+        return [*[f"{_quote(c)} AS {_quote(f'{side}_{c}')}" for c in names], f"TRUE AS {side}_here"]
 
-
-def _is_live(spec: MergeSpec) -> Column:
-    if spec.deleted_flag:
-        return F.col(f"t_{spec.deleted_flag}") == 0
-    return F.col(f"t_{spec.deleted_at}").isNull()
-
-
-def _differs(name: str, rule: Rule) -> Column:
-    new, old = F.col(f"s_{name}"), F.col(f"t_{name}")
-    if rule.null_as is not None:
-        new, old = F.coalesce(new, F.lit(rule.null_as)), F.coalesce(old, F.lit(rule.null_as))
-    return F.coalesce(new != old, F.lit(False))
+    wanted = [*spec.keys, *spec.columns, *spec.insert_only]
+    s = require_unique(source.selectExpr(*[written(c) for c in wanted]), spec.keys)
+    return target.selectExpr(*prefixed(target.columns, "t")), s.selectExpr(*prefixed(wanted, "s"))
 
 
-def _action(spec: MergeSpec) -> Column:
+def _changed(spec: MergeSpec) -> str:
+    """Condition under which a matched row is updated; NULL on either side is no difference
+    unless the rule names a stand-in for it."""
     if spec.always:
-        changed = F.lit(True)
-    else:
-        tests = [_differs(c, r) for c, r in spec.columns.items()]
-        changed = reduce(lambda a, b: a | b, tests, _is_deleted(spec))
-    action = F.when(F.col("t_here").isNull(), F.lit(INSERT))
-    absent = F.col("s_here").isNull()
+        return "TRUE"
+    tests = []
+    if spec.deleted_flag:
+        tests.append(f"coalesce({_quote('t_' + spec.deleted_flag)} = 1, FALSE)")
+    if spec.deleted_at:
+        tests.append(f"{_quote('t_' + spec.deleted_at)} IS NOT NULL")
+    for name, rule in spec.columns.items():
+        new, old = _quote(f"s_{name}"), _quote(f"t_{name}")
+        if rule.null_as is not None:
+            value = _literal(rule.null_as)
+            new, old = f"coalesce({new}, {value})", f"coalesce({old}, {value})"
+        tests.append(f"coalesce({new} <> {old}, FALSE)")
+    return "(" + " OR ".join(tests) + ")"
+
+
+def _action(spec: MergeSpec) -> str:
+    cases = [f"WHEN t_here IS NULL THEN '{INSERT}'"]
     if spec.absent == "soft":
-        action = action.when(absent & _is_live(spec), F.lit(DELETE))
-    return action.when(absent, F.lit(KEEP)).when(changed, F.lit(UPDATE)).otherwise(F.lit(KEEP))
+        live = (
+            f"{_quote('t_' + spec.deleted_flag)} = 0"
+            if spec.deleted_flag
+            else f"{_quote('t_' + spec.deleted_at)} IS NULL"
+        )
+        cases.append(f"WHEN s_here IS NULL AND {live} THEN '{DELETE}'")
+    cases += [f"WHEN s_here IS NULL THEN '{KEEP}'", f"WHEN {_changed(spec)} THEN '{UPDATE}'"]
+    return "CASE " + " ".join(cases) + f" ELSE '{KEEP}' END"
+
+
+def _next_value(name: str, kind: str, spec: MergeSpec, run_ts: datetime) -> str:
+    """The column's value in the next snapshot, by the action taken on the row."""
+    old, new = _quote(f"t_{name}"), _quote(f"s_{name}")
+    fresh = _literal(spec.on_insert.get(name))
+    if name in spec.keys:
+        return f"coalesce({old}, {new})"
+    if name in spec.columns:
+        cases = {(INSERT, UPDATE): new}
+    elif name in spec.insert_only:
+        cases = {(INSERT,): new}
+    elif name == spec.deleted_flag:
+        cases = {(INSERT, UPDATE): "0", (DELETE,): "1"}
+    elif name == spec.deleted_at:
+        cases = {(INSERT, UPDATE): "NULL", (DELETE,): _literal(run_ts)}
+    elif name == spec.updated_at:
+        cases = {(UPDATE, DELETE): _literal(run_ts), (INSERT,): fresh}
+    else:
+        cases = {(INSERT,): fresh}
+    whens = " ".join(
+        f"WHEN {ACTION} IN ({', '.join(map(_literal, actions))}) THEN CAST({value} AS {kind})"
+        for actions, value in cases.items()
+    )
+    return f"CASE {whens} ELSE {old} END"
 
 
 def merge_with_actions(
@@ -173,49 +211,18 @@ def merge_with_actions(
 ) -> DataFrame:
     """The next snapshot plus ``merge_action`` telling what happened to each row."""
     t, s = _sides(target, source, spec)
-    on = reduce(lambda a, b: a & b, [F.col(f"t_{k}") == F.col(f"s_{k}") for k in spec.keys])
+    on = F.expr(" AND ".join(f"{_quote('t_' + k)} = {_quote('s_' + k)}" for k in spec.keys))
     if spec.absent == "hard":
         joined = s.join(t, on, "left")
     elif not spec.insert:
         joined = t.join(s, on, "left")
     else:
         joined = t.join(s, on, "full")
-    joined = joined.withColumn(ACTION, _action(spec))
-
-    action, now = F.col(ACTION), at(run_ts)
-
-    def next_value(name: str) -> Column:
-        old = F.col(f"t_{name}")
-        kind = target.schema[name].dataType
-        if name in spec.keys:
-            return F.coalesce(old, F.col(f"s_{name}"))
-        if name in spec.columns:
-            return F.when(action.isin(INSERT, UPDATE), F.col(f"s_{name}")).otherwise(old)
-        if name in spec.insert_only:
-            return F.when(action == INSERT, F.col(f"s_{name}")).otherwise(old)
-        fresh = F.lit(spec.on_insert.get(name)).cast(kind)
-        if name == spec.deleted_flag:
-            return (
-                F.when(action == INSERT, F.lit(0).cast(kind) if name not in spec.on_insert else fresh)
-                .when(action == UPDATE, F.lit(0).cast(kind))
-                .when(action == DELETE, F.lit(1).cast(kind))
-                .otherwise(old)
-            )
-        if name == spec.deleted_at:
-            return (
-                F.when(action.isin(INSERT, UPDATE), F.lit(None).cast(kind))
-                .when(action == DELETE, now.cast(kind))
-                .otherwise(old)
-            )
-        if name == spec.updated_at:
-            return (
-                F.when(action.isin(UPDATE, DELETE), now.cast(kind))
-                .when(action == INSERT, fresh)
-                .otherwise(old)
-            )
-        return F.when(action == INSERT, fresh).otherwise(old)
-
-    return joined.select(*[next_value(c).alias(c) for c in target.columns], action)
+    next_row = [
+        f"{_next_value(f.name, f.dataType.simpleString(), spec, run_ts)} AS {_quote(f.name)}"
+        for f in target.schema.fields
+    ]
+    return joined.selectExpr("*", f"{_action(spec)} AS {ACTION}").selectExpr(*next_row, ACTION)
 
 
 def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, run_ts: datetime) -> DataFrame:
@@ -233,21 +240,19 @@ def soft_delete_absent(
 ) -> DataFrame:
     """Mark live target rows whose key the source lacks; a repeated source key is harmless here.
 
-    The keys are reduced to distinct ones on the way into the join's own shuffle.
+    The source's keys are reduced to distinct ones before they are shuffled.
     """
-    seen = source_keys.select(*[F.col(k).alias(f"s_{k}") for k in keys]).distinct()
-    seen = seen.withColumn("s_here", F.lit(True))
-    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"s_{k}") for k in keys])
-    gone = F.col("s_here").isNull() & F.col(deleted_at).isNull()
-    now = at(run_ts)
+    seen = source_keys.selectExpr(*[f"{_quote(k)} AS {_quote('s_' + k)}" for k in keys]).distinct()
+    on = F.expr(" AND ".join(f"{_quote(k)} = {_quote('s_' + k)}" for k in keys))
+    gone = f"(s_here IS NULL AND {_quote(deleted_at)} IS NULL)"
     stamped = {
-        c: F.when(F.col("__gone"), now).otherwise(F.col(c)) for c in (deleted_at, updated_at)
+        c: f"CASE WHEN __gone THEN {_literal(run_ts)} ELSE {_quote(c)} END AS {_quote(c)}"
+        for c in (deleted_at, updated_at)
     }
     return (
-        target.join(seen, on, "left")
-        .withColumn("__gone", gone)
-        .withColumns(stamped)
-        .select(*target.columns)
+        target.join(seen.selectExpr("*", "TRUE AS s_here"), on, "left")
+        .selectExpr("*", f"{gone} AS __gone")
+        .selectExpr(*[stamped.get(c, _quote(c)) for c in target.columns])
     )
 
 

@@ -22,13 +22,15 @@ from tidemark.operators.packing import (
 from tidemark.sources.envelope import pack_records
 
 NO_LOG_ID = "X'00'"
+# Nulls kept, times to the second.
+JSON_OPTIONS = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
 
 
 def realization_projects(projects: DataFrame, key: str, customer_code: int = 3) -> DataFrame:
     """Keys of the donor projects that may appear in acts."""
     return projects.filter(
         (F.col("ProjectStatus") == "Realization")
-        & (F.coalesce(F.col("WIPFrameworkId"), F.lit("")) != "")
+        & F.col("WIPFrameworkId").isNotNull()
         & F.col("WIPActsProjectFilter")
         & (F.col("CustomerCode") == customer_code)
     ).select(key)
@@ -90,12 +92,6 @@ def export_rows(view: DataFrame, year: int, month: int) -> DataFrame:
     )
 
 
-def json_text(columns: Sequence[str | Column]) -> Column:
-    """A row as JSON: nulls kept, dates and times to the second."""
-    options = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
-    return F.to_json(F.struct(*columns), options)
-
-
 def dates_as_times(df: DataFrame) -> DataFrame:
     days = [f.name for f in df.schema.fields if isinstance(f.dataType, DateType)]
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in days}) if days else df
@@ -103,12 +99,11 @@ def dates_as_times(df: DataFrame) -> DataFrame:
 
 def export_documents(rows: DataFrame, group: Column, root: str = "WipActs", max_records: int = 10000) -> DataFrame:
     """Documents ``{"WipActs": [...]}`` of at most ``max_records`` rows of one group each."""
-    packed = pack_records(dates_as_times(rows), group, rows.columns, max_records)
+    packed = pack_records(dates_as_times(rows), group, rows.columns, max_records, JSON_OPTIONS)
     document = F.concat(F.lit(f'{{"{root}": '), F.col("json_text"), F.lit("}"))
     return packed.select(F.col("entity").alias("group"), document.alias("document"))
 
 
 def export_lines(rows: DataFrame, path: str) -> None:
     """The same rows as JSON lines, for receivers that take them one by one."""
-    options = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
-    dates_as_times(rows).write.mode("overwrite").options(**options).json(path)
+    dates_as_times(rows).write.mode("overwrite").options(**JSON_OPTIONS).json(path)

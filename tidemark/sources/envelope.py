@@ -27,16 +27,24 @@ class Field:
         return self.key or self.name
 
 
-def pack_records(df: DataFrame, entity: Column, columns: Sequence[str], max_records: int = 1000) -> DataFrame:
+KEEP_NULLS = {"ignoreNullFields": "false"}
+
+
+def pack_records(
+    df: DataFrame,
+    entity: Column,
+    columns: Sequence[str],
+    max_records: int = 1000,
+    json_options: dict[str, str] = KEEP_NULLS,
+) -> DataFrame:
     """Put records into envelopes of at most ``max_records`` each.
 
     Map-side only: every task packs its own rows batch by batch, so an entity that holds most
     of the data is spread over as many envelopes as it needs and never gathered in one place.
     """
-    options = {"ignoreNullFields": "false"}
     records = df.select(
         entity.cast("string").alias("entity"),
-        F.to_json(F.struct(*columns), options).alias("json_text"),
+        F.to_json(F.struct(*columns), json_options).alias("json_text"),
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,19 +91,17 @@ def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENVELOPE).parquet(path)
 
 
-def records(envelopes: DataFrame, entity: str, fields: Sequence[Field]) -> DataFrame:
-    """The typed records of one entity.
+def records(envelopes: DataFrame, entity: str | None, fields: Sequence[Field]) -> DataFrame:
+    """The typed records of one entity; with None, of all entities and with ``entity`` in front.
 
     Values are first read as text and then cast, so that a value of the wrong type fails the
     load instead of turning into NULL.  A missing key is NULL, or an error if it is strict.
     """
     schema = "array<struct<" + ",".join(f"`{f.json_key}`: string" for f in fields) + ">>"
-    exploded = (
-        envelopes.filter(F.col("entity") == entity)
-        .select(F.explode(F.from_json("json_text", schema)).alias("r"))
-        .select("r.*")
-    )
-    return exploded.select(*[_typed(f) for f in fields])
+    wanted = envelopes if entity is None else envelopes.filter(F.col("entity") == entity)
+    kept = ["entity"] if entity is None else []
+    exploded = wanted.select(*kept, F.explode(F.from_json("json_text", schema)).alias("r"))
+    return exploded.select(*kept, "r.*").select(*kept, *[_typed(f) for f in fields])
 
 
 def _typed(field: Field) -> Column:
