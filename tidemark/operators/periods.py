@@ -19,7 +19,7 @@ def month_spine(period: DataFrame, start: str = "date_from", end: str = "date_to
     """Every month touched by the period, as first and last day."""
     step = F.expr("interval 1 month")
     months = F.sequence(first_of_month(F.col(start)), first_of_month(F.col(end)), step)
-    return period.select(F.explode(months).cast("date").alias("date_from")).select(
+    return period.select(F.explode(months).alias("date_from")).select(
         "date_from", last_of_month(F.col("date_from")).alias("date_to")
     )
 
