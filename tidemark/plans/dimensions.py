@@ -51,7 +51,8 @@ def unit_dimension(
     """Units with their tribe, cluster and chapter.
 
     The deleted rows of a lookup are filtered before the join, so a unit that points at one
-    keeps its row and gets no name.
+    keeps its row and gets no name.  Lookups of lookups are joined first, so the units are
+    shuffled once.
     """
     live = F.col("IS_DELETED") == 0
     tribe = tribes.filter(live).select(
@@ -63,13 +64,12 @@ def unit_dimension(
     chapter = chapters.filter(live).select(
         "ChapterCode", F.col("ChapterCode").alias("known_chapter"), F.col("Name").alias("chapter_name")
     )
-    joined = (
-        units.join(structure.select("UnitId", "TribeCode", "ChapterCode"), "UnitId", "left")
-        .join(tribe, "TribeCode", "left")
-        .join(cluster, "cluster_id", "left")
+    placed = (
+        structure.select("UnitId", "TribeCode", "ChapterCode")
+        .join(tribe.join(cluster, "cluster_id", "left"), "TribeCode", "left")
         .join(chapter, "ChapterCode", "left")
     )
-    return joined.select(
+    return units.join(placed, "UnitId", "left").select(
         F.col("UnitId").alias("id"),
         F.col("Title").alias("title"),
         F.col("Description").alias("description"),
@@ -93,6 +93,9 @@ def valid_at(now: datetime, hired: Column, fired: Column) -> Column:
 def person_snapshot(tables: dict[str, DataFrame], now: datetime) -> DataFrame:
     """Every person's assignments valid at ``now``, with position and organisation.
 
+    Lookups of lookups (organisation of the employee, cluster, tribe, role and legal entity of
+    the position) are joined first, so the assignments pass one join for each of them.
+
     ``tables``: employee_codes (EmployeeCode), assignment_mapping (PersonCode, AssignmentId,
     EmployeeId, Login, FIO, HireDate, FireDate), person_mapping (PersonCode,
     SourceSystemPersonId), persons (PersonId), assignments (AssignmentId, HireDate, StaffUnitId),
@@ -103,22 +106,34 @@ def person_snapshot(tables: dict[str, DataFrame], now: datetime) -> DataFrame:
     """
     t = tables
     mapping = t["assignment_mapping"].filter(valid_at(now, F.col("HireDate"), F.col("FireDate")))
-    inner = (
-        mapping.select("PersonCode", "AssignmentId", "EmployeeId", "Login", "FIO")
-        .join(t["employee_codes"].select(F.col("EmployeeCode").alias("PersonCode")), "PersonCode")
-        .join(t["person_mapping"].select("PersonCode", F.col("SourceSystemPersonId").alias("PersonId")), "PersonCode")
+    people = (
+        t["person_mapping"]
+        .select("PersonCode", F.col("SourceSystemPersonId").alias("PersonId"))
         .join(t["persons"].select("PersonId"), "PersonId")
-        .join(t["assignments"].select("AssignmentId", "StaffUnitId", "HireDate"), "AssignmentId")
-        .join(t["employees"].select("EmployeeId", "OrganizationId"), "EmployeeId")
+    )
+    employers = (
+        t["employees"]
+        .select("EmployeeId", "OrganizationId")
         .join(t["organizations"].select("OrganizationId", "UnitTitle"), "OrganizationId")
-        .withColumn("StaffUnitKey", F.col("StaffUnitId").cast("string"))
+        .select("EmployeeId", "UnitTitle")
     )
-    joined = (
-        inner.join(t["staff_units"].withColumnRenamed("SourceSystemStaffUnitId", "StaffUnitKey"), "StaffUnitKey", "left")
+    positions = (
+        t["staff_units"]
+        .withColumnRenamed("SourceSystemStaffUnitId", "StaffUnitKey")
         .join(t["clusters"].select("ClusterCode", F.col("Name").alias("cluster")), "ClusterCode", "left")
         .join(t["tribes"].select("TribeCode", F.col("Name").alias("tribe")), "TribeCode", "left")
         .join(t["roles"].select(F.col("Code").alias("RoleId"), F.col("Name").alias("role")), "RoleId", "left")
         .join(t["legal_entities"].select("LegalEntityCode", "LegalEntityName"), "LegalEntityCode", "left")
+        .select("StaffUnitKey", "PositionName", "BusinessUnitCode", "cluster", "tribe", "role", "LegalEntityName")
+    )
+    joined = (
+        mapping.select("PersonCode", "AssignmentId", "EmployeeId", "Login", "FIO")
+        .join(t["employee_codes"].select(F.col("EmployeeCode").alias("PersonCode")), "PersonCode")
+        .join(people, "PersonCode")
+        .join(employers, "EmployeeId")
+        .join(t["assignments"].select("AssignmentId", "StaffUnitId", "HireDate"), "AssignmentId")
+        .withColumn("StaffUnitKey", F.col("StaffUnitId").cast("string"))
+        .join(positions, "StaffUnitKey", "left")
     )
     return joined.select(
         F.col("PersonId").alias("hrgate_person_id"),

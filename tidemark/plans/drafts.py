@@ -49,15 +49,17 @@ def act_rows(
     """Measures by attributes, for the period, the given projects, and those projects whose
     flag over the period is not 1 and whose amount is positive.
 
-    ``flag`` and ``amount`` are aggregates; the flag sees the period only, the amount all facts.
+    ``flag`` and ``amount`` are aggregates over all facts of a project; a flag of the period
+    carries the period in its own condition.  Only given projects are tested, so the tested ones
+    are the one key set the facts of the period have to meet.
     """
     chosen = keys_where(
-        facts,
+        restrict(facts, projects),
         project_key,
         {"flag": flag, "amount": amount},
         (F.coalesce(F.col("flag"), F.lit(0)) != 1) & (F.col("amount") > 0),
     )
-    return summarize(restrict(facts.filter(in_period), projects, chosen), attributes, measures)
+    return summarize(restrict(facts.filter(in_period), chosen), attributes, measures)
 
 
 def packed_drafts(

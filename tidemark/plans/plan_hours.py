@@ -14,62 +14,71 @@ from tidemark.operators.increments import advance_mark, read_mark, time_slice
 from tidemark.sources.tables import read_snapshot, write_slice, write_snapshot
 
 _CHANGE = ("Period", "Increment", "Date", "User", "Comment")
+_PATH = ("ProjectCode", "LegalEntityId", "TribeId", "RoleId")
 
 
 def changes(tables: dict[str, DataFrame], low: datetime, high: datetime, source_system: str = "RMS") -> DataFrame:
     """Changes with low <= Date < high, on roles and on competences.
 
-    Both history branches need the same way from role to project.  They are put together first
-    and walk it once, so the joins and their shuffles are not doubled.
+    The way from a role to its project is joined up among the structure tables first.  Each
+    history then meets it in one join, so the changes, which are the bulk of the data, are
+    shuffled once for the whole chain instead of once per table.
     """
     t = tables
-    on_role = time_slice(t["HoursRoleHistories"], "Date", low, high).select(
-        "HoursRoleId",
-        F.lit(None).cast("int").alias("CompetenceId"),
-        F.lit("Direct on Role").alias("SubType"),
-        *_CHANGE,
+    role_path = _role_path(t)
+    competence_path = (
+        t["HoursCompetences"]
+        .select(F.col("Id").alias("HoursCompetenceId"), "HoursRoleId", F.col("CompetenceId").cast("int"))
+        .join(role_path, "HoursRoleId")
     )
-    competences = t["HoursCompetences"].select(
-        F.col("Id").alias("HoursCompetenceId"), "HoursRoleId", F.col("CompetenceId").cast("int")
+
+    def walked(history: str, path: DataFrame, key: str, subtype: str) -> DataFrame:
+        sliced = time_slice(t[history], "Date", low, high).filter(F.col("Increment") != 0)
+        return sliced.select(key, *_CHANGE).join(path, key).select(
+            *_PATH, "CompetenceId", F.lit(subtype).alias("SubType"), *_CHANGE
+        )
+
+    no_competence = role_path.withColumn("CompetenceId", F.lit(None).cast("int"))
+    both = walked("HoursRoleHistories", no_competence, "HoursRoleId", "Direct on Role").unionByName(
+        walked("HoursCompetenceHistories", competence_path, "HoursCompetenceId", "Direct on Competence")
     )
-    on_competence = (
-        time_slice(t["HoursCompetenceHistories"], "Date", low, high)
-        .join(competences, "HoursCompetenceId")
-        .select("HoursRoleId", "CompetenceId", F.lit("Direct on Competence").alias("SubType"), *_CHANGE)
+    employees = t["Employee"].select(F.col("Id").alias("User"), F.col("Id").alias("ChangedBy_EmployeeCode"))
+    return both.join(employees, "User", "left").select(
+        "ProjectCode",
+        "LegalEntityId",
+        "TribeId",
+        "RoleId",
+        or_default(F.col("CompetenceId"), -1).alias("CompetenceId"),
+        F.col("Period").cast("date").alias("Period"),
+        F.lit("Direct").alias("Type"),
+        "SubType",
+        F.col("Date").alias("ChangeDate"),
+        "ChangedBy_EmployeeCode",
+        "Comment",
+        "Increment",
+        F.lit(source_system).alias("SourceSystem"),
     )
-    both = on_role.unionByName(on_competence).filter(F.col("Increment") != 0)
 
-    roles = t["HoursRoles"].select(F.col("Id").alias("HoursRoleId"), "HoursTribeId", "RoleId")
-    tribes = t["HoursTribes"].select(F.col("Id").alias("HoursTribeId"), "HoursLegalEntityId", "TribeId")
-    entities = t["HoursLegalEntities"].select(
-        F.col("Id").alias("HoursLegalEntityId"), "HoursProjectId", "LegalEntityId"
+
+def _role_path(t: dict[str, DataFrame]) -> DataFrame:
+    """Role id to role, tribe, legal entity and project code."""
+    projects = (
+        t["HoursProjects"]
+        .select(F.col("Id").alias("HoursProjectId"), "ProjectId")
+        .join(t["Projects"].select(F.col("Id").alias("ProjectId"), "ProjectCode"), "ProjectId")
     )
-    hour_projects = t["HoursProjects"].select(F.col("Id").alias("HoursProjectId"), "ProjectId")
-    projects = t["Projects"].select(F.col("Id").alias("ProjectId"), "ProjectCode")
-    employees = t["Employee"].select(F.col("Id").alias("User"), F.col("Id").alias("ChangedBy_EmployeeCode"))
-    return (
-        both.join(roles, "HoursRoleId")
-        .join(tribes, "HoursTribeId")
+    entities = (
+        t["HoursLegalEntities"]
+        .select(F.col("Id").alias("HoursLegalEntityId"), "HoursProjectId", "LegalEntityId")
+        .join(projects, "HoursProjectId")
+    )
+    tribes = (
+        t["HoursTribes"]
+        .select(F.col("Id").alias("HoursTribeId"), "HoursLegalEntityId", "TribeId")
         .join(entities, "HoursLegalEntityId")
-        .join(hour_projects, "HoursProjectId")
-        .join(projects, "ProjectId")
-        .join(employees, "User", "left")
-        .select(
-            "ProjectCode",
-            "LegalEntityId",
-            "TribeId",
-            "RoleId",
-            or_default(F.col("CompetenceId"), -1).alias("CompetenceId"),
-            F.col("Period").cast("date").alias("Period"),
-            F.lit("Direct").alias("Type"),
-            "SubType",
-            F.col("Date").alias("ChangeDate"),
-            "ChangedBy_EmployeeCode",
-            "Comment",
-            "Increment",
-            F.lit(source_system).alias("SourceSystem"),
-        )
     )
+    roles = t["HoursRoles"].select(F.col("Id").alias("HoursRoleId"), "HoursTribeId", "RoleId")
+    return roles.join(tribes, "HoursTribeId").select("HoursRoleId", *_PATH)
 
 
 def load(
