@@ -43,12 +43,16 @@ def calendar_months(start: Column, end: Column) -> Column:
 
 
 def to_minute(moment: Column) -> Column:
-    return F.date_trunc("minute", moment).cast("timestamp_ntz")
+    """Seconds cut off.  Truncating by format would pass through the session time zone."""
+    seconds = F.extract(F.lit("SECOND"), moment)
+    zero = F.lit(0)
+    return (moment - F.make_dt_interval(zero, zero, zero, seconds)).cast("timestamp_ntz")
 
 
 def timestamp_text(moment: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss.SSS``."""
-    return F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSS")
+    """``yyyy-MM-dd HH:mm:ss.SSS``, further digits cut."""
+    text = moment.cast("string")
+    return F.concat(F.substring(text, 1, 19), F.lit("."), F.rpad(F.split_part(text, F.lit("."), F.lit(2)), 3, "0"))
 
 
 def parse_or_epoch(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import MergeSpec, filled, merge, raw
-from tidemark.sources.envelope import Field, records
+from tidemark.sources.envelope import Field, raw_schema, records
 from tidemark.sources.extracts import read_pages
 
 TRANSFERS, ADDED_FACTS = "ts_fact_transfers", "ts_added_facts"
@@ -74,16 +74,12 @@ def normalize(df: DataFrame) -> DataFrame:
 
 def read_transfers(spark: SparkSession, path: str) -> DataFrame:
     """Landed responses ``{"factTransfers": [...]}`` as raw records for the envelope."""
-    return read_pages(spark, path, "factTransfers", _text_fields(TRANSFER_FIELDS))
+    return read_pages(spark, path, "factTransfers", raw_schema(TRANSFER_FIELDS))
 
 
 def read_added_facts(spark: SparkSession, path: str) -> DataFrame:
     """Landed responses ``{"addedFacts": [...]}`` as raw records for the envelope."""
-    return read_pages(spark, path, "addedFacts", _text_fields(ADDED_FACT_FIELDS))
-
-
-def _text_fields(fields: tuple[Field, ...]) -> str:
-    return ", ".join(f"`{f.json_key}`: string" for f in fields)
+    return read_pages(spark, path, "addedFacts", raw_schema(ADDED_FACT_FIELDS))
 
 
 def merge_transfers(target: DataFrame, envelopes: DataFrame, run_ts: datetime) -> DataFrame:

@@ -92,11 +92,12 @@ def load(
 ) -> None:
     """One run: slice since the mark, store it, then move the mark.
 
-    A run that fails after storing repeats the same slice folder, so nothing is doubled.
+    A run that failed after storing is repeated from the same mark and replaces its slice, so
+    nothing is doubled.
     """
     high = run_ts.replace(second=0, microsecond=0)
     marks = read_snapshot(spark, marks_root)
     low = read_mark(marks, table, full_load)
     stamped = changes(tables, low, high).withColumn("LoadDateTime", at(run_ts))
-    write_slice(stamped.select(*PLAN_HOURS_COLUMNS), history_root, low, high, full_load)
+    write_slice(stamped.select(*PLAN_HOURS_COLUMNS), history_root, low, full_load)
     write_snapshot(advance_mark(marks, table, high), marks_root)

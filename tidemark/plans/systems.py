@@ -46,7 +46,9 @@ CONSUMPTION_PATHS = {
     "status": "status",
     "comment": "comment",
 }
-CONSUMPTION_RESPONSE = ", ".join(f"{p} string" for p in CONSUMPTION_PATHS.values())
+CONSUMPTION_RESPONSE = ", ".join(
+    f"{p} {'decimal(19,4)' if p == 'linkWeight' else 'string'}" for p in CONSUMPTION_PATHS.values()
+)
 
 SYSTEM_FIELDS = (
     Field("ObjectId", "int", "object_id", strict=True),

@@ -91,16 +91,26 @@ def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENVELOPE).parquet(path)
 
 
+def raw_schema(fields: Sequence[Field]) -> str:
+    """How the fields are read before they are cast."""
+    return ", ".join(
+        f"`{f.json_key}`: {f.type if f.type.startswith('decimal') else 'string'}" for f in fields
+    )
+
+
 def records(envelopes: DataFrame, entity: str | None, fields: Sequence[Field]) -> DataFrame:
     """The typed records of one entity; with None, of all entities and with ``entity`` in front.
 
-    Values are first read as text and then cast, so that a value of the wrong type fails the
-    load instead of turning into NULL.  A missing key is NULL, or an error if it is strict.
+    Text that is no JSON and values of the wrong type fail the load instead of turning into
+    NULL.  A missing key is NULL, or an error if it is strict.  Most values are read as text and
+    then cast; decimals are read as such, since as text they would pass through binary floating
+    point.
     """
-    schema = "array<struct<" + ",".join(f"`{f.json_key}`: string" for f in fields) + ">>"
+    schema = f"array<struct<{raw_schema(fields)}>>"
     wanted = envelopes if entity is None else envelopes.filter(F.col("entity") == entity)
     kept = ["entity"] if entity is None else []
-    exploded = wanted.select(*kept, F.explode(F.from_json("json_text", schema)).alias("r"))
+    parsed = F.from_json("json_text", schema, {"mode": "FAILFAST"})
+    exploded = wanted.select(*kept, F.explode(parsed).alias("r"))
     return exploded.select(*kept, "r.*").select(*kept, *[_typed(f) for f in fields])
 
 

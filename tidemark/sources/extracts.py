@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+STRICT = {"mode": "FAILFAST"}
+
 
 def read_records(
     spark: SparkSession, path: str, schema: StructType | str, columns: Mapping[str, Column | str]
@@ -15,9 +17,10 @@ def read_records(
     """Records of landed JSON responses, flattened by path.
 
     A response that is an array yields one row per element.  ``columns`` maps each output name
-    to a path such as ``owner.login``; a path through a missing or null object is NULL.
+    to a path such as ``owner.login``; a path through a missing or null object is NULL.  Text
+    that does not parse fails the read, here and below.
     """
-    raw = spark.read.schema(schema).json(path)
+    raw = spark.read.schema(schema).options(**STRICT).json(path)
     return flatten(raw, columns)
 
 
@@ -28,7 +31,7 @@ def flatten(raw: DataFrame, columns: Mapping[str, Column | str]) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str, array: str, record_schema: str) -> DataFrame:
     """Records out of the named array of every landed page; empty pages add nothing."""
-    pages = spark.read.schema(f"`{array}` array<struct<{record_schema}>>").json(path)
+    pages = spark.read.schema(f"`{array}` array<struct<{record_schema}>>").options(**STRICT).json(path)
     return pages.select(F.explode(F.col(array)).alias("r")).select("r.*")
 
 
@@ -36,7 +39,8 @@ def read_xml(
     spark: SparkSession, path: str, row_tag: str, schema: StructType | str, drop: Sequence[str] = ()
 ) -> DataFrame:
     """One row per ``row_tag`` element, typed by the schema given."""
-    return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path).drop(*drop)
+    reader = spark.read.format("xml").option("rowTag", row_tag).options(**STRICT)
+    return reader.schema(schema).load(path).drop(*drop)
 
 
 def escaped_xml(
@@ -54,7 +58,7 @@ def escaped_xml(
     size = F.locate(closing, text) + F.lit(len(closing)) - start
     body = F.when(start > 0, text.substr(start, size))
     schema = f"struct<`{row_tag}`: array<struct<{record_schema}>>>"
-    parsed = F.from_xml(body, schema)
+    parsed = F.from_xml(body, schema, STRICT)
     return (
         responses.select(F.explode(parsed.getField(row_tag)).alias("r")).select("r.*").drop(*drop)
     )

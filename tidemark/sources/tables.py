@@ -87,9 +87,9 @@ def write_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -
 def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
     """A snapshot laid out by merge key: the next merge need not shuffle it.
 
-    Read it back by table name; a merge on ``keys`` then shuffles its source only, into
-    ``buckets`` partitions.  Rows are brought together by key before writing, so the number of
-    files is the number of buckets.
+    Read it back by table name; with ``spark.sql.shuffle.partitions`` equal to ``buckets``, a
+    merge on ``keys`` then shuffles its source only.  Rows are brought together by key before
+    writing, so the number of files is the number of buckets.
     """
     (
         df.repartition(buckets, *keys)
@@ -110,15 +110,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 # --- increments --------------------------------------------------------------------------
 
 
-def write_slice(df: DataFrame, root: str, low: datetime, high: datetime, full_load: bool = False) -> None:
-    """Add the slice [low, high) to a history, or replace the whole history by it.
+def write_slice(df: DataFrame, root: str, low: datetime, full_load: bool = False) -> None:
+    """Add the slice that starts at ``low`` to a history, or replace the whole history by it.
 
-    The slice has a folder named by its bounds, so running it again replaces it.
+    The slice has a folder named by its start.  A run that stored its slice and then failed to
+    move the mark starts at the same point next time, with a later end perhaps, and so replaces
+    what it stored.
     """
-    marked = df.withColumn("slice", F.lit(f"{low:%Y%m%dT%H%M%S}-{high:%Y%m%dT%H%M%S}"))
-    writer = marked.write.partitionBy("slice").mode("overwrite")
-    writer.option("partitionOverwriteMode", "static" if full_load else "dynamic").parquet(root)
+    writer = df.withColumn("slice", F.lit(f"{low:%Y%m%dT%H%M%S}")).write.partitionBy("slice")
+    mode = "static" if full_load else "dynamic"
+    writer.mode("overwrite").option("partitionOverwriteMode", mode).parquet(root)
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(root).drop("slice")
+    return spark.read.option("basePath", root).parquet(root).drop("slice")

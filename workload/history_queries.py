@@ -134,10 +134,10 @@ def append_history(spark: SparkSession, sf: str) -> DataFrame:
     bounds = [datetime(1990, 1, 1), datetime(1997, 1, 1), datetime(1999, 1, 1), datetime(2010, 1, 1)]
     slices = list(zip(bounds, bounds[1:]))
     whole = project(orders, {"log_id": "X'00'", **{c: c for c in orders.columns}})
-    write_slice(whole, root, bounds[0], bounds[-1])
+    write_slice(whole, root, bounds[0])
     for number, (low, high) in enumerate([*slices, slices[1]]):
         part = whole.filter((F.col("o_orderdate") >= dates.at(low)) & (F.col("o_orderdate") < dates.at(high)))
-        write_slice(part, root, low, high, full_load=number == 0)
+        write_slice(part, root, low, full_load=number == 0)
     return read_history(spark, root).withColumn("log_id", F.hex("log_id"))
 
 
