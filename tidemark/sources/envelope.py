@@ -111,12 +111,11 @@ def records(envelopes: DataFrame, entity: str | None, fields: Sequence[Field]) -
     kept = ["entity"] if entity is None else []
     parsed = F.from_json("json_text", schema, {"mode": "FAILFAST"})
     exploded = wanted.select(*kept, F.explode(parsed).alias("r"))
-    return exploded.select(*kept, "r.*").select(*kept, *[_typed(f) for f in fields])
+    return exploded.select(*kept, "r.*").selectExpr(*kept, *[_typed(f) for f in fields])
 
 
-def _typed(field: Field) -> Column:
-    value = F.col(f"`{field.json_key}`").cast(field.type)
+def _typed(field: Field) -> str:
+    value = f"CAST(`{field.json_key}` AS {field.type})"
     if field.strict:
-        missing = F.raise_error(F.lit(f"strict key missing: {field.json_key}")).cast(field.type)
-        value = F.coalesce(value, missing)
-    return value.alias(field.name)
+        value = f"coalesce({value}, CAST(raise_error('strict key missing: {field.json_key}') AS {field.type}))"
+    return f"{value} AS `{field.name}`"

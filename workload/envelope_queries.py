@@ -230,7 +230,6 @@ def flat_refresh(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_folder(spark, "flat")
     lineitem = table(spark, sf, "lineitem")
     refresh(lineitem.withColumn("loaded_at", F.lit(RUN_TS)), root)
-    refresh(lineitem.withColumn("loaded_at", F.lit(RUN_TS)), root)
     return read_snapshot(spark, root)
 
 
