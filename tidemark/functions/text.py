@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 # Whitespace as the source jobs see it: every Unicode space, the ASCII separators,
 # and a backslash-n written out as two characters.
-SPACE_RUN = r"(?U)[\s\x1c-\x1f]+|\\n"
+SPACE_RUN = (
+    r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+|\\n"
+)
 
 
 def prefix_or_fallback(code: Column, fallback: str) -> Column:

@@ -94,7 +94,8 @@ def person_snapshot(tables: dict[str, DataFrame], now: datetime) -> DataFrame:
     """Every person's assignments valid at ``now``, with position and organisation.
 
     Lookups of lookups (organisation of the employee, cluster, tribe, role and legal entity of
-    the position) are joined first, so the assignments pass one join for each of them.
+    the position) are joined first, so the assignments pass one join for each key.  With one join
+    per shuffle, adaptive execution can split a person or unit that holds much of the data.
 
     ``tables``: employee_codes (EmployeeCode), assignment_mapping (PersonCode, AssignmentId,
     EmployeeId, Login, FIO, HireDate, FireDate), person_mapping (PersonCode,
@@ -110,6 +111,7 @@ def person_snapshot(tables: dict[str, DataFrame], now: datetime) -> DataFrame:
         t["person_mapping"]
         .select("PersonCode", F.col("SourceSystemPersonId").alias("PersonId"))
         .join(t["persons"].select("PersonId"), "PersonId")
+        .join(t["employee_codes"].select(F.col("EmployeeCode").alias("PersonCode")), "PersonCode")
     )
     employers = (
         t["employees"]
@@ -128,7 +130,6 @@ def person_snapshot(tables: dict[str, DataFrame], now: datetime) -> DataFrame:
     )
     joined = (
         mapping.select("PersonCode", "AssignmentId", "EmployeeId", "Login", "FIO")
-        .join(t["employee_codes"].select(F.col("EmployeeCode").alias("PersonCode")), "PersonCode")
         .join(people, "PersonCode")
         .join(employers, "EmployeeId")
         .join(t["assignments"].select("AssignmentId", "StaffUnitId", "HireDate"), "AssignmentId")

@@ -50,16 +50,24 @@ def act_rows(
     flag over the period is not 1 and whose amount is positive.
 
     ``flag`` and ``amount`` are aggregates over all facts of a project; a flag of the period
-    carries the period in its own condition.  Only given projects are tested, so the tested ones
-    are the one key set the facts of the period have to meet.
+    carries the period in its own condition.  Facts are always aggregated on the map side before
+    they meet a key set by shuffle, so a project that holds much of the data does no harm.  Only
+    where the project is no attribute must the facts be restricted first; there the aggregate has
+    a shuffle of its own, and the join before it can be split.
     """
-    chosen = keys_where(
-        restrict(facts, projects),
-        project_key,
-        {"flag": flag, "amount": amount},
-        (F.coalesce(F.col("flag"), F.lit(0)) != 1) & (F.col("amount") > 0),
+    chosen = restrict(
+        keys_where(
+            facts,
+            project_key,
+            {"flag": flag, "amount": amount},
+            (F.coalesce(F.col("flag"), F.lit(0)) != 1) & (F.col("amount") > 0),
+        ),
+        projects,
     )
-    return summarize(restrict(facts.filter(in_period), chosen), attributes, measures)
+    in_period_facts = facts.filter(in_period)
+    if project_key in attributes:
+        return restrict(summarize(in_period_facts, attributes, measures), chosen)
+    return summarize(restrict(in_period_facts, chosen), attributes, measures)
 
 
 def packed_drafts(

@@ -23,30 +23,32 @@ _PROJECTS = {
 }
 
 
-@query(
-    """
+_IN_PERIOD = "l_shipdate >= TIMESTAMP '1997-03-01' AND l_shipdate < TIMESTAMP '1999-04-01'"
+
+
+def _act_sql(attributes: str) -> str:
+    return f"""
     WITH facts AS (SELECT l_partkey, l_shipdate, l_returnflag, l_linestatus, p_brand,
                           CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, CAST(l_tax AS DECIMAL(18,2)) AS tax
                    FROM lineitem JOIN part ON p_partkey = l_partkey),
          chosen AS (SELECT l_partkey FROM facts GROUP BY l_partkey
-                    HAVING COALESCE(MAX(CASE WHEN l_shipdate >= TIMESTAMP '1997-03-01'
-                                              AND l_shipdate < TIMESTAMP '1999-04-01' AND tax > 0.07
-                                             THEN 1 END), 0) <> 1
+                    HAVING COALESCE(MAX(CASE WHEN {_IN_PERIOD} AND tax > 0.07 THEN 1 END), 0) <> 1
                        AND SUM(amount) > 0),
          projects AS (SELECT p_partkey FROM part WHERE p_type <> 'PROMO' AND p_brand <> 'Brand#3'
                       AND p_size <> 9 AND p_size <> 11)
-    SELECT p_brand, l_returnflag, l_linestatus,
+    SELECT {attributes},
            CAST(SUM(CASE WHEN l_returnflag = 'A' THEN amount END) AS DECIMAL(18,2)) AS "[Amount]",
            CAST(SUM(CASE WHEN l_returnflag <> 'N' THEN tax END) AS DECIMAL(18,2)) AS "[Tax]"
     FROM facts
-    WHERE l_shipdate >= TIMESTAMP '1997-03-01' AND l_shipdate < TIMESTAMP '1999-04-01'
+    WHERE {_IN_PERIOD}
       AND l_partkey IN (SELECT p_partkey FROM projects) AND l_partkey IN (SELECT l_partkey FROM chosen)
-    GROUP BY p_brand, l_returnflag, l_linestatus
+    GROUP BY {attributes}
     HAVING SUM(CASE WHEN l_returnflag = 'A' THEN amount END) IS NOT NULL
         OR SUM(CASE WHEN l_returnflag <> 'N' THEN tax END) IS NOT NULL
     """
-)
-def act_aggregate(spark: SparkSession, sf: str) -> DataFrame:
+
+
+def _act_rows(spark: SparkSession, sf: str, attributes: list[str]) -> DataFrame:
     part, lineitem = table(spark, sf, "part"), table(spark, sf, "lineitem")
     facts = project(
         lineitem.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey"),
@@ -60,7 +62,7 @@ def act_aggregate(spark: SparkSession, sf: str) -> DataFrame:
             "tax": "CAST(l_tax AS DECIMAL(18,2))",
         },
     )
-    in_period = F.expr("l_shipdate >= TIMESTAMP_NTZ '1997-03-01' AND l_shipdate < TIMESTAMP_NTZ '1999-04-01'")
+    in_period = F.expr(_IN_PERIOD.replace("TIMESTAMP '", "TIMESTAMP_NTZ '"))
     projects = drafts.realization_projects(project(part, _PROJECTS), "p_partkey")
     return drafts.act_rows(
         facts,
@@ -69,7 +71,7 @@ def act_aggregate(spark: SparkSession, sf: str) -> DataFrame:
         "l_partkey",
         flag=F.max(F.when(in_period & (F.col("tax") > 0.07), 1)),
         amount=F.sum("amount"),
-        attributes=["p_brand", "l_returnflag", "l_linestatus"],
+        attributes=attributes,
         measures={
             "[Amount]": F.expr("CAST(SUM(CASE WHEN l_returnflag = 'A' THEN amount END) AS DECIMAL(18,2))"),
             "[Tax]": F.expr("CAST(SUM(CASE WHEN l_returnflag <> 'N' THEN tax END) AS DECIMAL(18,2))"),
@@ -77,6 +79,16 @@ def act_aggregate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(_act_sql("p_brand, l_returnflag, l_linestatus"))
+def act_aggregate(spark: SparkSession, sf: str) -> DataFrame:
+    return _act_rows(spark, sf, ["p_brand", "l_returnflag", "l_linestatus"])
+
+
+@query(_act_sql("l_partkey, p_brand, l_returnflag"))
+def act_aggregate_by_project(spark: SparkSession, sf: str) -> DataFrame:
+    return _act_rows(spark, sf, ["l_partkey", "p_brand", "l_returnflag"])
+
+
 # --- packing ---------------------------------------------------------------------------------------------
 
 _ACTS = {

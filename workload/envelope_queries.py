@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.merge import merge_with_actions
 from tidemark.plans import org_units
+from tidemark.plans.hours import load_pages
 from tidemark.plans.product_model import refresh
 from tidemark.plans.systems import SYSTEM_FIELDS, SYSTEM_MERGE, SYSTEM_PATHS, SYSTEM_RESPONSE, SYSTEMS
 from tidemark.sources.envelope import (
@@ -17,8 +18,8 @@ from tidemark.sources.envelope import (
     records,
     replace_entities,
 )
-from tidemark.sources.extracts import flatten, read_pages, read_records
-from tidemark.sources.tables import read_snapshot, shared_folder
+from tidemark.sources.extracts import flatten, read_records
+from tidemark.sources.tables import read_relation, read_snapshot, shared_folder
 from workload.merge_queries import both
 from workload.merge_sql import any_differs, merge_sql
 from workload.registry import RUN_TS, project, query, select_sql, table
@@ -95,7 +96,8 @@ def json_path_extract(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def json_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers landed as pages with one array each, and one page with an empty array."""
+    """Customers landed as pages with one array each, and one page with an empty array; staging is
+    emptied and loaded from them."""
     rows = project(
         table(spark, sf, "customer"),
         {
@@ -107,9 +109,10 @@ def json_pages(spark: SparkSession, sf: str) -> DataFrame:
     packed = pack_records(rows, F.lit("hours"), rows.columns, max_records=700)
     page = F.concat(F.lit('{"timeAllocations": '), F.col("json_text"), F.lit("}"))
     empty = spark.range(1).select(F.lit('{"timeAllocations": []}').alias("value"))
-    landed = shared_folder(spark, "pages")
+    landed, staging = shared_folder(spark, "pages"), shared_folder(spark, "hours")
     packed.select(page.alias("value")).unionByName(empty).write.text(landed)
-    return read_pages(spark, landed, "timeAllocations", "id bigint, kind string, hours decimal(18,2)")
+    load_pages(spark, landed, "id bigint, kind string, hours decimal(18,2)", staging)
+    return read_relation(spark, staging)
 
 
 @query(

@@ -13,6 +13,7 @@ from tidemark.operators.increments import advance_mark, slice_start
 from tidemark.operators.periods import month_slices, month_spine, widen_period
 from tidemark.plans import journal, plan_hours
 from tidemark.plans.hours import period_to_load
+from tidemark.sources.extracts import escaped_xml
 from tidemark.sources.tables import append, read_history, read_relation, shared_folder, write_slice
 from workload.registry import RUN_TS, RUN_TS_SQL, project, query, table
 
@@ -300,3 +301,22 @@ def xml_entries(spark: SparkSession, sf: str) -> DataFrame:
     writer.option("rootTag", "JournalEntries").option("rowTag", "JournalEntry").save(xml)
     journal.stage(journal.read_entries(spark, xml, "JournalEntry"), staged)
     return read_relation(spark, staged).withColumn("ETL_LOG_ID", F.hex("ETL_LOG_ID"))
+
+
+@query(
+    """
+    SELECT c_name AS "A", CAST(c_custkey AS VARCHAR) AS "B" FROM customer
+    UNION ALL SELECT c_mktsegment, NULL FROM customer
+    """
+)
+def xml_escaped_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Responses that carry an escaped list of two entries each, one column dropped."""
+    entries = (
+        "concat('<soap>&lt;JournalEntries&gt;&lt;Entry&gt;&lt;A&gt;', c_name, '&lt;/A&gt;&lt;B&gt;', c_custkey, "
+        "'&lt;/B&gt;&lt;R&gt;r&lt;/R&gt;&lt;/Entry&gt;&lt;Entry&gt;&lt;A&gt;', c_mktsegment, "
+        "'&lt;/A&gt;&lt;/Entry&gt;&lt;/JournalEntries&gt;</soap>')"
+    )
+    responses = project(table(spark, sf, "customer"), {"response": entries})
+    return escaped_xml(
+        responses, "response", "JournalEntries", "Entry", "A string, B string, R string", drop=["R"]
+    )
