@@ -25,6 +25,7 @@ from tidemark.sources.tables import (
     read_snapshot,
     shared_folder,
     truncate_load,
+    write_relation,
     write_slice,
     write_snapshot,
 )
@@ -164,6 +165,11 @@ def test_staging_load_and_append(spark, tmp_path):
     truncate_load(spark.range(5).toDF("id"), path)
     truncate_load(spark.range(2).toDF("id"), path)
     assert read_relation(spark, path).count() == 2
+    truncate_load(spark.range(3).toDF("id"), path, keys=["id"])
+    with pytest.raises(Exception, match="duplicate merge key: 1"):
+        truncate_load(spark.sql("SELECT 1 AS id UNION ALL SELECT 1"), str(tmp_path / "dup"), keys=["id"])
+    write_relation(read_relation(spark, path), str(tmp_path / "out"), fmt="orc")
+    assert read_relation(spark, str(tmp_path / "out"), fmt="orc").count() == 3
     other = str(tmp_path / "app")
     for _ in range(2):
         append(spark.range(2).toDF("id"), other, {"ETL_LOG_ID": F.expr("X'00'")})

@@ -66,7 +66,10 @@ _PADDED = ("PersonId", "ProjectFrom", "ProjectTo")
 
 
 def normalize(df: DataFrame) -> DataFrame:
-    """GUIDs compare without case and padded codes without trailing blanks: store them so."""
+    """GUIDs compare without case and padded codes without trailing blanks: store them so.
+
+    A target taken over from elsewhere goes through this once as well.
+    """
     changes = {c: F.lower(F.col(c)) for c in _GUIDS if c in df.columns}
     changes |= {c: F.rtrim(F.col(c)) for c in _PADDED if c in df.columns}
     return df.withColumns(changes)

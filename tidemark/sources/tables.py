@@ -10,6 +10,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.merge import require_unique
+
 VERSIONS = "_versions"
 
 
@@ -23,6 +25,13 @@ def read_relation(spark: SparkSession, path: str | None = None, fmt: str = "parq
     return reader.load(path) if path else reader.load()
 
 
+def write_relation(df: DataFrame, path: str | None = None, fmt: str = "parquet", mode: str = "overwrite", **options: str) -> None:
+    """A relation out.  For a database: ``fmt="jdbc"`` with url, dbtable, truncate="true" to keep
+    the table's definition, and batchsize for the rows per insert."""
+    writer = df.write.format(fmt).mode(mode).options(**options)
+    writer.save(path) if path else writer.save()
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 
@@ -36,9 +45,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def truncate_load(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Empty the staging table and load it.  The frame must not read from ``path``."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+def truncate_load(
+    df: DataFrame, path: str, keys: Sequence[str] = (), partition_by: Sequence[str] = ()
+) -> None:
+    """Empty the staging table and load it; with ``keys``, a repeated key fails the load.
+
+    The frame must not read from ``path``.
+    """
+    checked = require_unique(df, keys) if keys else df
+    checked.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def append(df: DataFrame, path: str, constants: Mapping[str, Column] | None = None, partition_by: Sequence[str] = ()) -> None:
