@@ -53,9 +53,18 @@ def test_none_text(spark):
 
 
 def test_text_for_packing(spark):
-    assert values(spark, lambda c: text.collapse_space(c), ["a \t\n b", "a\\nb", "a  b", " a "]) == [
-        "a b", "a b", "a b", " a ",
-    ]
+    spaces = {
+        "a \t\n b": "a b",
+        "a\\nb": "a b",
+        "a \\n b": "a   b",
+        "a\u00a0 \u2003b": "a b",
+        "a\u2003b": "a b",
+        "a\tb": "a b",
+        "a\x1cb": "a b",
+        " a ": " a ",
+        "a b": "a b",
+    }
+    assert values(spark, lambda c: text.collapse_space(c), list(spaces)) == list(spaces.values())
     assert values(spark, lambda c: text.escape_quotes(c), ['say "x"', "plain"]) == ['say \\"x\\"', "plain"]
     assert values(spark, lambda c: text.number_text(c), ["1,5", None, "2"]) == ["1.5", "null", "2"]
     assert len(values(spark, lambda c: text.cut(c, 4000), ["x" * 5000])[0]) == 4000
