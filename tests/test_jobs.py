@@ -360,3 +360,80 @@ def test_product_model_refresh(spark, tmp_path):
     product_model.refresh(wide, root)
     product_model.refresh(wide.withColumn("v", F.lit("b")), root)
     assert [tuple(r) for r in read_snapshot(spark, root).collect()] == [(1, "b")]
+
+
+# --- whole loads, from landed responses to the next snapshots ------------------------------------------------
+
+
+def empty(spark, schema, root):
+    write_snapshot(spark.createDataFrame([], schema), root)
+
+
+def land(folder, content):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "1.json").write_text(json.dumps(content))
+    return str(folder)
+
+
+def test_load_systems_then_an_empty_response(spark, tmp_path):
+    root, row_root, staging = (str(tmp_path / n) for n in ("a", "b", "stage"))
+    empty(spark, systems.SYSTEM_TABLE, root)
+    empty(spark, systems.SYSTEM_ROW_TABLE, row_root)
+    response = [{"objectId": 1, "systemId": 2, "owner": {"login": "x"}, "person": None, "isTest": True}]
+    systems.load_systems(spark, land(tmp_path / "one", response), staging, root, row_root, NOW)
+    (a,), (b,) = read_snapshot(spark, root).collect(), read_snapshot(spark, row_root).collect()
+    assert (a.OwnerLogin, a.Person, a.IsTest, a.IS_DELETED) == ("x", "", True, 0)
+    assert (b.owner_login, b.person, b.istest, b.deleted_at) == ("x", None, True, None)
+    later = datetime(2024, 2, 1)
+    systems.load_systems(spark, land(tmp_path / "two", []), staging, root, row_root, later)
+    (a,), (b,) = read_snapshot(spark, root).collect(), read_snapshot(spark, row_root).collect()
+    assert (a.IS_DELETED, a.DELETED_AT) == (1, later)
+    assert (b.deleted_at, b.updated_at) == (later, later)
+
+
+def test_load_corrections_and_consumptions_share_staging(spark, tmp_path):
+    staging = str(tmp_path / "stage")
+    roots = {n: str(tmp_path / n) for n in ("transfers", "facts", "consumptions")}
+    empty(spark, corrections.TRANSFER_TABLE, roots["transfers"])
+    empty(spark, corrections.ADDED_FACT_TABLE, roots["facts"])
+    empty(spark, systems.CONSUMPTION_TABLE, roots["consumptions"])
+    corrections.load_transfers(
+        spark, land(tmp_path / "t", {"factTransfers": [{"factTransferId": "T"}]}), staging, roots["transfers"], NOW
+    )
+    corrections.load_added_facts(
+        spark, land(tmp_path / "f", {"addedFacts": [{"addedFactId": "F"}]}), staging, roots["facts"], NOW
+    )
+    systems.load_consumptions(spark, land(tmp_path / "c", [{"id": 3}]), staging, roots["consumptions"], NOW)
+    assert read_snapshot(spark, roots["transfers"]).first().FactTransferId == "t"
+    assert read_snapshot(spark, roots["facts"]).first().AddedFactId == "f"
+    assert read_snapshot(spark, roots["consumptions"]).first().SOURCE_SYSTEM_ID == 3
+    assert {r.entity for r in read_envelopes(spark, staging).collect()} == {
+        corrections.TRANSFERS, corrections.ADDED_FACTS, systems.CONSUMPTIONS,
+    }
+
+
+def test_load_products_of_several_types(spark, tmp_path):
+    root, row_root, staging = (str(tmp_path / n) for n in ("a", "b", "stage"))
+    empty(spark, catalogue.PRODUCT_TABLE, root)
+    empty(spark, catalogue.PRODUCT_ROW_TABLE, row_root)
+    products = {
+        "Module": land(tmp_path / "m", [{"id": 1, "objectId": 11, "code": "TEC.1"}]),
+        "Service": land(tmp_path / "s", [{"id": 2, "objectId": 12, "parentId": 1}]),
+    }
+    classifiers = land(
+        tmp_path / "c", [{"entityId": 1, "classifier": {"id": 27}, "classifierValue": {"name": "g"}}]
+    )
+    catalogue.stage_extracts(spark, products, classifiers, "u", staging)
+    lookups = {
+        "units": spark.createDataFrame([], "UnitId string, TribeCode int"),
+        "employees": spark.createDataFrame(
+            [], "Login string, PersonId int, DeletedAtSource timestamp_ntz, IS_DELETED int"
+        ),
+        "persons": spark.createDataFrame([], "PersonId int, PersonCode string"),
+        "tribe_units": spark.createDataFrame([], "id string, tribe_id string"),
+    }
+    catalogue.load_products(spark, staging, lookups, root, row_root, NOW)
+    got = {r.ObjectId: r for r in read_snapshot(spark, root).collect()}
+    assert (got[11].Type, got[11].FINGroup, got[12].Type, got[12].ParentObjectId) == ("Module", "g", "Service", 11)
+    rows = {r.object_id: r for r in read_snapshot(spark, row_root).collect()}
+    assert (rows[11].id, rows[11].product_type_sol, rows[12].type, rows[12].sol_url) == (1, "TEC", "Service", "u/modules/2")

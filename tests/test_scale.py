@@ -36,7 +36,7 @@ def no_broadcast(spark):
 def test_no_query_needs_a_broadcast_or_a_cross_join(spark, sf_dir, name, no_broadcast):
     plan = plan_of(QUERIES[name](spark, sf_dir))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange", "SinglePartition"):
-        if operator == "SinglePartition" and name in ("month_spine_of_orders", "open_period"):
+        if operator == "SinglePartition" and name in ("month_spine", "open_period"):
             continue  # a global aggregate: one row per task meets in one task
         assert operator not in plan, operator
     python = re.findall(r"MapInArrow|ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroups", plan)

@@ -96,7 +96,8 @@ ACT_EXPORT = {
     "SumOverheadCosts": "SumOverheadCosts",
 }
 
-# Plan-hours history: the stored columns in order.
+# Plan-hours history: the name of the source and the stored columns in order.
+PLAN_HOURS_SOURCE = "RMS"
 PLAN_HOURS_COLUMNS = (
     "ProjectCode",
     "LegalEntityId",

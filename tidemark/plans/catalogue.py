@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.fixed_values import CLASSIFIERS, NO_PREFIX, OTHER_PRODUCTS_LABEL, PRODUCT_TYPE_LABELS
@@ -19,7 +21,9 @@ from tidemark.functions.text import (
 )
 from tidemark.operators.aggregates import pivot_max
 from tidemark.operators.merge import MergeSpec, filled, filled_null_equal, merge, null_equal, raw
-from tidemark.sources.envelope import Field, records
+from tidemark.sources.envelope import Field, read_envelopes, records, stage_records, table_schema
+from tidemark.sources.extracts import STRICT, read_records
+from tidemark.sources.tables import read_snapshot, write_snapshot
 
 PRODUCT, CLASSIFIER = "product", "classifiers"
 LIVE_SOURCE_DATE = "0001-01-01"
@@ -262,3 +266,59 @@ def upsert_products(target: DataFrame, envelopes: DataFrame, units: DataFrame, r
     """Second dialect: NULL, empty and zero are equal, absent rows are soft-deleted."""
     source = product_rows(records(envelopes, PRODUCT, PRODUCT_ROW_FIELDS), units)
     return merge(target, source, PRODUCT_UPSERT, run_ts)
+
+
+PRODUCT_TABLE = ", ".join(
+    [
+        "ObjectId int",
+        *[f"{c} {'int' if c in ('ParentObjectId', 'TribeCode') else 'string'}" for c in PRODUCT_MERGE.columns],
+        "UpdatedAt timestamp_ntz",
+    ]
+)
+PRODUCT_ROW_TABLE = table_schema(
+    PRODUCT_ROW_FIELDS,
+    "tribe_id int",
+    "product_type_sol string",
+    "product_type_sol_name string",
+    "deleted_at timestamp_ntz",
+    "updated_at timestamp_ntz",
+)
+
+
+def stage_extracts(
+    spark: SparkSession, products: Mapping[str, str], classifiers: str, sol_url: str, staging: str
+) -> None:
+    """Landed responses to staging; ``products`` maps each product type to its landed folder."""
+    raw_classifiers = spark.read.schema(CLASSIFIER_RESPONSE).options(**STRICT).json(classifiers)
+    stage_records(kept_classifiers(raw_classifiers), CLASSIFIER, staging)
+    by_type = [
+        read_records(spark, path, PRODUCT_RESPONSE, product_paths(kind, sol_url)) for kind, path in products.items()
+    ]
+    stage_records(reduce(DataFrame.unionByName, by_type), PRODUCT, staging)
+
+
+def load_products(
+    spark: SparkSession,
+    staging: str,
+    lookups: Mapping[str, DataFrame],
+    root: str,
+    row_root: str,
+    run_ts: datetime,
+) -> None:
+    """Staged extracts into the next snapshots of both targets.
+
+    ``lookups``: units, employees and persons as in ``enrich_products``, and tribe_units as the
+    units of ``product_rows``.
+    """
+    envelopes = read_envelopes(spark, staging)
+    rows = upsert_products(read_snapshot(spark, row_root), envelopes, lookups["tribe_units"], run_ts)
+    write_snapshot(rows, row_root)
+    merged = merge_products(
+        read_snapshot(spark, root),
+        envelopes,
+        lookups["units"],
+        lookups["employees"],
+        lookups["persons"],
+        run_ts,
+    )
+    write_snapshot(merged, root)

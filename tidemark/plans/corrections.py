@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import MergeSpec, filled, merge, raw
-from tidemark.sources.envelope import Field, raw_schema, records
+from tidemark.sources.envelope import Field, raw_schema, read_envelopes, records, stage_records, table_schema
 from tidemark.sources.extracts import read_pages
+from tidemark.sources.tables import read_snapshot, write_snapshot
 
 TRANSFERS, ADDED_FACTS = "ts_fact_transfers", "ts_added_facts"
 
@@ -61,6 +62,10 @@ ADDED_FACT_MERGE = MergeSpec(
     **_AUDIT,
 )
 
+_AUDIT_SCHEMA = ("IS_DELETED int", "DELETED_AT timestamp_ntz", "UPDATED_AT timestamp_ntz")
+TRANSFER_TABLE = table_schema(TRANSFER_FIELDS, *_AUDIT_SCHEMA)
+ADDED_FACT_TABLE = table_schema(ADDED_FACT_FIELDS, *_AUDIT_SCHEMA)
+
 _GUIDS = ("FactTransferId", "AddedFactId", "ConversionPeriodId", "ConversionTimeAllocationId")
 _PADDED = ("PersonId", "ProjectFrom", "ProjectTo")
 
@@ -93,3 +98,17 @@ def merge_transfers(target: DataFrame, envelopes: DataFrame, run_ts: datetime) -
 def merge_added_facts(target: DataFrame, envelopes: DataFrame, run_ts: datetime) -> DataFrame:
     source = normalize(records(envelopes, ADDED_FACTS, ADDED_FACT_FIELDS))
     return merge(target, source, ADDED_FACT_MERGE, run_ts)
+
+
+def load_transfers(spark: SparkSession, landed: str, staging: str, root: str, run_ts: datetime) -> None:
+    """Landed responses to staging, staging into the next snapshot of the target."""
+    stage_records(read_transfers(spark, landed), TRANSFERS, staging)
+    target = read_snapshot(spark, root)
+    write_snapshot(merge_transfers(target, read_envelopes(spark, staging), run_ts), root)
+
+
+def load_added_facts(spark: SparkSession, landed: str, staging: str, root: str, run_ts: datetime) -> None:
+    """Landed responses to staging, staging into the next snapshot of the target."""
+    stage_records(read_added_facts(spark, landed), ADDED_FACTS, staging)
+    target = read_snapshot(spark, root)
+    write_snapshot(merge_added_facts(target, read_envelopes(spark, staging), run_ts), root)

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.fixed_values import PLAN_HOURS_COLUMNS
+from tidemark.fixed_values import PLAN_HOURS_COLUMNS, PLAN_HOURS_SOURCE
 from tidemark.functions.dates import at
 from tidemark.functions.defaults import or_default
 from tidemark.operators.increments import advance_mark, read_mark, time_slice
@@ -17,7 +17,7 @@ _CHANGE = ("Period", "Increment", "Date", "User", "Comment")
 _PATH = ("ProjectCode", "LegalEntityId", "TribeId", "RoleId")
 
 
-def changes(tables: dict[str, DataFrame], low: datetime, high: datetime, source_system: str = "RMS") -> DataFrame:
+def changes(tables: dict[str, DataFrame], low: datetime, high: datetime, source_system: str = PLAN_HOURS_SOURCE) -> DataFrame:
     """Changes with low <= Date < high, on roles and on competences.
 
     The way from a role to its project is joined up among the structure tables first.  Each

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.merge import MergeSpec, filled, filled_null_equal, merge, null_equal
-from tidemark.sources.envelope import Field, records
+from tidemark.sources.envelope import Field, read_envelopes, records, stage_records, table_schema
+from tidemark.sources.extracts import read_records
+from tidemark.sources.tables import read_snapshot, write_snapshot
 
 SYSTEMS, CONSUMPTIONS = "ims_systems", "consumptions"
 
@@ -155,6 +157,12 @@ CONSUMPTION_MERGE = MergeSpec(
 )
 
 
+_AUDIT_SCHEMA = ("IS_DELETED int", "DELETED_AT timestamp_ntz")
+SYSTEM_TABLE = table_schema(SYSTEM_FIELDS, *_AUDIT_SCHEMA)
+SYSTEM_ROW_TABLE = table_schema(SYSTEM_ROW_FIELDS, "deleted_at timestamp_ntz", "updated_at timestamp_ntz")
+CONSUMPTION_TABLE = table_schema(CONSUMPTION_FIELDS, *_AUDIT_SCHEMA)
+
+
 def merge_systems(target: DataFrame, envelopes: DataFrame, run_ts: datetime) -> DataFrame:
     return merge(target, records(envelopes, SYSTEMS, SYSTEM_FIELDS), SYSTEM_MERGE, run_ts)
 
@@ -167,3 +175,21 @@ def upsert_systems(target: DataFrame, envelopes: DataFrame, run_ts: datetime) ->
 
 def merge_consumptions(target: DataFrame, envelopes: DataFrame, run_ts: datetime) -> DataFrame:
     return merge(target, records(envelopes, CONSUMPTIONS, CONSUMPTION_FIELDS), CONSUMPTION_MERGE, run_ts)
+
+
+def load_systems(
+    spark: SparkSession, landed: str, staging: str, root: str, row_root: str, run_ts: datetime
+) -> None:
+    """Landed responses to staging, staging into the next snapshots of both targets."""
+    stage_records(read_records(spark, landed, SYSTEM_RESPONSE, SYSTEM_PATHS), SYSTEMS, staging)
+    envelopes = read_envelopes(spark, staging)
+    write_snapshot(upsert_systems(read_snapshot(spark, row_root), envelopes, run_ts), row_root)
+    write_snapshot(merge_systems(read_snapshot(spark, root), envelopes, run_ts), root)
+
+
+def load_consumptions(spark: SparkSession, landed: str, staging: str, root: str, run_ts: datetime) -> None:
+    """Landed responses to staging, staging into the next snapshot of the target."""
+    extract = read_records(spark, landed, CONSUMPTION_RESPONSE, CONSUMPTION_PATHS)
+    stage_records(extract, CONSUMPTIONS, staging)
+    target = read_snapshot(spark, root)
+    write_snapshot(merge_consumptions(target, read_envelopes(spark, staging), run_ts), root)

@@ -86,11 +86,21 @@ def replace_entities(envelopes: DataFrame, path: str, entities: Sequence[str]) -
     )
 
 
+def stage_records(df: DataFrame, entity: str, path: str) -> None:
+    """Replace one entity's staged records by those of a new extract."""
+    replace_entities(pack_records(df, F.lit(entity), df.columns), path, [entity])
+
+
 def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     """All envelopes; a filter on ``entity`` reads that entity's folder only."""
     return spark.read.schema(ENVELOPE).parquet(path)
 
 
+def table_schema(fields: Sequence[Field], *more: str) -> str:
+    """The schema of a table that holds the fields and further columns."""
+    return ", ".join([*[f"`{f.name}` {f.type}" for f in fields], *more])
+
+
 def raw_schema(fields: Sequence[Field]) -> str:
     """How the fields are read before they are cast."""
     return ", ".join(

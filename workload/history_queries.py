@@ -165,7 +165,8 @@ def append_staging(spark: SparkSession, sf: str) -> DataFrame:
     FROM (SELECT UNNEST(GENERATE_SERIES(DATE_TRUNC('month', MIN(o_orderdate)),
                                         DATE_TRUNC('month', MAX(o_orderdate)), INTERVAL 1 MONTH)) AS m
           FROM orders WHERE o_orderdate >= TIMESTAMP '1995-11-17')
-    """
+    """,
+    name="month_spine",
 )
 def month_spine_of_orders(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").filter("o_orderdate >= TIMESTAMP_NTZ '1995-11-17'")

@@ -487,7 +487,8 @@ _ACCOUNT = {
                       AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = a.c_custkey
                                       AND o.o_orderdate >= TIMESTAMP '2001-01-01') AS gone
           FROM account a)
-    """
+    """,
+    name="soft_delete_absent",
 )
 def soft_delete_absent_accounts(spark: SparkSession, sf: str) -> DataFrame:
     recent = table(spark, sf, "orders").filter("o_orderdate >= TIMESTAMP_NTZ '2001-01-01'")
@@ -506,7 +507,8 @@ def soft_delete_absent_accounts(spark: SparkSession, sf: str) -> DataFrame:
     UNION ALL
     SELECT c_custkey, c_name, c_acctbal FROM customer t
     WHERE c_mktsegment <> 'BUILDING' AND NOT EXISTS (SELECT 1 FROM fresh f WHERE f.c_custkey = t.c_custkey)
-    """
+    """,
+    name="keyed_upsert",
 )
 def keyed_upsert_accounts(spark: SparkSession, sf: str) -> DataFrame:
     customer = table(spark, sf, "customer")

@@ -16,16 +16,15 @@ QUERIES: dict[str, Run] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Run], Run]:
-    """Register a query under its function name, with the SQL that must give the same rows."""
+def query(sql: str, name: str | None = None) -> Callable[[Run], Run]:
+    """Register a query, by its function name if no other, with the SQL that must give the same
+    rows."""
 
     def add(run: Run) -> Run:
-        name = run.__name__
-        if name in QUERIES:
-            raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = run
-        if sql is not None:
-            SQL[name] = sql
+        key = name or run.__name__
+        if key in QUERIES:
+            raise ValueError(f"query {key} registered twice")
+        QUERIES[key], SQL[key] = run, sql
         return run
 
     return add
