@@ -47,7 +47,7 @@ _CODE = (
 _PRODUCT_ROWS = {
     "Id": "CAST(p_partkey AS INT)",
     "ObjectId": "CAST(p_partkey + 5000000 AS INT)",
-    "ParentId": "CASE WHEN p_size = 1 THEN NULL ELSE CAST(p_size * 40 AS INT) END",
+    "ParentId": "CASE WHEN p_size = 1 THEN NULL ELSE CAST(p_size * 3 AS INT) END",
     "Code": _CODE,
     "Name": "p_name",
     "TribeUnitId": "CONCAT('U-', CAST(p_size AS STRING))",
@@ -146,7 +146,7 @@ _RAW_PRODUCT = {
 }
 _KEPT_PRODUCT = {
     "ObjectId": "CAST(p_partkey + 5000000 AS INT)",
-    "ParentObjectId": "CASE WHEN p_size = 1 THEN 0 ELSE CAST(p_size * 40 + 5000000 AS INT) END",
+    "ParentObjectId": "CASE WHEN p_size = 1 THEN 0 ELSE CAST(p_size * 3 + 5000000 AS INT) END",
     "Code": _CODE,
     "Name": "p_name",
     "TribeCode": "0",
@@ -162,7 +162,7 @@ _KEPT_PRODUCT = {
     "Status": "p_type",
     "Description": "p_name",
     "SolUrl": "CONCAT('https://catalogue/modules/', CAST(p_partkey AS STRING))",
-    "ShortDescription": "CAST(NULL AS STRING)",
+    "ShortDescription": "CASE WHEN p_size = 30 THEN NULL ELSE p_type END",
     "itObjectStatus": "p_type",
     "UpdatedAt": "CAST(NULL AS TIMESTAMP_NTZ)",
 }
