@@ -117,6 +117,13 @@ def test_nested_response_with_null_object(spark, tmp_path):
     assert sorted(map(tuple, got.collect()), key=str) == [(1, "x"), (2, None), (3, None)]
 
 
+def test_broken_and_pretty_responses(spark, tmp_path):
+    (tmp_path / "p.json").write_text('{\n "rows": [\n  {"id": 1}\n ]\n}')
+    assert read_pages(spark, str(tmp_path), "rows", "id int", multi_line=True).first().id == 1
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|FAILED_READ"):
+        read_pages(spark, str(tmp_path), "rows", "id int").collect()
+
+
 def test_pages(spark, tmp_path):
     (tmp_path / "1.json").write_text('{"timeAllocations": [{"id": 1}, {"id": 2, "h": 1.5}]}')
     (tmp_path / "2.json").write_text('{"timeAllocations": []}')

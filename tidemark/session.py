@@ -7,7 +7,10 @@ from pyspark.sql import SparkSession
 # A static broadcast is decided by file size.  Columnar files hold repeated values in almost no
 # space, so the size is taken tenfold: only files below a tenth of the broadcast threshold are
 # broadcast unseen, everything else by the size measured at run time.
+#
+# ANSI mode is what makes a value of the wrong type fail a load.
 SETTINGS = {
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.fileCompressionFactor": "10",

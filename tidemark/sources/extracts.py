@@ -12,15 +12,20 @@ STRICT = {"mode": "FAILFAST"}
 
 
 def read_records(
-    spark: SparkSession, path: str, schema: StructType | str, columns: Mapping[str, Column | str]
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    columns: Mapping[str, Column | str],
+    multi_line: bool = False,
 ) -> DataFrame:
     """Records of landed JSON responses, flattened by path.
 
     A response that is an array yields one row per element.  ``columns`` maps each output name
     to a path such as ``owner.login``; a path through a missing or null object is NULL.  Text
-    that does not parse fails the read, here and below.
+    that does not parse fails the read, here and below.  Responses are expected one per line,
+    which lets large files be split; ``multi_line`` reads files that hold one response each.
     """
-    raw = spark.read.schema(schema).options(**STRICT).json(path)
+    raw = spark.read.schema(schema).options(**STRICT).json(path, multiLine=multi_line)
     return flatten(raw, columns)
 
 
@@ -29,9 +34,12 @@ def flatten(raw: DataFrame, columns: Mapping[str, Column | str]) -> DataFrame:
     return raw.select(*[c.alias(n) for n, c in picked.items()])
 
 
-def read_pages(spark: SparkSession, path: str, array: str, record_schema: str) -> DataFrame:
+def read_pages(
+    spark: SparkSession, path: str, array: str, record_schema: str, multi_line: bool = False
+) -> DataFrame:
     """Records out of the named array of every landed page; empty pages add nothing."""
-    pages = spark.read.schema(f"`{array}` array<struct<{record_schema}>>").options(**STRICT).json(path)
+    reader = spark.read.schema(f"`{array}` array<struct<{record_schema}>>").options(**STRICT)
+    pages = reader.json(path, multiLine=multi_line)
     return pages.select(F.explode(F.col(array)).alias("r")).select("r.*")
 
 

@@ -76,40 +76,40 @@ def _labels(kind: str) -> str:
     return f"CASE {kind} {whens} ELSE '{OTHER_PRODUCTS_LABEL}' END"
 
 
-_KIND = "CASE WHEN STRPOS(x.Code, '.') > 1 THEN LEFT(x.Code, STRPOS(x.Code, '.') - 1) ELSE 'BPR' END"
+_KIND = """COALESCE(NULLIF(REGEXP_EXTRACT("Code", '^([^.]+)[.]', 1), ''), 'BPR')"""
+
+
+def _looked_up(value: str, relation: str, match: str, default: str) -> str:
+    return f"COALESCE((SELECT {value} FROM {relation} WHERE {match}), {default})"
+
 
 def _enrich_ctes(product_rows: dict[str, str], relation: str) -> str:
-    """CTEs up to ``enriched``: the product rows with everything looked up."""
+    """CTEs up to ``enriched``: product rows with every lookup as a scalar subquery."""
+    person = "(SELECT person_code FROM live_login WHERE login = product.\"{0}\")"
+    classifiers = ", ".join(
+        _looked_up(f'cls."{name}"', "cls", 'cls."Id" = product."Id"', "''") + f' AS "{name}"'
+        for name in CLASSIFIERS.values()
+    )
+    defaulted = ", ".join(
+        f"COALESCE(\"{c}\", '') AS \"{c}\"" for c in ("Description", "ShortDescription", "itObjectStatus")
+    )
     return f"""
-    products AS ({select_sql({n: both(e) for n, e in product_rows.items()}, relation)}),
-    units AS ({select_sql({n: both(e) for n, e in _UNITS.items()}, "nation")}),
-    employees AS ({select_sql({n: both(e) for n, e in _EMPLOYEES.items()}, "customer")}),
-    persons AS ({select_sql(_PERSONS, "supplier")}),
+    product AS ({select_sql({n: both(e) for n, e in product_rows.items()}, relation)}),
+    unit AS ({select_sql({n: both(e) for n, e in _UNITS.items()}, "nation")}),
+    employee AS ({select_sql({n: both(e) for n, e in _EMPLOYEES.items()}, "customer")}),
+    live_login AS (SELECT "Login" AS login, (SELECT s_name FROM supplier WHERE s_suppkey = "PersonId") AS person_code
+                   FROM employee WHERE "IS_DELETED" = 0 AND YEAR("DeletedAtSource") = 1),
     cls AS ({_CLASSIFIER_SQL}),
     enriched AS (
-        SELECT x."ObjectId", COALESCE(px."ObjectId", 0) AS "ParentObjectId", x."Code", x."Name",
-               COALESCE(u."TribeCode", 0) AS "TribeCode", x."Type",
-               COALESCE(p."PersonCode", '') AS "OwnerPersonCode",
-               COALESCE(p1."PersonCode", '') AS "TechOwnerPersonCode",
-               COALESCE(cls."FINDirectionGeneral", '') AS "FINDirectionGeneral",
-               COALESCE(cls."FINDirectionDetailed", '') AS "FINDirectionDetailed",
-               COALESCE(cls."FINGroup", '') AS "FINGroup",
-               COALESCE(cls."FINDetailed", '') AS "FINDetailed",
-               {_KIND} AS "ProductTypeSol", {_labels(_KIND)} AS "ProductTypeSolName", x."Status",
-               COALESCE(x."Description", '') AS "Description",
-               CONCAT(x."SolUrl", '/modules/', x."Id") AS "SolUrl",
-               COALESCE(x."ShortDescription", '') AS "ShortDescription",
-               COALESCE(x."itObjectStatus", '') AS "itObjectStatus"
-        FROM products x
-        LEFT JOIN products px ON x."ParentId" = px."Id"
-        LEFT JOIN units u ON LOWER(x."TribeUnitId") = u."UnitId"
-        LEFT JOIN employees e ON e."Login" = x."OwnerLogin"
-             AND e."DeletedAtSource" = TIMESTAMP '0001-01-01' AND e."IS_DELETED" = 0
-        LEFT JOIN persons p ON e."PersonId" = p."PersonId"
-        LEFT JOIN employees e1 ON e1."Login" = x."TechOwnerLogin"
-             AND e1."DeletedAtSource" = TIMESTAMP '0001-01-01' AND e1."IS_DELETED" = 0
-        LEFT JOIN persons p1 ON e1."PersonId" = p1."PersonId"
-        LEFT JOIN cls ON x."Id" = cls."Id")
+        SELECT "ObjectId", "Code", "Name", "Type", "Status", {defaulted}, {classifiers},
+               {_looked_up('parent."ObjectId"', "product parent", 'parent."Id" = product."ParentId"', "0")}
+                   AS "ParentObjectId",
+               {_looked_up('"TribeCode"', "unit", 'unit."UnitId" = LOWER(product."TribeUnitId")', "0")} AS "TribeCode",
+               COALESCE({person.format("OwnerLogin")}, '') AS "OwnerPersonCode",
+               COALESCE({person.format("TechOwnerLogin")}, '') AS "TechOwnerPersonCode",
+               {_KIND} AS "ProductTypeSol", {_labels(_KIND)} AS "ProductTypeSolName",
+               COALESCE("SolUrl", '') || '/modules/' || "Id" AS "SolUrl"
+        FROM product)
 """
 
 
@@ -347,19 +347,19 @@ def _person(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
+    WITH place AS (SELECT c_custkey, NULLIF(c_nationkey, 0) AS code FROM customer WHERE c_mktsegment <> 'BUILDING'),
+         tribe AS (SELECT n_nationkey, n_name, NULLIF(n_regionkey, 0) AS region FROM nation WHERE n_nationkey <> 6),
+         -- a tribe with code 0 is looked up as well: it has a cluster, but no name of its own
+         tribe_of AS (SELECT c_custkey, tribe.* FROM customer JOIN tribe ON n_nationkey = c_nationkey
+                      WHERE c_mktsegment <> 'BUILDING')
     SELECT c_custkey AS id, c_name AS title, c_mktsegment AS description, 'org' AS org_code,
-           NULLIF(t.n_regionkey, 0) AS cluster_id,
-           CASE WHEN COALESCE(t.n_regionkey, 0) = 0 THEN NULL ELSE r_name END AS cluster_name_rms,
-           NULLIF(ms.tribe, 0) AS tribe_id,
-           CASE WHEN COALESCE(ms.tribe, 0) = 0 THEN NULL ELSE t.n_name END AS tribe_name_rms,
-           NULLIF(ms.chapter, 0) AS chapter_id,
-           CASE WHEN COALESCE(s_suppkey, 0) = 0 THEN NULL ELSE s_name END AS chapter_name_rms
-    FROM customer u
-    LEFT JOIN (SELECT c_custkey AS unit, c_nationkey AS tribe, c_nationkey AS chapter FROM customer
-               WHERE c_mktsegment <> 'BUILDING') ms ON u.c_custkey = ms.unit
-    LEFT JOIN nation t ON ms.tribe = t.n_nationkey AND t.n_nationkey <> 6
-    LEFT JOIN region ON t.n_regionkey = r_regionkey AND r_regionkey <> 2
-    LEFT JOIN supplier ON ms.chapter = s_suppkey AND s_acctbal >= 0
+           region AS cluster_id,
+           (SELECT r_name FROM region r WHERE r.r_regionkey = region AND r.r_regionkey <> 2) AS cluster_name_rms,
+           code AS tribe_id,
+           CASE WHEN code IS NOT NULL THEN n_name END AS tribe_name_rms,
+           code AS chapter_id,
+           (SELECT s_name FROM supplier WHERE s_suppkey = code AND s_acctbal >= 0) AS chapter_name_rms
+    FROM customer LEFT JOIN place USING (c_custkey) LEFT JOIN tribe_of USING (c_custkey)
     """
 )
 def unit_denorm(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,7 +13,7 @@ from workload.registry import project, query, table
 
 @query(
     f"""
-    SELECT p_partkey, CASE WHEN STRPOS(c, '.') > 1 THEN LEFT(c, STRPOS(c, '.') - 1) ELSE 'BPR' END AS prefix_a,
+    SELECT p_partkey, COALESCE(NULLIF(REGEXP_EXTRACT(c, '^([^.]+)[.]', 1), ''), 'BPR') AS prefix_a,
            SPLIT_PART(c, '.', 1) AS prefix_b, {_labels("UPPER(SPLIT_PART(c, '.', 1))")} AS label_b
     FROM (SELECT p_partkey, {_CODE} AS c FROM part)
     """
@@ -31,7 +31,7 @@ def code_functions(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """
     SELECT c_custkey, NULLIF(c_nationkey, 0) AS code, COALESCE(n, 'none') AS name,
-           CASE WHEN COALESCE(c_nationkey, 0) = 0 THEN NULL ELSE n END AS guarded,
+           CASE WHEN c_nationkey <> 0 THEN n END AS guarded,
            CONCAT(n, '/', c_nationkey) AS joined, n || '/' || c_nationkey AS strict_joined
     FROM (SELECT *, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_name END AS n FROM customer)
     """
