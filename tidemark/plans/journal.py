@@ -22,7 +22,7 @@ ENTRY_SCHEMA = StructType([StructField(c, StringType()) for c in (*JOURNAL_COLUM
 
 
 def read_entries(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
-    """All landed months at once; every value as text, the unused reference dropped."""
+    """All landed months at once; every value as text, the unused second reference dropped."""
     return read_xml(spark, path, row_tag, ENTRY_SCHEMA, drop=[JOURNAL_DROPPED])
 
 
