@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality_rules
+from tidemark.llm import minhash, quality_rules
 from tidemark.llm.store import stored
 
 
@@ -18,7 +18,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.filter("kept").select("doc.*")
 
 
-STAGES = [("quality", quality)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return minhash.deduplicated(docs)
+
+
+STAGES = [("quality", quality), ("near_dedup", near_dedup)]
 
 # The stages hash, cut bytes and tokenize, which SQL cannot express.
 ORACLE_SQL = None
