@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.store import stored
 from tidemark.llm.words import blocks, text_bytes, windows, words_of
 
 CELLS = 4096
@@ -145,10 +146,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def references(docs: DataFrame, limits: Limits = Limits()) -> References:
     """References over all documents; what reaches the driver is bounded by the parameters."""
-    counted = (
-        docs.select("lang", "text").mapInArrow(_count, "lang string, cell int, n long")
-        .groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    )
+    counted = docs.select("lang", "text").mapInArrow(_count, "lang string, cell int, n long")
+    counted = stored(counted.groupBy("lang", "cell").agg(F.sum("n").alias("n")), "histograms")
     by_lang = counted.groupBy("lang").agg(
         F.collect_list(F.struct("cell", "n")).alias("cells"),
         F.sum(F.when(F.col("cell") >= len(CLASSES), F.col("n"))).alias("words"),
