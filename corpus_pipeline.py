@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash, quality_rules
+from tidemark.llm import minhash, mixing, quality_rules, suffix_dedup
 from tidemark.llm.store import stored
 
 
@@ -23,7 +23,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return minhash.deduplicated(docs)
 
 
-STAGES = [("quality", quality), ("near_dedup", near_dedup)]
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 50 bytes that a document with a smaller id has are cut out."""
+    return suffix_dedup.deduplicated(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target asks for."""
+    return mixing.mixed(docs)
+
+
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("repeats", repeats), ("mix", mix)]
 
 # The stages hash, cut bytes and tokenize, which SQL cannot express.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import minhash, quality_rules, suffix_dedup
+from tidemark.llm import minhash, mixing, quality_rules, suffix_dedup
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -29,6 +29,15 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixture(table(spark, sf_dir, "documents"))
+    return mix.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"),
+        F.explode(F.sequence(F.lit(1), F.col("n"))),
+    ).drop("col")
+
+
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))

@@ -453,6 +453,7 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), with_text:
     copies = sums.join(firsts.filter("n > 1"), "payload").filter("id > least").select(
         b, F.lit(COPY).alias("kind"), "id", "payload"
     )
+    copies = stored(copies, "copies")
 
     def visit(messages: DataFrame, work, schema) -> DataFrame:
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
