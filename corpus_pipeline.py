@@ -6,9 +6,10 @@ stage at most.  All stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash, mixing, quality_rules, suffix_dedup
+from tidemark.llm import minhash, mixing, packing, quality_rules, suffix_dedup
 from tidemark.llm.store import stored
 
 
@@ -33,7 +34,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
 
-STAGES = [("quality", quality), ("near_dedup", near_dedup), ("repeats", repeats), ("mix", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids in sequences of 2048."""
+    return packing.packed(docs, packing.Settings(public_tokenizers.path("word_bpe_49k.json")))
+
+
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("repeats", repeats), ("mix", mix), ("pack", pack)]
 
 # The stages hash, cut bytes and tokenize, which SQL cannot express.
 ORACLE_SQL = None

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import minhash, mixing, quality_rules, suffix_dedup
+from tidemark.llm import minhash, mixing, packing, quality_rules, simple8b, suffix_dedup
+
+VOCABULARY = "word_bpe_49k.json"
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -29,6 +32,11 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), packing.Settings(public_tokenizers.path(VOCABULARY)))
+
+
 @query
 def op4_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixture(table(spark, sf_dir, "documents"))
@@ -38,6 +46,12 @@ def op4_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("col")
 
 
+@query
+def op5_simple8b_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return simple8b.round_trip(docs, simple8b.Settings(public_tokenizers.path(VOCABULARY))).drop("ids")
+
+
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
