@@ -11,12 +11,15 @@ and are represented by the smallest id.  For the classes:
    frequency: a pair with ``c`` common values has one among the first s - c + 1 of either side,
    where s counts the side's values that occur elsewhere at all.  Only those are listed, so a
    passage that thousands of documents share opens no list unless it makes up most of a document.
-2. Pairs.  First each member of a list is paired with the list's smallest.  Confirmed links give
-   components.  Then every pair of a list that lies in two components is taken as well: members
-   outside a list's largest component against all of the list.  Pairs inside a component cannot
-   change the result, so a group of near copies costs its size and not its square.
-3. The union sketch of a pair estimates its Jaccard; pairs far below the threshold go.
-4. The remaining pairs are confirmed on the full sets, computed from the whole texts.
+2. Groups.  A document's home is the longest list it stands in.  Documents of one home form a
+   group; where a list holds documents of several homes, each also visits the larger ones.  Any two
+   documents of a list so meet in a group, without a row per pair, and a family of near copies, which
+   shares dozens of lists, meets once.
+3. A group is cut into blocks of bounded size, and tasks compare two blocks each.  Retained values
+   give the overlaps of all pairs as one product of 0/1 matrices, the union sketch of a pair
+   estimates its Jaccard, and pairs far below the threshold go.
+4. The remaining pairs are confirmed on the full sets, computed from the whole texts.  Of the links
+   a task finds, it returns those that connect something new.
 
 Defined cases: null and empty texts have an empty set and link with nothing.  Fewer words than
 five make one window of the whole text.  Rows with a null id take part in nothing and are kept.
@@ -41,10 +44,14 @@ from tidemark.llm.words import blocks, mixed, text_bytes, windows, words_of
 
 @dataclass(frozen=True)
 class Settings:
+    """``block_shingles`` bounds a block and ``task_shingles`` what one task compares in a row."""
+
     size: int = 5
     percent: int = 75
     k: int = 64
     share: int = 27
+    block_shingles: int = 400_000
+    task_shingles: int = 1_000_000
 
 
 def shingle_sets(column: pa.Array, size: int = 5) -> Iterator[np.ndarray]:
@@ -85,7 +92,7 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def inverted_lists(classes: DataFrame, settings: Settings) -> DataFrame:
-    """(value, rep) for the values under which a class has to be found."""
+    """(value, rep, n_shingles) for the values under which a class has to be found."""
     posted = classes.select("rep", "n_shingles", F.explode("sketch").alias("value"))
     shared = posted.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
     common = posted.join(shared, "value").groupBy("rep", "n_shingles").agg(
@@ -93,37 +100,118 @@ def inverted_lists(classes: DataFrame, settings: Settings) -> DataFrame:
     )
     needed = F.least(F.ceil(F.col("n_shingles") * settings.percent / 100), F.lit(settings.share))
     listed = F.slice("vals", F.lit(1), F.greatest(F.size("vals") - needed + 1, F.lit(0)).cast("int"))
-    return common.select("rep", F.explode(listed).alias("x")).select("x.value", "rep")
-
-
-def _similar(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs that size and union sketch leave."""
-    c = classes.select("rep", "n_shingles", "sketch")
-    both = pairs.join(c.selectExpr("rep AS a", "n_shingles AS na", "sketch AS sa"), "a").join(
-        c.selectExpr("rep AS b", "n_shingles AS nb", "sketch AS sb"), "b"
+    return common.select("rep", "n_shingles", F.explode(listed).alias("x")).select("x.value", "rep", "n_shingles")
+
+
+def meetings(lists: DataFrame, settings: Settings) -> DataFrame:
+    """(home, x, y, side, rep, n_shingles): who is compared in which task, and in which block it is."""
+    longest = lists.groupBy("value").agg(F.count("*").alias("n")).filter("n > 1")
+    sized = lists.join(longest, "value")
+    home = sized.groupBy("rep").agg(F.max(F.struct("n", "value")).alias("home"))
+    placed = stored(sized.select("value", "rep", "n_shingles").join(home, "rep"), "placed")
+    homes = placed.select("value", F.col("home").alias("other")).distinct()
+    visits = placed.join(homes, "value").filter("other > home").select("rep", "n_shingles", F.col("other").alias("home"))
+    members = placed.select("rep", "n_shingles", "home").unionByName(visits).distinct()
+    weight = members.groupBy("home").agg(F.sum("n_shingles").alias("weight"), F.count("*").alias("members"))
+    blocks = F.ceil(F.col("weight") / settings.block_shingles).cast("int").alias("blocks")
+    side = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("side")
+    dealt = members.join(weight.filter("members > 1").select("home", blocks), "home").select("*", side)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    return dealt.select("home", "side", "rep", "n_shingles", other).select(
+        F.col("home.value").alias("home"), F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"),
+        "side", "rep", "n_shingles",
     )
-    fits = both.filter(f"100 * least(na, nb) >= {settings.percent} * greatest(na, nb)")
-    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, settings.k)
-    hits = F.size(F.array_intersect(F.array_intersect(union, "sa"), F.col("sb")))
-    return fits.filter(hits * settings.k >= F.size(union) * settings.share).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs whose full sets reach the threshold."""
-    left = texts.selectExpr("doc_id AS a", "text AS ta")
-    right = texts.selectExpr("doc_id AS b", "text AS tb")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            sides = zip(shingle_sets(batch.column("ta"), settings.size), shingle_sets(batch.column("tb"), settings.size))
-            for x, y in sides:
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both > 0 and 100 * both >= settings.percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-    return joined.mapInArrow(run, "a long, b long")
+def _overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of all intersections, from the values that occur in more than one set."""
+    n = len(sets)
+    value = np.concatenate(sets)
+    own = np.repeat(np.arange(n), [len(s) for s in sets])
+    _, code, count = np.unique(value, return_inverse=True, return_counts=True)
+    rank = np.cumsum(count > 1) - 1
+    shared = count[code] > 1
+    own, code = own[shared], rank[code[shared]]
+    order = np.argsort(code, kind="stable")
+    own, code = own[order], code[order]
+    out = np.zeros((n, n), np.float32)
+    edges = np.searchsorted(code, np.arange(0, (code[-1] if len(code) else 0) + columns + 1, columns))
+    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+        has = np.zeros((n, columns), np.float32)
+        has[own[a:b], code[a:b] - k * columns] = 1
+        out += has @ has.T
+    return out.astype(np.int64)
+
+
+def _estimated(a: np.ndarray, b: np.ndarray, low: np.ndarray, k: int, share: int, chunk: int = 8192) -> np.ndarray:
+    """Whether the union sketches of the pairs reach share / k; ``low`` has padded sorted sketches."""
+    keep = np.zeros(len(a), bool)
+    pad = np.iinfo(np.uint64).max
+    for s in range(0, len(a), chunk):
+        both = np.sort(np.concatenate([low[a[s : s + chunk]], low[b[s : s + chunk]]], axis=1), axis=1)
+        twice = np.zeros(both.shape, bool)
+        twice[:, 1:] = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != pad)
+        distinct = np.cumsum(~twice & (both != pad), axis=1)
+        within = distinct <= k
+        union = np.minimum(distinct[:, -1], k)
+        keep[s : s + chunk] = (twice & within).sum(axis=1) * k >= union * share
+    return keep
+
+
+def _links(names: np.ndarray, side: np.ndarray, sets: list[np.ndarray], settings: Settings) -> list[tuple[int, int]]:
+    """A spanning forest of the links between the sides, or of all links if there is one side."""
+    n = np.array([len(s) for s in sets])
+    low = np.full((len(sets), settings.k), np.iinfo(np.uint64).max, np.uint64)
+    for row, s in zip(low, sets):
+        row[: min(len(s), settings.k)] = s[: settings.k]
+    retained = _overlaps([s[: settings.k] for s in sets])
+    pairs = np.triu(retained > 0, 1) & (100 * np.minimum.outer(n, n) >= settings.percent * np.maximum.outer(n, n))
+    if side.min() != side.max():
+        pairs &= side[:, None] != side[None, :]
+    a, b = np.nonzero(pairs)
+    likely = _estimated(a, b, low, settings.k, settings.share)
+    a, b = a[likely], b[likely]
+    if not len(a):
+        return []
+    full = _overlaps(sets)[a, b]
+    linked = 100 * full >= settings.percent * (n[a] + n[b] - full)
+    parent = list(range(len(sets)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    found = []
+    for i, j in zip(a[linked].tolist(), b[linked].tolist()):
+        x, y = root(i), root(j)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            found.append((int(names[i]), int(names[j])))
+    return found
+
+
+def _compared(met: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b): links that connect all documents that any task links."""
+    total = met.agg(F.sum("n_shingles")).first()[0] or 0
+    tasks = max(1, -(-total // settings.task_shingles))
+    task = F.pmod(F.xxhash64("home", "x", "y"), F.lit(tasks)).cast("int").alias("task")
+    rows = met.select(task, "home", "x", "y", "side", "rep").join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by([(c, "ascending") for c in ("home", "x", "y", "rep")])
+        keys = [table[c].to_numpy() for c in ("home", "x", "y")]
+        new = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)])
+        edges = np.concatenate([np.flatnonzero(new), [len(new)]])
+        names, side, found = table["rep"].to_numpy(), table["side"].to_numpy(), []
+        for s, e in zip(edges[:-1], edges[1:]):
+            sets = list(shingle_sets(table["text"].slice(s, e - s), settings.size))
+            found += _links(names[s:e], side[s:e], sets, settings)
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.select("task", "home", "x", "y", "side", "rep", "text").groupBy("task").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -138,31 +226,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         "classes",
     )
     lists = stored(inverted_lists(classes, settings), "lists")
-    first = lists.groupBy("value").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    stars = lists.join(first, "value").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    maybe = stored(_similar(stars, classes, settings), "stars")
-
-    listed = lists.select(F.col("rep").alias("doc_id")).distinct()
-    texts = stored(named.join(listed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    links = stored(_confirmed(maybe, texts, settings), "links")
-    label = components(links)
-
-    grouped = lists.join(label.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "value", "rep", F.coalesce("component", "rep").alias("comp")
-    )
-    grouped = stored(grouped, "labelled")
-    parts = grouped.groupBy("value", "comp").agg(F.count("*").alias("n"))
-    main = parts.groupBy("value").agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("parts"))
-    mixed_lists = grouped.join(main.filter("parts > 1").select("value", F.col("top.comp").alias("main")), "value")
-    minor = mixed_lists.filter("comp <> main").selectExpr("value", "rep AS x", "comp AS cx")
-    every = mixed_lists.selectExpr("value", "rep AS y", "comp AS cy", "comp = main AS in_main")
-    cross = (
-        minor.join(every, "value").filter("cx <> cy AND (in_main OR x < y)")
-        .selectExpr("least(x, y) AS a", "greatest(x, y) AS b").distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    more = stored(_confirmed(_similar(cross, classes, settings), texts, settings), "more-links")
-    final = components(links.unionAll(more))
+    met = stored(meetings(lists, settings), "meetings")
+    texts = stored(named.join(met.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    final = components(_compared(met, texts, settings))
 
     classed = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_key", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")
