@@ -227,7 +227,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     )
     lists = stored(inverted_lists(classes, settings), "lists")
     met = stored(meetings(lists, settings), "meetings")
-    texts = stored(named.join(met.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    # The ids met grow with the corpus: they are joined by shuffle at every size.
+    wanted = met.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
+    texts = stored(named.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     final = components(_compared(met, texts, settings))
 
     classed = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
