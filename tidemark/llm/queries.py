@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import minhash, mixing, packing, quality_rules, simple8b, suffix_dedup
+from tidemark.llm import minhash, mixing, packing, passages, quality_rules, simple8b, suffix_dedup, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -52,6 +52,16 @@ def op5_simple8b_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.round_trip(docs, simple8b.Settings(public_tokenizers.path(VOCABULARY))).drop("ids")
 
 
+@query
+def op6_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_passage_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
