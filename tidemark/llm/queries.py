@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import minhash, mixing, packing, passages, quality_rules, simple8b, suffix_dedup, toxicity
+from tidemark.llm import embedding_dedup, minhash, mixing, packing, passages, quality_rules, simple8b, suffix_dedup, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -57,6 +57,11 @@ def op6_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op7_itq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_passage_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
