@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, minhash, mixing, packing, passages, quality_rules, simple8b, suffix_dedup, toxicity
+from tidemark.llm import chat, embedding_dedup, minhash, mixing, packing, passages, quality_rules, simple8b, suffix_dedup, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -27,6 +27,15 @@ def query(run: Run) -> Run:
     return run
 
 
+@query
+def op1_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    span = F.transform("mask", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
+    return chat.perspectives(table(spark, sf_dir, "conversations")).withColumn("mask", F.array_join(span, ","))
+
+
+SQL["op1_chat_perspectives"] = chat.SQL
+
+
 @query
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
