@@ -16,7 +16,6 @@ rows that repeat an id follow each other in the order of their texts.  No rows g
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.store import shared_root
 from tidemark.llm.tokens import encoder
+from tidemark.sources.tables import shared_folder
 
 U = np.uint64
 BLOCK = 1024
@@ -38,49 +37,67 @@ COUNT = np.array([1, *[n for n, _ in FIELDS]], np.int64)
 FILE = "shard int, first long, n_ids long, docs binary, tokens binary, blocks binary, words binary"
 
 
+def _choices(lanes: np.ndarray) -> np.ndarray:
+    """For each place, the selector of the word that would start there: as many ids as fit."""
+    bits = np.zeros(lanes.shape, np.uint8)
+    for power in (32, 16, 8, 4, 2, 1):
+        wide = (lanes >> bits) >> U(power) != 0
+        bits += wide * np.uint8(power)
+    bits += lanes >> bits != 0
+    widest = {1: bits}
+    for count in sorted(n for n, _ in FIELDS)[1:]:
+        # Two shorter windows that overlap, or touch, cover the longer one.
+        part = max(n for n in widest if n < count and 2 * n >= count)
+        shorter = widest[part]
+        widest[count] = np.maximum(shorter[:, : shorter.shape[1] - (count - part)], shorter[:, count - part :])
+    choice = np.zeros((len(lanes), BLOCK), np.int8)
+    for selector, (count, wide) in reversed(list(enumerate(FIELDS, 1))):
+        choice[widest[count][:, :BLOCK] <= wide] = selector
+    return choice
+
+
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words, first word of each block).
 
-    All blocks are coded side by side: each round writes one word of every block.
+    All blocks are walked side by side, a word of each per round; then the words of one selector
+    are put together at a time.  A block's end counts as ids of no bits.
     """
     ids = ids.astype(np.uint64)
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    start = np.arange(0, n, BLOCK)
-    end = np.minimum(start + BLOCK, n)
-    # The widest id among the next ones decides; a block's end counts as ids of no bits.
-    lanes = np.zeros((len(start), BLOCK + 60), np.uint64)
-    lanes[:, :BLOCK].flat[:n] = ids
-    choice = np.zeros((len(start), BLOCK), np.int8)
-    for selector, (count, bits) in reversed(list(enumerate(FIELDS, 1))):
-        fits = np.zeros((len(start), BLOCK + 60 + 1), np.int32)
-        np.cumsum(lanes >> U(bits) != 0, axis=1, out=fits[:, 1:])
-        choice[fits[:, count : count + BLOCK] == fits[:, :BLOCK]] = selector
-    lane, at = np.arange(len(start)), np.zeros(len(start), np.int64)
-    size = end - start
-    rounds: list[tuple[np.ndarray, np.ndarray]] = []
+    blocks = -(-n // BLOCK)
+    lanes = np.zeros((blocks, BLOCK + 60), np.uint64)
+    whole = np.zeros(blocks * BLOCK, np.uint64)
+    whole[:n] = ids
+    lanes[:, :BLOCK] = whole.reshape(blocks, BLOCK)
+    choice = _choices(lanes)
+    lane, at, size = np.arange(blocks), np.zeros(blocks, np.int64), np.minimum(n - np.arange(blocks) * BLOCK, BLOCK)
+    walked = []
     while len(lane):
         selector = choice[lane, at]
-        word = selector.astype(np.uint64) << U(60)
-        for s in np.unique(selector):
-            rows = np.flatnonzero(selector == s)
-            if s == 0:
-                continue
-            count, bits = FIELDS[s - 1]
-            for k in range(count):
-                word[rows] |= lanes[lane[rows], at[rows] + k] << U(bits * k)
-        rounds.append((lane, word))
-        wide = np.flatnonzero(selector == 0)
-        if len(wide):
-            rounds.append((lane[wide], lanes[lane[wide], at[wide]]))
+        walked.append((lane, at, selector))
         at = at + COUNT[selector]
         go = at < size[lane]
         lane, at = lane[go], at[go]
-    lanes_of = np.concatenate([x for x, _ in rounds])
-    order = np.argsort(lanes_of, kind="stable")
-    words = np.concatenate([w for _, w in rounds])[order]
-    return words, np.searchsorted(lanes_of[order], np.arange(len(start)))
+    lane, at, selector = (np.concatenate(x) for x in zip(*walked))
+    order = np.lexsort((at, lane))
+    lane, at, selector = lane[order], at[order], selector[order]
+    # An escape takes two words.
+    place = np.cumsum(1 + (selector == 0)) - 1 - (selector == 0)
+    words = np.zeros(int(place[-1]) + 1 + int(selector[-1] == 0), np.uint64)
+    words[place] = selector.astype(np.uint64) << U(60)
+    for s in np.unique(selector):
+        rows = np.flatnonzero(selector == s)
+        if s == 0:
+            words[place[rows] + 1] = lanes[lane[rows], at[rows]]
+            continue
+        count, bits = FIELDS[s - 1]
+        value = np.zeros(len(rows), np.uint64)
+        for k in range(count):
+            value |= lanes[lane[rows], at[rows] + k] << U(bits * k)
+        words[place[rows]] |= value
+    return words, place[np.searchsorted(lane, np.arange(blocks))]
 
 
 def decode(words: np.ndarray, blocks: np.ndarray, n_ids: int) -> np.ndarray:
@@ -204,7 +221,6 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, settings: Settings) -> DataFrame:
     """Written to a fresh shared folder and read back."""
-    spark = docs.sparkSession
-    path = f"{shared_root(spark)}/token-files-{uuid.uuid4().hex}"
+    path = shared_folder(docs.sparkSession, "token-files")
     write(docs, path, settings)
-    return read(spark, path)
+    return read(docs.sparkSession, path)

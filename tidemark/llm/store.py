@@ -2,15 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a session without it gets one below its warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate").rstrip("/")
+from tidemark.sources.tables import shared_folder
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -18,7 +12,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     It cuts the lineage: a lost executor costs the tasks of the running step only.
     """
-    spark = df.sparkSession
-    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = shared_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ tokenizers that look across white space (``by_word=False``).
 from __future__ import annotations
 
 import unicodedata
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,13 +53,16 @@ class Encoder:
     def _word(self, word: str) -> list[int] | None:
         """Ids of letters followed by marks, straight from the model; None for other words."""
         core = word.rstrip(MARKS)
-        if not core.isalpha() or max(core) >= PLAIN or not unicodedata.is_normalized("NFC", core):
+        tail = word[len(core) :]
+        if not core.isalpha():
             return None
-        core = core.lower()
-        if not core.isascii():
-            core = core.encode().decode("latin-1").translate(self.letters)
+        if core.isascii():
+            core = core.lower()
+        elif max(core) >= PLAIN or not unicodedata.is_normalized("NFC", core):
+            return None
+        else:
+            core = core.lower().encode().decode("latin-1").translate(self.letters)
         ids = [t.id for t in self.model.tokenize(core)]
-        tail = word[len(word.rstrip(MARKS)) :]
         if tail:
             if tail not in self.marks:
                 self.marks[tail] = self._slow([tail])[0]
@@ -70,8 +74,8 @@ class Encoder:
         hard = [k for k, ids in enumerate(found) if ids is None]
         for k, ids in zip(hard, self._slow([words[k] for k in hard])):
             found[k] = ids
-        count = np.array([len(ids) for ids in found], np.int64)
-        flat = np.fromiter((i for ids in found for i in ids), self.kind, int(count.sum()))
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), self.kind, int(count.sum()))
         if self.filled + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool[: self.filled], np.zeros(max(len(flat), self.filled) + len(flat), self.kind)])
         self.pool[self.filled : self.filled + len(flat)] = flat
