@@ -70,6 +70,14 @@ def test_text_for_packing(spark):
     assert len(values(spark, lambda c: text.cut(c, 4000), ["x" * 5000])[0]) == 4000
 
 
+def test_doubles_print_in_full(spark):
+    numbers = [0.00004, 1.23456789, 206060005.0, 1e35, -1.5e-7, 123456789.125, 1e7, 0.0, float("nan"), None, -2.5]
+    assert values(spark, lambda c: text.plain_number(c), numbers, "double") == [
+        "0.00004", "1.23456789", "206060005.0", "1" + "0" * 35 + ".0", "-0.00000015", "123456789.125", "10000000.0",
+        "0.0", None, None, "-2.5",
+    ]
+
+
 def test_key_uuid_depends_on_the_key_alone(spark):
     a, b, c = values(spark, lambda c: text.key_uuid(c), ["P-1", "P-1", "P-2"])
     assert a == b != c
@@ -87,6 +95,7 @@ def test_calendar(spark):
     moment = [datetime(2024, 5, 6, 7, 8, 9, 123456)]
     assert values(spark, lambda c: dates.to_minute(c), moment, "timestamp_ntz") == [datetime(2024, 5, 6, 7, 8)]
     assert values(spark, lambda c: dates.timestamp_text(c), moment, "timestamp_ntz") == ["2024-05-06 07:08:09.123"]
+    assert values(spark, lambda c: dates.timestamp_text(c), [date(2020, 1, 2), None], "date") == ["2020-01-02", None]
 
 
 def test_unparsable_dates_are_the_epoch(spark):
@@ -117,8 +126,8 @@ def test_journal_classes(spark):
         "SUM_RUB string, DESCRIPTION string, DOC_DATE string, SEGMENT1 string",
     ).select(*[typed_value(c) for c in ("SUM_RUB", "DESCRIPTION", "DOC_DATE", "SEGMENT1")])
     assert [tuple(r) for r in rows.collect()] == [
-        (Decimal("1.2346"), "x", datetime(2023, 1, 2, 3, 4, 5), "007"),
-        (Decimal("0.0000"), "1", datetime(1970, 1, 1), "1"),
+        (1.23456, "x", datetime(2023, 1, 2, 3, 4, 5), "007"),
+        (0.0, "1", datetime(1970, 1, 1), "1"),
     ]
 
 
@@ -192,7 +201,7 @@ def test_packing(spark):
     )
     assert row.m == (
         '[{"Measure": "[Sum]", "value": 10.50}, {"Measure": "[No]", "value": null}, '
-        '{"Measure": "[Big]", "value": 206060005.0000}]'
+        '{"Measure": "[Big]", "value": 206060005.0}]'
     )
 
 

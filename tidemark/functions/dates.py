@@ -50,9 +50,10 @@ def to_minute(moment: Column) -> Column:
 
 
 def timestamp_text(moment: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss.SSS``, further digits cut."""
+    """``yyyy-MM-dd HH:mm:ss.SSS``, further digits cut; a date is ``yyyy-MM-dd``."""
     text = moment.cast("string")
-    return F.concat(F.substring(text, 1, 19), F.lit("."), F.rpad(F.split_part(text, F.lit("."), F.lit(2)), 3, "0"))
+    full = F.concat(F.substring(text, 1, 19), F.lit("."), F.rpad(F.split_part(text, F.lit("."), F.lit(2)), 3, "0"))
+    return F.when(F.typeof(moment) == "date", text).otherwise(full)
 
 
 def parse_or_epoch(text: Column) -> Column:

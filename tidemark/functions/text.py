@@ -54,6 +54,25 @@ def number_text(column: Column) -> Column:
     return F.replace(F.coalesce(column.cast("string"), F.lit("null")), F.lit(","), F.lit("."))
 
 
+def plain_number(column: Column) -> Column:
+    """A binary floating point number with all its digits and no exponent; NaN reads as absent.
+
+    The shortest text that reads back as the same number is taken apart and its point is moved.
+    """
+    text = column.cast("double").cast("string")
+    form = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
+    sign, head, tail = (F.regexp_extract(text, form, g) for g in (1, 2, 3))
+    power = F.regexp_extract(text, form, 4).cast("int")
+    tail = F.when(tail == "0", F.lit("")).otherwise(tail)
+    digits = F.concat(head, tail)
+    missing = power - F.length(tail)
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    whole = F.concat(sign, digits, F.repeat(F.lit("0"), missing), F.lit(".0"))
+    inner = F.concat(sign, F.substring(digits, F.lit(1), power + 1), F.lit("."), digits.substr(power + 2, F.length(digits)))
+    moved = F.when(power < 0, small).when(missing >= 0, whole).otherwise(inner)
+    return F.when(F.isnan(column.cast("double")), F.lit(None)).when(text.contains("E"), moved).otherwise(text)
+
+
 def key_uuid(key: Column) -> Column:
     """A UUID-shaped id that depends on the key alone, so retries reproduce it."""
     digest = F.md5(key.cast("binary"))

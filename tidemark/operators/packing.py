@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from tidemark.functions.dates import day_first_to_iso
-from tidemark.functions.text import collapse_space, escape_quotes, number_text
+from tidemark.functions.text import collapse_space, escape_quotes, number_text, plain_number
 
 
 def quoted(name: str) -> str:
@@ -30,11 +30,10 @@ def attribute_text(column: Column, is_date: bool = False) -> Column:
 
 
 def measure_text(df: DataFrame, name: str) -> Column:
-    """A measure as packed text.  Binary floating point is fixed to four decimals first, which
-    keeps large amounts out of scientific notation."""
+    """A measure as packed text, with all its digits and never in scientific notation."""
     column = F.col(quoted(name))
     if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
-        column = column.cast("decimal(38,4)")
+        column = plain_number(column)
     return number_text(column)
 
 

@@ -37,10 +37,16 @@ def flatten(raw: DataFrame, columns: Mapping[str, Column | str]) -> DataFrame:
 def read_pages(
     spark: SparkSession, path: str, array: str, record_schema: str, multi_line: bool = False
 ) -> DataFrame:
-    """Records out of the named array of every landed page; empty pages add nothing."""
+    """Records out of the named array of every landed page; an empty array adds nothing.
+
+    A page without its array, or with null for it, is no extract (an error answer, say) and fails
+    the read, so that nothing downstream takes it for an empty extract.
+    """
     reader = spark.read.schema(f"`{array}` array<struct<{record_schema}>>").options(**STRICT)
     pages = reader.json(path, multiLine=multi_line)
-    return pages.select(F.explode(F.col(array)).alias("r")).select("r.*")
+    kind = pages.schema[array].dataType
+    missing = F.raise_error(F.lit(f"landed page without its array {array}")).cast(kind)
+    return pages.select(F.explode(F.coalesce(F.col(array), missing)).alias("r")).select("r.*")
 
 
 def read_xml(
@@ -59,12 +65,18 @@ def escaped_xml(
     record_schema: str,
     drop: Sequence[str] = (),
 ) -> DataFrame:
-    """Entries of an XML list that came escaped inside a larger response text."""
+    """Entries of an XML list that came escaped inside a larger response text.
+
+    An empty list adds nothing.  A response without both tags of the list (a fault, or one cut
+    short) fails the read.
+    """
     text = F.replace(F.replace(F.col(column), F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">"))
     opening, closing = f"<{root_tag}>", f"</{root_tag}>"
     start = F.locate(opening, text)
-    size = F.locate(closing, text) + F.lit(len(closing)) - start
-    body = F.when(start > 0, text.substr(start, size))
+    end = F.locate(closing, text)
+    body = F.when((start > 0) & (end > start), text.substr(start, end + F.lit(len(closing)) - start)).otherwise(
+        F.raise_error(F.lit(f"response without the list {root_tag}")).cast("string")
+    )
     schema = f"struct<`{row_tag}`: array<struct<{record_schema}>>>"
     parsed = F.from_xml(body, schema, STRICT)
     return (
