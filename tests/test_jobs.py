@@ -4,6 +4,7 @@ import json
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import catalogue, corrections, dimensions, drafts, hours, issues, journal, org_units, plan_hours
@@ -241,7 +242,9 @@ def test_product_response_is_flattened(spark, tmp_path):
     )
     got = read_records(spark, str(tmp_path), catalogue.PRODUCT_RESPONSE, catalogue.product_paths("Module", "url"))
     one, three = sorted(got.collect(), key=lambda r: r.id)
-    assert (one.rmsContour, one.owner, len(one.description), one.sol_type) == ("u", None, 4000, "Module")
+    assert (one.rmsContour, one.owner, len(one.description), one.sol_type) == ("u", None, 5000, "Module")
+    narrow = read_records(spark, str(tmp_path), catalogue.PRODUCT_RESPONSE, catalogue.product_paths("Module", "url", 4000))
+    assert max(len(r.description) for r in narrow.collect()) == 4000
     assert three.description == ""
 
 
@@ -293,7 +296,7 @@ def test_journal_appends_months(spark, tmp_path):
     journal.stage(journal.read_entries(spark, str(xml), "Entry"), staged)
     got = read_relation(spark, staged).orderBy("SEGMENT1").collect()
     assert [r.SEGMENT1 for r in got] == ["0001", "0002"]
-    assert (got[0].SUM_RUB, got[0].SUM_OPER, got[0].BI_PL_ITEM) == (Decimal("1.5000"), Decimal("0.0000"), "1")
+    assert (got[0].SUM_RUB, got[0].SUM_OPER, got[0].BI_PL_ITEM) == (1.5, 0.0, "1")
     assert (got[0].DOC_DATE, got[0].PERIOD) == (datetime(2023, 1, 1), datetime(1970, 1, 1))
     assert len(got[0]) == 37 and got[0].__fields__[0] == "ETL_LOG_ID"
 
@@ -412,6 +415,16 @@ def test_load_corrections_and_consumptions_share_staging(spark, tmp_path):
     }
 
 
+def test_an_error_page_leaves_the_corrections_alone(spark, tmp_path):
+    root, staging = str(tmp_path / "t"), str(tmp_path / "stage")
+    empty(spark, corrections.TRANSFER_TABLE, root)
+    corrections.load_transfers(spark, land(tmp_path / "one", {"factTransfers": [{"factTransferId": "T"}]}), staging, root, NOW)
+    with pytest.raises(Exception, match="without its array factTransfers"):
+        corrections.load_transfers(spark, land(tmp_path / "two", {"message": "unauthorized"}), staging, root, NOW)
+    (row,) = read_snapshot(spark, root).collect()
+    assert (row.FactTransferId, row.IS_DELETED) == ("t", 0)
+
+
 def test_load_products_of_several_types(spark, tmp_path):
     root, row_root, staging = (str(tmp_path / n) for n in ("a", "b", "stage"))
     empty(spark, catalogue.PRODUCT_TABLE, root)

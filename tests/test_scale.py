@@ -11,15 +11,6 @@ from tidemark.plans import drafts, plan_hours
 from tidemark.session import cluster_settings
 from workload.registry import QUERIES
 
-# The only queries that may leave the JVM: those that pack records into envelopes.
-PACKING = {
-    "act_export_json",
-    "act_export_text",
-    "envelope_roundtrip",
-    "product_catalogue",
-}
-
-
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -39,8 +30,35 @@ def test_no_query_needs_a_broadcast_or_a_cross_join(spark, sf_dir, name, no_broa
         if operator == "SinglePartition" and name in ("month_spine", "open_period"):
             continue  # a global aggregate: one row per task meets in one task
         assert operator not in plan, operator
-    python = re.findall(r"MapInArrow|ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroups", plan)
-    assert not python or name in PACKING
+    assert not re.findall(r"MapInArrow|ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroups", plan)
+
+
+def test_no_write_leaves_the_jvm(spark, sf_dir, monkeypatch):
+    """Also the steps a query writes before its last plan."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    plans = []
+    for method in ("parquet", "json", "text", "save"):
+        plain = getattr(DataFrameWriter, method)
+
+        def noted(self, *args, plain=plain, **kwargs):
+            plans.append(plan_of(self._df))
+            return plain(self, *args, **kwargs)
+
+        monkeypatch.setattr(DataFrameWriter, method, noted)
+    for name in ("entity_replace", "json_pages", "org_units_load", "envelope_merge", "act_job", "journal_load"):
+        QUERIES[name](spark, sf_dir)
+    assert len(plans) > 10 and not [p for p in plans if "InArrow" in p or "Python" in p]
+
+
+def test_an_upsert_reads_each_side_once(spark, tmp_path, no_broadcast):
+    from tidemark.operators.merge import keyed_upsert
+
+    for name in ("t", "s"):
+        spark.range(10).selectExpr("id AS k", "id AS v").write.parquet(f"{tmp_path}/{name}")
+    target, source = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
+    plan = plan_of(keyed_upsert(target, source, ["k"]))
+    assert len(re.findall(r"FileScan", plan)) == 2 and len(re.findall(r"Exchange hash", plan)) == 2
 
 
 @pytest.fixture

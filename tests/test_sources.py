@@ -19,6 +19,7 @@ from tidemark.sources.envelope import (
 from tidemark.sources.extracts import escaped_xml, read_pages, read_records, read_xml
 from tidemark.sources.tables import (
     append,
+    compact_history,
     current_snapshot,
     read_history,
     read_relation,
@@ -74,9 +75,9 @@ def test_pack_and_unpack(spark):
     rows = spark.range(2500).selectExpr(
         "id", "IF(id < 2000, 'hot', 'cold') AS kind", "IF(id % 3 = 0, NULL, concat('\"q\" \\\\ я ', id)) AS w"
     )
-    packed = pack_records(rows, F.col("kind"), ["id", "w"], max_records=100)
-    sizes = packed.selectExpr("entity", "size(from_json(json_text, 'array<string>')) AS n").collect()
-    assert max(r.n for r in sizes) <= 100
+    packed = pack_records(rows, F.col("kind"), ["id", "w"], max_bytes=2000)
+    sizes = packed.selectExpr("entity", "size(from_json(json_text, 'array<string>')) AS n", "length(json_text) AS l").collect()
+    assert max(r.l for r in sizes) <= 4000 and len(sizes) > 20
     assert sum(r.n for r in sizes if r.entity == "hot") == 2000
     for r in packed.limit(3).collect():
         assert all(set(x) == {"id", "w"} for x in json.loads(r.json_text))
@@ -85,9 +86,19 @@ def test_pack_and_unpack(spark):
     assert back.exceptAll(expected).count() == 0 and back.count() == 2500
 
 
-def test_packing_does_not_shuffle(spark):
+def test_envelopes_do_not_depend_on_partitions(spark):
+    rows = spark.range(3000).selectExpr("id", "concat('e', id % 300) AS kind")
+    packed = [
+        sorted(map(tuple, pack_records(rows.repartition(n), F.col("kind"), ["id"], max_bytes=60).collect())) for n in (1, 4, 16)
+    ]
+    assert packed[0] == packed[1] == packed[2] and len(packed[0]) > 300
+    one = pack_records(rows, F.lit(None).cast("string"), ["id"]).collect()
+    assert len(one) == 1 and one[0].entity is None and len(json.loads(one[0].json_text)) == 3000
+
+
+def test_packing_stays_in_the_jvm(spark):
     plan = pack_records(spark.range(10).toDF("id"), F.lit("e"), ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+    assert "Arrow" not in plan and "Python" not in plan
 
 
 def test_packing_nothing(spark):
@@ -127,11 +138,18 @@ def test_broken_and_pretty_responses(spark, tmp_path):
 def test_pages(spark, tmp_path):
     (tmp_path / "1.json").write_text('{"timeAllocations": [{"id": 1}, {"id": 2, "h": 1.5}]}')
     (tmp_path / "2.json").write_text('{"timeAllocations": []}')
-    (tmp_path / "3.json").write_text('{"timeAllocations": null}')
     got = read_pages(spark, str(tmp_path), "timeAllocations", "id int, h decimal(4,1)")
     assert sorted(map(tuple, got.collect())) == [(1, None), (2, Decimal("1.5"))]
 
 
+@pytest.mark.parametrize("page", ['{"message": "unauthorized"}', '{"rows": null}', "{}"])
+def test_a_page_without_its_array_fails(spark, tmp_path, page):
+    (tmp_path / "1.json").write_text('{"rows": [{"id": 1}]}')
+    (tmp_path / "2.json").write_text(page)
+    with pytest.raises(Exception, match="landed page without its array rows"):
+        read_pages(spark, str(tmp_path), "rows", "id int").collect()
+
+
 ENTRIES = "<JournalEntries><Entry><A>007</A><B>x</B><R>r</R></Entry><Entry><A>8</A></Entry></JournalEntries>"
 
 
@@ -143,11 +161,20 @@ def test_xml_entries(spark, tmp_path):
 
 def test_escaped_xml(spark):
     body = ENTRIES.replace("<", "&lt;").replace(">", "&gt;")
-    responses = spark.createDataFrame([(f"<soap><body>{body}</body></soap>",), ("<soap/>",)], "response string")
+    none = "<soap>&lt;JournalEntries&gt;&lt;/JournalEntries&gt;</soap>"
+    responses = spark.createDataFrame([(f"<soap><body>{body}</body></soap>",), (none,)], "response string")
     got = escaped_xml(responses, "response", "JournalEntries", "Entry", "A string, B string, R string", drop=["R"])
     assert sorted(map(tuple, got.collect()), key=str) == [("007", "x"), ("8", None)]
 
 
+@pytest.mark.parametrize("response", ["<soap><fault/></soap>", "<soap>&lt;JournalEntries&gt;&lt;Entry&gt;", None])
+def test_a_response_without_its_list_fails(spark, response):
+    body = ENTRIES.replace("<", "&lt;").replace(">", "&gt;")
+    responses = spark.createDataFrame([(body,), (response,)], "response string")
+    with pytest.raises(Exception, match="response without the list JournalEntries"):
+        escaped_xml(responses, "response", "JournalEntries", "Entry", "A string").collect()
+
+
 def test_snapshot_can_be_built_from_itself(spark, tmp_path):
     root = str(tmp_path / "snap")
     assert current_snapshot(spark, root) is None
@@ -193,10 +220,28 @@ def test_slices_add_up_and_repeat_harmlessly(spark, tmp_path):
         write_slice(time_slice(rows, "t", low, high), root, low)
     assert read_history(spark, root).exceptAll(rows).count() == 0
     assert read_history(spark, root).count() == time_slice(rows, "t", a, c).count() == 100
+    write_slice(rows.limit(0), root, b)
+    assert read_history(spark, root).count() == 31
+    write_slice(time_slice(rows, "t", b, c), root, b)
+    compact_history(spark, root)
+    assert read_history(spark, root).count() == 100
+    with pytest.raises(Exception, match="broken"):
+        write_slice(rows.selectExpr("CAST(raise_error('broken') AS BIGINT) AS id", "t"), root, a, full_load=True)
+    assert read_history(spark, root).count() == 100
     write_slice(time_slice(rows, "t", a, b), root, a, full_load=True)
     assert read_history(spark, root).count() == 31
 
 
+def test_a_repeated_number_fails(spark, tmp_path):
+    root = str(tmp_path / "snap")
+    write_snapshot(spark.range(1).toDF("id"), root)
+    entry = spark.read.json(f"{root}/_versions")
+    entry.write.mode("append").json(f"{root}/_versions")
+    for act in (lambda: read_snapshot(spark, root), lambda: write_snapshot(spark.range(2).toDF("id"), root)):
+        with pytest.raises(RuntimeError, match="two writers took one number"):
+            act()
+
+
 def test_marks(spark):
     marks = spark.createDataFrame([("h", datetime(2024, 1, 2, 3, 4, 5)), ("n", None)], "TableName string, LastUpdateDate timestamp_ntz")
     assert read_mark(marks, "h") == datetime(2024, 1, 2, 3, 4)
@@ -204,6 +249,8 @@ def test_marks(spark):
     assert read_mark(marks, "n") == read_mark(marks, "missing") == FULL_LOAD_START
     moved = advance_mark(marks, "h", datetime(2024, 6, 1))
     assert {tuple(r) for r in moved.collect()} == {("h", datetime(2024, 6, 1)), ("n", None)}
+    fresh = advance_mark(marks, "missing", datetime(2024, 6, 1))
+    assert read_mark(fresh, "missing") == datetime(2024, 6, 1) and fresh.count() == 3
 
 
 def test_time_slice_reaches_the_scan(spark, tmp_path):

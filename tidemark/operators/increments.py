@@ -29,9 +29,16 @@ def read_mark(marks: DataFrame, table: str, full_load: bool = False) -> datetime
 
 
 def advance_mark(marks: DataFrame, table: str, high: datetime) -> DataFrame:
-    """The marks after a slice ending at ``high`` was stored.  Write them after the slice."""
+    """The marks after a slice ending at ``high`` was stored; a table without a mark gets one.
+
+    Write them after the slice.
+    """
     moved = F.when(F.col("TableName") == table, at(high)).otherwise(F.col("LastUpdateDate"))
-    return marks.withColumn("LastUpdateDate", moved)
+    known = marks.withColumn("LastUpdateDate", moved)
+    if not marks.filter(F.col("TableName") == table).isEmpty():
+        return known
+    fresh = marks.sparkSession.range(1).select(F.lit(table).alias("TableName"), at(high).alias("LastUpdateDate"))
+    return known.unionByName(fresh, allowMissingColumns=True)
 
 
 def time_slice(df: DataFrame, moment: str, low: datetime, high: datetime) -> DataFrame:

@@ -4,7 +4,7 @@ A merge takes the current target and a full source extract and yields the next s
 the target.  Built-in file tables have no row-level UPDATE, so every flavour is a join that
 reads each side once and shuffles each side at most once, on the key:
 
-* absent rows soft-deleted or kept, new rows inserted: one full outer join;
+* absent rows soft-deleted or kept, new rows inserted, the plain upsert by key: one full outer join;
 * absent rows deleted for good: ``source left join target``;
 * update of existing rows only: ``target left join source``.
 
@@ -258,5 +258,6 @@ def soft_delete_absent(
 
 def keyed_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows replace target rows of the same key or are added; nothing is compared."""
-    fresh = require_unique(source.select(*target.columns), keys)
-    return target.join(source.select(*keys), list(keys), "left_anti").unionByName(fresh)
+    columns = {c: raw() for c in target.columns if c not in keys}
+    spec = MergeSpec(keys=tuple(keys), columns=columns, always=True)
+    return merge(target, source, spec, datetime.min)

@@ -40,8 +40,12 @@ CLASSIFIER_RESPONSE = (
 )
 
 
-def product_paths(sol_type: str, sol_url: str) -> dict:
-    """Output name to path, or expression, of one landed product response."""
+def product_paths(sol_type: str, sol_url: str, description_width: int | None = None) -> dict:
+    """Output name to path, or expression, of one landed product response.
+
+    ``description_width`` cuts descriptions for a target whose column has that width.
+    """
+    description = or_default(F.col("description"), "")
     return {
         "id": "id",
         "objectId": "objectId",
@@ -55,7 +59,7 @@ def product_paths(sol_type: str, sol_url: str) -> dict:
         "techOwner": "techOwnerDetails.login",
         "techOwnerName": "techOwnerDetails.userName",
         "status": "status",
-        "description": cut(or_default(F.col("description"), ""), 4000),
+        "description": cut(description, description_width) if description_width else description,
         "shortDescription": "shortDescription",
         "itObjectStatus": "itObjectStatus",
         "sol_type": F.lit(sol_type),
@@ -286,13 +290,18 @@ PRODUCT_ROW_TABLE = table_schema(
 
 
 def stage_extracts(
-    spark: SparkSession, products: Mapping[str, str], classifiers: str, sol_url: str, staging: str
+    spark: SparkSession,
+    products: Mapping[str, str],
+    classifiers: str,
+    sol_url: str,
+    staging: str,
+    description_width: int | None = None,
 ) -> None:
     """Landed responses to staging; ``products`` maps each product type to its landed folder."""
     raw_classifiers = spark.read.schema(CLASSIFIER_RESPONSE).options(**STRICT).json(classifiers)
     stage_records(kept_classifiers(raw_classifiers), CLASSIFIER, staging)
     by_type = [
-        read_records(spark, path, PRODUCT_RESPONSE, product_paths(kind, sol_url)) for kind, path in products.items()
+        read_records(spark, path, PRODUCT_RESPONSE, product_paths(kind, sol_url, description_width)) for kind, path in products.items()
     ]
     stage_records(reduce(DataFrame.unionByName, by_type), PRODUCT, staging)
 

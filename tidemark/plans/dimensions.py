@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import at, timestamp_text
 from tidemark.functions.defaults import name_of_code, zero_to_null
+from tidemark.sources.tables import truncate_load
 
 NO_DATE = datetime(1900, 1, 1)
 
@@ -149,3 +150,24 @@ def person_snapshot(tables: dict[str, DataFrame], now: datetime) -> DataFrame:
         "tribe",
         F.coalesce("LegalEntityName", "UnitTitle").alias("legal_entity"),
     ).distinct()
+
+
+# --- loads: staging is emptied and filled by key; a repeated or missing key fails the load -----------
+
+
+def load_clusters(clusters: DataFrame, person: DataFrame, staging: str) -> None:
+    truncate_load(cluster_dimension(clusters, person), staging, keys=["id"])
+
+
+def load_tribes(tribes: DataFrame, person: DataFrame, staging: str) -> None:
+    truncate_load(tribe_dimension(tribes, person), staging, keys=["id"])
+
+
+def load_units(
+    units: DataFrame, structure: DataFrame, tribes: DataFrame, clusters: DataFrame, chapters: DataFrame, staging: str
+) -> None:
+    truncate_load(unit_dimension(units, structure, tribes, clusters, chapters), staging, keys=["id"])
+
+
+def load_persons(tables: dict[str, DataFrame], now: datetime, staging: str) -> None:
+    truncate_load(person_snapshot(tables, now), staging, keys=["hrgate_person_id", "hrgate_assignment_id"])

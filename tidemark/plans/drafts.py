@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
@@ -70,6 +70,14 @@ def act_rows(
     return summarize(restrict(in_period_facts, chosen), attributes, measures)
 
 
+def wide_acts(
+    facts: DataFrame, keys: Sequence[str], attributes: Mapping[str, Column], measures: Mapping[str, Column]
+) -> DataFrame:
+    """Acts of many columns: facts are grouped by the few keys that the attributes are made of."""
+    grouped = summarize(facts, keys, measures)
+    return grouped.select(*[v.alias(n) for n, v in attributes.items()], *[F.col(quoted(n)) for n in measures])
+
+
 def packed_drafts(
     acts: DataFrame, code: str, year: int, month: int, calculated: date, dates: Sequence[str] = ()
 ) -> DataFrame:
@@ -88,6 +96,22 @@ def packed_drafts(
     )
 
 
+def run_drafts(
+    spark: SparkSession,
+    acts: DataFrame,
+    code: str,
+    year: int,
+    month: int,
+    calculated: date,
+    staging: str,
+    dates: Sequence[str] = (),
+) -> DataFrame:
+    """The job from act rows to the month's staged drafts, read back for the export."""
+    stage_drafts(packed_drafts(acts, code, year, month, calculated, dates), staging)
+    staged = spark.read.parquet(staging)
+    return staged.filter((F.col("YearNumber") == year) & (F.col("MonthNumber") == month))
+
+
 def stage_drafts(drafts: DataFrame, path: str) -> None:
     """Replace the staged drafts, with the constant log id in front."""
     staged = drafts.select(F.expr(NO_LOG_ID).alias("ETL_LOG_ID"), *drafts.columns)
@@ -107,9 +131,9 @@ def dates_as_times(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in days}) if days else df
 
 
-def export_documents(rows: DataFrame, group: Column, root: str = "WipActs", max_records: int = 10000) -> DataFrame:
-    """Documents ``{"WipActs": [...]}`` of at most ``max_records`` rows of one group each."""
-    packed = pack_records(dates_as_times(rows), group, rows.columns, max_records, JSON_OPTIONS)
+def export_documents(rows: DataFrame, group: Column, root: str = "WipActs", max_bytes: int = 64 << 20) -> DataFrame:
+    """Documents ``{"WipActs": [...]}``, one per group, or more of about ``max_bytes`` each."""
+    packed = pack_records(dates_as_times(rows), group, rows.columns, max_bytes, JSON_OPTIONS)
     document = F.concat(F.lit(f'{{"{root}": '), F.col("json_text"), F.lit("}"))
     return packed.select(F.col("entity").alias("group"), document.alias("document"))
 

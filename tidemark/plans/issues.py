@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import MergeSpec, merge, null_equal
+from tidemark.sources.tables import append, read_snapshot, truncate_load, write_snapshot
 
 STATUS_UPDATE = MergeSpec(
     keys=("issue_id",),
@@ -38,3 +39,16 @@ def returned_statuses(issue_statuses: DataFrame, statuses: DataFrame) -> DataFra
 
 def update_statuses(target: DataFrame, returned: DataFrame, run_ts: datetime) -> DataFrame:
     return merge(target, returned, STATUS_UPDATE, run_ts)
+
+
+def send_issues(custom_status: DataFrame, issues: DataFrame, outgoing: str) -> None:
+    """The copy out: the other side's staging gets the issues behind those it holds."""
+    append(issues_to_send(custom_status, issues), outgoing)
+
+
+def load_statuses(
+    spark: SparkSession, issue_statuses: DataFrame, statuses: DataFrame, staging: str, root: str, run_ts: datetime
+) -> None:
+    """The copy back: staging is replaced, then issues whose status differs are updated."""
+    truncate_load(returned_statuses(issue_statuses, statuses), staging)
+    write_snapshot(update_statuses(read_snapshot(spark, root), spark.read.parquet(staging), run_ts), root)

@@ -15,8 +15,8 @@ from tidemark.fixed_values import (
 )
 from tidemark.functions.dates import parse_or_epoch
 from tidemark.functions.defaults import or_default
-from tidemark.sources.extracts import read_xml
-from tidemark.sources.tables import append
+from tidemark.sources.extracts import escaped_xml, read_xml
+from tidemark.sources.tables import append, truncate_load
 
 ENTRY_SCHEMA = StructType([StructField(c, StringType()) for c in (*JOURNAL_COLUMNS, JOURNAL_DROPPED)])
 
@@ -29,11 +29,12 @@ def read_entries(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
 def typed_value(name: str, money: tuple[str, ...] = JOURNAL_MONEY, dates: tuple[str, ...] = JOURNAL_DATES) -> Column:
     """The default rule of the column's class: money 0, dates 1970-01-01, other text '1'.
 
-    The class is declared by name.  Text codes stay text, so leading zeros survive.
+    The class is declared by name.  Text codes stay text, so leading zeros survive.  Money and
+    rates are floating point, as the extract gives them, so no digit is cut.
     """
     column = F.col(name)
     if name in money:
-        value = or_default(column.cast("decimal(19,4)"), 0).cast("decimal(19,4)")
+        value = or_default(column.cast("double"), 0.0)
     elif name in dates:
         value = parse_or_epoch(column.cast("string"))
     else:
@@ -45,6 +46,18 @@ def type_entries(entries: DataFrame) -> DataFrame:
     return entries.select(*[typed_value(c) for c in JOURNAL_COLUMNS])
 
 
+def load(responses: DataFrame, column: str, row_tag: str, staging: str, root_tag: str = "JournalEntries") -> None:
+    """Landed responses, each with its escaped list, into emptied staging.
+
+    A repeated month replaces what was staged; a response without its list fails before anything
+    is cleared, since the rows are written before they take the place of the old ones.
+    """
+    fields = ", ".join(f"`{c}` string" for c in (*JOURNAL_COLUMNS, JOURNAL_DROPPED))
+    entries = escaped_xml(responses, column, root_tag, row_tag, fields, drop=[JOURNAL_DROPPED])
+    typed = type_entries(entries)
+    truncate_load(typed.select(F.expr("X'00'").alias("ETL_LOG_ID"), *typed.columns), staging)
+
+
 def stage(entries: DataFrame, path: str) -> None:
     """Append typed entries behind the constant log id; one call may hold any number of months."""
     append(type_entries(entries), path, {"ETL_LOG_ID": F.expr("X'00'")})

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.merge import keyed_upsert
 from tidemark.sources.extracts import read_records
+from tidemark.sources.tables import current_snapshot, read_snapshot, write_snapshot
 
 UNIT_RESPONSE = "id string, description string, org_code string, short_name string, title string"
 UNIT_COLUMNS = ("id", "description", "org_code", "short_name", "title")
@@ -16,5 +17,12 @@ def read_units(spark: SparkSession, path: str) -> DataFrame:
     return read_records(spark, path, UNIT_RESPONSE, {c: c for c in UNIT_COLUMNS})
 
 
+def load_units(spark: SparkSession, landed: str, root: str) -> None:
+    """All landed pages into staging, a snapshot table, by id; units without a page keep their row."""
+    units = read_units(spark, landed)
+    staged = read_snapshot(spark, root) if current_snapshot(spark, root) else units.limit(0)
+    write_snapshot(upsert_units(staged, units), root)
+
+
 def upsert_units(staging: DataFrame, units: DataFrame) -> DataFrame:
     return keyed_upsert(staging, units, ["id"])

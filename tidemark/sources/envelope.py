@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +25,7 @@ class Field:
         return self.key or self.name
 
 
+SALTS = 32
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
@@ -34,32 +33,31 @@ def pack_records(
     df: DataFrame,
     entity: Column,
     columns: Sequence[str],
-    max_records: int = 1000,
+    max_bytes: int = 4 << 20,
     json_options: dict[str, str] = KEEP_NULLS,
 ) -> DataFrame:
-    """Put records into envelopes of at most ``max_records`` each.
+    """Put records into envelopes of about ``max_bytes`` each.
 
-    Map-side only: every task packs its own rows batch by batch, so an entity that holds most
-    of the data is spread over as many envelopes as it needs and never gathered in one place.
+    An entity's bytes decide how many envelopes it gets, and a record's content decides which one
+    it is in, in the order of the texts; so the envelopes are the same however the rows are
+    partitioned, and an entity with most of the data is spread over many tasks.  The records are
+    read twice: for the bytes, and to be packed.
     """
     records = df.select(
         entity.cast("string").alias("entity"),
-        F.to_json(F.struct(*columns), json_options).alias("json_text"),
+        F.to_json(F.struct(*columns), json_options).alias("json"),
     )
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, max_records):
-                part = pa.Table.from_batches([batch.slice(start, max_records)])
-                grouped = part.group_by("entity", use_threads=False).aggregate([("json_text", "list")])
-                joined = pc.binary_join(grouped["json_text_list"].combine_chunks(), ",")
-                brackets = [pa.scalar(c, joined.type) for c in ("[", "]", "")]
-                text = pc.binary_join_element_wise(brackets[0], joined, brackets[1], brackets[2])
-                yield pa.RecordBatch.from_arrays(
-                    [grouped["entity"].combine_chunks(), text], names=["entity", "json_text"]
-                )
-
-    return records.mapInArrow(pack, ENVELOPE)
+    sizes = records.groupBy("entity").agg(F.sum(F.octet_length("json") + 1).alias("bytes"))
+    envelopes = F.greatest(F.ceil(F.col("bytes") / max_bytes), F.lit(1)).cast("bigint")
+    # Salted, so that the records of one large entity meet its size in many tasks.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salted")
+    counted = sizes.select(F.col("entity").alias("named"), envelopes.alias("envelopes"), salts)
+    salt = F.pmod(F.xxhash64("json"), F.lit(SALTS)).cast("int")
+    dealt = records.withColumn("salt", salt).join(counted, F.expr("salt = salted AND entity <=> named"))
+    dealt = dealt.withColumn("envelope", F.pmod(F.xxhash64("json", F.lit(1)), F.col("envelopes")))
+    joined = F.array_join(F.sort_array(F.collect_list("json")), ",")
+    packed = dealt.groupBy("entity", "envelope").agg(joined.alias("joined"))
+    return packed.select("entity", F.concat(F.lit("["), "joined", F.lit("]")).alias("json_text"))
 
 
 def append_envelopes(envelopes: DataFrame, path: str) -> None:

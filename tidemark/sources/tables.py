@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import require_unique
@@ -35,13 +35,13 @@ def write_relation(df: DataFrame, path: str | None = None, fmt: str = "parquet",
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of this machine.
+    Only a local session may lack that setting; its folders are below its warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -62,20 +62,53 @@ def append(df: DataFrame, path: str, constants: Mapping[str, Column] | None = No
     df.select(*extra, *df.columns).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-# --- snapshots -------------------------------------------------------------------------
+# --- versions ---------------------------------------------------------------------------
 #
 # The next snapshot of a target is computed from the current one, and a folder cannot be read
 # and overwritten by one plan.  Each write therefore goes to a folder of its own, and becomes
-# current by one small row appended after it succeeded.
+# current by one small row appended to a log after it succeeded.
+
+LOG = "number long, folder string, slice string, whole boolean"
+
+
+def _log(spark: SparkSession, root: str) -> list[Row]:
+    """The log's rows in order; an error if two writers took one number."""
+    try:
+        rows = spark.read.schema(LOG).json(f"{root}/{VERSIONS}").orderBy("number").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    numbers = [r.number for r in rows]
+    if len(set(numbers)) < len(numbers):
+        raise RuntimeError(f"two writers took one number below {root}: {numbers}")
+    return rows
+
+
+def _commit(df: DataFrame, root: str, partition_by: Sequence[str], slice: str | None, whole: bool) -> str:
+    """Write a folder and make it known; a failed write changes nothing.
+
+    Of two writers that take the same number, both fail and so does every later read, rather than
+    one update getting lost unseen.
+    """
+    spark = df.sparkSession
+    rows = _log(spark, root)
+    number = rows[-1].number + 1 if rows else 1
+    folder = f"v{number:08d}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{root}/{folder}")
+    entry = spark.range(1).select(
+        F.lit(number).cast("long").alias("number"), F.lit(folder).alias("folder"),
+        F.lit(slice).cast("string").alias("slice"), F.lit(whole).alias("whole"),
+    )
+    entry.coalesce(1).write.mode("append").json(f"{root}/{VERSIONS}")
+    _log(spark, root)
+    return f"{root}/{folder}"
 
 
 def current_snapshot(spark: SparkSession, root: str) -> str | None:
     """The folder of the current snapshot, or None before the first one."""
-    if not _exists(spark, f"{root}/{VERSIONS}"):
-        return None
-    log = spark.read.schema("number long, folder string").json(f"{root}/{VERSIONS}")
-    row = log.agg(F.max_by("folder", "number").alias("folder")).first()
-    return f"{root}/{row.folder}" if row and row.folder else None
+    rows = _log(spark, root)
+    return f"{root}/{rows[-1].folder}" if rows else None
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
@@ -87,16 +120,7 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
 
 def write_snapshot(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
     """Write the next snapshot and make it current; a failed write changes nothing."""
-    spark = df.sparkSession
-    number = 1
-    if _exists(spark, f"{root}/{VERSIONS}"):
-        log = spark.read.schema("number long, folder string").json(f"{root}/{VERSIONS}")
-        number = (log.agg(F.max("number")).first()[0] or 0) + 1
-    folder = f"v{number:08d}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{root}/{folder}")
-    entry = spark.range(1).select(F.lit(number).cast("long").alias("number"), F.lit(folder).alias("folder"))
-    entry.coalesce(1).write.mode("append").json(f"{root}/{VERSIONS}")
-    return f"{root}/{folder}"
+    return _commit(df, root, partition_by, None, True)
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -117,25 +141,33 @@ def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], bu
     return df.sparkSession.table(table)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-
-
 # --- increments --------------------------------------------------------------------------
 
 
 def write_slice(df: DataFrame, root: str, low: datetime, full_load: bool = False) -> None:
     """Add the slice that starts at ``low`` to a history, or replace the whole history by it.
 
-    The slice has a folder named by its start.  A run that stored its slice and then failed to
-    move the mark starts at the same point next time, with a later end perhaps, and so replaces
-    what it stored.
+    A slice takes the place of an earlier one with the same start, also when it has no rows.  A run
+    that stored its slice and then failed to move the mark starts at the same point next time, with
+    a later end perhaps, and so replaces what it stored.  What is replaced, by a full load too,
+    stays readable until the new rows are written.
     """
-    writer = df.withColumn("slice", F.lit(f"{low:%Y%m%dT%H%M%S}")).write.partitionBy("slice")
-    mode = "static" if full_load else "dynamic"
-    writer.mode("overwrite").option("partitionOverwriteMode", mode).parquet(root)
+    _commit(df, root, (), f"{low:%Y%m%dT%H%M%S}", full_load)
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.option("basePath", root).parquet(root).drop("slice")
+    """The latest full load and the latest write of each slice since."""
+    slices: dict[str, str] = {}
+    for row in _log(spark, root):
+        if row.whole:
+            slices.clear()
+        slices[row.slice] = row.folder
+    if not slices:
+        raise FileNotFoundError(f"no history below {root}")
+    return spark.read.parquet(*[f"{root}/{folder}" for folder in slices.values()])
+
+
+def compact_history(spark: SparkSession, root: str) -> None:
+    """One folder for all slices so far, named by the first of them."""
+    first = min(row.slice for row in _log(spark, root))
+    _commit(read_history(spark, root), root, (), first, True)

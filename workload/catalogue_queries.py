@@ -12,6 +12,7 @@ from tidemark.operators.merge import merge_with_actions
 from tidemark.plans import catalogue, dimensions
 from tidemark.plans.issues import issues_to_send
 from tidemark.sources.envelope import pack_records
+from tidemark.sources.tables import shared_folder
 from workload.merge_queries import both
 from workload.merge_sql import any_differs, merge_sql
 from workload.registry import RUN_TS, project, query, select_sql, table
@@ -299,14 +300,19 @@ def product_upsert_dialect(spark: SparkSession, sf: str) -> DataFrame:
 # --- dimensions -----------------------------------------------------------------------------------------
 
 
-@query(
-    """
+_TRIBES_SQL = """
     SELECT s_suppkey AS id, s_name AS name, 'd' AS description, c_custkey AS tribe_owner_id,
            c_name AS tribe_owner_name, s_nationkey AS cluster_id
     FROM supplier LEFT JOIN customer ON c_custkey = s_suppkey * 20 WHERE s_acctbal >= 0
-    """
-)
-def dim_left_lookup(spark: SparkSession, sf: str) -> DataFrame:
+"""
+_CLUSTERS_SQL = """
+    SELECT o_orderkey AS id, o_orderpriority AS name, o_orderstatus AS description,
+           c_custkey AS cluster_leader_id, c_name AS cluster_leader_name
+    FROM orders LEFT JOIN customer ON c_custkey = CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END
+"""
+
+
+def _tribes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     tribes = project(
         table(spark, sf, "supplier"),
         {
@@ -318,17 +324,10 @@ def dim_left_lookup(spark: SparkSession, sf: str) -> DataFrame:
             "IS_DELETED": "CASE WHEN s_acctbal < 0 THEN 1 ELSE 0 END",
         },
     )
-    return dimensions.tribe_dimension(tribes, _person(spark, sf))
+    return tribes, _person(spark, sf)
 
 
-@query(
-    """
-    SELECT o_orderkey AS id, o_orderpriority AS name, o_orderstatus AS description,
-           c_custkey AS cluster_leader_id, c_name AS cluster_leader_name
-    FROM orders LEFT JOIN customer ON c_custkey = CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END
-    """
-)
-def cluster_lookup(spark: SparkSession, sf: str) -> DataFrame:
+def _clusters(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     clusters = project(
         table(spark, sf, "orders"),
         {
@@ -338,15 +337,41 @@ def cluster_lookup(spark: SparkSession, sf: str) -> DataFrame:
             "ClusterLeaderId": "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END",
         },
     )
-    return dimensions.cluster_dimension(clusters, _person(spark, sf))
+    return clusters, _person(spark, sf)
+
+
+@query(_TRIBES_SQL)
+def dim_left_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    return dimensions.tribe_dimension(*_tribes(spark, sf))
+
+
+@query(_CLUSTERS_SQL)
+def cluster_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    return dimensions.cluster_dimension(*_clusters(spark, sf))
+
+
+def _loaded_twice(spark: SparkSession, load) -> DataFrame:
+    staging = shared_folder(spark, "dimension")
+    for _ in range(2):
+        load(staging)
+    return spark.read.parquet(staging)
+
+
+@query(_TRIBES_SQL)
+def tribes_load(spark: SparkSession, sf: str) -> DataFrame:
+    return _loaded_twice(spark, lambda staging: dimensions.load_tribes(*_tribes(spark, sf), staging))
+
+
+@query(_CLUSTERS_SQL)
+def clusters_load(spark: SparkSession, sf: str) -> DataFrame:
+    return _loaded_twice(spark, lambda staging: dimensions.load_clusters(*_clusters(spark, sf), staging))
 
 
 def _person(spark: SparkSession, sf: str) -> DataFrame:
     return project(table(spark, sf, "customer"), {"PersonCode": "c_custkey", "NameLocal": "c_name"})
 
 
-@query(
-    """
+_UNITS_SQL = """
     WITH place AS (SELECT c_custkey, NULLIF(c_nationkey, 0) AS code FROM customer WHERE c_mktsegment <> 'BUILDING'),
          tribe AS (SELECT n_nationkey, n_name, NULLIF(n_regionkey, 0) AS region FROM nation WHERE n_nationkey <> 6),
          -- a tribe with code 0 is looked up as well: it has a cluster, but no name of its own
@@ -361,16 +386,31 @@ def _person(spark: SparkSession, sf: str) -> DataFrame:
            (SELECT s_name FROM supplier WHERE s_suppkey = code AND s_acctbal >= 0) AS chapter_name_rms
     FROM customer LEFT JOIN place USING (c_custkey) LEFT JOIN tribe_of USING (c_custkey)
     """
-)
+
+
+@query(_UNITS_SQL)
 def unit_denorm(spark: SparkSession, sf: str) -> DataFrame:
+    return dimensions.unit_dimension(**_unit_tables(spark, sf))
+
+
+@query(_UNITS_SQL)
+def units_load(spark: SparkSession, sf: str) -> DataFrame:
+    return _loaded_twice(spark, lambda staging: dimensions.load_units(**_unit_tables(spark, sf), staging=staging))
+
+
+def _unit_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     customer = table(spark, sf, "customer")
-    return dimensions.unit_dimension(
+    return dict(
         units=project(
             customer, {"UnitId": "c_custkey", "Title": "c_name", "Description": "c_mktsegment", "OrgCode": "'org'"}
         ),
         structure=project(
-            customer.filter("c_mktsegment <> 'BUILDING'"),
-            {"UnitId": "c_custkey", "TribeCode": "c_nationkey", "ChapterCode": "c_nationkey"},
+            customer,
+            {
+                "UnitId": "CASE WHEN c_mktsegment = 'BUILDING' THEN -1 - c_custkey ELSE c_custkey END",
+                "TribeCode": "c_nationkey",
+                "ChapterCode": "c_nationkey",
+            },
         ),
         tribes=project(
             table(spark, sf, "nation"),
@@ -406,8 +446,7 @@ _FIRED = (
 )
 
 
-@query(
-    f"""
+_PERSONS_SQL = f"""
     SELECT DISTINCT c_custkey AS hrgate_person_id, o_orderkey AS hrgate_assignment_id,
            o_orderpriority AS login, STRFTIME(l_shipdate, '%Y-%m-%d %H:%M:%S.000') AS assignment_hire_date,
            s_name AS role, p_type AS position, o_orderstatus AS fio, p_brand AS business_unit,
@@ -424,14 +463,32 @@ _FIRED = (
     LEFT JOIN nation le ON le.n_nationkey = p_size AND le.n_regionkey <> 1
     WHERE (fired >= TIMESTAMP '1998-06-01' OR fired IS NULL OR fired = TIMESTAMP '1900-01-01')
       AND (hired <= TIMESTAMP '1998-06-01' OR hired IS NULL OR hired = TIMESTAMP '1900-01-01')
-    """
-)
+"""
+
+
+@query(_PERSONS_SQL)
 def active_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    return dimensions.person_snapshot(_person_tables(spark, sf), datetime(1998, 6, 1))
+
+
+# Here an order is its own assignment, so the two keys of a person's assignment are unique.
+_OWN = {"AssignmentId": "o_orderkey", "StaffUnitId": "o_custkey", "HireDate": "o_orderdate"}
+_OWN_SQL = "(SELECT o_orderkey AS l_orderkey, o_custkey AS l_partkey, o_orderdate AS l_shipdate FROM orders)"
+
+
+@query(_PERSONS_SQL.replace("JOIN lineitem ON", f"JOIN {_OWN_SQL} ON"))
+def persons_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Staging by the two keys of a person's assignment."""
+    tables = _person_tables(spark, sf) | {"assignments": project(table(spark, sf, "orders"), _OWN)}
+    return _loaded_twice(spark, lambda staging: dimensions.load_persons(tables, datetime(1998, 6, 1), staging))
+
+
+def _person_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
     lineitem, part = table(spark, sf, "lineitem"), table(spark, sf, "part")
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
     none = "TIMESTAMP_NTZ '1900-01-01 00:00:00'"
-    tables = {
+    return {
         "assignment_mapping": project(
             orders,
             {
@@ -453,9 +510,9 @@ def active_snapshot(spark: SparkSession, sf: str) -> DataFrame:
         "employees": project(customer, {"EmployeeId": "c_custkey", "OrganizationId": "c_nationkey"}),
         "organizations": project(nation, {"OrganizationId": "n_nationkey", "UnitTitle": "n_name"}),
         "staff_units": project(
-            part.filter("p_size > 5"),
+            part,
             {
-                "SourceSystemStaffUnitId": "CAST(p_partkey AS STRING)",
+                "SourceSystemStaffUnitId": "CASE WHEN p_size > 5 THEN CAST(p_partkey AS STRING) END",
                 "PositionName": "p_type",
                 "BusinessUnitCode": "p_brand",
                 "ClusterCode": "p_size",
@@ -468,10 +525,13 @@ def active_snapshot(spark: SparkSession, sf: str) -> DataFrame:
         "tribes": project(nation, {"TribeCode": "n_nationkey", "Name": "n_name"}),
         "roles": project(table(spark, sf, "supplier"), {"Code": "CAST(s_suppkey AS INT)", "Name": "s_name"}),
         "legal_entities": project(
-            nation.filter("n_regionkey <> 1"), {"LegalEntityCode": "n_nationkey", "LegalEntityName": "n_name"}
+            nation,
+            {
+                "LegalEntityCode": "CASE WHEN n_regionkey <> 1 THEN n_nationkey END",
+                "LegalEntityName": "n_name",
+            },
         ),
     }
-    return dimensions.person_snapshot(tables, datetime(1998, 6, 1))
 
 
 @query(

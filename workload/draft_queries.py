@@ -7,9 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.fixed_values import ACT_EXPORT
 from tidemark.operators.packing import pack_attributes, pack_measures, split_columns, unpivot_text
 from tidemark.plans import drafts
+from tidemark.sources.tables import shared_folder
 from workload.registry import project, query, table
 
 # --- the aggregate -----------------------------------------------------------------------------------
@@ -98,6 +98,7 @@ _ACTS = {
     "ELSE CONCAT('5.', CASE WHEN p_size < 20 THEN '02' ELSE '11' END, '.2023') END",
     "Projects[Spaces]": "CONCAT(p_type, '  \t x')",
     "[Price до даты]": "CAST(p_retailprice AS DECIMAL(19,4))",
+    "[Rate]": "CASE p_size % 4 WHEN 0 THEN 0.00004D WHEN 1 THEN 1.23456789D WHEN 2 THEN 206060005.0D ELSE p_retailprice END",
     "[Size]": "CASE WHEN p_size = 4 THEN NULL ELSE p_size END",
     "[Local]": "CASE WHEN p_size = 5 THEN '1,5' ELSE CAST(p_size AS STRING) END",
 }
@@ -115,6 +116,8 @@ _ACT_SQL = {
     "WHEN p_size < 20 THEN '2023-02-05' ELSE '2023-11-05' END",
     "Projects[Spaces]": "p_type || ' x'",
     "[Price до даты]": "CAST(CAST(p_retailprice AS DECIMAL(19,4)) AS VARCHAR)",
+    "[Rate]": "CASE p_size % 4 WHEN 0 THEN '0.00004' WHEN 1 THEN '1.23456789' WHEN 2 THEN '206060005.0' "
+    "ELSE CAST(p_retailprice AS VARCHAR) END",
     "[Size]": "CASE WHEN p_size = 4 THEN 'null' ELSE CAST(p_size AS VARCHAR) END",
     "[Local]": "CASE WHEN p_size = 5 THEN '1.5' ELSE CAST(p_size AS VARCHAR) END",
 }
@@ -163,6 +166,55 @@ def act_drafts(spark: SparkSession, sf: str) -> DataFrame:
     return drafts.packed_drafts(acts, "Donors[Code]", 2023, 11, date(2023, 11, 30), _DATES)
 
 
+# --- the whole job at its full width: 36 attributes and 67 measures ---------------------------------------
+
+_WIDE_ATTRIBUTES = [f"Donors[A{k:02d}]" for k in range(36)]
+_WIDE_MEASURES = [f"[M{k:02d} до даты]" for k in range(67)]
+
+
+def _wide_sql() -> str:
+    """Attribute k is the brand and k, measure k the sum of amounts of flag 'A', 'N' or 'R' times k."""
+    attributes = " || ', ' || ".join(
+        f"""'{{"Attribute": "{n}", "value": "' || p_brand || ' {k}' || '"}}'""" for k, n in enumerate(_WIDE_ATTRIBUTES)
+    )
+    flags = "ANR"
+    measures = " || ', ' || ".join(
+        f"""'{{"Measure": "{n}", "value": ' || COALESCE(CAST(CAST({k} * sum_{flags[k % 3]} AS DECIMAL(18,2)) AS VARCHAR), 'null') || '}}'"""
+        for k, n in enumerate(_WIDE_MEASURES)
+    )
+    sums = ", ".join(
+        f"SUM(CASE WHEN l_returnflag = '{f}' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS sum_{f}" for f in flags
+    )
+    uuid = " || '-' || ".join(
+        f"SUBSTR(MD5(p_brand || ' 0'), {at}, {size})" for at, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    )
+    return f"""
+    WITH acts AS (SELECT p_brand, {sums} FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY p_brand)
+    SELECT '00' AS "ETL_LOG_ID", {uuid} AS "ActId", '[' || {attributes} || ']' AS "Attributes",
+           '[' || {measures} || ']' AS "Measures", DATE '2023-11-30' AS "CalculationDate",
+           2023 AS "YearNumber", 11 AS "MonthNumber"
+    FROM acts
+    """
+
+
+@query(_wide_sql())
+def act_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts aggregated, packed at full width, staged by month and read back, twice."""
+    brands = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    facts = table(spark, sf, "lineitem").join(brands, "l_partkey")
+    attributes = {n: F.concat("p_brand", F.lit(f" {k}")) for k, n in enumerate(_WIDE_ATTRIBUTES)}
+    amount = F.col("l_extendedprice").cast("decimal(18,2)")
+    measures = {
+        n: (F.sum(F.when(F.col("l_returnflag") == "ANR"[k % 3], amount)) * k).cast("decimal(18,2)")
+        for k, n in enumerate(_WIDE_MEASURES)
+    }
+    acts = drafts.wide_acts(facts, ["p_brand"], attributes, measures)
+    staging = shared_folder(spark, "drafts")
+    for _ in range(2):
+        staged = drafts.run_drafts(spark, acts, "Donors[A00]", 2023, 11, date(2023, 11, 30), staging)
+    return staged.withColumn("ETL_LOG_ID", F.hex("ETL_LOG_ID"))
+
+
 @query(
     """
     SELECT p_partkey, 'p_name' AS variable, p_name AS value FROM part
@@ -200,13 +252,23 @@ _FIELD_SQL = {
     "ActStatus": "'\"' || o_orderstatus || '\"'",
     "Amount": "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)",
 }
+# The receiver's fields in order, as view column and name where they differ; kept apart from the
+# library's own list.
+_EXPORTED = [
+    (x, "CurrenrId" if x == "CurrencyId" else x)
+    for x in (
+        "id ProjectId ProjectCode CustomerId ContractorId CurrencyId ContractId ContractName ContractFrame ContractCount "
+        "Date StartPeriodDate EndPeriodDate ActStatus ActNumber ActType Hyperion TaskOebsName CapexOpex CostSegmentCode "
+        "ResponsibilityCenterCode WIPCustomerCluster Amount SumFot SumMargin SumLeaders SumOverheadCosts"
+    ).split()
+]
 _RECORD_SQL = " || ',' || ".join(
-    f"'\"{name}\":' || {_FIELD_SQL.get(column, repr('null'))}" for column, name in ACT_EXPORT.items()
+    f"'\"{name}\":' || {_FIELD_SQL.get(column, repr('null'))}" for column, name in _EXPORTED
 )
 
 
 def _export_rows(spark: SparkSession, sf: str) -> DataFrame:
-    columns = {c: _VIEW.get(c, "CAST(NULL AS STRING)") for c in ACT_EXPORT}
+    columns = {c: _VIEW.get(c, "CAST(NULL AS STRING)") for c, _ in _EXPORTED}
     periods = {"Year": "year(o_orderdate)", "MonthNumber": "month(o_orderdate)"}
     return drafts.export_rows(project(table(spark, sf, "orders"), columns | periods), 1997, 11)
 
@@ -214,13 +276,14 @@ def _export_rows(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
     SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS "group",
-           '{{"WipActs": [{{' || {_RECORD_SQL} || '}}]}}' AS document
-    FROM orders WHERE YEAR(o_orderdate) = 1997 AND MONTH(o_orderdate) = 11
+           '{{"WipActs": [' || STRING_AGG('{{' || {_RECORD_SQL} || '}}', ',' ORDER BY '{{' || {_RECORD_SQL} || '}}')
+           || ']}}' AS document
+    FROM orders WHERE YEAR(o_orderdate) = 1997 AND MONTH(o_orderdate) = 11 GROUP BY 1
     """
 )
 def act_export_text(spark: SparkSession, sf: str) -> DataFrame:
-    """The month's drafts as documents of one record, to the byte."""
-    return drafts.export_documents(_export_rows(spark, sf), F.col("Date").cast("date"), max_records=1)
+    """The month's drafts as one document a day, to the byte: records in the order of their texts."""
+    return drafts.export_documents(_export_rows(spark, sf), F.col("Date").cast("date"))
 
 
 @query(
@@ -235,7 +298,7 @@ def act_export_text(spark: SparkSession, sf: str) -> DataFrame:
 )
 def act_export_json(spark: SparkSession, sf: str) -> DataFrame:
     """The month's drafts as documents per day, taken apart again record by record."""
-    documents = drafts.export_documents(_export_rows(spark, sf), F.col("Date").cast("date"), max_records=500)
+    documents = drafts.export_documents(_export_rows(spark, sf), F.col("Date").cast("date"), max_bytes=500)
     record = "id bigint, ProjectId int, CurrenrId string, StartPeriodDate timestamp_ntz, Amount decimal(18,2)"
     parsed = F.from_json("document", f"WipActs array<struct<{record}>>").getField("WipActs")
     return documents.select("group", F.explode(parsed).alias("r")).select("group", "r.*")

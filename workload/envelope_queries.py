@@ -52,7 +52,7 @@ def _nation() -> Column:
 )
 def envelope_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     accounts = project(table(spark, sf, "customer"), {**_ACCOUNT, "c_nationkey": "c_nationkey"})
-    packed = pack_records(accounts, _nation(), list(_ACCOUNT), max_records=500)
+    packed = pack_records(accounts, _nation(), list(_ACCOUNT), max_bytes=20_000)
     return records(packed, None, _ACCOUNT_FIELDS)
 
 
@@ -106,7 +106,7 @@ def json_pages(spark: SparkSession, sf: str) -> DataFrame:
             "hours": "CASE WHEN c_nationkey = 3 THEN NULL ELSE CAST(c_acctbal AS DECIMAL(18,2)) END",
         },
     )
-    packed = pack_records(rows, F.lit("hours"), rows.columns, max_records=700)
+    packed = pack_records(rows, F.lit("hours"), rows.columns, max_bytes=20_000)
     page = F.concat(F.lit('{"timeAllocations": '), F.col("json_text"), F.lit("}"))
     empty = spark.range(1).select(F.lit('{"timeAllocations": []}').alias("value"))
     landed, staging = shared_folder(spark, "pages"), shared_folder(spark, "hours")
@@ -122,10 +122,13 @@ def json_pages(spark: SparkSession, sf: str) -> DataFrame:
            CASE WHEN s_acctbal < 0 THEN NULL ELSE 'nation' END AS description,
            CAST(s_nationkey AS VARCHAR) AS org_code, 'S' AS short_name
     FROM supplier
+    UNION ALL SELECT 'x' || s_suppkey, s_name || ' new', NULL, CAST(s_nationkey AS VARCHAR), 'S'
+    FROM supplier WHERE s_acctbal >= 0
     """
 )
 def org_units_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Units landed as JSON arrays, picked by name, upserted into staging by id."""
+    """Units landed as JSON arrays, picked by name, loaded into staging by id: a first load, and
+    one that changes some units and brings new ones, run twice."""
     unit = {
         "title": "s_name",
         "unused": "s_acctbal",
@@ -134,12 +137,17 @@ def org_units_load(spark: SparkSession, sf: str) -> DataFrame:
         "short_name": "'S'",
     }
     supplier = table(spark, sf, "supplier")
-    staged = project(supplier, {**unit, "description": "'nation'"}).select(*org_units.UNIT_COLUMNS)
-    changed = project(supplier.filter("s_acctbal < 0"), {**unit, "title": "CONCAT(s_name, ' new')"})
-    landed = shared_folder(spark, "units")
-    pages = pack_records(changed, F.lit("units"), changed.columns)
-    pages.select(F.col("json_text").alias("value")).write.text(landed)
-    return org_units.upsert_units(staged, org_units.read_units(spark, landed))
+    first = project(supplier, {**unit, "description": "'nation'"})
+    changed_id = "CASE WHEN s_acctbal < 0 THEN CAST(s_suppkey AS STRING) ELSE CONCAT('x', s_suppkey) END"
+    second = project(supplier, {**unit, "id": changed_id, "title": "CONCAT(s_name, ' new')"})
+    root, landings = shared_folder(spark, "units"), []
+    for units in (first, second):
+        landings.append(shared_folder(spark, "landed-units"))
+        pages = pack_records(units, F.lit("units"), units.columns)
+        pages.select(F.col("json_text").alias("value")).write.text(landings[-1])
+    for landed in (*landings, landings[1]):
+        org_units.load_units(spark, landed, root)
+    return read_snapshot(spark, root)
 
 
 # --- systems: responses to envelopes to merge ------------------------------------------------------

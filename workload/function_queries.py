@@ -63,19 +63,18 @@ _SPACES = (
     f"""
     SELECT doc_id, LENGTH(REGEXP_REPLACE(text, '{_SPACES}', ' ', 'g')) AS n,
            MD5(REPLACE(REGEXP_REPLACE(text, '{_SPACES}', ' ', 'g'), '"', '\\"')) AS digest,
-           SUBSTR(text, 1, 4000) AS head
+           SUBSTR(source, 1, 4) AS head
     FROM documents
     """
 )
 def text_functions(spark: SparkSession, sf: str) -> DataFrame:
-    """Blanks collapsed and quotes escaped over whole texts; the cut is the 4000-character limit
-    of descriptions."""
+    """Blanks collapsed and quotes escaped over whole texts; sources cut to a width the caller gives."""
     clean = text.collapse_space(F.col("text"))
     return table(spark, sf, "documents").select(
         "doc_id",
         F.length(clean).cast("bigint").alias("n"),
         F.md5(text.escape_quotes(clean).cast("binary")).alias("digest"),
-        text.cut(F.col("text"), 4000).alias("head"),
+        text.cut(F.col("source"), 4).alias("head"),
     )
 
 

@@ -6,14 +6,18 @@ lacks the oldest, and values differ or are NULL by attributes of the row.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import keyed_upsert, merge_with_actions, soft_delete_absent
+from tidemark.plans import issues
 from tidemark.plans.catalogue import PRODUCT_MERGE
 from tidemark.plans.corrections import ADDED_FACT_MERGE, TRANSFER_MERGE
 from tidemark.plans.issues import STATUS_UPDATE, returned_statuses
 from tidemark.plans.systems import CONSUMPTION_MERGE, SYSTEM_MERGE, SYSTEM_UPSERT
+from tidemark.sources.tables import read_snapshot, shared_folder, write_snapshot
 from workload.merge_sql import any_differs, merge_sql
 from workload.registry import RUN_TS, RUN_TS_SQL, project, query, select_sql, table
 
@@ -491,8 +495,10 @@ _ACCOUNT = {
     name="soft_delete_absent",
 )
 def soft_delete_absent_accounts(spark: SparkSession, sf: str) -> DataFrame:
-    recent = table(spark, sf, "orders").filter("o_orderdate >= TIMESTAMP_NTZ '2001-01-01'")
-    seen = recent.select(F.col("o_custkey").alias("c_custkey"))
+    seen = project(
+        table(spark, sf, "orders"),
+        {"c_custkey": "CASE WHEN o_orderdate >= TIMESTAMP_NTZ '2001-01-01' THEN o_custkey ELSE -1 - o_custkey END"},
+    )
     return soft_delete_absent(project(table(spark, sf, "customer"), _ACCOUNT), seen, ["c_custkey"], RUN_TS)
 
 
@@ -518,6 +524,27 @@ def keyed_upsert_accounts(spark: SparkSession, sf: str) -> DataFrame:
     return keyed_upsert(target, source.select(*columns), ["c_custkey"])
 
 
+@query(
+    """
+    SELECT o_custkey, o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_totalprice END AS o_totalprice FROM orders
+    UNION ALL SELECT -1 - o_custkey, o_orderkey, 0 FROM orders WHERE o_orderstatus <> 'F'
+    """,
+    name="keyed_upsert_two_columns",
+)
+def keyed_upsert_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by customer and number; those that are not finished come under customers nobody knows."""
+    orders = table(spark, sf, "orders")
+    source = project(
+        orders,
+        {
+            "o_custkey": "CASE WHEN o_orderstatus = 'F' THEN o_custkey ELSE -1 - o_custkey END",
+            "o_orderkey": "o_orderkey",
+            "o_totalprice": "CAST(0 AS DOUBLE)",
+        },
+    )
+    return keyed_upsert(orders.select(*source.columns), source, ["o_custkey", "o_orderkey"])
+
+
 # --- update of existing rows, on change only ---------------------------------------------------------
 
 _ISSUE = {
@@ -527,7 +554,8 @@ _ISSUE = {
     "updated_at": NO_TIME,
 }
 _RETURNED = {
-    "issue_id": "CAST(o_orderkey AS INT)",
+    # Orders before 1996 come back under ids nobody has.
+    "issue_id": f"CAST(CASE WHEN {_SINCE_1996} THEN o_orderkey ELSE -1 - o_orderkey END AS INT)",
     "gitlab_status_id": "CASE WHEN o_orderpriority = '1-URGENT' THEN 2 WHEN o_orderstatus = 'F' THEN 1 "
     "WHEN o_orderstatus = 'O' THEN 2 ELSE 0 END",
     "gitlab_status_name": "CASE WHEN o_orderpriority = '1-URGENT' THEN 'O' WHEN o_orderstatus = 'P' THEN '' "
@@ -545,7 +573,7 @@ _STATUS_WRITES = {c: f"s.{c}" for c in ("gitlab_status_id", "gitlab_status_name"
 @query(
     merge_sql(
         sql_of(_ISSUE, "orders"),
-        sql_of(_RETURNED, f"orders WHERE {_SINCE_1996}"),
+        sql_of(_RETURNED, "orders"),
         ["issue_id"],
         _STATUS_WRITES,
         _STATUS_CHANGED,
@@ -556,13 +584,13 @@ _STATUS_WRITES = {c: f"s.{c}" for c in ("gitlab_status_id", "gitlab_status_name"
 )
 def update_from_changed(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
-    source = project(orders.filter(_spark_time(_SINCE_1996)), _RETURNED)
+    source = project(orders, {n: _spark_time(e) for n, e in _RETURNED.items()})
     return merge_with_actions(project(orders, _ISSUE), source, STATUS_UPDATE, RUN_TS)
 
 
 # --- issue status sync: statuses looked up by name, then the update -------------------------------------
 
-_STATUS_KEY = "CASE WHEN o_totalprice > 400000 THEN -1 ELSE c_nationkey END"
+_STATUS_KEY = "CASE WHEN o_totalprice > 400000 OR o_orderstatus = 'F' THEN -1 ELSE c_nationkey END"
 
 
 @query(
@@ -571,8 +599,7 @@ _STATUS_KEY = "CASE WHEN o_totalprice > 400000 THEN -1 ELSE c_nationkey END"
         f"""SELECT CAST(o_orderkey AS INT) AS issue_id, n_nationkey AS gitlab_status_id,
                    n_name AS gitlab_status_name
             FROM orders JOIN customer ON c_custkey = o_custkey
-                 JOIN nation ON n_nationkey = {_STATUS_KEY}
-            WHERE o_orderstatus <> 'F'""",
+                 JOIN nation ON n_nationkey = {_STATUS_KEY}""",
         ["issue_id"],
         _STATUS_WRITES,
         _STATUS_CHANGED,
@@ -583,8 +610,45 @@ _STATUS_KEY = "CASE WHEN o_totalprice > 400000 THEN -1 ELSE c_nationkey END"
 )
 def issue_status_sync(spark: SparkSession, sf: str) -> DataFrame:
     orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
-    joined = orders.filter("o_orderstatus <> 'F'").join(customer, orders.o_custkey == customer.c_custkey)
-    issue_statuses = project(joined, {"IssueId": "CAST(o_orderkey AS INT)", "StatusGitLabId": _STATUS_KEY})
-    statuses = project(table(spark, sf, "nation"), {"Id": "n_nationkey", "Name": "n_name"})
-    returned = returned_statuses(issue_statuses, statuses)
+    returned = returned_statuses(*_sent_back(spark, sf))
     return merge_with_actions(project(orders, _ISSUE), returned, STATUS_UPDATE, RUN_TS)
+
+
+def _sent_back(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Issue statuses and the names of statuses."""
+    orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    issue_statuses = project(joined, {"IssueId": "CAST(o_orderkey AS INT)", "StatusGitLabId": _STATUS_KEY})
+    return issue_statuses, project(table(spark, sf, "nation"), {"Id": "n_nationkey", "Name": "n_name"})
+
+
+@query(
+    f"""
+    SELECT CAST(o_orderkey AS INT) AS issue_id,
+           CASE WHEN differs THEN new_id ELSE old_id END AS gitlab_status_id,
+           CASE WHEN differs THEN new_name ELSE old_name END AS gitlab_status_name,
+           CASE WHEN differs THEN {RUN_TS_SQL} END AS updated_at, sent
+    FROM (SELECT *, COALESCE(new_id IS NOT NULL AND (new_id <> COALESCE(old_id, 0)
+                             OR new_name <> COALESCE(old_name, '')), FALSE) AS differs
+          FROM (SELECT o_orderkey, n_nationkey AS new_id, n_name AS new_name,
+                       CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 END AS old_id,
+                       CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS old_name,
+                       (SELECT COUNT(*) FROM customer i WHERE i.c_custkey = o_orderkey) AS sent
+                FROM orders LEFT JOIN customer c ON c.c_custkey = o_custkey
+                     LEFT JOIN nation ON n_nationkey = {_STATUS_KEY}))
+    """
+)
+def issue_sync_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Issues copied out, statuses copied back, and the stored issues updated; a second run of the
+    way back changes nothing."""
+    orders = table(spark, sf, "orders")
+    root, staging, outgoing = (shared_folder(spark, n) for n in ("issues", "statuses", "outgoing"))
+    write_snapshot(project(orders, _ISSUE), root)
+    custom = project(orders, {"issue_id": "o_orderkey", "product_code_sol": "o_orderpriority", "cluster_name": "o_orderstatus"})
+    names = project(table(spark, sf, "customer"), {"issue_id": "c_custkey", "issue_name": "c_name"})
+    issues.send_issues(custom, names, outgoing)
+    for run_ts in (RUN_TS, datetime(2024, 2, 2)):
+        issues.load_statuses(spark, *_sent_back(spark, sf), staging, root, run_ts)
+    sent = spark.read.parquet(outgoing).groupBy(F.col("IssueId").cast("int").alias("issue_id")).agg(F.count("*").alias("n"))
+    stored = read_snapshot(spark, root).join(sent, "issue_id", "left")
+    return stored.select(*_ISSUE, F.coalesce("n", F.lit(0)).alias("sent"))
