@@ -1,0 +1,102 @@
+"""Base measures against regular expressions, verdicts against the formula, accuracy on held-out labels."""
+
+import math
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import passages, quality_rules
+from tidemark.llm.labelled import held_out, sample
+
+
+def base(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    covered = {i + k for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for k in range(5)}
+    return (
+        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered),
+        len(words) < 10 or 100 * len(covered) > 20 * len(words),
+    )
+
+
+def judged(docs):
+    return quality_rules.judge(docs, quality_rules.references(docs))
+
+
+def test_base_measures(docs, odd_docs):
+    for frame in (docs, odd_docs):
+        for r in judged(frame).select("doc.doc_id", "doc.text", *"n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept".split()).collect():
+            assert tuple(r)[2:8] == base(r.text), r.doc_id
+            assert not (r.base_failed and r.kept)
+
+
+def test_references_cover_all_documents(docs):
+    found = quality_rules.references(docs)
+    text = "".join(r.text for r in docs.filter("lang = 'de'").collect())
+    counts = Counter(quality_rules.CLASS[b] for b in text.encode() if quality_rules.CLASS[b] != 255)
+    total = sum(counts.values())
+    assert found.chars["de"].tolist() == pytest.approx([counts[k] / total for k in range(len(quality_rules.CLASSES))])
+    words = len(re.findall(r"[^\x20\x09-\x0D]+", text))
+    assert words and found.chars["de\0words"].sum() == pytest.approx(1)
+
+
+def test_distance():
+    import numpy as np
+
+    p, q = np.array([0.5, 0.5, 0.0]), np.array([0.0, 0.5, 0.5])
+    m = [(a + b) / 2 for a, b in zip(p, q)]
+    d = sum(a * math.log2(a / c) for a, c in zip(p, m) if a) / 2 + sum(a * math.log2(a / c) for a, c in zip(q, m) if a) / 2
+    assert quality_rules.distance(p, q) == pytest.approx(math.sqrt(d))
+    assert quality_rules.distance(p, p) == 0 and quality_rules.distance(p[:1] * 2, q[2:] * 2) == 0
+
+
+def test_good_documents_stay_and_tables_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = judged(docs).select("doc.doc_id", "base_failed", "kept").join(labels, "doc_id").filter("NOT base_failed").collect()
+    good, bad = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
+    assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.3 * len(bad)
+
+
+def test_nothing(no_docs, spark):
+    assert judged(no_docs).count() == 0
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert passages.score(no_docs, none).count() == 0
+
+
+def test_columns_come_back(odd_docs):
+    assert judged(odd_docs).select("doc.*").columns == odd_docs.columns
+
+
+def test_passages_on_held_out_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = passages.score(docs, labels).join(labels, "doc_id").filter("held_out").collect()
+    assert len(rows) > 30 and sum(r.predicted == r.quality for r in rows) >= 0.9 * len(rows)
+
+
+def test_passages_of_odd_documents(spark, odd_docs):
+    labels = spark.createDataFrame([(4, 0, 0), (5, 1, 1), (7, 1, 0), (8, 0, 0), (99, 1, 1), (9, None, 0)], "doc_id long, quality int, toxic int")
+    rows = passages.score(odd_docs, labels).collect()
+    assert len(rows) == 12 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
+    assert {r.score for r in passages.score(odd_docs, labels.limit(0)).collect()} == {0.5}
+
+
+def test_passages_of_long_texts_count():
+    import pyarrow as pa
+
+    settings = passages.Settings(passage_words=4)
+    x, bounds = passages.features(pa.array(["a b c d e f g h i", None, "", "one"]), settings)
+    assert bounds.tolist() == [0, 3, 4, 5, 6] and x.shape == (6, settings.features)
+
+
+def test_held_out_rows_are_not_trained_on(spark, odd_docs):
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)], "doc_id long, quality int, toxic int")
+    docs = labels.select("doc_id", F.col("doc_id").cast("string").alias("text"))
+    out = {r.doc_id for r in labels.filter(held_out(F.col("doc_id"))).collect()}
+    assert out and not out & {int(t) for t, _ in sample(docs, labels, "quality", 100, 100)}
+    assert len(sample(docs, labels, "quality", 3, 100)) == 6

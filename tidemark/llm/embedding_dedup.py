@@ -170,7 +170,7 @@ def _compared(rows: pa.Table, settings: Settings) -> pa.Table:
         v = np.frombuffer(b"".join(unit[s:e]), "<f8").reshape(e - s, -1)
         p = np.frombuffer(b"".join(parts[s:e]), "<i4").reshape(e - s, -1)
         near = np.triu(v @ v.T >= settings.cosine, 1)
-        if side[s:e].min() != side[s:e].max():
+        if keys[3][s] != keys[4][s]:
             near &= side[s:e, None] != side[None, s:e]
         a, b = np.nonzero(near)
         first = np.ones(len(a), bool)

@@ -158,15 +158,15 @@ def _estimated(a: np.ndarray, b: np.ndarray, low: np.ndarray, k: int, share: int
     return keep
 
 
-def _links(names: np.ndarray, side: np.ndarray, sets: list[np.ndarray], settings: Settings) -> list[tuple[int, int]]:
-    """A spanning forest of the links between the sides, or of all links if there is one side."""
+def _links(names: np.ndarray, side: np.ndarray | None, sets: list[np.ndarray], settings: Settings) -> list[tuple[int, int]]:
+    """A spanning forest of the links between the sides, or of all links in one block."""
     n = np.array([len(s) for s in sets])
     low = np.full((len(sets), settings.k), np.iinfo(np.uint64).max, np.uint64)
     for row, s in zip(low, sets):
         row[: min(len(s), settings.k)] = s[: settings.k]
     retained = _overlaps([s[: settings.k] for s in sets])
     pairs = np.triu(retained > 0, 1) & (100 * np.minimum.outer(n, n) >= settings.percent * np.maximum.outer(n, n))
-    if side.min() != side.max():
+    if side is not None:
         pairs &= side[:, None] != side[None, :]
     a, b = np.nonzero(pairs)
     likely = _estimated(a, b, low, settings.k, settings.share)
@@ -207,7 +207,7 @@ def _compared(met: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame
         names, side, found = table["rep"].to_numpy(), table["side"].to_numpy(), []
         for s, e in zip(edges[:-1], edges[1:]):
             sets = list(shingle_sets(table["text"].slice(s, e - s), settings.size))
-            found += _links(names[s:e], side[s:e], sets, settings)
+            found += _links(names[s:e], side[s:e] if keys[1][s] != keys[2][s] else None, sets, settings)
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 

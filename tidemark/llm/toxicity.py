@@ -37,15 +37,15 @@ class Settings:
     """``per_label`` and ``most_chars`` bound the training sample."""
 
     per_label: int = 2500
-    most_chars: int = 6000
-    grams: tuple[int, ...] = (4, 5)
+    most_chars: int = 20_000
+    grams: tuple[int, ...] = (3, 4, 5)
     cell_bits: int = 18
     width: int = 4
-    blank_words: int = 20
+    blank_words: int = 600
     epochs: int = 120
     rate: float = 0.1
     decay: float = 1e-6
-    scale: float = 100.0
+    scale: float = 600.0
     floor: float = 1e-2
     least_docs: int = 5
     seed: int = 11
