@@ -135,3 +135,13 @@ def test_act_facts_are_aggregated_before_they_meet_a_key_set(spark, tmp_path, no
 def test_cluster_settings_follow_the_data():
     assert cluster_settings(100 << 40, 4000)["spark.sql.shuffle.partitions"] == str((100 << 40) // (256 << 20))
     assert cluster_settings(1 << 30, 4000)["spark.sql.shuffle.partitions"] == "12000"
+
+
+def test_a_wide_product_row_is_shuffled_twice_at_most(spark, sf_dir, no_broadcast):
+    plan = plan_of(QUERIES["product_catalogue"](spark, sf_dir))
+    wide = [line for line in plan.split("\n") if re.search(r"^\W*Project \[.*Description.*ShortDescription", line)]
+    assert wide
+    lines = plan.split("\n")
+    moved = [k for k, line in enumerate(lines) if "Exchange hashpartitioning" in line and "shortDescription" in " ".join(lines[k : k + 2]).replace("ShortDescription", "shortDescription")]
+    # Once to meet its resolved lookups and once to meet the target; the target's own row is the third.
+    assert len(moved) <= 3

@@ -23,7 +23,7 @@ from tidemark.operators.aggregates import pivot_max
 from tidemark.operators.merge import MergeSpec, filled, filled_null_equal, merge, null_equal, raw
 from tidemark.sources.envelope import Field, read_envelopes, records, stage_records, table_schema
 from tidemark.sources.extracts import STRICT, read_records
-from tidemark.sources.tables import read_snapshot, write_snapshot
+from tidemark.sources.tables import read_snapshot, shared_folder, write_snapshot
 
 PRODUCT, CLASSIFIER = "product", "classifiers"
 LIVE_SOURCE_DATE = "0001-01-01"
@@ -131,14 +131,19 @@ def enrich_products(
     )
     owner = login_code.toDF("OwnerLogin", "OwnerPersonCode")
     tech = login_code.toDF("TechOwnerLogin", "TechOwnerPersonCode")
-    joined = (
-        products.withColumn("TribeUnitId", F.lower("TribeUnitId"))
+    # The lookups are resolved for narrow rows of keys; the wide product row meets the result once.
+    keys = ("Id", "ParentId", "TribeUnitId", "OwnerLogin", "TechOwnerLogin")
+    resolved = (
+        products.select(*keys).distinct().withColumn("UnitKey", F.lower("TribeUnitId"))
         .join(parents, "ParentId", "left")
-        .join(unit, "TribeUnitId", "left")
+        .join(unit.withColumnRenamed("TribeUnitId", "UnitKey"), "UnitKey", "left")
         .join(owner, "OwnerLogin", "left")
         .join(tech, "TechOwnerLogin", "left")
         .join(classifiers, "Id", "left")
+        .drop("UnitKey")
+        .withColumnsRenamed({k: f"key_{k}" for k in keys})
     )
+    joined = products.join(resolved, F.expr(" AND ".join(f"{k} <=> key_{k}" for k in keys)))
     kind = prefix_or_fallback(F.col("Code"), NO_PREFIX)
     enriched = joined.select(
         "ObjectId",
@@ -196,10 +201,15 @@ def merge_products(
     employees: DataFrame,
     persons: DataFrame,
     run_ts: datetime,
+    products: DataFrame | None = None,
 ) -> DataFrame:
-    """First dialect: rows missing from the extract are deleted for good."""
+    """First dialect: rows missing from the extract are deleted for good.
+
+    ``products``: the extract's typed rows, where they have been parsed already.
+    """
     classifiers = classifier_table(records(envelopes, CLASSIFIER, CLASSIFIER_FIELDS))
-    products = records(envelopes, PRODUCT, PRODUCT_FIELDS)
+    if products is None:
+        products = records(envelopes, PRODUCT, PRODUCT_FIELDS)
     source = enrich_products(products, classifiers, units, employees, persons)
     return merge(target, source, PRODUCT_MERGE, run_ts)
 
@@ -266,10 +276,35 @@ PRODUCT_UPSERT = MergeSpec(
 )
 
 
-def upsert_products(target: DataFrame, envelopes: DataFrame, units: DataFrame, run_ts: datetime) -> DataFrame:
-    """Second dialect: NULL, empty and zero are equal, absent rows are soft-deleted."""
-    source = product_rows(records(envelopes, PRODUCT, PRODUCT_ROW_FIELDS), units)
-    return merge(target, source, PRODUCT_UPSERT, run_ts)
+def upsert_products(
+    target: DataFrame, envelopes: DataFrame, units: DataFrame, run_ts: datetime, products: DataFrame | None = None
+) -> DataFrame:
+    """Second dialect: NULL, empty and zero are equal, absent rows are soft-deleted.
+
+    ``products``: the extract's typed rows, where they have been parsed already.
+    """
+    if products is None:
+        products = records(envelopes, PRODUCT, PRODUCT_ROW_FIELDS)
+    return merge(target, product_rows(products, units), PRODUCT_UPSERT, run_ts)
+
+
+def parsed_products(envelopes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The product extract under the names of either dialect, parsed once and kept as typed rows.
+
+    A key that is strict for one dialect is so for both: the run fails before either target changes.
+    """
+    fields: dict[str, Field] = {}
+    for f in (*PRODUCT_ROW_FIELDS, *PRODUCT_FIELDS):
+        strict = f.strict or (f.json_key in fields and fields[f.json_key].strict)
+        fields[f.json_key] = Field(f.json_key, f.type, strict=strict)
+    path = shared_folder(envelopes.sparkSession, "products")
+    records(envelopes, PRODUCT, tuple(fields.values())).write.parquet(path)
+    typed = envelopes.sparkSession.read.parquet(path)
+
+    def named(dialect: tuple[Field, ...]) -> DataFrame:
+        return typed.select(*[F.col(f.json_key).alias(f.name) for f in dialect])
+
+    return named(PRODUCT_FIELDS), named(PRODUCT_ROW_FIELDS)
 
 
 PRODUCT_TABLE = ", ".join(
@@ -320,7 +355,8 @@ def load_products(
     units of ``product_rows``.
     """
     envelopes = read_envelopes(spark, staging)
-    rows = upsert_products(read_snapshot(spark, row_root), envelopes, lookups["tribe_units"], run_ts)
+    products, product_records = parsed_products(envelopes)
+    rows = upsert_products(read_snapshot(spark, row_root), envelopes, lookups["tribe_units"], run_ts, product_records)
     write_snapshot(rows, row_root)
     merged = merge_products(
         read_snapshot(spark, root),
@@ -329,5 +365,6 @@ def load_products(
         lookups["employees"],
         lookups["persons"],
         run_ts,
+        products,
     )
     write_snapshot(merged, root)

@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.fixed_values import CLASSIFIERS, OTHER_PRODUCTS_LABEL, PRODUCT_TYPE_LABELS
 from tidemark.operators.merge import merge_with_actions
 from tidemark.plans import catalogue, dimensions
 from tidemark.plans.issues import issues_to_send
@@ -28,8 +27,11 @@ _CLASSIFIER_ROWS = {
     "ClfId": _CLASSIFIER_OF_SEGMENT,
     "ClassifierValue": "CASE WHEN c_acctbal < 0 THEN NULL ELSE c_name END",
 }
+# Columns, labels and ids below are what the checks expect, spelled out apart from the library's own.
+_CLASSIFIER_COLUMNS = ["FINDirectionGeneral", "FINDirectionDetailed", "FINGroup", "FINDetailed"]
 _CLASSIFIER_SQL = "SELECT Id, " + ", ".join(
-    f'MAX(CASE WHEN ClfId = {key} THEN ClassifierValue END) AS "{name}"' for key, name in CLASSIFIERS.items()
+    f'MAX(CASE WHEN ClfId = {key} THEN ClassifierValue END) AS "{name}"'
+    for key, name in zip((8, 9, 27, 28), _CLASSIFIER_COLUMNS)
 ) + f" FROM ({select_sql(_CLASSIFIER_ROWS, 'customer')}) WHERE ClfId IN (8, 9, 27, 28) GROUP BY Id"
 
 
@@ -72,62 +74,70 @@ _EMPLOYEES = {
 _PERSONS = {"PersonId": "s_suppkey", "PersonCode": "s_name"}
 
 
+_OTHER_LABEL = "Внешние продукты (из PPInfo)"
+
+
 def _labels(kind: str) -> str:
-    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PRODUCT_TYPE_LABELS.items())
-    return f"CASE {kind} {whens} ELSE '{OTHER_PRODUCTS_LABEL}' END"
+    return f"""CASE {kind} WHEN 'TEC' THEN 'Технопродукты' WHEN 'INT' THEN 'Внутренние продукты'
+               WHEN 'PLF' THEN 'ИТ-продукты. Платформы' WHEN 'PRO' THEN 'ИТ-продукты. Приложения'
+               WHEN 'SRV' THEN 'ИТ-продукты. Сервисы' ELSE '{_OTHER_LABEL}' END"""
 
 
 _KIND = """COALESCE(NULLIF(REGEXP_EXTRACT("Code", '^([^.]+)[.]', 1), ''), 'BPR')"""
 
 
-def _looked_up(value: str, relation: str, match: str, default: str) -> str:
-    return f"COALESCE((SELECT {value} FROM {relation} WHERE {match}), {default})"
-
+def _enrich_ctes(product_rows: dict[str, str], relation: str, employees: dict[str, str]) -> str:
+    """CTEs up to ``enriched``.
 
-def _enrich_ctes(product_rows: dict[str, str], relation: str) -> str:
-    """CTEs up to ``enriched``: product rows with every lookup as a scalar subquery."""
-    person = "(SELECT person_code FROM live_login WHERE login = product.\"{0}\")"
-    classifiers = ", ".join(
-        _looked_up(f'cls."{name}"', "cls", 'cls."Id" = product."Id"', "''") + f' AS "{name}"'
-        for name in CLASSIFIERS.values()
-    )
-    defaulted = ", ".join(
-        f"COALESCE(\"{c}\", '') AS \"{c}\"" for c in ("Description", "ShortDescription", "itObjectStatus")
-    )
+    Every lookup keeps the product's row and multiplies it where the lookup has several rows for
+    its key.  A login counts while it is not flagged and its deletion time is exactly the sentinel.
+    """
+    classified = ", ".join(f"COALESCE(k.\"{c}\", '') AS \"{c}\"" for c in _CLASSIFIER_COLUMNS)
+    defaulted = ", ".join(f"COALESCE(p.\"{c}\", '') AS \"{c}\"" for c in ("Description", "ShortDescription", "itObjectStatus"))
+    kind = _KIND.replace('"Code"', 'p."Code"')
     return f"""
     product AS ({select_sql({n: both(e) for n, e in product_rows.items()}, relation)}),
     unit AS ({select_sql({n: both(e) for n, e in _UNITS.items()}, "nation")}),
-    employee AS ({select_sql({n: both(e) for n, e in _EMPLOYEES.items()}, "customer")}),
-    live_login AS (SELECT "Login" AS login, (SELECT s_name FROM supplier WHERE s_suppkey = "PersonId") AS person_code
-                   FROM employee WHERE "IS_DELETED" = 0 AND YEAR("DeletedAtSource") = 1),
+    employee AS ({select_sql({n: both(e) for n, e in employees.items()}, "customer")}),
+    code_of AS (SELECT "Login" AS login, s_name AS code FROM employee LEFT JOIN supplier ON s_suppkey = "PersonId"
+                WHERE "IS_DELETED" = 0 AND "DeletedAtSource" = TIMESTAMP '0001-01-01 00:00:00'),
     cls AS ({_CLASSIFIER_SQL}),
     enriched AS (
-        SELECT "ObjectId", "Code", "Name", "Type", "Status", {defaulted}, {classifiers},
-               {_looked_up('parent."ObjectId"', "product parent", 'parent."Id" = product."ParentId"', "0")}
-                   AS "ParentObjectId",
-               {_looked_up('"TribeCode"', "unit", 'unit."UnitId" = LOWER(product."TribeUnitId")', "0")} AS "TribeCode",
-               COALESCE({person.format("OwnerLogin")}, '') AS "OwnerPersonCode",
-               COALESCE({person.format("TechOwnerLogin")}, '') AS "TechOwnerPersonCode",
-               {_KIND} AS "ProductTypeSol", {_labels(_KIND)} AS "ProductTypeSolName",
-               COALESCE("SolUrl", '') || '/modules/' || "Id" AS "SolUrl"
-        FROM product)
+        SELECT p."ObjectId", p."Code", p."Name", p."Type", p."Status", {defaulted}, {classified},
+               COALESCE(above."ObjectId", 0) AS "ParentObjectId", COALESCE(u."TribeCode", 0) AS "TribeCode",
+               COALESCE(mine.code, '') AS "OwnerPersonCode", COALESCE(tech.code, '') AS "TechOwnerPersonCode",
+               {kind} AS "ProductTypeSol", {_labels(kind)} AS "ProductTypeSolName",
+               COALESCE(p."SolUrl", '') || '/modules/' || p."Id" AS "SolUrl"
+        FROM product p LEFT JOIN cls k ON k."Id" = p."Id" LEFT JOIN code_of tech ON tech.login = p."TechOwnerLogin"
+             LEFT JOIN code_of mine ON mine.login = p."OwnerLogin" LEFT JOIN product above ON above."Id" = p."ParentId"
+             LEFT JOIN unit u ON u."UnitId" = LOWER(p."TribeUnitId"))
 """
 
 
-def _enriched(spark: SparkSession, sf: str, products: DataFrame) -> DataFrame:
+# Two employees to a login, and deletion times a second and a day off the sentinel.
+_SHARED_LOGINS = {
+    **_EMPLOYEES,
+    "Login": "CONCAT('l', CAST(c_custkey - c_custkey % 2 AS STRING))",
+    "DeletedAtSource": "CASE c_nationkey WHEN 3 THEN TIMESTAMP_NTZ '2020-01-01 00:00:00' "
+    "WHEN 4 THEN TIMESTAMP_NTZ '0001-01-01 00:00:01' WHEN 5 THEN TIMESTAMP_NTZ '0001-01-02 00:00:00' "
+    "ELSE TIMESTAMP_NTZ '0001-01-01 00:00:00' END",
+}
+
+
+def _enriched(spark: SparkSession, sf: str, products: DataFrame, employees: dict[str, str]) -> DataFrame:
     customer = table(spark, sf, "customer")
     return catalogue.enrich_products(
         products,
         catalogue.classifier_table(project(customer, _CLASSIFIER_ROWS)),
         project(table(spark, sf, "nation"), _UNITS),
-        project(customer, _EMPLOYEES),
+        project(customer, employees),
         project(table(spark, sf, "supplier"), _PERSONS),
     )
 
 
-@query(f"WITH {_enrich_ctes(_PRODUCT_ROWS, 'part')} SELECT * FROM enriched")
+@query(f"WITH {_enrich_ctes(_PRODUCT_ROWS, 'part', _SHARED_LOGINS)} SELECT * FROM enriched")
 def product_enrich(spark: SparkSession, sf: str) -> DataFrame:
-    return _enriched(spark, sf, project(table(spark, sf, "part"), _PRODUCT_ROWS))
+    return _enriched(spark, sf, project(table(spark, sf, "part"), _PRODUCT_ROWS), _SHARED_LOGINS)
 
 
 _RAW_PRODUCT = {
@@ -159,7 +169,7 @@ _KEPT_PRODUCT = {
     "FINGroup": "''",
     "FINDetailed": "''",
     "ProductTypeSol": "'BPR'",
-    "ProductTypeSolName": f"'{OTHER_PRODUCTS_LABEL}'",
+    "ProductTypeSolName": f"'{_OTHER_LABEL}'",
     "Status": "p_type",
     "Description": "p_name",
     "SolUrl": "CONCAT('https://catalogue/modules/', CAST(p_partkey AS STRING))",
@@ -178,7 +188,7 @@ def _catalogue_sql() -> str:
         "SolUrl": "'https://catalogue'",
         "Description": "CASE WHEN p_size = 6 THEN '' ELSE p_name END",
     }
-    ctes = _enrich_ctes(extracted, "part WHERE p_type <> 'PROMO'")
+    ctes = _enrich_ctes(extracted, "part WHERE p_type <> 'PROMO'", _EMPLOYEES)
     columns = [c for c in _KEPT_PRODUCT if c not in ("ObjectId", "UpdatedAt")]
     changed = any_differs(
         [(f's."{c}"', f"COALESCE(t.\"{c}\", '')" if c in _PRODUCT_BOTH else f't."{c}"') for c in columns]
@@ -207,7 +217,7 @@ def product_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     packed = pack_records(flat, F.lit(catalogue.PRODUCT), flat.columns)
     products = catalogue.records(packed, catalogue.PRODUCT, catalogue.PRODUCT_FIELDS)
     target = project(part.filter("p_type <> 'LARGE'"), _KEPT_PRODUCT)
-    return merge_with_actions(target, _enriched(spark, sf, products), catalogue.PRODUCT_MERGE, RUN_TS)
+    return merge_with_actions(target, _enriched(spark, sf, products, _EMPLOYEES), catalogue.PRODUCT_MERGE, RUN_TS)
 
 
 # --- products, second dialect --------------------------------------------------------------------------
@@ -244,7 +254,7 @@ _PRODUCT_STORED = {
     "tech_owner_login": "p_brand",
     "owner_login": "p_brand",
     "product_type_sol": "CASE WHEN p_brand = 'Brand#8' THEN '' WHEN p_brand = 'Brand#1' THEN 'TEC' ELSE p_name END",
-    "product_type_sol_name": f"'{OTHER_PRODUCTS_LABEL}'",
+    "product_type_sol_name": f"'{_OTHER_LABEL}'",
     "status": "CASE WHEN p_size = 9 THEN 'old' ELSE p_type END",
     "description": "CASE WHEN p_size = 6 THEN '' ELSE p_name END",
     "short_description": "p_type",

@@ -13,7 +13,7 @@ from workload.registry import project, query, table
 
 @query(
     f"""
-    SELECT p_partkey, COALESCE(NULLIF(REGEXP_EXTRACT(c, '^([^.]+)[.]', 1), ''), 'BPR') AS prefix_a,
+    SELECT p_partkey, CASE WHEN POSITION('.' IN c) > 1 THEN LEFT(c, POSITION('.' IN c) - 1) ELSE 'BPR' END AS prefix_a,
            SPLIT_PART(c, '.', 1) AS prefix_b, {_labels("UPPER(SPLIT_PART(c, '.', 1))")} AS label_b
     FROM (SELECT p_partkey, {_CODE} AS c FROM part)
     """
