@@ -94,3 +94,12 @@ def test_suffix_groups():
                 by_string.setdefault(tuple(flat[p : p + length]), set()).add(of[p])
         assert all(len(g) == 1 for g in by_string.values())
         assert len(set().union(*by_string.values())) == len(by_string) if by_string else True
+
+
+def test_messages_grow_with_the_total():
+    settings = suffix_dedup.Settings()
+    for total in (10**6, 10**9, 10**11):
+        batches, buckets = settings.deal(total)
+        more = settings.deal(100 * total)
+        assert 50 < more[0] * more[1] / (batches * buckets) < 200
+    assert settings.deal(0) == (1, 1) and settings.deal(10**14)[0] == -(-(10**14) // settings.batch_bytes)

@@ -8,7 +8,7 @@ brings them there: the smallest hash among a string's 16-byte pieces depends on
 so all occurrences of a string have the same anchor, wherever they stand.  A run is a maximal
 stretch of a document whose strings have one anchor.
 
-1. Documents are dealt to batches by id, each a few MB.  A batch sends its anchors, eight bytes
+1. Documents are dealt to batches by id, of bounded size.  A batch sends its anchors, eight bytes
    each and each once, to buckets by anchor.
 2. A bucket tells each batch which of its anchors a second document has.
 3. The batch sends the texts of the runs at those anchors, each distinct text once with the
@@ -56,13 +56,24 @@ _WEIGHT = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) |
 
 @dataclass(frozen=True)
 class Settings:
-    """``length`` is at least 24; ``batch_bytes`` bounds what one task holds at a time."""
+    """``length`` is at least 24; ``batch_bytes`` and ``bucket_bytes`` bound what a task holds at a time.
+
+    Every batch may write to every bucket.  Both sizes therefore follow the square root of the total,
+    ``spread`` times, up to their bounds, so that the messages grow with the total and not with its
+    square: 8 MB batches for 1 GB of texts, the 256 MB of the bound from 0.8 TB on.
+    """
 
     length: int = 50
-    batch_bytes: int = 8 << 20
-    bucket_bytes: int = 16 << 20
+    spread: int = 300
+    batch_bytes: int = 256 << 20
+    bucket_bytes: int = 512 << 20
     expand_letters: int = 1 << 20
 
+    def deal(self, total: int) -> tuple[int, int]:
+        """(number of batches, number of buckets) for so many bytes of text."""
+        size = max(1, int(self.spread * total**0.5))
+        return max(1, -(-total // min(size, self.batch_bytes))), max(1, -(-total // min(2 * size, self.bucket_bytes)))
+
 
 # --- anchors ---------------------------------------------------------------------------------
 
@@ -444,7 +455,7 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), with_text:
         "text-sums",
     )
     total = sums.agg(F.sum("bytes")).first()[0] or 0
-    batches, buckets = (max(1, -(-total // size)) for size in (settings.batch_bytes, settings.bucket_bytes))
+    batches, buckets = settings.deal(total)
     b = F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int").alias("b")
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc")
     dealt = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), *([doc] if with_text else []))
