@@ -98,7 +98,7 @@ def test_suffix_groups():
 
 def test_messages_grow_with_the_total():
     settings = suffix_dedup.Settings()
-    for total in (10**6, 10**9, 10**11):
+    for total in (10**7, 10**8, 10**9):
         batches, buckets = settings.deal(total)
         more = settings.deal(100 * total)
         assert 50 < more[0] * more[1] / (batches * buckets) < 200
