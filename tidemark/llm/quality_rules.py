@@ -65,7 +65,7 @@ class Limits:
     char_distance: float = 0.16
     char_noise: float = 1.0
     word_distance: float = 0.27
-    word_noise: float = 1.75
+    word_noise: float = 1.9
     common: int = 100
     languages: int = 256
 

@@ -4,7 +4,7 @@ A word is the bag of its character n-grams, its ends marked; each n-gram has a h
 vector.  A word's vector is the mean of its n-grams' vectors, a document's that of its distinct words',
 and a linear softmax on it gives the label.  Vectors and softmax are trained together, so a
 misspelt word that was never seen scores by the n-grams it shares with those that were.  Every
-document has ``blank_words`` words with the vector 0 besides its own, so one or two words decide nothing.
+document has ``blank_words`` words with the vector 0 besides its own, which keeps short texts from extremes.
 
 Everything after the vectors is linear.  For scoring, each cell therefore needs one number: its
 vector times the difference of the two softmax rows.
@@ -44,7 +44,7 @@ class Settings:
     blank_words: int = 600
     epochs: int = 120
     rate: float = 0.1
-    decay: float = 1e-6
+    decay: float = 1e-3
     scale: float = 600.0
     floor: float = 1e-2
     least_docs: int = 5
