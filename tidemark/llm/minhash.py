@@ -248,4 +248,4 @@ def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents, one of each group: its smallest id, once.  Rows with a null id stay."""
     found = near_duplicates(docs, settings).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     one = docs.filter("doc_id IS NOT NULL").join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.filter("doc_id IS NULL"))

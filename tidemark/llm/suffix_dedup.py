@@ -60,13 +60,13 @@ class Settings:
 
     Every batch may write to every bucket.  Both sizes therefore follow the square root of the total,
     ``spread`` times, up to their bounds, so that the messages grow with the total and not with its
-    square: 8 MB batches for 1 GB of texts, the 256 MB of the bound from 0.8 TB on.
+    square: batches of 9 MB for 1 GB of texts, of 128 MB, the bound, from 0.2 TB on.
     """
 
     length: int = 50
     spread: int = 300
-    batch_bytes: int = 256 << 20
-    bucket_bytes: int = 512 << 20
+    batch_bytes: int = 128 << 20
+    bucket_bytes: int = 256 << 20
     expand_letters: int = 1 << 20
 
     def deal(self, total: int) -> tuple[int, int]:
@@ -165,13 +165,20 @@ def _known(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     return among[at] == values
 
 
+def _gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the byte ranges in a row, their offsets), copied in blocks."""
+    bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    out = np.empty(bounds[-1], np.uint8)
+    for a, b in blocks(bounds, 1 << 20):
+        begin, end = bounds[a], bounds[b]
+        out[begin:end] = data[np.arange(end - begin) + np.repeat(start[a:b] - (bounds[a:b] - begin), size[a:b])]
+    return out, bounds
+
+
 def _texts(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
     """The byte ranges as an Arrow array."""
-    bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-    flat = data[np.arange(bounds[-1]) + np.repeat(start - bounds[:-1], size)]
-    return pa.Array.from_buffers(
-        pa.large_binary(), len(size), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(flat))]
-    )
+    flat, bounds = _gathered(data, start, size)
+    return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(bounds), pa.py_buffer(flat)])
 
 
 def _numbers(blob: bytes | None, kind: str) -> np.ndarray:
@@ -303,7 +310,7 @@ def _cut(batch: _Batch, with_text: bool) -> pa.Table:
         which, found = which[less], found[less]
         np.add.at(removed, runs.start[which] + found["low"], 1)
         np.add.at(removed, runs.start[which] + found["high"] - 1 + length, -1)
-    gone = np.cumsum(removed[:-1]) > 0
+    gone = np.cumsum(removed[:-1], dtype=np.int32) > 0
     place = {int(k): j for j, k in enumerate(batch.own)}
     rows: list[tuple] = []
     kept_texts: list[bytes] = []
@@ -357,36 +364,47 @@ def _least_ids(sent: pa.Table, settings: Settings) -> pa.Table:
 
 
 def _segments(data: np.ndarray, offsets: np.ndarray, least: np.ndarray, settings: Settings):
-    """(text, low, high, id): strings starting from low to high of a text occur first in that id."""
-    length, n = settings.length, len(offsets) - 1
-    pieces = mixed(_piece_hashes(np.ascontiguousarray(data)))
-    head = np.arange(length - PIECE + 1)
-    anchor = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-    raw = _piece_hashes(np.ascontiguousarray(data))
-    for k in head:
-        np.minimum(anchor, raw[offsets[:-1] + k], out=anchor)
-    anchor = mixed(anchor)
-    joint = _expanding(data, offsets, anchor, pieces, settings)
-    alone = np.flatnonzero(~joint)
-    found = [(alone, np.zeros(len(alone), np.int64), np.diff(offsets)[alone] - length + 1, least[alone])]
-    together = np.flatnonzero(joint)
-    together = together[np.argsort(anchor[together], kind="stable")]
-    size = np.diff(offsets)[together] + 1
-    border = np.concatenate([[True], anchor[together][1:] != anchor[together][:-1]]) if len(together) else size > 0
-    total, begin = 0, 0
-    for k in range(len(together)):
-        if border[k] and total >= settings.expand_letters:
-            found.append(_expanded(data, offsets, together[begin:k], least, length))
-            total, begin = 0, k
-        total += size[k]
-    if len(together):
-        found.append(_expanded(data, offsets, together[begin:], least, length))
+    """(text, low, high, id), by text: strings starting from low to high of it occur first in that id.
+
+    Texts of one anchor are worked on together, those of about ``expand_letters`` at a time.
+    """
+    length, size = settings.length, np.diff(offsets)
+    anchor = np.empty(len(size), np.uint64)
+    for a, b in blocks(offsets, 1 << 20):
+        raw = _piece_hashes(np.ascontiguousarray(data[offsets[a] : offsets[b]]))
+        first = offsets[a:b] - offsets[a]
+        smallest = raw[first]
+        for k in range(1, length - PIECE + 1):
+            np.minimum(smallest, raw[first + k], out=smallest)
+        anchor[a:b] = mixed(smallest)
+    order = np.argsort(anchor, kind="stable")
+    borders = np.flatnonzero(np.concatenate([[True], anchor[order][1:] != anchor[order][:-1], [True]])) if len(order) else []
+    total = np.concatenate([[0], np.cumsum(size[order] + 1)])
+    found, begin = [], 0
+    for end in borders[1:]:
+        if total[end] - total[begin] >= settings.expand_letters or end == len(order):
+            rows = order[begin:end]
+            flat, bounds = _gathered(data, offsets[:-1][rows], size[rows])
+            of, *rest = _chunk(flat, bounds, anchor[rows], least[rows], settings)
+            found.append((rows[of], *rest))
+            begin = end
     of, start, end, value = (np.concatenate(x) for x in zip(*found))
     order = np.argsort(of, kind="stable")
     return of[order], start[order], end[order], value[order]
 
 
-def _expanding(data, offsets, anchor, pieces, settings: Settings) -> np.ndarray:
+def _chunk(data, offsets, anchor, least, settings: Settings):
+    """Segments of texts that hold all texts of their anchors."""
+    length = settings.length
+    joint = _expanding(data, offsets, anchor, settings)
+    alone, together = np.flatnonzero(~joint), np.flatnonzero(joint)
+    single = (alone, np.zeros(len(alone), np.int64), np.diff(offsets)[alone] - length + 1, least[alone])
+    if not len(together):
+        return single
+    return tuple(np.concatenate(x) for x in zip(single, _expanded(data, offsets, together, least, length)))
+
+
+def _expanding(data, offsets, anchor, settings: Settings) -> np.ndarray:
     """Which texts may share a string with another text.
 
     Around its anchor, a shared string reaches at least half of its other bytes to one side.  So
@@ -394,6 +412,7 @@ def _expanding(data, offsets, anchor, pieces, settings: Settings) -> np.ndarray:
     the same in both texts.  Where an anchor occurs more than once in a text, all texts with it go.
     """
     n, half = len(offsets) - 1, (settings.length - PIECE) // 2
+    pieces = mixed(_piece_hashes(data))
     of_byte = np.repeat(np.arange(n), np.diff(offsets))[: len(pieces)]
     hit = np.flatnonzero(pieces == anchor[of_byte])
     hit = hit[hit + PIECE <= offsets[of_byte[hit] + 1]]
