@@ -40,7 +40,7 @@ class Settings:
     most_copies: int = 3
     tolerance: float = 1e-7
     most_steps: int = 100
-    group_rows: int = 50_000
+    group_rows: int = 5_000
 
 
 def sized(docs: DataFrame) -> DataFrame:
