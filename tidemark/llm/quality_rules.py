@@ -107,8 +107,8 @@ def _class_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return flat.reshape(-1, len(CLASSES))
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    data, offsets = text_bytes(batch.column("text"))
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    data, offsets = text_bytes(texts)
     for a, b in blocks(offsets):
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
@@ -130,7 +130,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         langs = batch.column("lang").to_pylist()
-        for a, b, data, offsets in _parts(batch):
+        for a, b, data, offsets in _parts(batch.column("text")):
             kinds = _class_counts(data, offsets)
             words = words_of(data, offsets, lower=True)
             cell = (words.hash % np.uint64(CELLS)).astype(np.int64)
@@ -192,28 +192,37 @@ def _dup_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def judge(docs: DataFrame, refs: References, limits: Limits = Limits()) -> DataFrame:
+def judge(docs: DataFrame, refs: References, limits: Limits = Limits(), columns: list[str] | None = None) -> DataFrame:
     """The documents with their measures, ``base_failed``, both distances and ``kept``.
 
-    Columns of the input come in a struct ``doc``, so no name of theirs can clash.
+    The input's columns, or those named in ``columns``, come in a struct ``doc``, so no name of theirs
+    can clash.
     """
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text", "lang")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    given = docs.columns if columns is None else columns
+    back = T.StructType([f for f in rows.schema["doc"].dataType.fields if f.name in given])
     schema = T.StructType(
-        [rows.schema["doc"], *T.StructType.fromDDL(MEASURES).fields]
+        [T.StructField("doc", back, False), *T.StructType.fromDDL(MEASURES).fields]
         + [T.StructField("base_failed", T.BooleanType()), T.StructField("char_distance", T.DoubleType())]
         + [T.StructField("word_distance", T.DoubleType()), T.StructField("kept", T.BooleanType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = batch.column("lang").to_pylist()
+            doc = batch.column("doc")
+            place = {f.name: k for k, f in enumerate(doc.type)}
+            langs = doc.field(place["lang"]).to_pylist()
             found: list[tuple] = []
-            for a, b, data, offsets in _parts(batch):
+            for a, b, data, offsets in _parts(doc.field(place["text"])):
                 found += _judge_block(data, offsets, langs[a:b], refs, limits)
             columns = list(zip(*found)) or [()] * 9
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), *arrays], names=schema.names)
+            kept = doc
+            if columns is not None:
+                fields = [f for f in doc.type if f.name in given]
+                kept = pa.StructArray.from_arrays([doc.field(place[f.name]) for f in fields], fields=fields)
+            yield pa.RecordBatch.from_arrays([kept, *arrays], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 

@@ -84,7 +84,8 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    judged = quality_rules.judge(docs.select("doc_id", "text", "lang"), quality_rules.references(docs))
+    read = docs.select("doc_id", "text", "lang")
+    judged = quality_rules.judge(read, quality_rules.references(docs), columns=["doc_id"])
     return judged.select(
         F.col("doc.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "char_distance", "word_distance",
