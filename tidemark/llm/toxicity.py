@@ -36,8 +36,8 @@ _ODD = U(0x9E3779B97F4A7C15)
 class Settings:
     """``per_label`` and ``most_chars`` bound the training sample."""
 
-    per_label: int = 2500
-    most_chars: int = 20_000
+    per_label: int = 2000
+    most_chars: int = 10_000
     grams: tuple[int, ...] = (3, 4, 5)
     cell_bits: int = 18
     width: int = 4
@@ -104,7 +104,7 @@ def train(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Model
     if len(set(labels.tolist())) < 2:
         return Model(np.zeros(cells, np.float32), 0.0)
     data, offsets = text_bytes(pa.array([t for t, _ in rows], pa.large_string()))
-    keys, counts, firsts, example = [], [], [], []
+    keys, firsts, example = [], [], []
     for a, b in blocks(offsets, BLOCK):
         words = words_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], lower=True)
         keys.append(words.hash)
@@ -121,19 +121,22 @@ def train(rows: list[tuple[str, int]], settings: Settings = Settings()) -> Model
     # Word by document counts, by document; transposed by word.
     doc = whole.row()
     pair = np.unique(doc * len(at) + code)
-    doc, word = pair // len(at), pair % len(at)
+    doc, word = (pair // len(at)).astype(np.int32), (pair % len(at)).astype(np.int32)
+    del pair, every, code, keys, whole, example, data
     doc_first = np.searchsorted(doc, np.arange(len(rows) + 1))
     share = (1 / (np.diff(doc_first) + settings.blank_words)[doc]).astype(np.float32)
-    by_word = np.argsort(word, kind="stable")
+    by_word = np.argsort(word, kind="stable").astype(np.int32)
     word_first = np.searchsorted(word[by_word], np.arange(len(at) + 1))
     # Cells of few documents only tell these apart; they stay 0, as do cells never seen.
-    of_gram = np.repeat(np.arange(len(at)), np.diff(bounds))
+    of_gram = np.repeat(np.arange(len(at), dtype=np.int32), np.diff(bounds))
     in_docs = np.bincount(grams, weights=np.diff(word_first)[of_gram], minlength=cells)
     common = in_docs[grams] >= settings.least_docs
     grams, of_gram = grams[common], of_gram[common]
+    del common
     bounds = np.searchsorted(of_gram, np.arange(len(at) + 1))
-    used, gram = np.unique(grams, return_inverse=True)
-    by_gram = np.argsort(gram, kind="stable")
+    used = np.unique(grams)
+    gram = np.searchsorted(used, grams).astype(np.int32)
+    by_gram = np.argsort(gram, kind="stable").astype(np.int32)
     gram_first = np.searchsorted(gram[by_gram], np.arange(len(used) + 1))
 
     def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
