@@ -100,3 +100,16 @@ def test_held_out_rows_are_not_trained_on(spark, odd_docs):
     out = {r.doc_id for r in labels.filter(held_out(F.col("doc_id"))).collect()}
     assert out and not out & {int(t) for t, _ in sample(docs, labels, "quality", 100, 100)}
     assert len(sample(docs, labels, "quality", 3, 100)) == 6
+
+
+def test_languages_beyond_the_held_have_their_own_reference(docs):
+    """Verdicts do not depend on how many languages go to every task."""
+    def verdicts(limits):
+        refs = quality_rules.references(docs, limits)
+        found = quality_rules.judge(docs, refs, limits).select("doc.doc_id", "char_distance", "word_distance", "kept")
+        return refs, sorted(map(tuple, found.collect()))
+
+    (all_held, expected), (one_held, found) = verdicts(quality_rules.Limits()), verdicts(quality_rules.Limits(languages=1))
+    assert all_held.rest is None and len(one_held.cells) == 2
+    assert one_held.rest.count() == docs.select("lang").distinct().count() - 1
+    assert found == expected

@@ -7,9 +7,12 @@ a first pass.  Words are counted in a fixed number of hash cells, so a reference
 size whatever the corpus holds; its common words are the cells with the largest counts, all other
 words are one class.
 
-Defined cases: null and empty texts have no words and fail the base rules.  A null or unknown
-language, or one beyond the ``languages`` largest, is compared with the reference of all
-documents together.  A document below ``least_words`` words gives no stable histogram: only the
+The references of the ``languages`` languages with most documents go to every task; those of all
+others stay in a table, which their documents are joined to.  A document's verdict is the same
+either way, and a language that is joined has less than one in ``languages`` of the documents.
+
+Defined cases: null and empty texts have no words and fail the base rules.  A null, empty or
+unknown language is compared with the reference of all documents together.  A document below ``least_words`` words gives no stable histogram: only the
 base rules judge it.  Repeated rows are judged one by one; null ids are kept as they are.  Other
 columns are not looked at.
 """
@@ -48,6 +51,8 @@ LINE, BLANK = CLASSES.index("line"), CLASSES.index("blank")
 IS_SYMBOL = np.zeros(256, bool)
 IS_SYMBOL[list(SYMBOLS)] = True
 
+SIZE = len(CLASSES) + CELLS
+REFERENCE = "chars binary, top binary, words binary"
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -72,19 +77,33 @@ class Limits:
 
 @dataclass
 class References:
-    """Histograms by language: character classes, and the cells of common words with their counts."""
+    """Histograms by language: character classes, and the cells of common words with their counts.
+
+    ``rest`` has the languages that are not held, as (language, chars, top, words); None if all are.
+    """
 
     chars: dict[str, np.ndarray] = field(default_factory=dict)
     cells: dict[str, np.ndarray] = field(default_factory=dict)
+    rest: DataFrame | None = None
 
     def add(self, lang: str, counts: np.ndarray, common: int) -> None:
-        top = np.argsort(-counts[len(CLASSES) :], kind="stable")[:common]
-        rank = np.full(CELLS, common, np.int16)
-        rank[top] = np.arange(len(top))
-        share = np.bincount(rank, weights=counts[len(CLASSES) :], minlength=common + 1)
-        self.chars[lang] = shares(counts[: len(CLASSES)])
-        self.cells[lang] = rank
-        self.chars[lang + "\0words"] = shares(share)
+        self.chars[lang], top, self.chars[lang + "\0words"] = reference(counts, common)
+        self.cells[lang] = ranks(top, common)
+
+
+def ranks(top: np.ndarray, common: int) -> np.ndarray:
+    """The rank of each cell, where all that are not common have one."""
+    rank = np.full(CELLS, common, np.int16)
+    rank[top] = np.arange(len(top))
+    return rank
+
+
+def reference(counts: np.ndarray, common: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shares of the character classes, the common cells, and shares of these and all others."""
+    words = counts[len(CLASSES) : SIZE]
+    top = np.argsort(-words, kind="stable")[:common].astype(np.int16)
+    share = np.bincount(ranks(top, common), weights=words, minlength=common + 1)
+    return shares(counts[: len(CLASSES)]), top, shares(share)
 
 
 def shares(counts: np.ndarray) -> np.ndarray:
@@ -114,7 +133,8 @@ def _parts(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Histograms by language, one row per filled cell; at most 64 languages are held at once."""
+    """Histograms by language, one row per filled cell, and the number of documents as cell SIZE; at
+    most 64 languages are held at once."""
     held: dict[str | None, np.ndarray] = {}
 
     def out() -> pa.RecordBatch:
@@ -135,8 +155,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = words_of(data, offsets, lower=True)
             cell = (words.hash % np.uint64(CELLS)).astype(np.int64)
             for k in range(b - a):
-                c = held.setdefault(langs[a + k], np.zeros(len(CLASSES) + CELLS, np.int64))
+                c = held.setdefault(langs[a + k], np.zeros(SIZE + 1, np.int64))
                 c[: len(CLASSES)] += kinds[k]
+                c[SIZE] += 1
                 np.add.at(c, cell[words.first[k] : words.first[k + 1]] + len(CLASSES), 1)
                 if len(held) > 64:
                     yield out()
@@ -148,28 +169,42 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> References:
     """References over all documents; what reaches the driver is bounded by the parameters."""
     counted = docs.select("lang", "text").mapInArrow(_count, "lang string, cell int, n long")
     counted = stored(counted.groupBy("lang", "cell").agg(F.sum("n").alias("n")), "histograms")
-    by_lang = counted.groupBy("lang").agg(
-        F.collect_list(F.struct("cell", "n")).alias("cells"),
-        F.sum(F.when(F.col("cell") >= len(CLASSES), F.col("n"))).alias("words"),
-    )
     found = References()
-    total = np.zeros(len(CLASSES) + CELLS, np.int64)
-
-    def spread(cells) -> np.ndarray:
-        c = np.zeros(len(CLASSES) + CELLS, np.int64)
-        for cell, n in cells:
-            c[cell] = n
-        return c
-
-    largest = by_lang.filter("lang IS NOT NULL").orderBy(F.desc("words"), "lang").limit(limits.languages)
-    for row in largest.collect():
-        found.add(row.lang, spread(row.cells), limits.common)
+    total = np.zeros(SIZE + 1, np.int64)
+    sizes = counted.filter(f"cell = {SIZE} AND lang <> ''").orderBy(F.desc("n"), "lang").limit(limits.languages + 1)
+    largest = [r.lang for r in sizes.select("lang").collect()]
+    held = largest[: limits.languages]
+    by_lang: dict[str, np.ndarray] = {lang: np.zeros(SIZE + 1, np.int64) for lang in held}
+    for lang, cell, n in counted.filter(F.col("lang").isin(held)).select("lang", "cell", "n").collect():
+        by_lang[lang][cell] = n
+    for lang, counts in by_lang.items():
+        found.add(lang, counts, limits.common)
     for cell, n in counted.groupBy("cell").agg(F.sum("n")).collect():
         total[cell] = n
     found.add("", total, limits.common)
+    if len(largest) > len(held):
+        found.rest = stored(_others(counted.filter(~F.col("lang").isin([*held, ""])), limits.common), "references")
     return found
 
 
+def _others(counted: DataFrame, common: int) -> DataFrame:
+    """(language, chars, top, words) of each language; a row of cells has at most SIZE + 1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[bytes, ...]] = []
+            for cells in batch.column("cells"):
+                counts = np.zeros(SIZE + 1, np.int64)
+                at = cells.values
+                counts[at.field("cell").to_numpy()] = at.field("n").to_numpy()
+                out.append(tuple(x.tobytes() for x in reference(counts, common)))
+            parts = [pa.array(x, pa.binary()) for x in (zip(*out) if out else ((), (), ()))]
+            yield pa.RecordBatch.from_arrays([batch.column("language"), *parts], names=["language", "chars", "top", "words"])
+
+    rows = counted.groupBy(F.col("lang").alias("language")).agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
+    return rows.mapInArrow(run, f"language string, {REFERENCE}")
+
+
 def _repeat_words(h: np.ndarray, n: int, size: int = 5) -> int:
     """Words covered by windows of a row that occur twice or more in it."""
     if n < size or len(h) < 2:
@@ -199,6 +234,14 @@ def judge(docs: DataFrame, refs: References, limits: Limits = Limits(), columns:
     can clash.
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    own = F.lit(None).cast(T.StructType.fromDDL(REFERENCE)).alias("own")
+    if refs.rest is None:
+        met = rows.select("doc", own)
+    else:
+        here = F.coalesce(F.col("doc.lang").isin(list(refs.cells)), F.lit(True))
+        theirs = refs.rest.select("language", F.struct("chars", "top", "words").alias("own"))
+        joined = rows.filter(~here).join(theirs, F.col("doc.lang") == F.col("language"), "left")
+        met = rows.filter(here).select("doc", own).unionByName(joined.select("doc", "own"))
     given = docs.columns if columns is None else columns
     back = T.StructType([f for f in rows.schema["doc"].dataType.fields if f.name in given])
     schema = T.StructType(
@@ -207,14 +250,18 @@ def judge(docs: DataFrame, refs: References, limits: Limits = Limits(), columns:
         + [T.StructField("word_distance", T.DoubleType()), T.StructField("kept", T.BooleanType())]
     )
 
+    # Tasks get the languages that are held, not the table of the others.
+    held = References(refs.chars, refs.cells)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc = batch.column("doc")
             place = {f.name: k for k, f in enumerate(doc.type)}
             langs = doc.field(place["lang"]).to_pylist()
+            owns = batch.column("own").to_pylist()
             found: list[tuple] = []
             for a, b, data, offsets in _parts(doc.field(place["text"])):
-                found += _judge_block(data, offsets, langs[a:b], refs, limits)
+                found += _judge_block(data, offsets, langs[a:b], owns[a:b], held, limits)
             columns = list(zip(*found)) or [()] * 9
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
@@ -224,10 +271,10 @@ def judge(docs: DataFrame, refs: References, limits: Limits = Limits(), columns:
                 kept = pa.StructArray.from_arrays([doc.field(place[f.name]) for f in fields], fields=fields)
             yield pa.RecordBatch.from_arrays([kept, *arrays], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return met.mapInArrow(run, schema)
 
 
-def _judge_block(data, offsets, langs, refs: References, limits: Limits) -> list[tuple]:
+def _judge_block(data, offsets, langs, owns, refs: References, limits: Limits) -> list[tuple]:
     kinds = _class_counts(data, offsets)
     words = words_of(data, offsets, lower=False)
     lead = np.zeros(len(data) + 1, np.int64)
@@ -237,17 +284,21 @@ def _judge_block(data, offsets, langs, refs: References, limits: Limits) -> list
     shingles, bounds = windows(words, 5)
     cells = (words_of(data, offsets, lower=True).hash % np.uint64(CELLS)).astype(np.int64)
     out = []
-    for k, lang in enumerate(langs):
+    for k, (lang, own) in enumerate(zip(langs, owns)):
         n = int(words.first[k + 1] - words.first[k])
         s, e = offsets[k], offsets[k + 1]
         repeats = _repeat_words(shingles[bounds[k] : bounds[k + 1]], n)
         failed = n < limits.min_words or 100 * repeats > limits.repeat_percent * n
-        key = lang if lang in refs.cells else ""
         near = [0.0, 0.0]
         if n >= limits.least_words:
-            rank = refs.cells[key][cells[words.first[k] : words.first[k + 1]]]
-            mine = np.bincount(rank, minlength=limits.common + 1)
-            near = [distance(shares(kinds[k]), refs.chars[key]), distance(shares(mine), refs.chars[key + "\0words"])]
+            if own is None:
+                key = lang if lang in refs.cells else ""
+                chars, rank, common = refs.chars[key], refs.cells[key], refs.chars[key + "\0words"]
+            else:
+                chars, common = np.frombuffer(own["chars"]), np.frombuffer(own["words"])
+                rank = ranks(np.frombuffer(own["top"], np.int16), limits.common)
+            mine = np.bincount(rank[cells[words.first[k] : words.first[k + 1]]], minlength=limits.common + 1)
+            near = [distance(shares(kinds[k]), chars), distance(shares(mine), common)]
         noise = max(n, 1) ** -0.5
         kept = not failed and near[0] <= limits.char_distance + limits.char_noise * noise
         kept = kept and near[1] <= limits.word_distance + limits.word_noise * noise
