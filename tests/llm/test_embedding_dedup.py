@@ -75,3 +75,18 @@ def test_odd_vectors(spark):
 
 def test_nothing(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("norm", [0.75, 0.84, 0.97])
+def test_recall_with_a_common_mean(spark, norm):
+    """Families of five at cosine 0.94 whose vectors share a direction, up to where all pairs link."""
+    rng = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    inner = (0.94 - norm**2) / (1 - norm**2)
+    shared, own = unit(rng.standard_normal((120, 1, 64))), unit(rng.standard_normal((120, 5, 64)))
+    away = np.sqrt(max(inner, 0)) * shared + np.sqrt(1 - max(inner, 0)) * own
+    vectors = (norm * unit(np.ones(64)) + np.sqrt(1 - norm**2) * unit(away)).reshape(-1, 64)
+    rows = [(k, [float(np.float32(x)) for x in v], k // 5 % 2, "r", 1) for k, v in enumerate(vectors)]
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    links, _ = brute(rows)
+    assert all(got[k] <= n for k, n in enumerate(links)) and sum(got.values()) >= 0.9 * sum(links) > 0

@@ -2,10 +2,12 @@
 
 Binary codes come from rotations of the principal axes that bring the axes close to plus or minus
 one (iterative quantisation), learned on a bounded sample.  Several rotations from different
-starts give ``tables`` times 16 bits.  Each 16-bit part of a code has a table of its own; vectors of
-one label that agree in a part meet there.  Two vectors at cosine 0.93 differ in about an eighth
-of their bits, so they agree in one of 24 parts with probability 0.96; nearer ones do almost
-surely.  What meets is reranked by the cosine of the original vectors in double precision, which
+starts give 16 bits a table.  Each 16-bit part of a code has a table of its own; vectors of one
+label that agree in a part meet there.  Two vectors at cosine 0.93 differ in about an eighth of
+their bits if the mean is small, and in more the longer the mean is, as it is subtracted.  So
+tables are added, beyond ``tables``, until a share ``recall`` of pairs right at the threshold, made
+from the sample, meets in one.  A mean that would take more than ``most_tables`` is not subtracted:
+signs along random directions then keep the angles, at the price of longer lists.  What meets is reranked by the cosine of the original vectors in double precision, which
 alone decides.
 
 Equal vectors of a label form one class, which stands in the tables once.  Lists of a table are cut
@@ -40,6 +42,9 @@ class Settings:
 
     cosine: float = 0.93
     tables: int = 24
+    recall: float = 0.95
+    most_tables: int = 256
+    probes: int = 2000
     sample: int = 20_000
     steps: int = 20
     axes: int = 64
@@ -62,24 +67,53 @@ class Codes:
         return packed[:, ::2].astype(np.int32) << 8 | packed[:, 1::2]
 
 
+def _at_threshold(unit: np.ndarray, settings: Settings, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs whose cosine is the threshold; they differ towards another vector, or in any direction."""
+    a = np.tile(unit[: settings.probes // 2], (2, 1))
+    away = np.concatenate([np.roll(unit, 1, axis=0)[: len(a) // 2], rng.standard_normal((len(a) // 2, unit.shape[1]))])
+    away -= (away * a).sum(axis=1, keepdims=True) * a
+    size = np.linalg.norm(away, axis=1, keepdims=True)
+    ok = size[:, 0] > 1e-6
+    a, away = a[ok], away[ok] / size[ok]
+    return a, settings.cosine * a + np.sqrt(1 - settings.cosine**2) * away
+
+
 def learned(unit: np.ndarray, settings: Settings) -> Codes:
     """Codes fitted to unit vectors; without any, random directions of the length given."""
     n, dim = unit.shape
-    wanted, rng = settings.tables * PART, np.random.default_rng(settings.seed)
+    rng = np.random.default_rng(settings.seed)
     if n < 2:
-        return Codes(np.zeros(dim), rng.standard_normal((dim, wanted)))
+        return Codes(np.zeros(dim), rng.standard_normal((dim, settings.tables * PART)))
+    a, b = _at_threshold(unit, settings, np.random.default_rng(settings.seed + 1))
     mean = unit.mean(axis=0)
     x = unit - mean
     _, axes = np.linalg.eigh(x.T @ x)
     axes = axes[:, ::-1][:, : min(dim, settings.axes)]
-    y, maps = x @ axes, []
-    while sum(m.shape[1] for m in maps) < wanted:
+    y = x @ axes
+
+    def rotated() -> np.ndarray:
         turn, _ = np.linalg.qr(rng.standard_normal((axes.shape[1], axes.shape[1])))
         for _ in range(settings.steps):
             u, _, v = np.linalg.svd(np.where(y @ turn > 0, 1.0, -1.0).T @ y)
             turn = (u @ v).T
-        maps.append(axes @ turn)
-    return Codes(mean, np.concatenate(maps, axis=1)[:, :wanted])
+        return axes @ turn
+
+    found = _enough(mean, rotated, a, b, settings.most_tables, settings)
+    return found or _enough(np.zeros(dim), lambda: rng.standard_normal((dim, PART)), a, b, None, settings)
+
+
+def _enough(mean: np.ndarray, more, a: np.ndarray, b: np.ndarray, most: int | None, settings: Settings) -> Codes | None:
+    """Codes of as many tables as bring the pairs together; None if that takes more than ``most``."""
+    maps, spare, met = [], np.zeros((len(mean), 0)), np.zeros(len(a), bool)
+    while len(maps) < settings.tables or met.sum() < settings.recall * len(met):
+        if most is not None and len(maps) >= max(most, settings.tables):
+            return None
+        while spare.shape[1] < PART:
+            spare = np.concatenate([spare, more()], axis=1)
+        maps.append(spare[:, :PART])
+        spare = spare[:, PART:]
+        met |= ((((a - mean) @ maps[-1]) > 0) == (((b - mean) @ maps[-1]) > 0)).all(axis=1)
+    return Codes(mean, np.concatenate(maps, axis=1))
 
 
 def _unit(column: pa.Array) -> list[np.ndarray | None]:
@@ -137,16 +171,16 @@ def classes(vectors: DataFrame, settings: Settings) -> DataFrame:
     return good.mapInArrow(run, "vec_id long, label string, dim int, unit binary, parts binary")
 
 
-def _slots(reps: DataFrame, settings: Settings) -> DataFrame:
+def _slots(reps: DataFrame) -> DataFrame:
     """(label, dim, slot, rep): the list of each table that a class stands in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = np.frombuffer(b"".join(batch.column("parts").to_pylist()), "<i4").reshape(-1, settings.tables)
-            slot = (np.arange(settings.tables, dtype=np.int32) << PART) | parts
-            again = pa.array(np.repeat(np.arange(len(parts)), settings.tables))
+            parts = [np.frombuffer(p, "<i4") for p in batch.column("parts").to_pylist()]
+            again = pa.array(np.repeat(np.arange(len(parts)), [len(p) for p in parts]))
+            slot = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(p)) << PART | p for p in parts]])
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c).take(again) for c in ("label", "dim", "rep")], pa.array(slot.reshape(-1).astype(np.int32))],
+                [*[batch.column(c).take(again) for c in ("label", "dim", "rep")], pa.array(slot.astype(np.int32))],
                 names=["label", "dim", "rep", "slot"],
             )
 
@@ -213,7 +247,7 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> Data
         usable.groupBy("label", "dim", "unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("parts").alias("parts")),
         "classes",
     )
-    slots = stored(_slots(reps, settings), "slots")
+    slots = stored(_slots(reps), "slots")
     place = ["label", "dim", "slot"]
     lists = slots.groupBy(*place).agg(F.count("*").alias("rows")).filter("rows > 1")
     blocks = F.ceil(F.col("rows") / settings.block_rows).cast("int")
