@@ -3,7 +3,10 @@
 import itertools
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +113,22 @@ def test_components(spark):
     real = {n for a, b in edges if a != b for n in (a, b)}
     assert got == {n: root(n) for n in real if root(n) != n}
     assert components(frame.filter(F.col("a") < -1)).count() == 0
+
+
+def test_blocks_are_bounded_in_rows(spark, family):
+    frame = spark.createDataFrame(family, "doc_id long, text string")
+    check(minhash.near_duplicates(frame, minhash.Settings(block_rows=8, cells=100)), family)
+
+
+@pytest.mark.parametrize("two", [False, True])
+def test_memory_of_many_short_variants(two):
+    """A template of 24 words whose variants differ in the last: no matrix of all pairs is built."""
+    n, template = 8000, " ".join(f"t{k}" for k in range(23))
+    sets = list(minhash.shingle_sets(pa.array([f"{template} v{k}" for k in range(n)])))
+    side = np.arange(n) % 2 if two else None
+    tracemalloc.start()
+    links = minhash._links(np.arange(n), side, sets, minhash.Settings())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len({x for pair in links for x in pair}) == n and len(links) == n - 1
+    assert peak < 300e6

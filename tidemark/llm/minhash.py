@@ -15,9 +15,10 @@ and are represented by the smallest id.  For the classes:
    group; where a list holds documents of several homes, each also visits the larger ones.  Any two
    documents of a list so meet in a group, without a row per pair, and a family of near copies, which
    shares dozens of lists, meets once.
-3. A group is cut into blocks of bounded size, and tasks compare two blocks each.  Retained values
-   give the overlaps of all pairs as one product of 0/1 matrices, the union sketch of a pair
-   estimates its Jaccard, and pairs far below the threshold go.
+3. A group is cut into blocks, bounded in shingles and in rows, and tasks compare two blocks each, a
+   strip of rows at a time.  Retained values give the overlaps of a strip as products of 0/1
+   matrices of bounded size, the union sketch of a pair estimates its Jaccard, and pairs far below
+   the threshold go, as do those that earlier strips have connected.
 4. The remaining pairs are confirmed on the full sets, computed from the whole texts.  Of the links
    a task finds, it returns those that connect something new.
 
@@ -44,7 +45,8 @@ from tidemark.llm.words import blocks, mixed, text_bytes, windows, words_of
 
 @dataclass(frozen=True)
 class Settings:
-    """``block_shingles`` bounds a block and ``task_shingles`` what one task compares in a row."""
+    """``block_shingles`` and ``block_rows`` bound a block, ``task_shingles`` what one task compares in a
+    row, and ``cells`` each matrix of a task."""
 
     size: int = 5
     percent: int = 75
@@ -52,6 +54,8 @@ class Settings:
     share: int = 27
     block_shingles: int = 400_000
     task_shingles: int = 1_000_000
+    block_rows: int = 16_000
+    cells: int = 2_000_000
 
 
 def shingle_sets(column: pa.Array, size: int = 5) -> Iterator[np.ndarray]:
@@ -113,7 +117,8 @@ def meetings(lists: DataFrame, settings: Settings) -> DataFrame:
     visits = placed.join(homes, "value").filter("other > home").select("rep", "n_shingles", F.col("other").alias("home"))
     members = placed.select("rep", "n_shingles", "home").unionByName(visits).distinct()
     weight = members.groupBy("home").agg(F.sum("n_shingles").alias("weight"), F.count("*").alias("members"))
-    blocks = F.ceil(F.col("weight") / settings.block_shingles).cast("int").alias("blocks")
+    full = F.greatest(F.col("weight") / settings.block_shingles, F.col("members") / settings.block_rows)
+    blocks = F.ceil(full).cast("int").alias("blocks")
     side = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("side")
     dealt = members.join(weight.filter("members > 1").select("home", blocks), "home").select("*", side)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -123,24 +128,47 @@ def meetings(lists: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def _overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
-    """Sizes of all intersections, from the values that occur in more than one set."""
-    n = len(sets)
-    value = np.concatenate(sets)
-    own = np.repeat(np.arange(n), [len(s) for s in sets])
-    _, code, count = np.unique(value, return_inverse=True, return_counts=True)
-    rank = np.cumsum(count > 1) - 1
-    shared = count[code] > 1
-    own, code = own[shared], rank[code[shared]]
-    order = np.argsort(code, kind="stable")
-    own, code = own[order], code[order]
-    out = np.zeros((n, n), np.float32)
-    edges = np.searchsorted(code, np.arange(0, (code[-1] if len(code) else 0) + columns + 1, columns))
-    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
-        has = np.zeros((n, columns), np.float32)
-        has[own[a:b], code[a:b] - k * columns] = 1
-        out += has @ has.T
-    return out.astype(np.int64)
+class _Coded:
+    """The values that occur in more than one set, as codes, by row."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        sizes = [len(s) for s in sets]
+        _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = count[code] > 1
+        own = np.repeat(np.arange(len(sets)), sizes)[shared]
+        self.code = (np.cumsum(count > 1) - 1)[code[shared]].astype(np.int32)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(own, minlength=len(sets)))])
+        self.total = int((count > 1).sum())
+
+    def _entries(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = self.first[rows + 1] - self.first[rows]
+        at = np.repeat(self.first[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.repeat(np.arange(len(rows)), n), self.code[at]
+
+    def overlaps(self, left: np.ndarray, right: np.ndarray, cells: int) -> np.ndarray:
+        """Sizes of the intersections of each left row with each right row."""
+        sides = [self._entries(left), self._entries(right)]
+        both = np.ones(self.total, bool)
+        for _, code in sides:
+            has = np.zeros(self.total, bool)
+            has[code] = True
+            both &= has
+        rank = np.cumsum(both) - 1
+        for k, (own, code) in enumerate(sides):
+            own, code = own[both[code]], rank[code[both[code]]]
+            order = np.argsort(code, kind="stable")
+            sides[k] = own[order], code[order]
+        out = np.zeros((len(left), len(right)), np.float32)
+        columns = max(16, cells // (len(left) + len(right)))
+        for c in range(0, int(both.sum()), columns):
+            parts = []
+            for size, (own, code) in zip(out.shape, sides):
+                a, b = np.searchsorted(code, [c, c + columns])
+                has = np.zeros((size, columns), np.float32)
+                has[own[a:b], code[a:b] - c] = 1
+                parts.append(has)
+            out += parts[0] @ parts[1].T
+        return out
 
 
 def _estimated(a: np.ndarray, b: np.ndarray, low: np.ndarray, k: int, share: int, chunk: int = 8192) -> np.ndarray:
@@ -164,31 +192,62 @@ def _links(names: np.ndarray, side: np.ndarray | None, sets: list[np.ndarray], s
     low = np.full((len(sets), settings.k), np.iinfo(np.uint64).max, np.uint64)
     for row, s in zip(low, sets):
         row[: min(len(s), settings.k)] = s[: settings.k]
-    retained = _overlaps([s[: settings.k] for s in sets])
-    pairs = np.triu(retained > 0, 1) & (100 * np.minimum.outer(n, n) >= settings.percent * np.maximum.outer(n, n))
-    if side is not None:
-        pairs &= side[:, None] != side[None, :]
-    a, b = np.nonzero(pairs)
-    likely = _estimated(a, b, low, settings.k, settings.share)
-    a, b = a[likely], b[likely]
-    if not len(a):
-        return []
-    full = _overlaps(sets)[a, b]
-    linked = 100 * full >= settings.percent * (n[a] + n[b] - full)
-    parent = list(range(len(sets)))
+    retained, whole = _Coded([s[: settings.k] for s in sets]), None
+    every = np.arange(len(sets))
+    lefts, rights = (every, every) if side is None else (every[side == side.min()], every[side != side.min()])
+    parent = every.copy()
 
     def root(i: int) -> int:
         while parent[i] != i:
             parent[i] = parent[parent[i]]
-            i = parent[i]
+            i = int(parent[i])
         return i
 
-    found = []
-    for i, j in zip(a[linked].tolist(), b[linked].tolist()):
-        x, y = root(i), root(j)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            found.append((int(names[i]), int(names[j])))
+    found: list[tuple[int, int]] = []
+    start, rows = 0, 1
+    while start < len(lefts) and len(rights):
+        left = lefts[start : start + rows]
+        right = rights if side is not None else rights[start + 1 :]
+        start += rows
+        # Strips grow, so what the first rows connect is not looked at again.
+        rows = min(2 * rows, max(1, settings.cells // len(rights)))
+        if not len(right):
+            break
+        while (parent[parent] != parent).any():
+            parent[:] = parent[parent]
+        pairs = (retained.overlaps(left, right, settings.cells) > 0) & (parent[left][:, None] != parent[right][None, :])
+        size, other = n[left][:, None], n[right][None, :]
+        pairs &= 100 * np.minimum(size, other) >= settings.percent * np.maximum(size, other)
+        if side is None:
+            pairs &= left[:, None] < right[None, :]
+        i, j = np.nonzero(pairs)
+        quota = 1
+        while len(i):
+            # Of the pairs that would connect the same two groups, a few are tried before the others.
+            while (parent[parent] != parent).any():
+                parent[:] = parent[parent]
+            x, y = parent[left[i]], parent[right[j]]
+            i, j, key = i[x != y], j[x != y], (np.minimum(x, y) * len(sets) + np.maximum(x, y))[x != y]
+            order = np.argsort(key, kind="stable")
+            i, j, key = i[order], j[order], key[order]
+            tried = np.arange(len(key)) - np.searchsorted(key, key) < quota
+            quota *= 4
+            (a, b), (i, j) = (i[tried], j[tried]), (i[~tried], j[~tried])
+            likely = _estimated(left[a], right[b], low, settings.k, settings.share)
+            a, b = a[likely], b[likely]
+            if not len(a):
+                continue
+            whole = whole or _Coded(sets)
+            rows_a, at = np.unique(a, return_inverse=True)
+            rows_b, other_at = np.unique(b, return_inverse=True)
+            full = whole.overlaps(left[rows_a], right[rows_b], settings.cells)[at, other_at].astype(np.int64)
+            a, b = left[a], right[b]
+            linked = 100 * full >= settings.percent * (n[a] + n[b] - full)
+            for p, q in zip(a[linked].tolist(), b[linked].tolist()):
+                x, y = root(p), root(q)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    found.append((int(names[p]), int(names[q])))
     return found
 
 
