@@ -36,3 +36,11 @@ def test_merge_queries_take_every_action(spark, sf_dir):
     }.items():
         rows = QUERIES[name](spark, sf_dir).select("merge_action").distinct().collect()
         assert {r.merge_action for r in rows} == actions, name
+
+
+def test_append_staging_takes_orders_of_any_status(spark, tmp_path):
+    rows = [("F", 1, 1.0), ("O", 2, 2.0), ("P", 3, 3.0), ("X", 4, 4.0), (None, 5, 5.0)]
+    orders = spark.createDataFrame(rows, "o_orderstatus string, o_orderkey long, o_totalprice double")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    found = QUERIES["append_staging"](spark, str(tmp_path)).collect()
+    assert sorted(r.o_orderkey for r in found) == [1, 2, 3, 4, 5]

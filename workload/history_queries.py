@@ -154,8 +154,9 @@ def append_staging(spark: SparkSession, sf: str) -> DataFrame:
     """Extracts of three kinds appended to one staging table behind a constant column."""
     orders = table(spark, sf, "orders").select("o_orderstatus", "o_orderkey", "o_totalprice")
     path = shared_folder(spark, "staging")
-    for status in ("F", "O", "P"):
-        append(orders.filter(F.col("o_orderstatus") == status), path, {"log_id": F.expr("X'00'")})
+    # The third extract has every row that the others do not, also those without a status.
+    for kind in ("o_orderstatus = 'F'", "o_orderstatus = 'O'", "coalesce(o_orderstatus NOT IN ('F', 'O'), true)"):
+        append(orders.filter(kind), path, {"log_id": F.expr("X'00'")})
     return read_relation(spark, path).withColumn("log_id", F.hex("log_id"))
 
 
