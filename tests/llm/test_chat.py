@@ -1,5 +1,7 @@
 """Perspectives against SQL and by hand."""
 
+import time
+
 import pytest
 
 from tidemark.llm import chat
@@ -55,3 +57,16 @@ def test_query_matches_sql(spark, sf_dir, name):
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = QUERIES["op1_chat_perspectives"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_many_messages_in_one_part(spark):
+    """Null turns of the null dialogue: the mask's cost follows the messages, not their square."""
+    n, columns = 200_000, "conv_id turn role text perspective part messages".split()
+    values = ["CAST(NULL AS long)", "CAST(NULL AS int)", "'a'", "lpad(CAST(id AS string), 6, '0')", "'x'", "1L", "'m'"]
+    frame = spark.range(n).selectExpr(*[f"{v} AS {c}" for v, c in zip(values, columns)])
+    start = time.monotonic()
+    row, = chat.perspectives(frame).collect()
+    assert time.monotonic() - start < 30
+    assert row.n_turns == len(row.mask) == n
+    for k in (0, 255, 256, 257, n - 1):
+        assert row.text[row.mask[k].start : row.mask[k].end] == f"{k:06d}<|end|>"

@@ -4,8 +4,9 @@ For every participant, that speaker's turns are the assistant's, those of others
 and turns of context roles (system) stay what they are.  The mask lists the spans to train on: the
 assistant's words and the closing marker after them, as half-open character ranges of the text.
 
-A dialogue is rendered in parts of ``part_turns`` turn numbers, so a part's size is bounded by its
-turns and a dialogue of any length is spread over tasks.  A turn's text is shuffled once, before it
+A dialogue is rendered in parts of ``part_turns`` turn numbers, so a dialogue of any length is spread
+over tasks.  A part is one row, as the SQL has it: its size is bounded as long as turn numbers
+differ, but not by repeated or null turns or the null dialogue.  A turn's text is shuffled once, before it
 is rendered for each participant.
 
 Defined cases: a null text is empty.  A null role is a user without a name and no participant.  Null
@@ -23,6 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Spans are gathered for so many messages at a time, as an array that grows is copied at each step.
+CHUNK = 256
+
+
 @dataclass(frozen=True)
 class Settings:
     context_roles: tuple[str, ...] = ("system",)
@@ -69,10 +74,19 @@ def perspectives(turns: DataFrame, settings: Settings = Settings()) -> DataFrame
         span = F.struct((end - p["body"] - len(settings.closing) - 1).alias("start"), (end - 1).alias("end"))
         return F.struct(end.alias("at"), F.when(p["own"], F.array_append(done["mask"], span)).otherwise(done["mask"]).alias("mask"))
 
-    return pieces.select(
+    def ahead(done: Column, c: Column) -> Column:
+        return F.struct((done["at"] + c["at"]).alias("at"), F.array_append(done["before"], done["at"]).alias("before"))
+
+    def moved(c: Column, by: Column) -> Column:
+        return F.transform(c["mask"], lambda m: F.struct((m["start"] + by).alias("start"), (m["end"] + by).alias("end")))
+
+    numbers = F.sequence(F.lit(0), F.floor((F.size("pieces") - 1) / CHUNK).cast("int"))
+    chunks = F.transform(numbers, lambda c: F.aggregate(F.slice("pieces", c * CHUNK + 1, F.lit(CHUNK)), start, step))
+    none = F.struct(F.lit(0).cast("long").alias("at"), F.expr("CAST(array() AS array<bigint>)").alias("before"))
+    return pieces.select("*", chunks.alias("chunks")).select(
         "conv_id", "part", "perspective", F.size("pieces").cast("long").alias("n_turns"),
         F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("text"),
-        F.aggregate("pieces", start, step)["mask"].alias("mask"),
+        F.flatten(F.zip_with("chunks", F.aggregate("chunks", none, ahead)["before"], moved)).alias("mask"),
     )
 
 
