@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, embedding_dedup, minhash, mixing, packing, passages, quality_rules, simple8b, suffix_dedup, toxicity
+from tidemark.llm import chat, embedding_dedup, hard_negatives, language, minhash, mixing, packing, passages, quality_rules, simple8b, suffix_dedup, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -90,3 +90,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "char_distance", "word_distance",
     )
+
+
+@query
+def op12_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fitted(docs))
+
+
+@query
+def op13_four_russians_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    return hard_negatives.mine(vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)))
+
+
+SQL["op13_four_russians_negatives"] = hard_negatives.SQL
