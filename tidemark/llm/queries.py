@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, embedding_dedup, hard_negatives, language, minhash, mixing, packing, passages, quality_rules, simple8b, suffix_dedup, toxicity
+from tidemark.llm import (
+    chat, embedding_dedup, hard_negatives, language, minhash, mixing, packing, passages, prefix_trie, quality_rules,
+    simple8b, suffix_dedup, toxicity,
+)
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -92,6 +95,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_zfast_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(*prefix_trie.branched(prefix_trie.numbered(table(spark, sf_dir, "conversations"))))
+
+
+SQL["op11_zfast_conversations"] = prefix_trie.SQL
+
+
 @query
 def op12_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
