@@ -1,0 +1,90 @@
+"""Four-Russians scores and hard negatives against plain integers."""
+
+import math
+
+import numpy as np
+import pytest
+
+from tidemark.llm import hard_negatives as hn
+
+SCHEMA = "vec_id long, embedding array<float>, label int, anchor long, dim string, r int, rank string, planes int"
+EXTRA = (5, "d", 2, "k", 7)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, *EXTRA) for r in rows], SCHEMA)
+
+
+def brute(rows, s=hn.Settings()):
+    """The stated result, one pair at a time in Python integers."""
+    part = set()
+    for i, v, label in rows:
+        if v is None or label is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        part.add((i, label, tuple(math.floor(s.scale * float(np.float32(x))) for x in v)))
+    out = []
+    for i, label, v in part:
+        if i is None or i % s.anchor_every:
+            continue
+        scored = [
+            (-sum(x * y for x, y in zip(v, o[2])), o[0] is None, o[0] or 0, o[1])
+            for o in part
+            if len(o[2]) == len(v) and o != (i, label, v)
+        ]
+        scored.sort()
+        for p in [x for x in scored if x[3] == label][: s.positives]:
+            band = [x for x in scored if x[3] != label and s.low * -p[0] <= 100 * -x[0] <= s.high * -p[0]]
+            for rank, x in enumerate(band[: s.negatives], 1):
+                out.append((i, None if p[1] else p[2], rank, None if x[1] else x[2], -p[0], -x[0]))
+    return sorted(out, key=str)
+
+
+def mined(spark, rows, settings=hn.Settings()):
+    return sorted(map(tuple, hn.mine(frame(spark, rows), settings).collect()), key=str)
+
+
+def test_scores_are_exact():
+    rng = np.random.default_rng(1)
+    for dim, bits in [(1, 2), (7, 4), (8, 9), (64, 10), (65, 20)]:
+        a, b = (rng.integers(-(1 << bits - 1), 1 << bits - 1, (n, dim)) for n in (5, 31))
+        planes = hn.planes_of(b, bits)
+        assert planes.dtype == np.uint8 and planes.shape == (31, bits, -(-dim // 8))
+        assert (hn.values_of(planes)[:, :dim] == b).all()
+        table = hn.subset_sums(hn.values_of(hn.planes_of(a, bits)))
+        assert (hn.scores_of(hn._narrow(table, bits), planes) == b @ a.T).all()
+
+
+def test_too_large_to_rank_exactly():
+    with pytest.raises(ValueError, match="ranked exactly"):
+        hn._narrow(np.full((8, 256, 1), 1 << 40), 10)
+
+
+ODD = [
+    (0, [0.5, 0.5, -0.25], 1), (0, [0.5, 0.5, -0.25], 1), (0, [0.25, 0.5, 0.0], 2), (1, [0.5, 0.5, -0.25], 1), (2, [0.5, 0.4, -0.25], 2),
+    (3, [0.5, 0.5, -0.25], 2), (None, [0.5, 0.5, -0.25], 2), (None, [0.5, 0.5, -0.2], 1), (4, None, 1), (5, [0.5, None, 0.1], 1),
+    (6, [float("nan"), 1.0, 1.0], 1), (7, [float("inf"), 1.0, 1.0], 2), (8, [0.5, 0.5, 0.5], None), (9, [0.0, 0.0, 0.0], 2),
+    (100, [], 1), (101, [], 1), (102, [], 2), (200, [1.0], 3), (300, [-0.5, -0.5, 0.3], 1), (11, [-1.0, 0.0, 0.0], 1),
+    (12, [0.001, 0.0, -0.001], 2), (400, [0.5] * 9, 1), (401, [0.5] * 9, 1), (402, [0.5] * 8 + [0.4], 7), (-100, [0.5, 0.5, 0.0], 5),
+]
+
+
+def test_odd_rows(spark):
+    want = brute(ODD)
+    assert len(want) > 10 and any(r[3] is None for r in want) and any(r[0] == 100 for r in want)
+    assert mined(spark, ODD) == want
+    assert mined(spark, []) == [] and mined(spark, [(1, [1.0], 1)]) == [] and mined(spark, [(0, None, 1)]) == []
+
+
+def test_many_tiles_with_ties_and_a_hot_id(spark):
+    """Few distinct values, so most scores tie; a third of the rows has no id."""
+    rng = np.random.default_rng(5)
+    rows = [
+        (None if k % 3 == 1 else int(k), [float(x) for x in rng.integers(-2, 4, 10) / 4], int(rng.integers(0, 3))) for k in range(1500)
+    ]
+    settings = hn.Settings(anchor_every=12, least_rows=64, least_anchors=16, most_anchors=16)
+    assert mined(spark, rows, settings) == brute(rows, settings)
+
+
+def test_too_large_components_fail(spark):
+    with pytest.raises(ValueError, match="bits"):
+        mined(spark, [(0, [1e30], 1), (1, [1.0], 1)])
