@@ -229,14 +229,21 @@ def located(batch: DataFrame, nodes: DataFrame, paths: DataFrame) -> DataFrame:
     root = [F.lit(0).cast("long").alias(c) for c in ("e", "p1", "p2", "a", "node_rep")]
     state = batch.select("rep", "n", F.lit(0).cast("long").alias("low"), F.col("n").alias("high"), *root)
     found = hashed.select("f", "f1", "f2", *[F.col("rep" if c == "node_rep" else c).alias(f"hit_{c}") for c in node])
-    finished = []
+    finished, near, size = [], paths, None
     while True:
         state = stored(state, "search")
         finished.append(state.filter("low >= high"))
         state = state.filter("low < high")
-        if state.isEmpty():
+        left = state.count()
+        if not left:
             break
-        probe = _at(state.withColumn("f", two_fattest(F.col("low"), F.col("high"))), paths, "rep", "f", {"p1": "f1", "p2": "f2"})
+        if size is not None and left <= size // 2:
+            # Few are still searching: go on with their paths only, within their open intervals.
+            span = state.select("rep", "low", "high")
+            near = stored(near.join(span, "rep").filter("depth > low AND depth <= high").drop("low", "high"), "near")
+            size = left
+        size = size or left
+        probe = _at(state.withColumn("f", two_fattest(F.col("low"), F.col("high"))), near, "rep", "f", {"p1": "f1", "p2": "f2"})
         state = probe.join(found, ["f", "f1", "f2"], "left").select(
             "rep", "n", F.coalesce("hit_e", "low").alias("low"),
             F.when(F.col("hit_e").isNull(), F.col("f") - 1).otherwise(F.col("high")).alias("high"),
