@@ -92,6 +92,40 @@ def test_delete_guard_and_reactivation(spark):
     assert (out[6].merge_action, out[6].IS_DELETED, out[6].UPDATED_AT) == ("insert", 0, None)
 
 
+@pytest.mark.parametrize("absent", ["soft", "hard", "keep"])
+def test_the_join_taken_apart_gives_the_same_rows(spark, absent):
+    rng = random.Random(4)
+    t = spark.createDataFrame([live(k, rng.choice("abc")) for k in range(0, 60, 2)], TARGET)
+    s = spark.createDataFrame([(k, rng.choice(["a", "b", None])) for k in range(0, 60, 3)], "k int, v string")
+    apart, once = (
+        sorted(map(tuple, merge_with_actions(t, s, spec(null_equal(""), absent=absent, unique_target=u), NOW).collect()), key=str)
+        for u in (False, True)
+    )
+    assert apart == once and len(once) > 19
+
+
+def test_target_keys_that_repeat_or_are_null(spark):
+    t = spark.createDataFrame([live(1, "a"), live(1, "b"), live(None, "c"), live(None, "d"), live(2, "e")], TARGET)
+    s = spark.createDataFrame([(1, "b"), (3, "f")], "k int, v string")
+    got = merge_with_actions(t, s, spec(raw(), unique_target=False), NOW).collect()
+    assert sorted((r.k or 0, r.v, r.merge_action) for r in got) == [
+        (0, "c", "delete"), (0, "d", "delete"), (1, "b", "keep"), (1, "b", "update"), (2, "e", "delete"), (3, "f", "insert"),
+    ]
+    for rows in ([live(1, "a"), live(1, "b")], [live(None, "c")]):
+        with pytest.raises(Exception, match="merge key"):
+            merge(spark.createDataFrame(rows, TARGET), s, spec(raw()), NOW).collect()
+
+
+def test_rows_deleted_for_good_can_be_told(spark):
+    t = spark.createDataFrame([live(1, "a"), live(2, "b")], TARGET)
+    s = spark.createDataFrame([(1, "a")], "k int, v string")
+    hard = spec(raw(), absent="hard")
+    assert [r.merge_action for r in merge_with_actions(t, s, hard, NOW).collect()] == ["keep"]
+    for unique in (True, False):
+        told = merge_with_actions(t, s, spec(raw(), absent="hard", unique_target=unique), NOW, removed=True)
+        assert {(r.k, r.merge_action) for r in told.collect()} == {(1, "keep"), (2, "remove")}
+
+
 def test_second_run_keeps_everything(spark):
     t = spark.createDataFrame([live(1, "a"), live(2, "b")], TARGET)
     s = spark.createDataFrame([(2, "c"), (3, None)], "k int, v string")

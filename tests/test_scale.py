@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import workload.all_queries  # noqa: F401
+from tidemark.operators.merge import MergeSpec, merge_with_actions, raw
 from tidemark.plans import drafts, plan_hours
 from tidemark.session import cluster_settings
 from workload.registry import QUERIES
@@ -108,6 +109,41 @@ def test_a_role_with_a_third_of_all_changes_is_split(spark, tmp_path, small_skew
     assert "SortMergeJoin(skew=true)" in plan_of(count)
 
 
+def _hot_target(spark, tmp_path, rows=300_000):
+    """A third of the target's rows have one key; the source has that key, others and new ones."""
+    spark.range(rows).selectExpr(
+        "IF(id % 3 = 0, 7, 1000 + id) AS k", "md5(string(id)) AS v", "CAST(NULL AS timestamp_ntz) AS deleted_at",
+        "CAST(NULL AS timestamp_ntz) AS updated_at",
+    ).repartition(8).write.parquet(f"{tmp_path}/t")
+    spark.range(rows).selectExpr("IF(id = 0, 7, 1000 + id + 100000) AS k", "'new' AS v").write.parquet(f"{tmp_path}/s")
+    return spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
+
+
+@pytest.mark.parametrize("absent", ["soft", "hard"])
+def test_a_target_key_with_a_third_of_the_rows_is_split(spark, tmp_path, small_skew, absent):
+    target, source = _hot_target(spark, tmp_path)
+    spec = MergeSpec(
+        keys=("k",), columns={"v": raw()}, absent=absent, deleted_at="deleted_at", updated_at="updated_at", unique_target=False
+    )
+    merged = merge_with_actions(target, source, spec, datetime(2024, 1, 1))
+    count = merged.groupBy("merge_action").agg(F.count("v").alias("n"))
+    t, s = target.select("k").toPandas().k, set(source.select("k").toPandas().k)
+    matched = int(t.isin(s).sum())
+    want = {"update": matched, "insert": len(s - set(t))} | ({"delete": len(t) - matched} if absent == "soft" else {})
+    assert {r.merge_action: r.n for r in count.collect()} == want
+    assert "SortMergeJoin(skew=true)" in plan_of(count)
+
+
+def test_a_target_key_with_a_third_of_the_rows_fails_where_keys_are_unique(spark, tmp_path, small_skew):
+    target, source = _hot_target(spark, tmp_path)
+    spec = MergeSpec(keys=("k",), columns={"v": raw()}, absent="soft", deleted_at="deleted_at", updated_at="updated_at")
+    merged = merge_with_actions(target, source, spec, datetime(2024, 1, 1))
+    # What reaches the check after the shuffle is cut down to two rows a key and task.
+    assert plan_of(merged).count("WindowGroupLimit") >= 4
+    with pytest.raises(Exception, match="duplicate merge key: 7"):
+        merged.agg(F.count("v")).collect()
+
+
 def test_act_facts_are_aggregated_before_they_meet_a_key_set(spark, tmp_path, no_broadcast):
     spark.range(1000).selectExpr("id % 10 AS project", "id % 3 AS kind", "id AS amount").write.parquet(f"{tmp_path}/f")
     facts = spark.read.parquet(f"{tmp_path}/f")

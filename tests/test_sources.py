@@ -232,16 +232,6 @@ def test_slices_add_up_and_repeat_harmlessly(spark, tmp_path):
     assert read_history(spark, root).count() == 31
 
 
-def test_a_repeated_number_fails(spark, tmp_path):
-    root = str(tmp_path / "snap")
-    write_snapshot(spark.range(1).toDF("id"), root)
-    entry = spark.read.json(f"{root}/_versions")
-    entry.write.mode("append").json(f"{root}/_versions")
-    for act in (lambda: read_snapshot(spark, root), lambda: write_snapshot(spark.range(2).toDF("id"), root)):
-        with pytest.raises(RuntimeError, match="two writers took one number"):
-            act()
-
-
 def test_marks(spark):
     marks = spark.createDataFrame([("h", datetime(2024, 1, 2, 3, 4, 5)), ("n", None)], "TableName string, LastUpdateDate timestamp_ntz")
     assert read_mark(marks, "h") == datetime(2024, 1, 2, 3, 4)

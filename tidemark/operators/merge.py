@@ -2,15 +2,20 @@
 
 A merge takes the current target and a full source extract and yields the next snapshot of
 the target.  Built-in file tables have no row-level UPDATE, so every flavour is a join that
-reads each side once and shuffles each side at most once, on the key:
+shuffles each side at most once, on the key:
 
 * absent rows soft-deleted or kept, new rows inserted, the plain upsert by key: one full outer join;
 * absent rows deleted for good: ``source left join target``;
 * update of existing rows only: ``target left join source``.
 
-Source keys must be unique and not NULL.  The check rides on the shuffle and sort the join
+Keys must be unique and not NULL on both sides.  The check rides on the shuffle and sort the join
 needs anyway.  It looks at two rows per key only, so a key repeated any number of times is cut
 down before the shuffle and fails the run instead of filling one task.
+
+A target whose keys may repeat or be NULL says so (``unique_target=False``).  A full outer join
+cannot split a key that holds much of it, so the join is then taken apart: the target left joins
+the source, which adaptive execution can split, and the source rows without a target are those
+that an anti join with the target's distinct keys leaves.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-INSERT, UPDATE, DELETE, KEEP = "insert", "update", "delete", "keep"
+INSERT, UPDATE, DELETE, KEEP, REMOVE = "insert", "update", "delete", "keep", "remove"
 ACTION = "merge_action"
 
 
@@ -70,6 +75,8 @@ class MergeSpec:
     ``always``  overwrite matched rows without comparing.
     ``insert_only``  source columns written on insert but never updated.
     ``on_insert``  constants for target columns the source does not carry.
+    ``unique_target``  fail on a repeated or NULL target key; if false, every such row is a row of
+    its own.
     """
 
     keys: Sequence[str]
@@ -82,6 +89,7 @@ class MergeSpec:
     deleted_at: str | None = None
     updated_at: str | None = None
     on_insert: Mapping[str, Any] = field(default_factory=dict)
+    unique_target: bool = True
 
     def __post_init__(self) -> None:
         if self.absent not in ("soft", "hard", "keep"):
@@ -130,8 +138,9 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _sides(target: DataFrame, source: DataFrame, spec: MergeSpec) -> tuple[DataFrame, DataFrame]:
-    """Both sides with prefixed columns; the source filled and in the target's types."""
+def _sides(target: DataFrame, source: DataFrame, spec: MergeSpec) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Both sides with prefixed columns, the source filled and in the target's types, with its keys
+    checked and without."""
     types = {f.name: f.dataType.simpleString() for f in target.schema.fields}
 
     def written(name: str) -> str:
@@ -145,8 +154,10 @@ def _sides(target: DataFrame, source: DataFrame, spec: MergeSpec) -> tuple[DataF
         return [*[f"{_quote(c)} AS {_quote(f'{side}_{c}')}" for c in names], f"TRUE AS {side}_here"]
 
     wanted = [*spec.keys, *spec.columns, *spec.insert_only]
-    s = require_unique(source.selectExpr(*[written(c) for c in wanted]), spec.keys)
-    return target.selectExpr(*prefixed(target.columns, "t")), s.selectExpr(*prefixed(wanted, "s"))
+    plain = source.selectExpr(*[written(c) for c in wanted])
+    t = require_unique(target, spec.keys) if spec.unique_target else target
+    s = [side.selectExpr(*prefixed(wanted, "s")) for side in (require_unique(plain, spec.keys), plain)]
+    return t.selectExpr(*prefixed(target.columns, "t")), *s
 
 
 def _changed(spec: MergeSpec) -> str:
@@ -170,6 +181,8 @@ def _changed(spec: MergeSpec) -> str:
 
 def _action(spec: MergeSpec) -> str:
     cases = [f"WHEN t_here IS NULL THEN '{INSERT}'"]
+    if spec.absent == "hard":
+        cases.append(f"WHEN s_here IS NULL THEN '{REMOVE}'")
     if spec.absent == "soft":
         live = (
             f"{_quote('t_' + spec.deleted_flag)} = 0"
@@ -207,17 +220,13 @@ def _next_value(name: str, kind: str, spec: MergeSpec, run_ts: datetime) -> str:
 
 
 def merge_with_actions(
-    target: DataFrame, source: DataFrame, spec: MergeSpec, run_ts: datetime
+    target: DataFrame, source: DataFrame, spec: MergeSpec, run_ts: datetime, removed: bool = False
 ) -> DataFrame:
-    """The next snapshot plus ``merge_action`` telling what happened to each row."""
-    t, s = _sides(target, source, spec)
-    on = F.expr(" AND ".join(f"{_quote('t_' + k)} = {_quote('s_' + k)}" for k in spec.keys))
-    if spec.absent == "hard":
-        joined = s.join(t, on, "left")
-    elif not spec.insert:
-        joined = t.join(s, on, "left")
-    else:
-        joined = t.join(s, on, "full")
+    """The next snapshot plus ``merge_action`` telling what happened to each row.
+
+    With ``removed``, target rows that are deleted for good stay, with the action ``remove``.
+    """
+    joined = _joined(*_sides(target, source, spec), spec, removed)
     next_row = [
         f"{_next_value(f.name, f.dataType.simpleString(), spec, run_ts)} AS {_quote(f.name)}"
         for f in target.schema.fields
@@ -225,6 +234,20 @@ def merge_with_actions(
     return joined.selectExpr("*", f"{_action(spec)} AS {ACTION}").selectExpr(*next_row, ACTION)
 
 
+def _joined(t: DataFrame, s: DataFrame, plain: DataFrame, spec: MergeSpec, removed: bool) -> DataFrame:
+    on = F.expr(" AND ".join(f"{_quote('t_' + k)} = {_quote('s_' + k)}" for k in spec.keys))
+    gone = spec.absent == "hard" and not removed
+    if not spec.insert:
+        return t.join(s, on, "left")
+    if spec.unique_target:
+        return s.join(t, on, "left") if gone else t.join(s, on, "full")
+    # A join is split only if nothing stands between it and its shuffles, so the source is checked on
+    # the other branch, which all its rows pass.  Keys are reduced before they are shuffled.
+    known = t.select(*[_quote(f"t_{k}") for k in spec.keys]).distinct()
+    matched = t.join(plain, on, "inner" if gone else "left")
+    return matched.unionByName(s.join(known, on, "left_anti"), allowMissingColumns=True)
+
+
 def merge(target: DataFrame, source: DataFrame, spec: MergeSpec, run_ts: datetime) -> DataFrame:
     """The next snapshot of the target, in the target's schema."""
     return merge_with_actions(target, source, spec, run_ts).drop(ACTION)
@@ -257,7 +280,12 @@ def soft_delete_absent(
 
 
 def keyed_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows replace target rows of the same key or are added; nothing is compared."""
-    columns = {c: raw() for c in target.columns if c not in keys}
-    spec = MergeSpec(keys=tuple(keys), columns=columns, always=True)
-    return merge(target, source, spec, datetime.min)
+    """Source rows replace target rows of the same key or are added; nothing is compared.
+
+    Keys are unique on both sides, or the run fails.
+    """
+    return merge(target, source, upsert_spec(target.columns, keys), datetime.min)
+
+
+def upsert_spec(columns: Sequence[str], keys: Sequence[str]) -> MergeSpec:
+    return MergeSpec(keys=tuple(keys), columns={c: raw() for c in columns if c not in keys}, always=True)

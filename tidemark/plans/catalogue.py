@@ -23,7 +23,7 @@ from tidemark.operators.aggregates import pivot_max
 from tidemark.operators.merge import MergeSpec, filled, filled_null_equal, merge, null_equal, raw
 from tidemark.sources.envelope import Field, read_envelopes, records, stage_records, table_schema
 from tidemark.sources.extracts import STRICT, read_records
-from tidemark.sources.tables import read_snapshot, shared_folder, write_snapshot
+from tidemark.sources.tables import merge_snapshot, shared_folder
 
 PRODUCT, CLASSIFIER = "product", "classifiers"
 LIVE_SOURCE_DATE = "0001-01-01"
@@ -194,6 +194,19 @@ PRODUCT_MERGE = MergeSpec(
 )
 
 
+def product_source(
+    envelopes: DataFrame, units: DataFrame, employees: DataFrame, persons: DataFrame, products: DataFrame | None = None
+) -> DataFrame:
+    """The first dialect's product rows.
+
+    ``products``: the extract's typed rows, where they have been parsed already.
+    """
+    classifiers = classifier_table(records(envelopes, CLASSIFIER, CLASSIFIER_FIELDS))
+    if products is None:
+        products = records(envelopes, PRODUCT, PRODUCT_FIELDS)
+    return enrich_products(products, classifiers, units, employees, persons)
+
+
 def merge_products(
     target: DataFrame,
     envelopes: DataFrame,
@@ -203,15 +216,8 @@ def merge_products(
     run_ts: datetime,
     products: DataFrame | None = None,
 ) -> DataFrame:
-    """First dialect: rows missing from the extract are deleted for good.
-
-    ``products``: the extract's typed rows, where they have been parsed already.
-    """
-    classifiers = classifier_table(records(envelopes, CLASSIFIER, CLASSIFIER_FIELDS))
-    if products is None:
-        products = records(envelopes, PRODUCT, PRODUCT_FIELDS)
-    source = enrich_products(products, classifiers, units, employees, persons)
-    return merge(target, source, PRODUCT_MERGE, run_ts)
+    """First dialect: rows missing from the extract are deleted for good."""
+    return merge(target, product_source(envelopes, units, employees, persons, products), PRODUCT_MERGE, run_ts)
 
 
 PRODUCT_ROW_FIELDS = (
@@ -349,22 +355,13 @@ def load_products(
     row_root: str,
     run_ts: datetime,
 ) -> None:
-    """Staged extracts into the next snapshots of both targets.
+    """What the staged extracts change into both targets.
 
     ``lookups``: units, employees and persons as in ``enrich_products``, and tribe_units as the
     units of ``product_rows``.
     """
     envelopes = read_envelopes(spark, staging)
     products, product_records = parsed_products(envelopes)
-    rows = upsert_products(read_snapshot(spark, row_root), envelopes, lookups["tribe_units"], run_ts, product_records)
-    write_snapshot(rows, row_root)
-    merged = merge_products(
-        read_snapshot(spark, root),
-        envelopes,
-        lookups["units"],
-        lookups["employees"],
-        lookups["persons"],
-        run_ts,
-        products,
-    )
-    write_snapshot(merged, root)
+    merge_snapshot(spark, row_root, product_rows(product_records, lookups["tribe_units"]), PRODUCT_UPSERT, run_ts)
+    source = product_source(envelopes, lookups["units"], lookups["employees"], lookups["persons"], products)
+    merge_snapshot(spark, root, source, PRODUCT_MERGE, run_ts)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.merge import MergeSpec, filled, merge, raw
 from tidemark.sources.envelope import Field, raw_schema, read_envelopes, records, stage_records, table_schema
 from tidemark.sources.extracts import read_pages
-from tidemark.sources.tables import read_snapshot, write_snapshot
+from tidemark.sources.tables import merge_snapshot
 
 TRANSFERS, ADDED_FACTS = "ts_fact_transfers", "ts_added_facts"
 
@@ -90,25 +90,29 @@ def read_added_facts(spark: SparkSession, path: str) -> DataFrame:
     return read_pages(spark, path, "addedFacts", raw_schema(ADDED_FACT_FIELDS))
 
 
+def transfer_records(envelopes: DataFrame) -> DataFrame:
+    return normalize(records(envelopes, TRANSFERS, TRANSFER_FIELDS))
+
+
+def added_fact_records(envelopes: DataFrame) -> DataFrame:
+    return normalize(records(envelopes, ADDED_FACTS, ADDED_FACT_FIELDS))
+
+
 def merge_transfers(target: DataFrame, envelopes: DataFrame, run_ts: datetime) -> DataFrame:
-    source = normalize(records(envelopes, TRANSFERS, TRANSFER_FIELDS))
-    return merge(target, source, TRANSFER_MERGE, run_ts)
+    return merge(target, transfer_records(envelopes), TRANSFER_MERGE, run_ts)
 
 
 def merge_added_facts(target: DataFrame, envelopes: DataFrame, run_ts: datetime) -> DataFrame:
-    source = normalize(records(envelopes, ADDED_FACTS, ADDED_FACT_FIELDS))
-    return merge(target, source, ADDED_FACT_MERGE, run_ts)
+    return merge(target, added_fact_records(envelopes), ADDED_FACT_MERGE, run_ts)
 
 
 def load_transfers(spark: SparkSession, landed: str, staging: str, root: str, run_ts: datetime) -> None:
-    """Landed responses to staging, staging into the next snapshot of the target."""
+    """Landed responses to staging, and what they change into the target."""
     stage_records(read_transfers(spark, landed), TRANSFERS, staging)
-    target = read_snapshot(spark, root)
-    write_snapshot(merge_transfers(target, read_envelopes(spark, staging), run_ts), root)
+    merge_snapshot(spark, root, transfer_records(read_envelopes(spark, staging)), TRANSFER_MERGE, run_ts)
 
 
 def load_added_facts(spark: SparkSession, landed: str, staging: str, root: str, run_ts: datetime) -> None:
-    """Landed responses to staging, staging into the next snapshot of the target."""
+    """Landed responses to staging, and what they change into the target."""
     stage_records(read_added_facts(spark, landed), ADDED_FACTS, staging)
-    target = read_snapshot(spark, root)
-    write_snapshot(merge_added_facts(target, read_envelopes(spark, staging), run_ts), root)
+    merge_snapshot(spark, root, added_fact_records(read_envelopes(spark, staging)), ADDED_FACT_MERGE, run_ts)

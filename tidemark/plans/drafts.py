@@ -20,6 +20,7 @@ from tidemark.operators.packing import (
     split_columns,
 )
 from tidemark.sources.envelope import pack_records
+from tidemark.sources.tables import read_relation, truncate_load
 
 NO_LOG_ID = "X'00'"
 # Nulls kept, times to the second.
@@ -108,14 +109,14 @@ def run_drafts(
 ) -> DataFrame:
     """The job from act rows to the month's staged drafts, read back for the export."""
     stage_drafts(packed_drafts(acts, code, year, month, calculated, dates), staging)
-    staged = spark.read.parquet(staging)
+    staged = read_relation(spark, staging)
     return staged.filter((F.col("YearNumber") == year) & (F.col("MonthNumber") == month))
 
 
 def stage_drafts(drafts: DataFrame, path: str) -> None:
-    """Replace the staged drafts, with the constant log id in front."""
+    """Replace the staged drafts, with the constant log id in front; a failed run leaves the old ones."""
     staged = drafts.select(F.expr(NO_LOG_ID).alias("ETL_LOG_ID"), *drafts.columns)
-    staged.write.mode("overwrite").partitionBy("YearNumber", "MonthNumber").parquet(path)
+    truncate_load(staged, path, partition_by=["YearNumber", "MonthNumber"])
 
 
 def export_rows(view: DataFrame, year: int, month: int) -> DataFrame:

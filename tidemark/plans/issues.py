@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import MergeSpec, merge, null_equal
-from tidemark.sources.tables import append, read_snapshot, truncate_load, write_snapshot
+from tidemark.sources.tables import append, merge_snapshot, read_relation, truncate_load
 
 STATUS_UPDATE = MergeSpec(
     keys=("issue_id",),
@@ -41,9 +41,10 @@ def update_statuses(target: DataFrame, returned: DataFrame, run_ts: datetime) ->
     return merge(target, returned, STATUS_UPDATE, run_ts)
 
 
-def send_issues(custom_status: DataFrame, issues: DataFrame, outgoing: str) -> None:
-    """The copy out: the other side's staging gets the issues behind those it holds."""
-    append(issues_to_send(custom_status, issues), outgoing)
+def send_issues(custom_status: DataFrame, issues: DataFrame, outgoing: str, run: str | None = None) -> None:
+    """The copy out: the other side's staging gets the issues behind those it holds; those of a run
+    that is repeated take the place of its earlier ones."""
+    append(issues_to_send(custom_status, issues), outgoing, run=run)
 
 
 def load_statuses(
@@ -51,4 +52,4 @@ def load_statuses(
 ) -> None:
     """The copy back: staging is replaced, then issues whose status differs are updated."""
     truncate_load(returned_statuses(issue_statuses, statuses), staging)
-    write_snapshot(update_statuses(read_snapshot(spark, root), spark.read.parquet(staging), run_ts), root)
+    merge_snapshot(spark, root, read_relation(spark, staging), STATUS_UPDATE, run_ts)

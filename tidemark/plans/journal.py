@@ -49,8 +49,8 @@ def type_entries(entries: DataFrame) -> DataFrame:
 def load(responses: DataFrame, column: str, row_tag: str, staging: str, root_tag: str = "JournalEntries") -> None:
     """Landed responses, each with its escaped list, into emptied staging.
 
-    A repeated month replaces what was staged; a response without its list fails before anything
-    is cleared, since the rows are written before they take the place of the old ones.
+    A repeated month replaces what was staged; a response without its list, or a value that does not
+    fit, fails the load and leaves the old rows, as the new ones are written before they take their place.
     """
     fields = ", ".join(f"`{c}` string" for c in (*JOURNAL_COLUMNS, JOURNAL_DROPPED))
     entries = escaped_xml(responses, column, root_tag, row_tag, fields, drop=[JOURNAL_DROPPED])
@@ -58,6 +58,9 @@ def load(responses: DataFrame, column: str, row_tag: str, staging: str, root_tag
     truncate_load(typed.select(F.expr("X'00'").alias("ETL_LOG_ID"), *typed.columns), staging)
 
 
-def stage(entries: DataFrame, path: str) -> None:
-    """Append typed entries behind the constant log id; one call may hold any number of months."""
-    append(type_entries(entries), path, {"ETL_LOG_ID": F.expr("X'00'")})
+def stage(entries: DataFrame, path: str, run: str | None = None) -> None:
+    """Append typed entries behind the constant log id; one call may hold any number of months.
+
+    A second call for the same ``run`` takes the place of the first.
+    """
+    append(type_entries(entries), path, {"ETL_LOG_ID": F.expr("X'00'")}, run=run)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators.merge import keyed_upsert
+from tidemark.operators.merge import keyed_upsert, upsert_spec
 from tidemark.sources.extracts import read_records
-from tidemark.sources.tables import current_snapshot, read_snapshot, write_snapshot
+from tidemark.sources.tables import current_snapshot, merge_snapshot, write_snapshot
 
 UNIT_RESPONSE = "id string, description string, org_code string, short_name string, title string"
 UNIT_COLUMNS = ("id", "description", "org_code", "short_name", "title")
@@ -20,8 +22,10 @@ def read_units(spark: SparkSession, path: str) -> DataFrame:
 def load_units(spark: SparkSession, landed: str, root: str) -> None:
     """All landed pages into staging, a snapshot table, by id; units without a page keep their row."""
     units = read_units(spark, landed)
-    staged = read_snapshot(spark, root) if current_snapshot(spark, root) else units.limit(0)
-    write_snapshot(upsert_units(staged, units), root)
+    if current_snapshot(spark, root):
+        merge_snapshot(spark, root, units, upsert_spec(UNIT_COLUMNS, ["id"]), datetime.min)
+    else:
+        write_snapshot(upsert_units(units.limit(0), units), root)
 
 
 def upsert_units(staging: DataFrame, units: DataFrame) -> DataFrame:

@@ -11,7 +11,10 @@ from tidemark.fixed_values import PLAN_HOURS_COLUMNS, PLAN_HOURS_SOURCE
 from tidemark.functions.dates import at
 from tidemark.functions.defaults import or_default
 from tidemark.operators.increments import advance_mark, read_mark, time_slice
-from tidemark.sources.tables import read_snapshot, write_slice, write_snapshot
+from tidemark.sources.tables import read_snapshot, stored_mark, write_slice, write_snapshot
+
+# Columns by which a reader of the history can skip slices.
+PLAN_HOURS_RANGES = ("ChangeDate", "Period")
 
 _CHANGE = ("Period", "Increment", "Date", "User", "Comment")
 _PATH = ("ProjectCode", "LegalEntityId", "TribeId", "RoleId")
@@ -90,14 +93,17 @@ def load(
     table: str = "plan_hours_history",
     full_load: bool = False,
 ) -> None:
-    """One run: slice since the mark, store it, then move the mark.
+    """One run: slice since the mark; the slice and the new mark become known together.
 
-    A run that failed after storing is repeated from the same mark and replaces its slice, so
-    nothing is doubled.
+    The history's own mark counts; the table of marks begins it, and shows it to others afterwards.
+    A run that failed between the two is caught up by the next one.
     """
     high = run_ts.replace(second=0, microsecond=0)
     marks = read_snapshot(spark, marks_root)
-    low = read_mark(marks, table, full_load)
+    mark = None if full_load else stored_mark(spark, history_root, table)
+    low = mark or read_mark(marks, table, full_load)
     stamped = changes(tables, low, high).withColumn("LoadDateTime", at(run_ts))
-    write_slice(stamped.select(*PLAN_HOURS_COLUMNS), history_root, low, full_load)
+    write_slice(
+        stamped.select(*PLAN_HOURS_COLUMNS), history_root, low, full_load, ranges=PLAN_HOURS_RANGES, marks={table: high}
+    )
     write_snapshot(advance_mark(marks, table, high), marks_root)

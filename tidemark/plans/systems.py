@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators.merge import MergeSpec, filled, filled_null_equal, merge, null_equal
 from tidemark.sources.envelope import Field, read_envelopes, records, stage_records, table_schema
 from tidemark.sources.extracts import read_records
-from tidemark.sources.tables import read_snapshot, write_snapshot
+from tidemark.sources.tables import merge_snapshot
 
 SYSTEMS, CONSUMPTIONS = "ims_systems", "consumptions"
 
@@ -163,33 +163,44 @@ SYSTEM_ROW_TABLE = table_schema(SYSTEM_ROW_FIELDS, "deleted_at timestamp_ntz", "
 CONSUMPTION_TABLE = table_schema(CONSUMPTION_FIELDS, *_AUDIT_SCHEMA)
 
 
+def system_records(envelopes: DataFrame) -> DataFrame:
+    return records(envelopes, SYSTEMS, SYSTEM_FIELDS)
+
+
+def system_row_records(envelopes: DataFrame) -> DataFrame:
+    return records(envelopes, SYSTEMS, SYSTEM_ROW_FIELDS)
+
+
+def consumption_records(envelopes: DataFrame) -> DataFrame:
+    return records(envelopes, CONSUMPTIONS, CONSUMPTION_FIELDS)
+
+
 def merge_systems(target: DataFrame, envelopes: DataFrame, run_ts: datetime) -> DataFrame:
-    return merge(target, records(envelopes, SYSTEMS, SYSTEM_FIELDS), SYSTEM_MERGE, run_ts)
+    return merge(target, system_records(envelopes), SYSTEM_MERGE, run_ts)
 
 
 def upsert_systems(target: DataFrame, envelopes: DataFrame, run_ts: datetime) -> DataFrame:
     """Second dialect: NULL, empty and zero are equal.  The soft delete of absent rows runs in
     the same join."""
-    return merge(target, records(envelopes, SYSTEMS, SYSTEM_ROW_FIELDS), SYSTEM_UPSERT, run_ts)
+    return merge(target, system_row_records(envelopes), SYSTEM_UPSERT, run_ts)
 
 
 def merge_consumptions(target: DataFrame, envelopes: DataFrame, run_ts: datetime) -> DataFrame:
-    return merge(target, records(envelopes, CONSUMPTIONS, CONSUMPTION_FIELDS), CONSUMPTION_MERGE, run_ts)
+    return merge(target, consumption_records(envelopes), CONSUMPTION_MERGE, run_ts)
 
 
 def load_systems(
     spark: SparkSession, landed: str, staging: str, root: str, row_root: str, run_ts: datetime
 ) -> None:
-    """Landed responses to staging, staging into the next snapshots of both targets."""
+    """Landed responses to staging, and what they change into both targets."""
     stage_records(read_records(spark, landed, SYSTEM_RESPONSE, SYSTEM_PATHS), SYSTEMS, staging)
     envelopes = read_envelopes(spark, staging)
-    write_snapshot(upsert_systems(read_snapshot(spark, row_root), envelopes, run_ts), row_root)
-    write_snapshot(merge_systems(read_snapshot(spark, root), envelopes, run_ts), root)
+    merge_snapshot(spark, row_root, system_row_records(envelopes), SYSTEM_UPSERT, run_ts)
+    merge_snapshot(spark, root, system_records(envelopes), SYSTEM_MERGE, run_ts)
 
 
 def load_consumptions(spark: SparkSession, landed: str, staging: str, root: str, run_ts: datetime) -> None:
-    """Landed responses to staging, staging into the next snapshot of the target."""
+    """Landed responses to staging, and what they change into the target."""
     extract = read_records(spark, landed, CONSUMPTION_RESPONSE, CONSUMPTION_PATHS)
     stage_records(extract, CONSUMPTIONS, staging)
-    target = read_snapshot(spark, root)
-    write_snapshot(merge_consumptions(target, read_envelopes(spark, staging), run_ts), root)
+    merge_snapshot(spark, root, consumption_records(read_envelopes(spark, staging)), CONSUMPTION_MERGE, run_ts)

@@ -11,7 +11,7 @@ from tidemark.operators.merge import merge_with_actions
 from tidemark.plans import catalogue, dimensions
 from tidemark.plans.issues import issues_to_send
 from tidemark.sources.envelope import pack_records
-from tidemark.sources.tables import shared_folder
+from tidemark.sources.tables import read_relation, shared_folder
 from workload.merge_queries import both
 from workload.merge_sql import any_differs, merge_sql
 from workload.registry import RUN_TS, project, query, select_sql, table
@@ -364,7 +364,7 @@ def _loaded_twice(spark: SparkSession, load) -> DataFrame:
     staging = shared_folder(spark, "dimension")
     for _ in range(2):
         load(staging)
-    return spark.read.parquet(staging)
+    return read_relation(spark, staging)
 
 
 @query(_TRIBES_SQL)

@@ -17,7 +17,7 @@ from tidemark.plans.catalogue import PRODUCT_MERGE
 from tidemark.plans.corrections import ADDED_FACT_MERGE, TRANSFER_MERGE
 from tidemark.plans.issues import STATUS_UPDATE, returned_statuses
 from tidemark.plans.systems import CONSUMPTION_MERGE, SYSTEM_MERGE, SYSTEM_UPSERT
-from tidemark.sources.tables import read_snapshot, shared_folder, write_snapshot
+from tidemark.sources.tables import read_relation, read_snapshot, shared_folder, write_snapshot
 from workload.merge_sql import any_differs, merge_sql
 from workload.registry import RUN_TS, RUN_TS_SQL, project, query, select_sql, table
 
@@ -639,16 +639,17 @@ def _sent_back(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """
 )
 def issue_sync_job(spark: SparkSession, sf: str) -> DataFrame:
-    """Issues copied out, statuses copied back, and the stored issues updated; a second run of the
-    way back changes nothing."""
+    """Issues copied out, statuses copied back, and the stored issues updated; a second run of either
+    way changes nothing."""
     orders = table(spark, sf, "orders")
     root, staging, outgoing = (shared_folder(spark, n) for n in ("issues", "statuses", "outgoing"))
     write_snapshot(project(orders, _ISSUE), root)
     custom = project(orders, {"issue_id": "o_orderkey", "product_code_sol": "o_orderpriority", "cluster_name": "o_orderstatus"})
     names = project(table(spark, sf, "customer"), {"issue_id": "c_custkey", "issue_name": "c_name"})
-    issues.send_issues(custom, names, outgoing)
+    for _ in range(2):
+        issues.send_issues(custom, names, outgoing, run="2024-01-01")
     for run_ts in (RUN_TS, datetime(2024, 2, 2)):
         issues.load_statuses(spark, *_sent_back(spark, sf), staging, root, run_ts)
-    sent = spark.read.parquet(outgoing).groupBy(F.col("IssueId").cast("int").alias("issue_id")).agg(F.count("*").alias("n"))
+    sent = read_relation(spark, outgoing).groupBy(F.col("IssueId").cast("int").alias("issue_id")).agg(F.count("*").alias("n"))
     stored = read_snapshot(spark, root).join(sent, "issue_id", "left")
     return stored.select(*_ISSUE, F.coalesce("n", F.lit(0)).alias("sent"))
