@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.merge import MergeSpec, filled, merge, raw
 from tidemark.sources.envelope import Field, raw_schema, read_envelopes, records, stage_records, table_schema
-from tidemark.sources.extracts import read_pages
+from tidemark.sources.extracts import read_pages, require_pages
 from tidemark.sources.tables import merge_snapshot
 
 TRANSFERS, ADDED_FACTS = "ts_fact_transfers", "ts_added_facts"
@@ -66,6 +66,7 @@ _AUDIT_SCHEMA = ("IS_DELETED int", "DELETED_AT timestamp_ntz", "UPDATED_AT times
 TRANSFER_TABLE = table_schema(TRANSFER_FIELDS, *_AUDIT_SCHEMA)
 ADDED_FACT_TABLE = table_schema(ADDED_FACT_FIELDS, *_AUDIT_SCHEMA)
 
+TRANSFER_ARRAY, ADDED_FACT_ARRAY = "factTransfers", "addedFacts"
 _GUIDS = ("FactTransferId", "AddedFactId", "ConversionPeriodId", "ConversionTimeAllocationId")
 _PADDED = ("PersonId", "ProjectFrom", "ProjectTo")
 
@@ -82,12 +83,12 @@ def normalize(df: DataFrame) -> DataFrame:
 
 def read_transfers(spark: SparkSession, path: str) -> DataFrame:
     """Landed responses ``{"factTransfers": [...]}`` as raw records for the envelope."""
-    return read_pages(spark, path, "factTransfers", raw_schema(TRANSFER_FIELDS))
+    return read_pages(spark, path, TRANSFER_ARRAY, raw_schema(TRANSFER_FIELDS))
 
 
 def read_added_facts(spark: SparkSession, path: str) -> DataFrame:
     """Landed responses ``{"addedFacts": [...]}`` as raw records for the envelope."""
-    return read_pages(spark, path, "addedFacts", raw_schema(ADDED_FACT_FIELDS))
+    return read_pages(spark, path, ADDED_FACT_ARRAY, raw_schema(ADDED_FACT_FIELDS))
 
 
 def transfer_records(envelopes: DataFrame) -> DataFrame:
@@ -106,13 +107,24 @@ def merge_added_facts(target: DataFrame, envelopes: DataFrame, run_ts: datetime)
     return merge(target, added_fact_records(envelopes), ADDED_FACT_MERGE, run_ts)
 
 
-def load_transfers(spark: SparkSession, landed: str, staging: str, root: str, run_ts: datetime) -> None:
-    """Landed responses to staging, and what they change into the target."""
+def load_transfers(
+    spark: SparkSession, landed: str, staging: str, root: str, run_ts: datetime, manifest: DataFrame | None = None
+) -> None:
+    """Landed responses to staging, and what they change into the target.
+
+    Rows that no page holds are marked as deleted; with a ``manifest``, only if all pages are there.
+    """
+    if manifest is not None:
+        require_pages(spark, landed, TRANSFER_ARRAY, manifest)
     stage_records(read_transfers(spark, landed), TRANSFERS, staging)
     merge_snapshot(spark, root, transfer_records(read_envelopes(spark, staging)), TRANSFER_MERGE, run_ts)
 
 
-def load_added_facts(spark: SparkSession, landed: str, staging: str, root: str, run_ts: datetime) -> None:
-    """Landed responses to staging, and what they change into the target."""
+def load_added_facts(
+    spark: SparkSession, landed: str, staging: str, root: str, run_ts: datetime, manifest: DataFrame | None = None
+) -> None:
+    """Landed responses to staging, and what they change into the target, as ``load_transfers``."""
+    if manifest is not None:
+        require_pages(spark, landed, ADDED_FACT_ARRAY, manifest)
     stage_records(read_added_facts(spark, landed), ADDED_FACTS, staging)
     merge_snapshot(spark, root, added_fact_records(read_envelopes(spark, staging)), ADDED_FACT_MERGE, run_ts)

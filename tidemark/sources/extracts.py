@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +50,62 @@ def read_pages(
     return pages.select(F.explode(F.coalesce(F.col(array), missing)).alias("r")).select("r.*")
 
 
+MANIFEST = "extract string, page long, top long, records long, file string"
+
+
+class IncompletePages(RuntimeError):
+    """Landed pages that do not make up whole extracts."""
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """What the fetcher noted for each page as JSON lines: the extract it belongs to, its number, how
+    many records were asked for and came, and the file it landed in."""
+    return spark.read.schema(MANIFEST).options(**STRICT).json(path)
+
+
+def page_faults(manifest: DataFrame, first: int = 1) -> DataFrame:
+    """(extract, fault) of extracts whose pages are not all noted.
+
+    Pages are fetched until one comes back with fewer records than asked for.  So the numbers run from
+    ``first`` without gap or repeat, there is such a last page, and no records come after it.
+    """
+    short = F.col("records") < F.col("top")
+    found = manifest.groupBy("extract").agg(
+        F.min("page").alias("least"), F.max("page").alias("most"), F.count("*").alias("pages"), F.countDistinct("page").alias("numbers"),
+        F.min(F.when(short, F.col("page"))).alias("last"), F.max(F.when(F.col("records") > 0, F.col("page"))).alias("filled"),
+        F.count_if(F.expr("page IS NULL OR top IS NULL OR records IS NULL OR file IS NULL")).alias("unknown"),
+    )
+    fault = (
+        F.when(F.col("unknown") > 0, "a page is not described")
+        .when(F.col("pages") > F.col("numbers"), "a page is noted twice")
+        .when((F.col("least") != first) | (F.col("most") - F.col("least") + 1 != F.col("numbers")), "a page is missing")
+        .when(F.col("last").isNull(), "the last page is missing")
+        .when(F.col("filled") > F.col("last"), "records come after a page that is not full")
+    )
+    return found.select("extract", fault.alias("fault")).filter("fault IS NOT NULL")
+
+
+def require_pages(spark: SparkSession, path: str, array: str, manifest: DataFrame, first: int = 1, multi_line: bool = False) -> None:
+    """Fail unless the landed files are the manifest's pages, whole, and these whole extracts.
+
+    To be called before rows that no page holds count as deleted.  The pages are read once more for
+    it, and their records counted without being parsed.
+    """
+    faults = [f"{r.extract}: {r.fault}" for r in page_faults(manifest, first).limit(10).collect()]
+    if not faults:
+        # Records as raw text, so that only their number is found out.
+        pages = spark.read.schema(f"`{array}` array<string>").options(**STRICT).json(path, multiLine=multi_line)
+        landed = pages.select(F.col("_metadata.file_name").alias("file"), F.size(array).alias("n"))
+        landed = landed.groupBy("file").agg(F.sum("n").alias("landed"))
+        noted = manifest.groupBy("file").agg(F.sum("records").alias("noted"))
+        wrong = noted.join(landed, "file", "full").filter("NOT (landed <=> noted)").limit(10)
+        faults = [f"{r.file}: {r.landed} records landed, {r.noted} noted" for r in wrong.collect()]
+        if not faults and manifest.isEmpty():
+            faults = ["no page is noted"]
+    if faults:
+        raise IncompletePages("; ".join(faults))
+
+
 def read_xml(
     spark: SparkSession, path: str, row_tag: str, schema: StructType | str, drop: Sequence[str] = ()
 ) -> DataFrame:
@@ -67,18 +124,30 @@ def escaped_xml(
 ) -> DataFrame:
     """Entries of an XML list that came escaped inside a larger response text.
 
-    An empty list adds nothing.  A response without both tags of the list (a fault, or one cut
-    short) fails the read.
+    A response is taken apart into one text per entry, cheaply, and the entries are dealt out before
+    they are parsed, so one large response is parsed by many tasks.  An empty list adds nothing.  A
+    response without both tags of the list (a fault, or one cut short), and one with anything but
+    entries in its list, fails the read.
     """
     text = F.replace(F.replace(F.col(column), F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">"))
     opening, closing = f"<{root_tag}>", f"</{root_tag}>"
     start = F.locate(opening, text)
     end = F.locate(closing, text)
-    body = F.when((start > 0) & (end > start), text.substr(start, end + F.lit(len(closing)) - start)).otherwise(
+    inner = F.when((start > 0) & (end > start), text.substr(start + len(opening), end - start - len(opening))).otherwise(
         F.raise_error(F.lit(f"response without the list {root_tag}")).cast("string")
     )
-    schema = f"struct<`{row_tag}`: array<struct<{record_schema}>>>"
-    parsed = F.from_xml(body, schema, STRICT)
-    return (
-        responses.select(F.explode(parsed.getField(row_tag)).alias("r")).select("r.*").drop(*drop)
+    tag = re.escape(row_tag)
+    pieces = F.split(inner, f"(?<=</{tag}>)|(?<=<{tag}/>)")
+    dealt = (
+        responses.select(F.posexplode(pieces).alias("place", "entry"))
+        .select("place", F.trim(F.regexp_replace("entry", "^\\s+|\\s+$", "")).alias("entry"))
+        .filter("entry <> ''")
+        .repartition(F.xxhash64("place", "entry"))
+    )
+    # An opening tag at the start, the closing one at the end, and no other in between.
+    one = F.col("entry").rlike(f"(?s)^<{tag}(\\s[^>]*)?/>$|^<{tag}(\\s[^>]*)?>((?!<{tag}[\\s/>]).)*</{tag}>$")
+    entry = F.when(one, F.col("entry")).otherwise(
+        F.raise_error(F.lit(f"list {root_tag} with something else than entries {row_tag}")).cast("string")
     )
+    parsed = F.from_xml(entry, f"struct<{record_schema}>", STRICT)
+    return dealt.select(parsed.alias("r")).select("r.*").drop(*drop)
