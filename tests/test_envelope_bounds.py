@@ -1,0 +1,73 @@
+"""Envelopes and documents of exactly bounded size."""
+
+import json
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.plans import drafts
+from tidemark.sources.envelope import pack_records
+
+
+def packed(df, max_bytes, partitions):
+    rows = pack_records(df.repartition(partitions), F.col("e"), ["v"], max_bytes=max_bytes).collect()
+    return sorted(((r.entity, r.json_text) for r in rows), key=str)
+
+
+def check(frame, max_bytes, oversize=0):
+    """Bound, fill and content, on several partitionings; the envelopes of the first."""
+    found = [packed(frame, max_bytes, n) for n in (1, 4, 16)]
+    assert found[0] == found[1] == found[2]
+    sizes = [len(t.encode()) for _, t in found[0]]
+    assert sum(s > max_bytes for s in sizes) == oversize
+    got = Counter((e, r["v"]) for e, t in found[0] for r in json.loads(t))
+    assert got == Counter(map(tuple, frame.select("e", "v").collect()))
+    for _, text in found[0]:
+        values = json.loads(text)
+        assert text == "[" + ",".join(sorted(json.dumps(v, separators=(",", ":"), ensure_ascii=False) for v in values)) + "]"
+    return found[0]
+
+
+def test_a_million_equal_records(spark):
+    """Of one content, and next to others."""
+    frame = spark.range(1_000_000).selectExpr("'e' AS e", "IF(id < 990000, 'same', concat('x', id)) AS v")
+    found = {}
+    for partitions in (1, 4, 16):
+        rows = pack_records(frame.repartition(partitions), F.col("e"), ["v"], max_bytes=100_000)
+        found[partitions] = rows.agg(
+            F.count("*").alias("n"), F.max(F.octet_length("json_text")).alias("most"),
+            F.sum(F.size(F.from_json("json_text", "array<struct<v: string>>"))).alias("records"),
+            F.bit_xor(F.xxhash64("json_text")).alias("all"), F.sum(F.octet_length("json_text")).alias("bytes"),
+        ).first()
+    assert found[1] == found[4] == found[16]
+    assert found[1].records == 1_000_000 and found[1].most <= 100_000
+    assert found[1].n <= 1.4 * found[1].bytes / 100_000
+
+
+def test_small_envelopes(spark):
+    frame = spark.range(900).selectExpr("concat('e', id % 3) AS e", "repeat('я', int(id % 17)) AS v")
+    found = check(frame, 200)
+    assert len(found) <= 2.2 * sum(len(t.encode()) for _, t in found) / 200
+
+
+def test_records_near_and_above_the_bound(spark):
+    lengths = [0, 1, 40, 41, 42, 43, 89, 90, 91, 92, 93, 300]
+    rows = [("a", chr(97 + k % 26) * n) for k, n in enumerate(lengths) for _ in range(1 + k % 3)] + [(None, "n")] * 7
+    found = check(spark.createDataFrame(rows, "e string, v string"), 100, oversize=3 + 1 + 2 + 3)
+    assert any(e is None for e, _ in found)
+
+
+@pytest.mark.parametrize("max_bytes", [13, 14, 26, 27, 28, 1000])
+def test_equal_records_around_the_bound(spark, max_bytes):
+    # A record is {"v":"same"}: 12 bytes.
+    found = check(spark.range(100).selectExpr("'e' AS e", "'same' AS v"), max_bytes, oversize=100 if max_bytes < 14 else 0)
+    assert len(found) == -(-100 // max(1, (max_bytes - 1) // 13))
+
+
+def test_documents_are_bounded_with_their_frame(spark):
+    rows = spark.range(2000).selectExpr("id % 5 AS id", "'q' AS name")
+    for partitions in (1, 4, 16):
+        documents = drafts.export_documents(rows.repartition(partitions), F.lit("all"), max_bytes=500).collect()
+        assert max(len(d.document.encode()) for d in documents) <= 500
+        assert sum(len(json.loads(d.document)["WipActs"]) for d in documents) == 2000

@@ -133,9 +133,11 @@ def dates_as_times(df: DataFrame) -> DataFrame:
 
 
 def export_documents(rows: DataFrame, group: Column, root: str = "WipActs", max_bytes: int = 64 << 20) -> DataFrame:
-    """Documents ``{"WipActs": [...]}``, one per group, or more of about ``max_bytes`` each."""
-    packed = pack_records(dates_as_times(rows), group, rows.columns, max_bytes, JSON_OPTIONS)
-    document = F.concat(F.lit(f'{{"{root}": '), F.col("json_text"), F.lit("}"))
+    """Documents ``{"WipActs": [...]}``, one per group, or more of at most ``max_bytes`` each."""
+    opening, closing = f'{{"{root}": ', "}"
+    room = max_bytes - len((opening + closing).encode())
+    packed = pack_records(dates_as_times(rows), group, rows.columns, room, JSON_OPTIONS)
+    document = F.concat(F.lit(opening), F.col("json_text"), F.lit(closing))
     return packed.select(F.col("entity").alias("group"), document.alias("document"))
 
 

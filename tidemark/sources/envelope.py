@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ENVELOPE = "entity string, json_text string"
@@ -27,6 +27,10 @@ class Field:
 
 SALTS = 32
 KEEP_NULLS = {"ignoreNullFields": "false"}
+# Records above this share of an envelope are packed with their equals only.
+LARGE = 4
+# Envelopes filled one after the other by one task.
+RUN = 4
 
 
 def pack_records(
@@ -36,28 +40,68 @@ def pack_records(
     max_bytes: int = 4 << 20,
     json_options: dict[str, str] = KEEP_NULLS,
 ) -> DataFrame:
-    """Put records into envelopes of about ``max_bytes`` each.
-
-    An entity's bytes decide how many envelopes it gets, and a record's content decides which one
-    it is in, in the order of the texts; so the envelopes are the same however the rows are
-    partitioned, and an entity with most of the data is spread over many tasks.  The records are
-    read twice: for the bytes, and to be packed.
+    """Put records into envelopes of at most ``max_bytes``; only a record that is larger alone exceeds it.
+
+    Equal records are counted first, so any number of them is one row.  Envelopes that one record
+    fills, and large records, are dealt out by themselves.  What is left of an entity is dealt into
+    runs by content; in a run the records stand in the order of their texts, and running sums of
+    their bytes cut it into envelopes, of which all but the last are at least half full.  So the
+    envelopes are the same however the rows are partitioned, and an entity or a record that makes
+    up most of the data is spread over many tasks.
     """
     records = df.select(
         entity.cast("string").alias("entity"),
         F.to_json(F.struct(*columns), json_options).alias("json"),
     )
-    sizes = records.groupBy("entity").agg(F.sum(F.octet_length("json") + 1).alias("bytes"))
-    envelopes = F.greatest(F.ceil(F.col("bytes") / max_bytes), F.lit(1)).cast("bigint")
+    # Each record with the comma after it; the brackets take one byte more than the last comma.
+    room = max_bytes - 1
+    counted = records.groupBy("entity", "json").agg(F.count("*").alias("n"))
+    counted = counted.withColumn("size", (F.octet_length("json") + 1).cast("bigint"))
+    counted = counted.withColumn("fill", F.greatest(F.expr(f"{room}L div size"), F.lit(1)))
+    counted = counted.withColumn("large", F.col("size") > room // LARGE)
+    return _of_one_record(counted).unionByName(_of_many_records(counted, room))
+
+
+def _of_one_record(counted: DataFrame) -> DataFrame:
+    """Envelopes that hold one record as often as it fits, and large records' last ones."""
+    whole = F.expr("n div fill + IF(large AND n % fill > 0, 1, 0)")
+    each = counted.withColumn("whole", whole).filter("whole > 0").select(
+        "entity", "json", "n", "fill", F.explode(F.sequence(F.lit(1).cast("bigint"), "whole")).alias("number")
+    )
+    times = F.least(F.col("fill"), F.expr("n - (number - 1) * fill")).cast("int")
+    # Dealt out before the texts are built.
+    dealt = each.repartition(F.xxhash64("entity", "json", "number"))
+    return dealt.select("entity", _array(F.array_repeat("json", times)).alias("json_text"))
+
+
+def _of_many_records(counted: DataFrame, room: int) -> DataFrame:
+    # One condition on the count, so that it stays behind the counting, which is then done once for all.
+    left = counted.withColumn("n", F.expr("IF(large, 0, n % fill)")).filter("n > 0").select("entity", "json", "n", "size")
+    bytes_of = left.groupBy("entity").agg(F.sum(F.expr("n * size")).alias("bytes"))
     # Salted, so that the records of one large entity meet its size in many tasks.
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salted")
-    counted = sizes.select(F.col("entity").alias("named"), envelopes.alias("envelopes"), salts)
-    salt = F.pmod(F.xxhash64("json"), F.lit(SALTS)).cast("int")
-    dealt = records.withColumn("salt", salt).join(counted, F.expr("salt = salted AND entity <=> named"))
-    dealt = dealt.withColumn("envelope", F.pmod(F.xxhash64("json", F.lit(1)), F.col("envelopes")))
-    joined = F.array_join(F.sort_array(F.collect_list("json")), ",")
-    packed = dealt.groupBy("entity", "envelope").agg(joined.alias("joined"))
-    return packed.select("entity", F.concat(F.lit("["), "joined", F.lit("]")).alias("json_text"))
+    runs = bytes_of.select(F.col("entity").alias("named"), F.ceil(F.col("bytes") / (RUN * room)).cast("bigint").alias("runs"), salts)
+    salt = F.xxhash64("json").bitwiseAND(F.lit(SALTS - 1)).cast("int")  # SALTS is a power of two
+    dealt = left.withColumn("salt", salt).join(runs, F.expr("salt = salted AND entity <=> named"))
+    dealt = dealt.withColumn("run", F.pmod(F.xxhash64("json", F.lit(1)), F.col("runs")))
+    # An envelope takes the records that begin within ``step`` bytes of its run; with the last one it
+    # has at most ``room``, as no record here is larger than the difference.
+    step = room - room // LARGE
+    order = Window.partitionBy("entity", "run").orderBy("json").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = dealt.withColumn("start", F.sum(F.expr("n * size")).over(order) - F.expr("n * size"))
+    cut = placed.withColumn(
+        "envelope", F.explode(F.expr(f"sequence(start div {step}L, (start + (n - 1) * size) div {step}L)"))
+    )
+    # Of equal records, those that begin before an envelope's end and not before its start.
+    before, until = (f"greatest(({e}) * {step}L - start + size - 1, 0L) div size" for e in ("envelope", "envelope + 1"))
+    times = F.expr(f"CAST(least(n, {until}) - {before} AS int)")
+    packed = cut.groupBy("entity", "run", "envelope").agg(F.sort_array(F.collect_list(F.struct("json", times.alias("times")))).alias("all"))
+    repeated = F.flatten(F.transform("all", lambda r: F.array_repeat(r["json"], r["times"])))
+    return packed.select("entity", _array(repeated).alias("json_text"))
+
+
+def _array(texts: Column) -> Column:
+    return F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
 
 
 def append_envelopes(envelopes: DataFrame, path: str) -> None:
