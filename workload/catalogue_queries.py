@@ -381,29 +381,38 @@ def _person(spark: SparkSession, sf: str) -> DataFrame:
     return project(table(spark, sf, "customer"), {"PersonCode": "c_custkey", "NameLocal": "c_name"})
 
 
-_UNITS_SQL = """
-    WITH place AS (SELECT c_custkey, NULLIF(c_nationkey, 0) AS code FROM customer WHERE c_mktsegment <> 'BUILDING'),
-         tribe AS (SELECT n_nationkey, n_name, NULLIF(n_regionkey, 0) AS region FROM nation WHERE n_nationkey <> 6),
-         -- a tribe with code 0 is looked up as well: it has a cluster, but no name of its own
-         tribe_of AS (SELECT c_custkey, tribe.* FROM customer JOIN tribe ON n_nationkey = c_nationkey
-                      WHERE c_mktsegment <> 'BUILDING')
-    SELECT c_custkey AS id, c_name AS title, c_mktsegment AS description, 'org' AS org_code,
-           region AS cluster_id,
-           (SELECT r_name FROM region r WHERE r.r_regionkey = region AND r.r_regionkey <> 2) AS cluster_name_rms,
-           code AS tribe_id,
-           CASE WHEN code IS NOT NULL THEN n_name END AS tribe_name_rms,
-           code AS chapter_id,
-           (SELECT s_name FROM supplier WHERE s_suppkey = code AND s_acctbal >= 0) AS chapter_name_rms
-    FROM customer LEFT JOIN place USING (c_custkey) LEFT JOIN tribe_of USING (c_custkey)
+# A unit keeps its row whatever it points at; a lookup row that is deleted gives no name; code 0 means
+# none and has no name, though its tribe still leads to a cluster; a code that occurs more than once in
+# a lookup gives the unit once for each.
+def _units_sql(chapters: str) -> str:
+    return f"""
+    WITH unit AS (SELECT c_custkey AS id, c_name AS title, c_mktsegment AS description, c_nationkey AS pointed,
+                         c_mktsegment <> 'BUILDING' AS placed FROM customer),
+         chapter AS ({chapters})
+    SELECT id, title, description, 'org' AS org_code,
+           NULLIF(n_regionkey, 0) AS cluster_id, IF(n_regionkey <> 0, r_name, NULL) AS cluster_name_rms,
+           IF(placed, NULLIF(pointed, 0), NULL) AS tribe_id, IF(pointed <> 0, n_name, NULL) AS tribe_name_rms,
+           IF(placed, NULLIF(pointed, 0), NULL) AS chapter_id, IF(code <> 0, chapter.name, NULL) AS chapter_name_rms
+    FROM unit
+    LEFT JOIN chapter ON placed AND code = pointed
+    LEFT JOIN nation ON placed AND n_nationkey = pointed AND pointed <> 6
+    LEFT JOIN region ON r_regionkey = n_regionkey AND r_regionkey <> 2
     """
 
 
-@query(_UNITS_SQL)
+_CHAPTERS = "SELECT s_suppkey AS code, s_name AS name FROM supplier WHERE s_acctbal >= 0"
+_AGAIN = "SELECT s_suppkey, CONCAT(s_name, ' again') FROM supplier WHERE s_suppkey IN (3, 4) AND s_acctbal >= 0"
+
+
+@query(_units_sql(f"{_CHAPTERS} UNION ALL {_AGAIN}"))
 def unit_denorm(spark: SparkSession, sf: str) -> DataFrame:
-    return dimensions.unit_dimension(**_unit_tables(spark, sf))
+    """With two chapter codes that occur twice, so their units come twice."""
+    tables = _unit_tables(spark, sf)
+    again = tables["chapters"].filter("ChapterCode IN (3, 4)").withColumn("Name", F.concat("Name", F.lit(" again")))
+    return dimensions.unit_dimension(**{**tables, "chapters": tables["chapters"].unionByName(again)})
 
 
-@query(_UNITS_SQL)
+@query(_units_sql(_CHAPTERS))
 def units_load(spark: SparkSession, sf: str) -> DataFrame:
     return _loaded_twice(spark, lambda staging: dimensions.load_units(**_unit_tables(spark, sf), staging=staging))
 
