@@ -39,6 +39,25 @@ def test_ids(tokenizer, docs, most_words):
             assert ids[bounds[k] : bounds[k + 1]].tolist() == want.tolist(), texts[k]
 
 
+def test_words_of_the_same_pieces_in_another_order(tokenizer):
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [word, word.translate(str.maketrans("ab", "ba")), f"{word} x"]
+    ids, bounds = Encoder(PATH).encode(pa.array(texts), 1)
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [x.tolist() for x in ids_of(tokenizer, texts)]
+
+
+def test_another_kind_of_tokenizer_goes_its_own_way():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, plain = Encoder(path), Tokenizer.from_file(path)
+    assert not own.by_word and Encoder(PATH).by_word
+    texts = ["two words", "  x  y\n", "", "It's"]
+    ids, bounds = own.encode(pa.array(texts), 1)
+    want = [e.ids + [1] for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == want
+
+
 def check_pieces(rows, docs, tokenizer, length):
     """Every id of every document in one piece; sequences gapless and at most full."""
     by_doc = defaultdict(list)

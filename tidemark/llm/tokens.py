@@ -2,12 +2,14 @@
 
 The tokenizer splits at white space, so a text's ids are those of its words in a row.  Each word
 is tokenized once by a worker and its ids are kept; texts are then put together from kept ids by
-array operations.  Texts with the opening of a special token take the tokenizer's own way, as do
-tokenizers that look across white space (``by_word=False``).
+array operations.  Texts with the opening of a special token take the tokenizer's own way.  So do
+all texts of a tokenizer whose file does not say that it prepares and splits texts as ``WORDWISE``
+has it: only of these is it known that a text's ids are those of its words.
 """
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from itertools import chain
 
@@ -19,6 +21,26 @@ from tidemark.llm.words import blocks, text_bytes, words_of
 SPECIAL = b"<|"
 BLOCK = 1 << 20
 MARKS = ".,;:!?"
+# Fixed values, as the tokenizer file gives them: white space made alike, lower case, words split at it.
+WORDWISE = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
 # Letters up to here are lower-cased alike everywhere.
 PLAIN = "İ"
 
@@ -33,11 +55,14 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Keeps at most ``most_words`` words."""
 
-    def __init__(self, path: str, by_word: bool = True, most_words: int = 1_500_000):
+    def __init__(self, path: str, most_words: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.by_word, self.most_words = self.tokenizer.model, by_word, most_words
+        self.model, self.most_words = self.tokenizer.model, most_words
+        said = json.loads(self.tokenizer.to_str())
+        special = all(t["content"].startswith("<|") and not t["normalized"] for t in said["added_tokens"])
+        self.by_word = special and said["model"]["type"] == "BPE" and all(said[k] == v for k, v in WORDWISE.items())
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.letters = _byte_letters()
         self.marks: dict[str, list[int]] = {}
@@ -135,11 +160,11 @@ class Encoder:
         return np.array(self._slow([text.decode()])[0], self.kind)
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str, by_word: bool = True) -> Encoder:
+def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file."""
-    if (path, by_word) not in _encoders:
-        _encoders[path, by_word] = Encoder(path, by_word)
-    return _encoders[path, by_word]
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]

@@ -1,7 +1,9 @@
 """Words and word hashes of whole batches of texts, computed on the bytes of the batch.
 
 A word is a maximal run of bytes other than 0x20 and 0x09-0x0D, which is what
-``[^\\x20\\x09-\\x0D]+`` matches in UTF-8 text.  Hashes have 64 bits.
+``[^\\x20\\x09-\\x0D]+`` matches in UTF-8 text.  Hashes have 64 bits.  A word's eights of bytes are
+scrambled one by one before they are added up, so words made of the same pieces in another order do
+not meet; words of at most eight bytes and of one length never do.
 """
 
 from __future__ import annotations
@@ -15,14 +17,10 @@ import pyarrow as pa
 BLOCK = 1 << 18
 U = np.uint64
 _MIX = (U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB))
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTE = np.random.default_rng(20240101).integers(1, 1 << 63, 256, dtype=np.uint64) | U(1)
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_powers = {_BASE: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -32,13 +30,27 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    known = _powers[base]
-    if len(known) < n:
-        known = np.full(max(n, 2 * BLOCK), base, np.uint64)
-        known[0] = 1
-        _powers[base] = known = np.cumprod(known)
-    return known[:n]
+_LENGTH = U(0x9E3779B97F4A7C15)
+_FIRST = mixed(np.ones(1, np.uint64))
+# Which bytes of an eight belong to a word that has so many left.
+_PART = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the byte ranges, none of them empty."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    size = end - start
+    total = mixed((eights[start] & _PART[np.minimum(size, 8)]) ^ _FIRST)
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        more = (size[long] - 1) // 8
+        first = np.cumsum(more) - more
+        place = np.arange(more.sum()) - np.repeat(first, more) + 1
+        at, left = np.repeat(start[long], more) + 8 * place, np.repeat(size[long], more) - 8 * place
+        part = (eights[at] & _PART[np.minimum(left, 8)]) ^ mixed(place.astype(np.uint64) + U(1))
+        total[long] += np.add.reduceat(mixed(part), first)
+    return mixed(total + size.astype(np.uint64) * _LENGTH)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -87,10 +99,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
     border[offsets] = True
     start = np.flatnonzero(inside[1:] & (~inside[:-1] | border))
     end = np.flatnonzero(inside[:-1] & (~inside[1:] | border))
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[_LOWER[data] if lower else data] * powers(_BASE, n), out=total[1:])
-    value = (total[end] - total[start]) * powers(_INVERSE, n + 1)[start]
-    return Words(start, end, mixed(value + (end - start).astype(np.uint64)), np.searchsorted(start, offsets))
+    return Words(start, end, word_hashes(_LOWER[data] if lower else data, start, end), np.searchsorted(start, offsets))
 
 
 def windows(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
