@@ -23,9 +23,13 @@ and are represented by the smallest id.  For the classes:
    a task finds, it returns those that connect something new.
 
 Defined cases: null and empty texts have an empty set and link with nothing.  Fewer words than
-five make one window of the whole text.  Rows with a null id take part in nothing and are kept.
-Repeated rows of one id are one document for linking; each gets its row.  Other columns, whatever
-their names, are untouched.  No rows give no rows.
+five make one window of the whole text.  Texts of any length are taken whole.  Rows with a null id
+take part in nothing and are kept.  Rows of one id are one document: it links with whatever any of its
+texts links with, and each row gets the document's component.  Where documents are removed, texts
+count by themselves: of the rows with linked texts one stays, that of the smallest id (of several
+texts under it, that of the smallest text hash), so unrelated texts under one id all stay; of rows
+equal in id and text one stays, the first by their other columns.  Other columns, whatever their
+names, are untouched.  No rows give no rows.
 """
 
 from __future__ import annotations
@@ -43,6 +47,10 @@ from tidemark.llm.store import stored
 from tidemark.llm.words import blocks, mixed, text_bytes, windows, words_of
 
 
+# A row's document and text, the latter as two hashes.
+KEY = ["doc_id", "t1", "t2"]
+
+
 @dataclass(frozen=True)
 class Settings:
     """``block_shingles`` and ``block_rows`` bound a block, ``task_shingles`` what one task compares in a
@@ -73,7 +81,7 @@ def _binary(parts: list[np.ndarray]) -> pa.Array:
 
 
 def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
-    """(doc_id, n_shingles, set_key, sketch): the key is a 128-bit hash of the whole set."""
+    """(doc_id, t1, t2, n_shingles, set_key, sketch): the key is a 128-bit hash of the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,12 +94,12 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
             bounds = np.concatenate([[0], np.cumsum([len(x) for x in low])]).astype(np.int32)
             sketch = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), _binary(keys), sketch],
-                names=["doc_id", "n_shingles", "set_key", "sketch"],
+                [*[batch.column(c) for c in KEY], pa.array(sizes, pa.int64()), _binary(keys), sketch],
+                names=[*KEY, "n_shingles", "set_key", "sketch"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary, sketch array<long>"
+    return docs.select(*KEY, "text").mapInArrow(
+        run, "doc_id long, t1 long, t2 long, n_shingles long, set_key binary, sketch array<long>"
     )
 
 
@@ -252,11 +260,11 @@ def _links(names: np.ndarray, side: np.ndarray | None, sets: list[np.ndarray], s
 
 
 def _compared(met: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """(a, b): links that connect all documents that any task links."""
+    """(a, b): links that connect all classes that any task links; ``texts`` has one of each class."""
     total = met.agg(F.sum("n_shingles")).first()[0] or 0
     tasks = max(1, -(-total // settings.task_shingles))
     task = F.pmod(F.xxhash64("home", "x", "y"), F.lit(tasks)).cast("int").alias("task")
-    rows = met.select(task, "home", "x", "y", "side", "rep").join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    rows = met.select(task, "home", "x", "y", "side", "rep").join(texts, "rep")
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by([(c, "ascending") for c in ("home", "x", "y", "rep")])
@@ -273,30 +281,58 @@ def _compared(met: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame
     return rows.select("task", "home", "x", "y", "side", "rep", "text").groupBy("task").applyInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, class_id, for each row of ``docs``."""
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _named(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("t1"), F.xxhash64(text, F.lit(1)).alias("t2"), text.alias("text"))
+
+
+def _classed(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """The rows' sketches, and classes of equal sets: (set_key, rep, doc_id, t1, t2, group).
+
+    ``rep`` numbers the classes, ``group`` is the smallest number reachable by links between texts.
+    The other columns name one row of the class, that of the smallest id.
+    """
+    named = _named(docs)
     rows = stored(sketches(named, settings), "sketches")
     full = rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
     classes = stored(
         full.groupBy("set_key").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
-        ),
+            F.min(F.struct(*KEY)).alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
+        ).select("set_key", F.monotonically_increasing_id().alias("rep"), "least.*", "n_shingles", "sketch"),
         "classes",
     )
-    lists = stored(inverted_lists(classes, settings), "lists")
+    lists = stored(inverted_lists(classes.select("rep", "n_shingles", "sketch"), settings), "lists")
     met = stored(meetings(lists, settings), "meetings")
-    # The ids met grow with the corpus: they are joined by shuffle at every size.
-    wanted = met.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
-    texts = stored(named.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    # The classes met grow with the corpus: they are joined by shuffle at every size.
+    wanted = classes.select("rep", *KEY).join(met.select("rep").distinct(), "rep", "left_semi").hint("merge")
+    texts = stored(named.join(wanted, KEY).select("rep", "text").dropDuplicates(["rep"]), "texts")
     final = components(_compared(met, texts, settings))
+    grouped = classes.select("set_key", "rep", *KEY).join(final.withColumnRenamed("node", "rep"), "rep", "left")
+    return rows, stored(grouped.withColumn("group", F.coalesce("component", "rep")).drop("component"), "grouped")
 
-    classed = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "set_key", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")
-    )
-    known = full.select("doc_id", "n_shingles", "set_key").join(classed, "set_key").drop("set_key")
-    alone = rows.filter("doc_id IS NULL OR n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id")
+
+def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, class_id, for each row of ``docs``.
+
+    ``class_id`` is the smallest id with an equal set.
+    """
+    rows, classes = _classed(docs, settings)
+    full = rows.filter("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "n_shingles", "set_key")
+    placed = full.join(classes.select("set_key", "group", F.col("doc_id").alias("class_id")), "set_key")
+    # A document with texts in several groups connects them.
+    ids = placed.groupBy("doc_id").agg(F.min("group").alias("group"), F.max("group").alias("most"))
+    bridged = ids.filter("group < most").select("doc_id", F.col("group").alias("a"))
+    bridges = placed.join(bridged, "doc_id").filter("group > a").select("a", F.col("group").alias("b")).distinct()
+    final = components(bridges).withColumnsRenamed({"node": "group", "component": "joined"})
+    least = classes.groupBy("group").agg(F.min("doc_id").alias("least")).join(final, "group", "left")
+    least = least.withColumn("joined", F.coalesce("joined", "group"))
+    smallest = least.groupBy("joined").agg(F.min("least").alias("component_id"))
+    component = least.select("group", "joined").join(smallest, "joined").drop("joined")
+    known = placed.join(component, "group").select("doc_id", "n_shingles", "component_id", "class_id")
+    # Rows without a set follow the document's other rows.
+    others = ids.join(component, "group").select(F.col("doc_id").alias("known_id"), "component_id")
+    alone = rows.filter("doc_id IS NULL OR n_shingles = 0").join(others, F.expr("doc_id = known_id"), "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.col("doc_id").alias("class_id")
     )
     return known.unionByName(alone).select(
         "doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"), "class_id"
@@ -304,7 +340,19 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
 
 def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents, one of each group: its smallest id, once.  Rows with a null id stay."""
-    found = near_duplicates(docs, settings).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    one = docs.filter("doc_id IS NOT NULL").join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.filter("doc_id IS NULL"))
+    """The documents, one of each group of linked texts.  Rows with a null id stay."""
+    rows, classes = _classed(docs, settings)
+    winners = classes.groupBy("group").agg(F.min(F.struct(*KEY)).alias("least")).select("least.*")
+    kept = winners.unionByName(rows.filter("doc_id IS NOT NULL AND n_shingles = 0").select(*KEY).distinct())
+    kept = kept.toDF("kept_id", "kept_1", "kept_2")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    text = F.col("text").cast("string")
+    keyed = docs.filter("doc_id IS NOT NULL").select(
+        row.alias("row"), F.col("doc_id").cast("long").alias("kept_id"), F.xxhash64(text).alias("kept_1"), F.xxhash64(text, F.lit(1)).alias("kept_2")
+    )
+    chosen = keyed.join(kept, ["kept_id", "kept_1", "kept_2"], "left_semi")
+    # Rows equal in id and text differ in other columns at most; their printed form orders them.
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    form = F.to_json(F.struct(*[F.col("row").getField(c).alias(f"c{k}") for k, c in enumerate(rest)])) if rest else F.lit("")
+    one = chosen.groupBy("kept_id", "kept_1", "kept_2").agg(F.min_by("row", form).alias("row"))
+    return one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]).unionByName(docs.filter("doc_id IS NULL"))
