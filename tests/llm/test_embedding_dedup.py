@@ -16,7 +16,7 @@ def brute(rows, cosine=0.93):
         x = np.array(v, float) if good else None
         unit.append(x / np.linalg.norm(x) if good else None)
     links = [0] * len(rows)
-    parent = {r[0]: r[0] for r in rows if r[0] is not None}
+    parent = list(range(len(rows)))
 
     def root(i):
         while parent[i] != i:
@@ -30,9 +30,12 @@ def brute(rows, cosine=0.93):
             if unit[a] @ unit[b] >= cosine:
                 links[a] += 1
                 links[b] += 1
-                x, y = root(rows[a][0]), root(rows[b][0])
-                parent[max(x, y)] = min(x, y)
-    return links, [root(r[0]) if r[0] is not None else None for r in rows]
+                parent[root(a)] = root(b)
+    least = {}
+    for k, r in enumerate(rows):
+        if unit[k] is not None:
+            least[root(k)] = min(least.get(root(k), r[0]), r[0])
+    return links, [least.get(root(k), r[0]) for k, r in enumerate(rows)]
 
 
 @pytest.fixture(scope="module")
@@ -73,6 +76,21 @@ def test_odd_vectors(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("partitions", [1, 2, 7])
+def test_ids_of_several_vectors(spark, partitions):
+    """Id 5 under two labels and with two vectors of one label, each with neighbours of its own."""
+    rows = [
+        (5, [1.0, 0.0, 0.0], 1), (6, [1.0, 0.01, 0.0], 1), (5, [0.0, 1.0, 0.0], 2), (7, [0.0, 1.0, 0.01], 2), (4, [0.0, 1.0, 0.02], 2),
+        (5, [0.0, 0.0, 1.0], 1), (8, [0.01, 0.0, 1.0], 1), (9, [0.02, 0.0, 1.0], 1), (8, [0.0, 0.0, 2.0], 1), (5, [0.0, 0.0, 1.0], 3),
+    ]
+    rows = [(*r, "r", 1) for r in rows]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(partitions)
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(frame).collect())
+    links, component = brute(rows)
+    assert got == sorted((r[0], n, c, r[0] == c) for r, n, c in zip(rows, links, component))
+    assert {r[1] for r in got if r[0] == 5} == {0, 1, 2, 3}
+
+
 def test_nothing(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 

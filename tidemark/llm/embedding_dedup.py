@@ -7,8 +7,8 @@ label that agree in a part meet there.  Two vectors at cosine 0.93 differ in abo
 their bits if the mean is small, and in more the longer the mean is, as it is subtracted.  So
 tables are added, beyond ``tables``, until a share ``recall`` of pairs right at the threshold, made
 from the sample, meets in one.  A mean that would take more than ``most_tables`` is not subtracted:
-signs along random directions then keep the angles, at the price of longer lists.  What meets is reranked by the cosine of the original vectors in double precision, which
-alone decides.
+rotations are then learned without it, which keeps the angles, at the price of longer lists.  What
+meets is reranked by the cosine of the original vectors in double precision, which alone decides.
 
 Equal vectors of a label form one class, which stands in the tables once.  Lists of a table are cut
 into blocks, and tasks compare two blocks each by a matrix product; they return counts per vector
@@ -17,7 +17,9 @@ it meets.
 
 Defined cases: a null, empty or zero vector, one with null or non-finite components, a null label
 and a null id link with nothing; such a row is its own component and kept.  Vectors of different
-lengths never link.  Rows that repeat an id are vectors of their own.  No rows give no rows.
+lengths never link.  Rows that repeat an id are vectors of their own, each with its links; equal
+vectors of a label link whatever their ids.  Pairs right at the threshold link.  Vectors of any length
+are taken whole.  No rows give no rows.  Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -85,21 +87,25 @@ def learned(unit: np.ndarray, settings: Settings) -> Codes:
     if n < 2:
         return Codes(np.zeros(dim), rng.standard_normal((dim, settings.tables * PART)))
     a, b = _at_threshold(unit, settings, np.random.default_rng(settings.seed + 1))
-    mean = unit.mean(axis=0)
-    x = unit - mean
-    _, axes = np.linalg.eigh(x.T @ x)
-    axes = axes[:, ::-1][:, : min(dim, settings.axes)]
-    y = x @ axes
 
-    def rotated() -> np.ndarray:
-        turn, _ = np.linalg.qr(rng.standard_normal((axes.shape[1], axes.shape[1])))
-        for _ in range(settings.steps):
-            u, _, v = np.linalg.svd(np.where(y @ turn > 0, 1.0, -1.0).T @ y)
-            turn = (u @ v).T
-        return axes @ turn
+    def rotations(x: np.ndarray):
+        """Rotated principal axes, from another start at each call."""
+        _, axes = np.linalg.eigh(x.T @ x)
+        axes = axes[:, ::-1][:, : min(dim, settings.axes)]
+        y = x @ axes
+
+        def rotated() -> np.ndarray:
+            turn, _ = np.linalg.qr(rng.standard_normal((axes.shape[1], axes.shape[1])))
+            for _ in range(settings.steps):
+                u, _, v = np.linalg.svd(np.where(y @ turn > 0, 1.0, -1.0).T @ y)
+                turn = (u @ v).T
+            return axes @ turn
 
-    found = _enough(mean, rotated, a, b, settings.most_tables, settings)
-    return found or _enough(np.zeros(dim), lambda: rng.standard_normal((dim, PART)), a, b, None, settings)
+        return rotated
+
+    mean = unit.mean(axis=0)
+    found = _enough(mean, rotations(unit - mean), a, b, settings.most_tables, settings)
+    return found or _enough(np.zeros(dim), rotations(unit), a, b, None, settings)
 
 
 def _enough(mean: np.ndarray, more, a: np.ndarray, b: np.ndarray, most: int | None, settings: Settings) -> Codes | None:
@@ -116,21 +122,22 @@ def _enough(mean: np.ndarray, more, a: np.ndarray, b: np.ndarray, most: int | No
     return Codes(mean, np.concatenate(maps, axis=1))
 
 
-def _unit(column: pa.Array) -> list[np.ndarray | None]:
-    """Unit vectors in double precision; None for those that link with nothing."""
-    out: list[np.ndarray | None] = []
-    for value in column:
-        if not value.is_valid or len(value.values) == 0 or value.values.null_count:
-            out.append(None)
-            continue
-        x = value.values.to_numpy(zero_copy_only=False).astype(np.float64)
-        top = np.abs(x).max()
-        if not np.isfinite(top) or top == 0:
-            out.append(None)
-            continue
-        x = x / top
-        out.append(x / np.sqrt(x @ x))
-    return out
+def _units(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(places, unit vectors [place, number]) of each length of the vectors that may link, in double
+    precision."""
+    offsets = column.offsets.to_numpy()
+    flat = column.values.to_numpy(zero_copy_only=False).astype(np.float64)
+    dims = np.where(column.is_valid().to_numpy(zero_copy_only=False), np.diff(offsets), 0)
+    found = []
+    for dim in np.unique(dims[dims > 0]):
+        place = np.flatnonzero(dims == dim)
+        x = flat[offsets[place][:, None] + np.arange(dim)]
+        # A null is read as no number.
+        top = np.abs(x).max(axis=1)
+        good = np.isfinite(top) & (top > 0)
+        x = x[good] / top[good, None]
+        found.append((place[good], x / np.sqrt((x * x).sum(axis=1, keepdims=True))))
+    return found
 
 
 def classes(vectors: DataFrame, settings: Settings) -> DataFrame:
@@ -139,34 +146,25 @@ def classes(vectors: DataFrame, settings: Settings) -> DataFrame:
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"),
         F.col("embedding").cast("array<double>").alias("embedding"),
     ).filter("vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL")
-    rows = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(settings.sample).select("embedding").collect()
-    units = [u for u in _unit(pa.array([r.embedding for r in rows], pa.list_(pa.float64()))) if u is not None]
-    by_dim: dict[int, list[np.ndarray]] = {}
-    for u in units:
-        by_dim.setdefault(len(u), []).append(u)
-    codes = {dim: learned(np.array(us), settings) for dim, us in by_dim.items()}
+    drawn = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(settings.sample).select("embedding").toArrow()
+    by_dim = {x.shape[1]: x for _, x in _units(drawn["embedding"].combine_chunks()) if len(x)} if drawn.num_rows else {}
+    codes = {dim: learned(x, settings) for dim, x in by_dim.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = dict(codes)
         for batch in batches:
-            unit = _unit(batch.column("embedding"))
-            keep = [k for k, u in enumerate(unit) if u is not None]
-            parts: dict[int, bytes] = {}
-            dims = np.array([len(unit[k]) for k in keep], np.int64)
-            for dim in np.unique(dims):
-                rows = [keep[i] for i in np.flatnonzero(dims == dim)]
-                known.setdefault(int(dim), learned(np.zeros((0, dim)), settings))
-                found = known[int(dim)].parts(np.array([unit[k] for k in rows]))
-                parts.update((k, p.astype("<i4").tobytes()) for k, p in zip(rows, found))
-            chosen = batch.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    chosen.column("vec_id"), chosen.column("label"), pa.array(dims, pa.int32()),
-                    pa.array([unit[k].astype("<f8").tobytes() for k in keep], pa.binary()),
-                    pa.array([parts[k] for k in keep], pa.binary()),
-                ],
-                names=["vec_id", "label", "dim", "unit", "parts"],
-            )
+            for place, unit in _units(batch.column("embedding")):
+                dim, chosen = unit.shape[1], batch.take(pa.array(place))
+                known.setdefault(dim, learned(np.zeros((0, dim)), settings))
+                parts = known[dim].parts(unit).astype("<i4")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        chosen.column("vec_id"), chosen.column("label"), pa.array(np.full(len(place), dim, np.int32)),
+                        pa.array([x.tobytes() for x in unit.astype("<f8")], pa.binary()),
+                        pa.array([p.tobytes() for p in parts], pa.binary()),
+                    ],
+                    names=["vec_id", "label", "dim", "unit", "parts"],
+                )
 
     return good.mapInArrow(run, "vec_id long, label string, dim int, unit binary, parts binary")
 
@@ -243,8 +241,10 @@ def _compared(rows: pa.Table, settings: Settings) -> pa.Table:
 def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of ``vectors``."""
     usable = stored(classes(vectors, settings), "codes")
+    # Ids may repeat, so classes have numbers of their own.
     reps = stored(
-        usable.groupBy("label", "dim", "unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("parts").alias("parts")),
+        usable.groupBy("label", "dim", "unit").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), F.first("parts").alias("parts"))
+        .withColumn("rep", F.monotonically_increasing_id()),
         "classes",
     )
     slots = stored(_slots(reps), "slots")
@@ -257,9 +257,7 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> Data
     met = stored(met.select(*place, "rep", "side", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y")), "meetings")
     tasks = max(1, -(-met.count() // settings.task_rows))
     task = F.pmod(F.xxhash64(*place, "x", "y"), F.lit(tasks)).cast("int").alias("task")
-    own = reps.select("rep", "label", "dim", "n", "unit", "parts").withColumnsRenamed({"label": "l", "dim": "d"})
-    # Classes of two labels can have one smallest id, where ids repeat.
-    rows = met.join(own, "rep").filter("l = label AND d = dim").drop("l", "d")
+    rows = met.join(reps.select("rep", "n", "unit", "parts"), "rep")
     found = stored(
         rows.withColumn("task", task).select("task", *place, "x", "y", "side", "rep", "n", "unit", "parts")
         .groupBy("task").applyInArrow(lambda t: _compared(t, settings), "a long, b long, n long"),
@@ -267,11 +265,16 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> Data
     )
     label = components(found.filter("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "rep")
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
-    classed = reps.join(counts, "rep", "left").join(label, "rep", "left").select(
-        "label", "dim", "unit", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"),
+    classed = stored(
+        reps.drop("parts").join(counts, "rep", "left").join(label, "rep", "left").select(
+            "label", "dim", "unit", "least", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+            F.coalesce("component", "rep").alias("group"),
+        ),
+        "classed",
     )
-    linked = usable.join(classed, ["label", "dim", "unit"]).select("vec_id", "n_links", "component_id")
+    smallest = classed.groupBy("group").agg(F.min("least").alias("component_id"))
+    named = classed.select("label", "dim", "unit", "n_links", "group").join(smallest, "group")
+    linked = usable.join(named, ["label", "dim", "unit"]).select("vec_id", "n_links", "component_id")
     return _with_rest(vectors, usable, linked)
 
 
