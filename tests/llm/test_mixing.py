@@ -73,3 +73,44 @@ def test_odd_documents(odd_docs, no_docs):
     assert out.columns == odd_docs.columns
     assert out.count() == sum(r.n * r.copies for r in rows)
     assert mixing.mixture(no_docs).count() == 0 and mixing.mixed(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("texts", ["one", "several"])
+def test_rows_without_an_id_share_their_copies(spark, texts):
+    """A hundred rows of a null id, equal or not: their words come near the target all the same."""
+    rows = [(None, "w w w w w" + (f" v{k}" if texts == "several" else " v"), "a", k) for k in range(100)]
+    rows += [(k, "x " * 10, "b", k) for k in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, place int")
+    mix = mixing.mixture(frame).collect()
+    assert sum(r.n for r in mix) == 200
+    for source in "ab":
+        own = [r for r in mix if r.source == source]
+        assert abs(sum(r.size * r.n * r.copies for r in own) - own[0].target) <= 10
+    if texts == "one":
+        assert len({r.copies for r in mix if r.source == "a"}) == 2
+    taken = mixing.mixed(frame).groupBy("source").agg(F.count("*").alias("n"), F.sum(F.size(F.split("text", " "))).alias("w")).collect()
+    for r in taken:
+        assert r.n == sum(m.n * m.copies for m in mix if m.source == r.source)
+
+
+def test_many_sources_over_many_ranges(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    settings = {
+        "spark.sql.shuffle.partitions": "300", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        sources = spark.range(3000).selectExpr("id AS doc_id", "concat('s', lpad(string(id), 5, '0')) AS source", "id % 7 + 1 AS size", "1L AS n")
+        got = mixing.targets(sources, mixing.Settings()).orderBy("source").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r.grp for r in got] == list(range(3000))
+    want = targets({r.source: r.source_size for r in got})
+    assert all(r.target == pytest.approx(want[r.source], rel=1e-9) for r in got)
+
+
+def test_a_mix_that_does_not_converge_fails(uneven):
+    with pytest.raises(RuntimeError, match="after 1 steps"):
+        mixing.mixture(uneven, mixing.Settings(most_steps=1)).count()

@@ -14,9 +14,11 @@ Rates become whole copies by carrying the rounding error from document to docume
 first, so the smallest absorb what is left.  Large sources are dealt to groups by id, each carrying
 its own error.
 
-Defined cases: null and empty texts have size 0 and are taken once, which adds no word.  A null
-source is a source.  Rows equal in id, source and size are one entry: all of them are taken equally
-often.  No rows give no rows.  Other columns are not looked at.
+Defined cases: null and empty texts have size 0 and are taken once, which adds no word.  Texts of any
+length are counted whole; among equal sizes the smaller id is rounded first.  A null source is a
+source, a null id an id.  Rows equal in id, source and text are one entry, whose copies are dealt out
+so evenly that they differ by one at most.  No rows give no rows.  Other columns are not looked at,
+and come along where documents are returned.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.store import stored
@@ -52,18 +54,19 @@ def sized(docs: DataFrame) -> DataFrame:
 def targets(entries: DataFrame, settings: Settings) -> DataFrame:
     """(grp, source, source_size, docs, target): sources numbered in order of code points."""
     sums = entries.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("docs"))
-    # Numbered by sorted ranges: only one count a range comes to the driver.
+    # Numbered by sorted ranges.
     placed = stored(
         sums.repartitionByRange(F.col("source").asc_nulls_last()).sortWithinPartitions(F.col("source").asc_nulls_last())
         .withColumn("place", F.monotonically_increasing_id()),
         "sources",
     )
-    counts = placed.groupBy(F.shiftright("place", 33).alias("part")).agg(F.count("*").alias("n")).collect()
-    before, shift = 0, F.lit(0)
-    for row in sorted(counts):
-        shift = F.when(F.shiftright("place", 33) == row.part, F.lit(before)).otherwise(shift)
-        before += row.n
-    grp = (F.col("place").bitwiseAND(F.lit((1 << 33) - 1)) + shift).cast("long")
+    part = F.shiftright("place", 33)
+    counts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    along = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row a range.
+    before = counts.select("part", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("before"))
+    placed = placed.withColumn("part", part).join(F.broadcast(before), "part")
+    grp = (F.col("place").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("before")).cast("long")
     weight = F.element_at(F.array(*[F.lit(w) for w in settings.weights]), (grp % len(settings.weights) + 1).cast("int"))
     known = placed.select(grp.alias("grp"), "source", "source_size", "docs", weight.alias("weight")).withColumn(
         "most", F.col("source_size") * settings.most_copies
@@ -132,49 +135,82 @@ def multipliers(entries: DataFrame, goals: DataFrame, settings: Settings) -> Dat
         state = stored(now.select("grp", "target", "mean", "low", "high", moved.alias("lam"), "off"), "multipliers")
         if (state.agg(F.max("off")).first()[0] or 0.0) <= settings.tolerance:
             break
+    else:
+        raise RuntimeError(f"the mix does not meet its targets after {settings.most_steps} steps")
     return goals.join(state.select("grp", "mean", "lam"), "grp", "left")
 
 
 def _round(rows: pa.Table, most: int) -> pa.Table:
-    """Whole copies of one group, the rounding error carried from the largest to the smallest."""
-    rows = rows.sort_by([("size", "descending"), ("doc_id", "ascending")])
-    words = (rows["size"].to_numpy() * rows["n"].to_numpy()).tolist()
-    copies, rest = [], 0.0
-    for size, rate in zip(words, rows["rate"].to_pylist()):
+    """Whole copies of one group, the rounding error carried from the largest to the smallest.
+
+    An entry of n rows gets a total, of which each row has the whole part and ``extra`` rows one more.
+    """
+    rows = rows.sort_by([(c, o) for c, o in (("size", "descending"), ("doc_id", "ascending"), ("text_hash", "ascending"))])
+    copies, extra, rest = [], [], 0.0
+    for size, n, rate in zip(rows["size"].to_pylist(), rows["n"].to_pylist(), rows["rate"].to_pylist()):
         if not size:
             copies.append(1)
+            extra.append(0)
             continue
-        rest += rate * size
-        c = min(max(int(rest / size + 0.5), 0), most)
+        rest += rate * size * n
+        c = min(max(int(rest / size + 0.5), 0), most * n)
         rest -= c * size
-        copies.append(c)
-    return rows.append_column("copies", pa.array(copies, pa.int64())).select(
-        ["doc_id", "source", "size", "n", "source_size", "target", "copies"]
-    )
+        copies.append(c // n)
+        extra.append(c % n)
+    rows = rows.append_column("copies", pa.array(copies, pa.int64())).append_column("extra", pa.array(extra, pa.int64()))
+    return rows.select(["doc_id", "source", "size", "text_hash", "n", "source_size", "target", "copies", "extra"])
 
 
-def mixture(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(doc_id, source, size, n, source_size, target, copies): one row per entry, of n equal rows."""
-    flat = sized(docs).select(F.col("doc.doc_id").alias("doc_id"), F.col("doc.source").alias("source"), "size")
-    entries = stored(flat.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n")), "entries")
+def _entry(docs: DataFrame) -> DataFrame:
+    """``sized`` documents with their hash of the text."""
+    return sized(docs).withColumn("text_hash", F.xxhash64(F.col("doc.text").cast("string")))
+
+
+def _entries(docs: DataFrame, settings: Settings) -> DataFrame:
+    """(doc_id, source, size, text_hash, n, source_size, target, copies, extra), a row per entry."""
+    flat = _entry(docs).select(F.col("doc.doc_id").alias("doc_id"), F.col("doc.source").alias("source"), "size", "text_hash")
+    entries = stored(flat.groupBy("doc_id", "source", "size", "text_hash").agg(F.count("*").alias("n")), "entries")
     goals = multipliers(entries, stored(targets(entries, settings), "targets"), settings)
-    group = F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col("docs") / settings.group_rows).cast("long"))
+    group = F.pmod(F.xxhash64("doc_id", "size", "text_hash"), F.ceil(F.col("docs") / settings.group_rows).cast("long"))
     rated = entries.join(goals.withColumnRenamed("source", "s"), F.expr("source <=> s")).select(
-        "grp", group.alias("part"), "doc_id", "source", "size", "n", "source_size", "target",
+        "grp", group.alias("part"), "doc_id", "source", "size", "text_hash", "n", "source_size", "target",
         F.coalesce(_rate(settings), F.lit(1.0)).alias("rate"),
     )
     kinds = {f.name: f.dataType.simpleString() for f in entries.schema}
     return rated.groupBy("grp", "part").applyInArrow(
         lambda rows: _round(rows, settings.most_copies),
-        f"doc_id {kinds['doc_id']}, source string, size long, n long, source_size long, target double, copies long",
+        f"doc_id {kinds['doc_id']}, source string, size long, text_hash long, n long, source_size long, target double, "
+        "copies long, extra long",
     )
 
 
+def mixture(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """(doc_id, source, size, n, source_size, target, copies): n equal rows, taken ``copies`` times each."""
+    each = F.array(
+        F.struct((F.col("n") - F.col("extra")).alias("n"), F.col("copies").alias("copies")),
+        F.struct(F.col("extra").alias("n"), (F.col("copies") + 1).alias("copies")),
+    )
+    return _entries(docs, settings).select(
+        "doc_id", "source", "size", "source_size", "target", F.explode(F.filter(each, lambda e: e["n"] > 0)).alias("e")
+    ).select("doc_id", "source", "size", "e.n", "source_size", "target", "e.copies")
+
+
 def mixed(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents, each as often as the mix takes it, columns as they were."""
-    chosen = mixture(docs, settings).filter("copies > 0").selectExpr(
-        "doc_id AS m_id", "source AS m_source", "size AS m_size", "copies"
+    chosen = stored(
+        _entries(docs, settings).filter("copies + extra > 0").selectExpr(
+            "doc_id AS m_id", "source AS m_source", "size AS m_size", "text_hash AS m_hash", "copies", "extra"
+        ),
+        "chosen",
+    )
+    on = F.expr("doc.doc_id <=> m_id AND doc.source <=> m_source AND size = m_size AND text_hash = m_hash")
+    found = _entry(docs).join(chosen.filter("copies > 0"), on)
+    taken = found.select(F.explode(F.sequence(F.lit(1).cast("long"), "copies")), "doc").select("doc.*")
+    more = chosen.filter("extra > 0")
+    if more.isEmpty():
+        return taken
+    # Equal rows that do not share their copies evenly: what is over goes to one of them.
+    over = _entry(docs).join(more, on).groupBy("m_id", "m_source", "m_size", "m_hash").agg(
+        F.first("doc").alias("doc"), F.first("extra").alias("extra")
     )
-    on = F.expr("doc.doc_id <=> m_id AND doc.source <=> m_source AND size = m_size")
-    taken = sized(docs).join(chosen, on).select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return taken.select("doc.*")
+    return taken.unionByName(over.select(F.explode(F.sequence(F.lit(1).cast("long"), "extra")), "doc").select("doc.*"))
