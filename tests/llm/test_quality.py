@@ -113,3 +113,89 @@ def test_languages_beyond_the_held_have_their_own_reference(docs):
     assert all_held.rest is None and len(one_held.cells) == 2
     assert one_held.rest.count() == docs.select("lang").distinct().count() - 1
     assert found == expected
+
+
+def plain_verdicts(rows, limits):
+    """kept and distances from the formula, with counters, one document at a time."""
+    import numpy as np
+
+    def kinds(text):
+        return Counter(int(quality_rules.CLASS[b]) for b in text.encode() if quality_rules.CLASS[b] != 255)
+
+    def cells(text):
+        found = re.findall(r"[^\x20\x09-\x0D]+", text.translate({c: c + 32 for c in range(65, 91)}))
+        if not found:
+            return Counter()
+        data = np.frombuffer(" ".join(found).encode(), np.uint8)
+        hashes = quality_rules.words_of(data, np.array([0, len(data)]), False).hash
+        return Counter((hashes % np.uint64(quality_rules.CELLS)).astype(int).tolist())
+
+    def divergence(a, b):
+        n, m = sum(a.values()), sum(b.values())
+        total = 0.0
+        for k in {*a, *b}:
+            p, q = a[k] / n, b[k] / m
+            for x in (p, q):
+                total += x * math.log2(x / ((p + q) / 2)) / 2 if x else 0
+        return math.sqrt(max(total, 0.0))
+
+    chars, counted = {}, {}
+    for _, text, lang in rows:
+        for key in {lang or "", ""}:
+            chars.setdefault(key, Counter()).update(kinds(text or ""))
+            counted.setdefault(key, Counter()).update(cells(text or ""))
+    out = []
+    for i, text, lang in rows:
+        n, *_, failed = base(text)
+        near = (0.0, 0.0)
+        if n >= limits.least_words:
+            for key in ([lang] if lang else []) + [""]:
+                top = {c for c, _ in sorted(counted[key].items(), key=lambda x: (-x[1], x[0]))[: limits.common]}
+
+                def grouped(counts):
+                    g = Counter()
+                    for c, m in counts.items():
+                        g[c if c in top else -1] += m
+                    return g
+
+                mine = grouped(cells(text))
+                others = grouped(counted[key]) - mine
+                if sum(others.values()) >= limits.least_reference:
+                    near = divergence(kinds(text), chars[key] - kinds(text)), divergence(mine, others)
+                    break
+        noise = max(n, 1) ** -0.5
+        kept = not failed and near[0] <= limits.char_distance + limits.char_noise * noise
+        kept = kept and near[1] <= limits.word_distance + limits.word_noise * noise
+        out.append((i, kept, *near))
+    return out
+
+
+@pytest.mark.parametrize("limits", [quality_rules.Limits(), quality_rules.Limits(languages=1, common=20, least_reference=3000)])
+def test_verdicts_are_those_of_the_formula(spark, docs, limits):
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.select("doc_id", "text", "lang").collect()]
+    rows += [(10_000 + k, " ".join(f"{w}{k}" for w in ("uno", "dos", "tres") * 30), "rare") for k in range(3)] + [(10_010, None, None), (10_011, "a " * 60, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged_rows = quality_rules.judge(frame, quality_rules.references(frame, limits), limits)
+    got = {r.doc_id: r for r in judged_rows.select("doc.doc_id", "kept", "char_distance", "word_distance").collect()}
+    for i, kept, char, word in plain_verdicts(rows, limits):
+        assert (got[i].char_distance, got[i].word_distance) == (pytest.approx(char, abs=1e-9), pytest.approx(word, abs=1e-9)), i
+        assert got[i].kept == kept, i
+
+
+def test_spam_is_no_reference_for_itself(spark, docs):
+    """The same symbols are rejected under a known language and under one of their own."""
+    spam = " ".join("#$%&*<>|"[k % 8] * 5 + f"{k}" for k in range(400))
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.select("doc_id", "text", "lang").collect()]
+    rows += [(20_000, spam, "en"), (20_001, spam[::-1], "spam"), (20_002, spam, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in judged(frame).filter("kept").select("doc.doc_id").collect()}
+    assert not kept & {20_000, 20_001, 20_002}
+    clean = {r.doc_id for r in judged(docs).filter("kept").select("doc.doc_id").collect()}
+    assert len(kept ^ clean) <= 2
+
+
+def test_alone_a_document_has_no_reference(spark):
+    text = " ".join(f"word{k % 70}" for k in range(300))
+    frame = spark.createDataFrame([(1, text, "en")], "doc_id long, text string, lang string")
+    (row,) = judged(frame).collect()
+    assert (row.char_distance, row.word_distance) == (0.0, 0.0) and row.kept == (not row.base_failed)

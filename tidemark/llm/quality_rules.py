@@ -2,8 +2,10 @@
 
 A document is described by two histograms: character classes, and common words.  Both are
 compared with the reference of the document's language by Jensen-Shannon distance (base 2, so
-between 0 and 1).  The references are the histograms of all documents of a language, gathered in
-a first pass.  Words are counted in a fixed number of hash cells, so a reference has the same
+between 0 and 1).  The references are the histograms of all other documents of a language, gathered
+in a first pass, from which a document's own counts are taken off.  With less than
+``least_reference`` words left, the language says nothing, and all other documents together are the
+reference; with less than that in these too, only the base rules judge.  Words are counted in a fixed number of hash cells, so a reference has the same
 size whatever the corpus holds; its common words are the cells with the largest counts, all other
 words are one class.
 
@@ -12,9 +14,11 @@ others stay in a table, which their documents are joined to.  A document's verdi
 either way, and a language that is joined has less than one in ``languages`` of the documents.
 
 Defined cases: null and empty texts have no words and fail the base rules.  A null, empty or
-unknown language is compared with the reference of all documents together.  A document below ``least_words`` words gives no stable histogram: only the
-base rules judge it.  Repeated rows are judged one by one; null ids are kept as they are.  Other
-columns are not looked at.
+unknown language is compared with the reference of all documents together.  A document below
+``least_words`` words gives no stable histogram: only the base rules judge it.  Texts of any length
+are counted whole; a distance equal to its bound passes, and of cells with equal counts the lower is
+the common one.  Repeated rows are judged one by one, each a reference for the others; null ids are
+kept as they are.  No rows give no rows.  Other columns are not looked at, and come back as they were.
 """
 
 from __future__ import annotations
@@ -67,6 +71,7 @@ class Limits:
     min_words: int = 10
     repeat_percent: int = 20
     least_words: int = 50
+    least_reference: int = 1000
     char_distance: float = 0.16
     char_noise: float = 1.0
     word_distance: float = 0.27
@@ -77,18 +82,21 @@ class Limits:
 
 @dataclass
 class References:
-    """Histograms by language: character classes, and the cells of common words with their counts.
+    """Histograms by language: shares of character classes and of common words, the cells of these,
+    and the counts behind the shares.
 
     ``rest`` has the languages that are not held, as (language, chars, top, words); None if all are.
     """
 
     chars: dict[str, np.ndarray] = field(default_factory=dict)
     cells: dict[str, np.ndarray] = field(default_factory=dict)
+    counts: dict[str, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
     rest: DataFrame | None = None
 
     def add(self, lang: str, counts: np.ndarray, common: int) -> None:
-        self.chars[lang], top, self.chars[lang + "\0words"] = reference(counts, common)
-        self.cells[lang] = ranks(top, common)
+        chars, top, words = reference(counts, common)
+        self.chars[lang], self.chars[lang + "\0words"] = shares(chars), shares(words)
+        self.cells[lang], self.counts[lang] = ranks(top, common), (chars, words)
 
 
 def ranks(top: np.ndarray, common: int) -> np.ndarray:
@@ -99,11 +107,12 @@ def ranks(top: np.ndarray, common: int) -> np.ndarray:
 
 
 def reference(counts: np.ndarray, common: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Shares of the character classes, the common cells, and shares of these and all others."""
+    """Counts of the character classes, the common cells, and counts of these and all others."""
     words = counts[len(CLASSES) : SIZE]
     top = np.argsort(-words, kind="stable")[:common].astype(np.int16)
-    share = np.bincount(ranks(top, common), weights=words, minlength=common + 1)
-    return shares(counts[: len(CLASSES)]), top, shares(share)
+    common_words = np.zeros(common + 1, np.int64)
+    np.add.at(common_words, ranks(top, common), words)
+    return counts[: len(CLASSES)].copy(), top, common_words
 
 
 def shares(counts: np.ndarray) -> np.ndarray:
@@ -251,7 +260,7 @@ def judge(docs: DataFrame, refs: References, limits: Limits = Limits(), columns:
     )
 
     # Tasks get the languages that are held, not the table of the others.
-    held = References(refs.chars, refs.cells)
+    held = References(cells=refs.cells, counts=refs.counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,14 +300,17 @@ def _judge_block(data, offsets, langs, owns, refs: References, limits: Limits) -
         failed = n < limits.min_words or 100 * repeats > limits.repeat_percent * n
         near = [0.0, 0.0]
         if n >= limits.least_words:
-            if own is None:
-                key = lang if lang in refs.cells else ""
-                chars, rank, common = refs.chars[key], refs.cells[key], refs.chars[key + "\0words"]
+            if own is not None:
+                theirs = [(np.frombuffer(own["chars"], np.int64), ranks(np.frombuffer(own["top"], np.int16), limits.common), np.frombuffer(own["words"], np.int64))]
             else:
-                chars, common = np.frombuffer(own["chars"]), np.frombuffer(own["words"])
-                rank = ranks(np.frombuffer(own["top"], np.int16), limits.common)
-            mine = np.bincount(rank[cells[words.first[k] : words.first[k + 1]]], minlength=limits.common + 1)
-            near = [distance(shares(kinds[k]), chars), distance(shares(mine), common)]
+                theirs = [(refs.counts[lang][0], refs.cells[lang], refs.counts[lang][1])] if lang and lang in refs.cells else []
+            for chars, rank, common in [*theirs, (refs.counts[""][0], refs.cells[""], refs.counts[""][1])]:
+                mine = np.bincount(rank[cells[words.first[k] : words.first[k + 1]]], minlength=limits.common + 1)
+                # The reference is what the others hold.
+                others = common - mine
+                if others.sum() >= limits.least_reference:
+                    near = [distance(shares(kinds[k]), shares(chars - kinds[k])), distance(shares(mine), shares(others))]
+                    break
         noise = max(n, 1) ** -0.5
         kept = not failed and near[0] <= limits.char_distance + limits.char_noise * noise
         kept = kept and near[1] <= limits.word_distance + limits.word_noise * noise
