@@ -9,7 +9,7 @@ def test_queries_are_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= names
 
 
