@@ -4,6 +4,9 @@ Each round joins edges with the smallest neighbour of each node.  Smallest neigh
 aggregated before the shuffle, and the joins are plain equi-joins that adaptive execution can
 split, so a node with a third of all edges is no bottleneck.  Rounds grow with the logarithm of
 the graph's diameter.
+
+Defined cases: loops, nulls, directions and repeated edges do not matter; no edges give no rows; the
+smallest node of a component names it; columns after the first two are not looked at.
 """
 
 from __future__ import annotations

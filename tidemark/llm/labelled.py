@@ -1,4 +1,9 @@
-"""Labelled rows for training, and the rows that are held out."""
+"""Labelled rows for training, and the rows that are held out.
+
+Defined cases: null texts and texts above the bound are not trained on, nor are labels other than 0
+and 1 or rows without an id; equal hashes are ordered by id and text; repeated rows count as often
+as they occur; empty tables give an empty sample; other columns are not looked at.
+"""
 
 from __future__ import annotations
 

@@ -8,7 +8,9 @@ at most one window is left.  The leftovers of up to ``fan_in`` partitions are me
 way by one task, level by level, until one window is left: the only one with padding.
 
 Defined cases: a null or empty text is the end token alone.  Rows are packed one by one, repeated
-or with null ids alike.  Other columns are not looked at.  No rows give no sequences.
+or with null ids alike.  Of windows that a piece fills equally well, the first opened takes it; ids
+have no part in the order.  A text of any length is cut into whole windows and a rest.  Other columns
+are not looked at.  No rows give no sequences.
 """
 
 from __future__ import annotations

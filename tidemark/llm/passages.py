@@ -8,8 +8,9 @@ the weighted mean of the encodings gives the score.  Encoder, gates and score ar
 from document labels alone, so the network finds the passages that decide.
 
 Defined cases: a null or empty text is one passage without words.  Without labels of both kinds
-every score is 0.5.  Rows are scored one by one, repeated or with null ids alike; other columns are
-not looked at.
+every score is 0.5.  Texts of any length are scored whole; for training, those above ``most_chars``
+are left out.  A score equal to ``threshold`` counts as good.  Rows are scored one by one, repeated or
+with null ids alike; other columns are not looked at.  No rows give no rows.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ numbers of tokens, the blocks' first words, and the words, all as little-endian
 kept in Parquet, which any shared store holds and whose writer commits a task's files as one.
 
 Defined cases: a null or empty text is the end token alone.  Rows with a null id come first;
-rows that repeat an id follow each other in the order of their texts.  No rows give no rows.
+rows that repeat an id follow each other in the order of their texts.  A text of any length is one
+document of a file row.  Other columns are not looked at.  No rows give no rows.
 """
 
 from __future__ import annotations

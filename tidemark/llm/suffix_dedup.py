@@ -25,8 +25,9 @@ texts, only the one with the smallest id is looked at; in the others every byte
 are shorter than a string.  Number and size of batches and buckets follow from the total bytes.
 
 Defined cases: a null text is empty.  A row with a null id neither removes nor loses anything.
-Rows that repeat an id do not remove each other's bytes.  Any bytes may occur, 0 included.  No
-rows give no rows.  Further columns come back untouched in the struct ``doc``.
+Rows that repeat an id do not remove each other's bytes.  Any bytes may occur, 0 included, in texts
+of any length, which are judged whole; a text shorter than ``length`` loses nothing.  No rows give no
+rows.  Further columns come back untouched in the struct ``doc``.
 """
 
 from __future__ import annotations

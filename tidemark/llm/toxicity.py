@@ -10,8 +10,9 @@ Everything after the vectors is linear.  For scoring, each cell therefore needs
 vector times the difference of the two softmax rows.
 
 Defined cases: null and empty texts, and texts of white space, score by the intercept alone.
-Without labels of both kinds every score is 0.5.  Rows are scored one by one, repeated or with null
-ids alike; other columns are not looked at.
+Without labels of both kinds every score is 0.5.  Texts of any length are scored whole; for training,
+those above ``most_chars`` are left out.  A score of exactly 0.5 counts as toxic.  Rows are scored one
+by one, repeated or with null ids alike; other columns are not looked at.  No rows give no rows.
 """
 
 from __future__ import annotations
