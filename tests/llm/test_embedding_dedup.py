@@ -108,3 +108,35 @@ def test_recall_with_a_common_mean(spark, norm):
     got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
     links, _ = brute(rows)
     assert all(got[k] <= n for k, n in enumerate(links)) and sum(got.values()) >= 0.9 * sum(links) > 0
+
+
+def test_bits_follow_the_largest_label():
+    bits = embedding_dedup.bits_for
+    assert [bits(n) for n in (0, 1, 1 << 16, (1 << 16) + 1, 10**9, 10**12)] == [16, 16, 16, 17, 30, 30]
+
+
+@pytest.mark.parametrize("bits", [16, 22])
+def test_the_share_of_pairs_that_meet(bits):
+    """Tables are added as they get longer; pairs at the threshold meet and lie within the Hamming limit."""
+    rng = np.random.default_rng(9)
+    unit = rng.standard_normal((3000, 48))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    codes = embedding_dedup.learned(unit[:2000], embedding_dedup.Settings(), bits)
+    away = rng.standard_normal((1000, 48))
+    away -= (away * unit[2000:]).sum(axis=1, keepdims=True) * unit[2000:]
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    a, b = unit[2000:], 0.93 * unit[2000:] + np.sqrt(1 - 0.93**2) * away
+    assert codes.parts(a).shape[1] * bits == codes.maps.shape[1] and codes.parts(a).max() < 1 << bits
+    assert (codes.parts(a) == codes.parts(b)).any(axis=1).mean() >= 0.93
+    apart = (codes.signs(a) != codes.signs(b)).sum(axis=1)
+    assert (apart <= codes.limit).all() and codes.limit < 0.35 * codes.maps.shape[1]
+
+
+def test_one_list_of_many_near_vectors(spark):
+    """A label that holds one family only: each vector links to all others, in blocks and in strips."""
+    rng = np.random.default_rng(10)
+    base = rng.standard_normal(32)
+    rows = [(k, [float(x) for x in base + 0.02 * rng.standard_normal(32)], 1, "r", 1) for k in range(400)]
+    settings = embedding_dedup.Settings(block_rows=60, task_rows=100, pairs_at_once=500)
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), settings).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(399, 0)}
