@@ -103,3 +103,32 @@ def test_messages_grow_with_the_total():
         more = settings.deal(100 * total)
         assert 50 < more[0] * more[1] / (batches * buckets) < 200
     assert settings.deal(0) == (1, 1) and settings.deal(10**14)[0] == -(-(10**14) // settings.batch_bytes)
+
+
+@pytest.mark.parametrize("width", [30, 42, 49])
+def test_a_short_line_in_many_documents(spark, width):
+    """Crowded anchors are split into strings: same bytes go, and no bucket gets the texts around the line."""
+    rng = random.Random(width)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(width))
+    around = lambda: "".join(rng.choice("ijklmnop") for _ in range(90))
+    rows = [(k, around() + (line if k % 3 == 0 else "") + around()) for k in range(600)]
+    rows += [(1000 + k, rows[3 * k][1][40:200] + around()) for k in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    settings = suffix_dedup.Settings(batch_bytes=20_000, bucket_bytes=30_000, crowd=40)
+    assert found(frame, settings) == expected([(i, t.encode()) for i, t in rows])
+
+
+def test_a_crowded_anchor_is_spread():
+    """The strings around one line fall into all buckets alike."""
+    rng = np.random.default_rng(3)
+    line = rng.integers(97, 105, 42).astype(np.uint8)
+    texts = [np.concatenate([rng.integers(105, 113, 60), line, rng.integers(105, 113, 60)]).astype(np.uint8) for _ in range(2000)]
+    data, offsets = np.concatenate(texts), np.arange(2001) * 162
+    runs = suffix_dedup._runs(data, offsets, 50)
+    value, times = np.unique(runs.anchor, return_counts=True)
+    crowded = value[times > 500]
+    assert len(crowded) and np.bincount(suffix_dedup._bucket(runs.anchor, 16), minlength=16).max() > 1500
+    cut, new = suffix_dedup._split(runs, data, crowded, 50)
+    assert cut.size.sum() == runs.size.sum() and (cut.size[new] == 1).all()
+    spread = np.bincount(suffix_dedup._bucket(np.unique(cut.anchor[new]), 16), minlength=16)
+    assert spread.max() <= 2 * np.median(spread)

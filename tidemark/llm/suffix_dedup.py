@@ -10,7 +10,11 @@ stretch of a document whose strings have one anchor.
 
 1. Documents are dealt to batches by id, of bounded size.  A batch sends its anchors, eight bytes
    each and each once, to buckets by anchor.
-2. A bucket tells each batch which of its anchors a second document has.
+   Runs of a batch that look alike count once; their number goes along.
+2. A bucket tells each batch which of its anchors a second document has, and which are crowded: a
+   short line in very many documents, each time with other text around it, would bring all these
+   texts to one bucket.  Batches cut runs at a crowded anchor into their single strings, whose
+   anchor is the hash of the whole string, and have these looked at in the same way.
 3. The batch sends the texts of the runs at those anchors, each distinct text once with the
    smallest and the largest id that has it.  A passage in any number of documents thus reaches
    its bucket at most once a batch.
@@ -20,7 +24,7 @@ stretch of a document whose strings have one anchor.
    smallest id among its range.
 5. The batch removes what starts in a document with a smaller id.
 
-The documents are shuffled once; all three visits read the same shuffle.  Of documents with equal
+The documents are shuffled once; all visits read the same shuffle.  Of documents with equal
 texts, only the one with the smallest id is looked at; in the others every byte goes, unless they
 are shorter than a string.  Number and size of batches and buckets follow from the total bytes.
 
@@ -41,6 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.llm.bwt import shared_prefix_groups
 from tidemark.llm.store import stored
@@ -49,7 +54,7 @@ from tidemark.llm.words import BLOCK, blocks, mixed, text_bytes
 U = np.uint64
 PIECE = 16
 MESSAGE = "b int, kind int, id long, payload binary"
-COPY, SHARED, LEAST = 0, 1, 2
+COPY, SHARED, LEAST, CROWDED = 0, 1, 2, 3
 SEGMENT = np.dtype([("run", "<i4"), ("low", "<i4"), ("high", "<i4"), ("least", "<i8")])
 _ODD = U(0x9E3779B97F4A7C15)
 _WEIGHT = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) | U(1)
@@ -61,7 +66,8 @@ class Settings:
 
     Every batch may write to every bucket.  Both sizes therefore follow the square root of the total,
     ``spread`` times, up to their bounds, so that the messages grow with the total and not with its
-    square: batches of 9 MB for 1 GB of texts, of 128 MB, the bound, from 0.2 TB on.
+    square: batches of 9 MB for 1 GB of texts, of 128 MB, the bound, from 0.2 TB on.  An anchor with
+    more than ``crowd`` run texts, summed over batches, is crowded.
     """
 
     length: int = 50
@@ -69,6 +75,7 @@ class Settings:
     batch_bytes: int = 128 << 20
     bucket_bytes: int = 256 << 20
     expand_letters: int = 1 << 20
+    crowd: int = 4096
 
     def deal(self, total: int) -> tuple[int, int]:
         """(number of batches, number of buckets) for so many bytes of text."""
@@ -153,6 +160,27 @@ def _runs(data: np.ndarray, offsets: np.ndarray, length: int) -> Runs:
     )
 
 
+def _split(runs: Runs, data: np.ndarray, crowded: np.ndarray, length: int) -> tuple[Runs, np.ndarray]:
+    """Runs at crowded anchors replaced by one run for each of their strings; which ones are new."""
+    hot = _known(runs.anchor, crowded)
+    n = runs.size[hot]
+    start = np.repeat(runs.start[hot], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    anchor = np.zeros(len(start), np.uint64)
+    for a in range(0, len(start), BLOCK):
+        at = start[a : a + BLOCK]
+        h = np.zeros(len(at), np.uint64)
+        # Eights of bytes, the last one flush with the end.
+        for k in [*range(0, length - 8, 8), length - 8]:
+            word = data[at[:, None] + np.arange(k, k + 8)].view("<u8")[:, 0]
+            h = mixed((h ^ word) * _ODD + U(k + 1))
+        anchor[a : a + BLOCK] = h
+    parts = [
+        (runs.start, start), (runs.size, np.ones(len(start), np.int64)), (runs.anchor, anchor), (runs.row, np.repeat(runs.row[hot], n)),
+    ]
+    new = np.concatenate([np.zeros(int((~hot).sum()), bool), np.ones(len(start), bool)])
+    return Runs(*[np.concatenate([old[~hot], more]) for old, more in parts]), new
+
+
 def _bucket(anchor: np.ndarray, buckets: int) -> np.ndarray:
     """Buckets are ranges of anchors."""
     return ((anchor >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
@@ -192,7 +220,7 @@ def _least_by(code: np.ndarray, groups: int, value: np.ndarray, of=np.minimum) -
     return of.reduceat(value[order], np.searchsorted(code[order], np.arange(groups))) if groups else value[:0]
 
 
-# --- the three visits to a batch ---------------------------------------------------------------
+# --- the visits to a batch ---------------------------------------------------------------------
 
 
 class _Batch:
@@ -204,7 +232,7 @@ class _Batch:
         self.docs, self.ids = docs, docs["id"].to_pylist()
         self.data, self.offsets = text_bytes(docs["text"])
         kinds = messages["kind"].to_numpy()
-        self.payloads = [messages["payload"].filter(pa.array(kinds == k)).to_pylist() for k in (COPY, SHARED, LEAST)]
+        self.payloads = [messages["payload"].filter(pa.array(kinds == k)).to_pylist() for k in (COPY, SHARED, LEAST, CROWDED)]
         copies = set(zip(messages["id"].filter(pa.array(kinds == COPY)).to_pylist(), self.payloads[COPY]))
         named = {i for i, _ in copies}
         self.copy = np.array(
@@ -217,6 +245,8 @@ class _Batch:
         self.bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
         self.doc = np.array([self.ids[k] for k in self.own], np.int64)
         self.runs = _runs(self.bytes, self.bounds, settings.length)
+        crowded = np.unique(np.concatenate([*[_numbers(x, "<u8") for x in self.payloads[CROWDED]], np.zeros(0, np.uint64)]))
+        self.runs, self.single = _split(self.runs, self.bytes, crowded, settings.length)
 
     def text(self, k: int) -> bytes:
         return self.data[self.offsets[k] : self.offsets[k + 1]].tobytes()
@@ -225,34 +255,64 @@ class _Batch:
         return _texts(self.bytes, self.runs.start[which], self.runs.size[which] + self.settings.length - 1)
 
 
-def _send_anchors(batch: _Batch, b: int, buckets: int) -> pa.Table:
+def _alike(batch: _Batch, runs: Runs) -> np.ndarray:
+    """A number for each run that tells most texts of one anchor apart."""
+    last = runs.start + runs.size + batch.settings.length - 9
+    word = np.ndarray((max(0, len(batch.bytes) - 7),), "<u8", buffer=batch.bytes, strides=(1,)) if len(runs.start) else np.zeros(0, "<u8")
+    return mixed(mixed(word[runs.start] * _ODD + word[last]) + runs.size.astype(np.uint64))
+
+
+def _send_anchors(batch: _Batch, b: int, buckets: int, single: bool = False) -> pa.Table:
+    """The anchors of all runs, or of those only that are strings of crowded anchors."""
     runs = batch.runs
+    if single:
+        runs = Runs(*[x[batch.single] for x in (runs.start, runs.size, runs.anchor, runs.row)])
     order = np.argsort(runs.anchor, kind="stable")
     sorted_anchor, row = runs.anchor[order], runs.row[order]
     first = np.flatnonzero(np.concatenate([[True], sorted_anchor[1:] != sorted_anchor[:-1]])) if len(order) else order
     anchor = sorted_anchor[first]
     several = np.minimum.reduceat(row, first) != np.maximum.reduceat(row, first) if len(first) else np.zeros(0, bool)
+    times = np.ones(len(first), np.int32)
+    if several.any() and not single:
+        group = np.repeat(np.arange(len(first)), np.diff(np.concatenate([first, [len(order)]])))
+        among = np.flatnonzero(several[group])
+        chosen = order[among]
+        looks = _alike(batch, Runs(*[x[chosen] for x in (runs.start, runs.size, runs.anchor, runs.row)]))
+        by = np.lexsort((looks, group[among]))
+        g, looks = group[among][by], looks[by]
+        new = np.concatenate([[True], (g[1:] != g[:-1]) | (looks[1:] != looks[:-1])])
+        times = np.maximum(1, np.bincount(g[new], minlength=len(first))).astype(np.int32)
     edges = np.searchsorted(_bucket(anchor, buckets), np.arange(buckets + 1))
     filled = np.flatnonzero(np.diff(edges))
-    parts = [(anchor[edges[k] : edges[k + 1]], several[edges[k] : edges[k + 1]]) for k in filled]
+    parts = [(anchor[edges[k] : edges[k + 1]], several[edges[k] : edges[k + 1]], times[edges[k] : edges[k + 1]]) for k in filled]
     return pa.table(
         {
             "k": pa.array(filled.astype(np.int32)),
             "b": pa.array(np.full(len(filled), b, np.int32)),
-            "once": pa.array([x[~s].tobytes() for x, s in parts], pa.binary()),
-            "several": pa.array([x[s].tobytes() for x, s in parts], pa.binary()),
+            "once": pa.array([x[~s].tobytes() for x, s, _ in parts], pa.binary()),
+            "several": pa.array([x[s].tobytes() for x, s, _ in parts], pa.binary()),
+            "times": pa.array([n[s].astype("<i4").tobytes() for _, s, n in parts], pa.binary()),
         }
     )
 
 
-def _share_anchors(sent: pa.Table) -> pa.Table:
+def _share_anchors(sent: pa.Table, crowd: int | None) -> pa.Table:
+    """Which anchors a second document has, and which of these have more than ``crowd`` texts."""
     once = [_numbers(x, "<u8") for x in sent["once"].to_pylist()]
     several = [_numbers(x, "<u8") for x in sent["several"].to_pylist()]
     every = np.sort(np.concatenate([*once, *several, np.zeros(0, np.uint64)]))
     repeated = every[1:][every[1:] == every[:-1]]
     shared = np.unique(np.concatenate([repeated, *several]))
-    reply = [np.concatenate([x[_known(x, shared)], y]).tobytes() for x, y in zip(once, several)]
-    return _messages(sent["b"].to_pylist(), SHARED, reply)
+    to = sent["b"].to_pylist()
+    reply = [np.concatenate([x[_known(x, shared)], y]) for x, y in zip(once, several)]
+    found = _messages(to, SHARED, [x.tobytes() for x in reply])
+    if crowd is None or not len(shared):
+        return found
+    texts = np.searchsorted(every, shared, side="right") - np.searchsorted(every, shared)
+    for x, n in zip(several, [_numbers(x, "<i4") for x in sent["times"].to_pylist()]):
+        np.add.at(texts, np.searchsorted(shared, x), n - 1)
+    crowded = shared[texts > crowd]
+    return pa.concat_tables([found, _messages(to, CROWDED, [x[_known(x, crowded)].tobytes() for x in reply])])
 
 
 def _messages(to: list[int], kind: int, payloads: list[bytes]) -> pa.Table:
@@ -486,18 +546,26 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), with_text:
     )
     copies = stored(copies, "copies")
 
-    def visit(messages: DataFrame, work, schema) -> DataFrame:
+    def visit(messages: DataFrame, work, schema, needs: int | None = None) -> DataFrame:
+        nothing = _no_rows(schema)
+
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
-            return work(_Batch(left, right, settings), left["b"][0].as_py()) if left.num_rows else _no_rows(schema)
+            if not left.num_rows or needs is not None and needs not in right["kind"].to_pylist():
+                return nothing
+            return work(_Batch(left, right, settings), left["b"][0].as_py())
 
         return dealt.groupBy("b").cogroup(messages.groupBy("b")).applyInArrow(run, schema)
 
-    anchors = visit(
-        copies, lambda batch, b: _send_anchors(batch, b, buckets), "k int, b int, once binary, several binary"
+    sent = "k int, b int, once binary, several binary, times binary"
+    anchors = visit(copies, lambda batch, b: _send_anchors(batch, b, buckets), sent)
+    shared = anchors.groupBy("k").applyInArrow(lambda t: _share_anchors(t, settings.crowd), MESSAGE)
+    crowded = shared.filter(F.col("kind") == CROWDED)
+    strings = visit(
+        copies.unionByName(crowded), lambda batch, b: _send_anchors(batch, b, buckets, single=True), sent, needs=CROWDED
     )
-    shared = anchors.groupBy("k").applyInArrow(_share_anchors, MESSAGE)
+    again = strings.groupBy("k").applyInArrow(lambda t: _share_anchors(t, None), MESSAGE)
     texts = visit(
-        copies.unionByName(shared),
+        copies.unionByName(shared).unionByName(again),
         lambda batch, b: _send_texts(batch, b, buckets),
         "k int, b int, text binary, sizes binary, run binary, low binary, high binary",
     )
@@ -505,14 +573,12 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings(), with_text:
     fields = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     if with_text:
         fields = fields.add("kept_text", "string").add("doc", dealt.schema["doc"].dataType)
-    return visit(copies.unionByName(smallest), lambda batch, b: _cut(batch, with_text), fields)
+    return visit(copies.unionByName(crowded).unionByName(smallest), lambda batch, b: _cut(batch, with_text), fields)
 
 
 def _no_rows(schema) -> pa.Table:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    kind = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    return to_arrow_schema(kind).empty_table()
+    """An empty table; schemas can be read in the driver only."""
+    return to_arrow_schema(schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)).empty_table()
 
 
 def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
