@@ -140,3 +140,9 @@ def test_one_list_of_many_near_vectors(spark):
     settings = embedding_dedup.Settings(block_rows=60, task_rows=100, pairs_at_once=500)
     got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), settings).collect()
     assert {(r.n_links, r.component_id) for r in got} == {(399, 0)}
+
+
+def test_few_vectors_in_double_precision(spark):
+    rows = [(1, [1.0, 0.1, 0.0], 1), (2, [1.0, 0.1, 0.05], 1), (3, [0.0, 1.0, 0.0], 1), (4, [1e300, 1e299, 0.0], 1), (5, [1.0, 0.0], 1)]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {1: (2, 1), 2: (2, 1), 3: (0, 3), 4: (2, 1), 5: (0, 5)}

@@ -108,8 +108,9 @@ def learned(unit: np.ndarray, settings: Settings, bits: int = LEAST_BITS) -> Cod
     if len(unit) < 2:
         unit = rng.standard_normal((settings.probes, dim))
         unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-    # Rotations keep the vectors they are fitted to off the borders, so pairs are made of others.
-    apart = min(settings.probes // 2, len(unit) // 4) or len(unit)
+    # Rotations keep the vectors they are fitted to off the borders, so pairs are made of others;
+    # of few vectors, of all, as a quarter would not stand for the rest.
+    apart = min(settings.probes // 2, len(unit) // 4) if len(unit) >= 400 else len(unit)
     a, b = _at_threshold(unit[-apart:], settings, np.random.default_rng(settings.seed + 1))
     unit = unit[:-apart] if apart < len(unit) else unit
 
