@@ -130,3 +130,12 @@ def test_one_large_response_is_parsed_by_many_tasks(spark):
     counts = tasks.collect()
     assert sum(r.n for r in counts) == 200_000 and sum(r.same for r in counts) == 66_667
     assert len(counts) > 2 and max(r.n for r in counts) < 80_000
+
+
+def test_responses_of_one_partition_are_taken_apart_by_many_tasks(spark):
+    """200,000 responses that one task reads; they move before they are taken apart."""
+    body = "concat('<soap>&lt;L&gt;&lt;E&gt;&lt;A&gt;', md5(string(id)), '&lt;/A&gt;&lt;/E&gt;&lt;/L&gt;</soap>') AS response"
+    got = escaped_xml(spark.range(0, 200_000, 1, 1).selectExpr(body), "response", "L", "E", "A string")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(xxhash64(response" in plan[plan.index("Generate") :]
+    assert tuple(got.agg(F.count("A"), F.countDistinct("A")).first()) == (200_000, 200_000)

@@ -124,22 +124,24 @@ def escaped_xml(
 ) -> DataFrame:
     """Entries of an XML list that came escaped inside a larger response text.
 
-    A response is taken apart into one text per entry, cheaply, and the entries are dealt out before
-    they are parsed, so one large response is parsed by many tasks.  An empty list adds nothing.  A
-    response without both tags of the list (a fault, or one cut short), and one with anything but
-    entries in its list, fails the read.
+    Responses are dealt out, as many may lie in one file.  A response is taken apart into one text per
+    entry, cheaply, and the entries are dealt out before they are parsed, so one large response is
+    parsed by many tasks.  An empty list adds nothing.  A response without both tags of the list (a
+    fault, or one cut short), and one with anything but entries in its list, fails the read.
     """
     text = F.replace(F.replace(F.col(column), F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">"))
     opening, closing = f"<{root_tag}>", f"</{root_tag}>"
-    start = F.locate(opening, text)
-    end = F.locate(closing, text)
+    texts = responses.repartition(F.xxhash64(column)).select(text.alias("text"))
+    # Columns of their own, so that each is computed once a response.
+    found = texts.select("text", F.locate(opening, F.col("text")).alias("start"), F.locate(closing, F.col("text")).alias("end"))
+    text, start, end = F.col("text"), F.col("start"), F.col("end")
     inner = F.when((start > 0) & (end > start), text.substr(start + len(opening), end - start - len(opening))).otherwise(
         F.raise_error(F.lit(f"response without the list {root_tag}")).cast("string")
     )
     tag = re.escape(row_tag)
     pieces = F.split(inner, f"(?<=</{tag}>)|(?<=<{tag}/>)")
     dealt = (
-        responses.select(F.posexplode(pieces).alias("place", "entry"))
+        found.select(F.posexplode(pieces).alias("place", "entry"))
         .select("place", F.trim(F.regexp_replace("entry", "^\\s+|\\s+$", "")).alias("entry"))
         .filter("entry <> ''")
         .repartition(F.xxhash64("place", "entry"))
