@@ -6,9 +6,11 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import corrections, hours
+from tidemark.plans import corrections, hours, journal
 from tidemark.sources.extracts import IncompletePages, MANIFEST, escaped_xml, page_faults, read_manifest, require_pages
 from tidemark.sources.tables import read_relation, read_snapshot, write_snapshot
+from workload import history_queries
+from workload.registry import QUERIES
 
 NOW = datetime(2024, 1, 1)
 
@@ -139,3 +141,15 @@ def test_responses_of_one_partition_are_taken_apart_by_many_tasks(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(xxhash64(response" in plan[plan.index("Generate") :]
     assert tuple(got.agg(F.count("A"), F.countDistinct("A")).first()) == (200_000, 200_000)
+
+
+def test_xml_files_hold_a_bounded_number_of_entries(spark, tmp_path, monkeypatch):
+    """110,000 customers of one partition: each file of entries is one task's to read, so none may hold them all."""
+    columns = ["id AS c_custkey", "concat('c', id) AS c_name", "int(id % 25) AS c_nationkey", "id / 4 AS c_acctbal", "'m' AS c_mktsegment"]
+    spark.range(0, 110_000, 1, 1).selectExpr(*columns).write.parquet(f"{tmp_path}/customer.parquet")
+    monkeypatch.setattr(history_queries, "shared_folder", lambda _, purpose: f"{tmp_path}/{purpose}")
+    staged = QUERIES["xml_entries"](spark, str(tmp_path))
+    assert tuple(staged.agg(F.count("*"), F.countDistinct("BI_PL_ITEM")).first()) == (110_000, 110_000)
+    counts = [f.read_text().count("<JournalEntry>") for f in (tmp_path / "entries").glob("*.xml")]
+    assert sum(counts) == 110_000 and max(counts) <= 50_000
+    assert journal.read_entries(spark, f"{tmp_path}/entries", "JournalEntry").select(F.spark_partition_id()).distinct().count() == 3

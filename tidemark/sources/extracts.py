@@ -109,11 +109,20 @@ def require_pages(spark: SparkSession, path: str, array: str, manifest: DataFram
 def read_xml(
     spark: SparkSession, path: str, row_tag: str, schema: StructType | str, drop: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per ``row_tag`` element, typed by the schema given."""
+    """One row per ``row_tag`` element, typed by the schema given.
+
+    A file is read by one task, so large extracts should land in several, as ``write_xml`` writes them.
+    """
     reader = spark.read.format("xml").option("rowTag", row_tag).options(**STRICT)
     return reader.schema(schema).load(path).drop(*drop)
 
 
+def write_xml(df: DataFrame, path: str, root_tag: str, row_tag: str, entries_per_file: int = 50_000) -> None:
+    """Rows as ``row_tag`` elements, in files of a bounded number of them: no XML file can be split by a reader."""
+    writer = df.write.format("xml").option("rootTag", root_tag).option("rowTag", row_tag)
+    writer.option("maxRecordsPerFile", entries_per_file).save(path)
+
+
 def escaped_xml(
     responses: DataFrame,
     column: str,

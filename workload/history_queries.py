@@ -12,7 +12,7 @@ from tidemark.operators.increments import advance_mark, slice_start
 from tidemark.operators.periods import month_slices, month_spine, widen_period
 from tidemark.plans import journal, plan_hours
 from tidemark.plans.hours import period_to_load
-from tidemark.sources.extracts import escaped_xml
+from tidemark.sources.extracts import escaped_xml, write_xml
 from tidemark.sources.tables import append, read_history, read_relation, shared_folder, write_slice
 from workload.registry import RUN_TS, RUN_TS_SQL, project, query, table
 
@@ -319,8 +319,7 @@ def xml_entries(spark: SparkSession, sf: str) -> DataFrame:
     """Customers written as XML entries, read by row tag and schema, typed, staged, read back."""
     xml, staged = shared_folder(spark, "entries"), shared_folder(spark, "journal")
     columns = {c: _ENTRY.get(c, "CAST(NULL AS STRING)") for c in _ENTRY_COLUMNS} | {"REFERENCE2GUID": "c_name"}
-    writer = project(table(spark, sf, "customer"), columns).write.format("xml")
-    writer.option("rootTag", "JournalEntries").option("rowTag", "JournalEntry").save(xml)
+    write_xml(project(table(spark, sf, "customer"), columns), xml, "JournalEntries", "JournalEntry")
     journal.stage(journal.read_entries(spark, xml, "JournalEntry"), staged)
     return read_relation(spark, staged).withColumn("ETL_LOG_ID", F.hex("ETL_LOG_ID"))
 
